@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidepool.plans import batch as B
+from tidepool.plans import versioned as V
 from tidepool.plans.oracle import BATCH_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,10 +38,17 @@ def queries() -> dict[str, Query]:
         "key_balance": B.key_balance,
         "conform_schema": B.conform_schema,
         "split_totals": B.split_totals,
+        "version_row_counts": V.version_row_counts,
+        "version_diff": V.version_diff,
+        "time_travel": V.time_travel,
+        "restore": V.restore,
+        "compact": V.compact,
+        "versioned_skip": V.versioned_skip,
     }
     return q
 
 
 def oracle_sql() -> dict[str, str]:
     sql = dict(BATCH_SQL)
+    sql.update(V.VERSIONED_SQL)
     return sql
