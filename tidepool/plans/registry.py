@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidepool.plans import batch as B
+from tidepool.plans import streams as S
 from tidepool.plans import versioned as V
 from tidepool.plans.oracle import BATCH_SQL
 
@@ -44,6 +45,13 @@ def queries() -> dict[str, Query]:
         "restore": V.restore,
         "compact": V.compact,
         "versioned_skip": V.versioned_skip,
+        "bronze_resume": S.bronze_resume,
+        "silver_dedup": S.silver_dedup,
+        "gold_windows": S.gold_windows,
+        "pipeline_accounting": S.pipeline_accounting,
+        "window_reconciliation": S.window_reconciliation,
+        "lag_percentiles": S.lag_percentiles,
+        "event_vs_processing_time": S.event_vs_processing_time,
     }
     return q
 
@@ -51,4 +59,5 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     sql = dict(BATCH_SQL)
     sql.update(V.VERSIONED_SQL)
+    sql.update(S.STREAM_SQL)
     return sql
