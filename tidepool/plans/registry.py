@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidepool.plans import batch as B
+from tidepool.plans import drift as D
+from tidepool.plans import monitoring as M
 from tidepool.plans import streams as S
 from tidepool.plans import versioned as V
 from tidepool.plans.oracle import BATCH_SQL
@@ -52,6 +54,19 @@ def queries() -> dict[str, Query]:
         "window_reconciliation": S.window_reconciliation,
         "lag_percentiles": S.lag_percentiles,
         "event_vs_processing_time": S.event_vs_processing_time,
+        "unknown_fields": D.unknown_fields,
+        "rescued": D.rescued,
+        "bad_values": D.bad_values,
+        "upsert_not_matched": M.upsert_not_matched,
+        "state_rows": M.state_rows,
+        "stream_totals": M.stream_totals,
+        "stream_totals_full": M.stream_totals_full,
+        "backlog_alert": M.backlog_alert,
+        "rate_series": M.rate_series,
+        "watermark_series": M.watermark_series,
+        "late_drop_ratio": M.late_drop_ratio,
+        "freshness": M.freshness,
+        "checkpoint_log": M.checkpoint_log,
     }
     return q
 
@@ -60,4 +75,6 @@ def oracle_sql() -> dict[str, str]:
     sql = dict(BATCH_SQL)
     sql.update(V.VERSIONED_SQL)
     sql.update(S.STREAM_SQL)
+    sql.update(D.DRIFT_SQL)
+    sql.update(M.MONITORING_SQL)
     return sql

@@ -43,24 +43,32 @@ def layer_source(spark: SparkSession, layer_dir: str, schema: T.StructType) -> D
     return spark.readStream.schema(schema).parquet(layer_dir)
 
 
-def silver(bronze_stream: DataFrame, dedup_delay: str = DEDUP_DELAY) -> DataFrame:
-    """P11 + T13: typed readings, invalid rows dropped, duplicates dropped within a bound.
+def silver_columns(raw: DataFrame) -> DataFrame:
+    """Typed readings; rows without a valid event time or id are dropped.
 
     Times are parsed with the NULL-on-failure form, so one bad value does not stop the
-    stream; rows without a valid event time or key are filtered.  Duplicate readings (same
-    `event_id`) are dropped while their key is held in state: the state is bounded by a
-    watermark on *ingestion* time, never by event time, so a reading is not dropped here
-    for arriving late.
+    stream.  Lineage columns are carried when the input has them.
     """
-    typed = bronze_stream.select(
+    lineage = [c for c in ("_source_file", "_ingested_at") if c in raw.columns]
+    typed = raw.select(
         "event_id", "user_id", "event_type",
         parse_ts("event_time").alias("event_ts"),
         F.col("value").cast("double").alias("value"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         parse_ts("delivered_at").alias("delivered_ts"),
-        "_source_file", "_ingested_at")
-    valid = typed.filter(F.col("event_ts").isNotNull() & F.col("event_id").isNotNull())
-    return valid.withWatermark("_ingested_at", dedup_delay).dropDuplicatesWithinWatermark(["event_id"])
+        *lineage)
+    return typed.filter(F.col("event_ts").isNotNull() & F.col("event_id").isNotNull())
+
+
+def silver(bronze_stream: DataFrame, dedup_delay: str = DEDUP_DELAY) -> DataFrame:
+    """P11 + T13: typed readings with duplicates dropped within a bound.
+
+    Duplicate readings (same `event_id`) are dropped while their key is held in state; the
+    state is bounded by a watermark on *ingestion* time, never by event time, so a reading
+    is not dropped here for arriving late.
+    """
+    return (silver_columns(bronze_stream).withWatermark("_ingested_at", dedup_delay)
+            .dropDuplicatesWithinWatermark(["event_id"]))
 
 
 def gold(silver_stream: DataFrame, window: str = GOLD_WINDOW, delay: str = GOLD_DELAY,
