@@ -51,30 +51,40 @@ def join_broadcast(big: DataFrame, small: DataFrame, keys: str | Sequence[str],
 
 
 def hot_keys(df: DataFrame, key: str, max_hot_keys: int = 1000, rows_per_salt: int = 1_000_000,
-             max_salts: int = 512) -> DataFrame:
-    """Keys that hold at least 1/max_hot_keys of the rows, with a salt count for each.
-
-    At most `max_hot_keys` keys can pass the threshold, so the result is bounded by
-    construction and safe to broadcast.  The salt count grows with the key's size so one
-    sub-key holds about `rows_per_salt` rows.
+             max_salts: int = 512, sample_fraction: float = 0.01, seed: int = 7) -> DataFrame:
+    """Keys holding at least 1/max_hot_keys of the rows, each with a salt count.
+
+    Detection runs on a sample: which keys get salted never changes the join's result
+    (salting any key is exact), only how evenly the work spreads.  At most
+    `max_hot_keys` keys can pass the threshold, so the table is bounded by construction;
+    it is materialised on the driver (<= max_hot_keys rows) so the big side is not
+    scanned again each time the table is used.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    sample = df.select(key).sample(fraction=sample_fraction, seed=seed)
+    counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).first()[0] or 0
     threshold = max(1, math.ceil(total / max_hot_keys))
-    return (counts.filter(F.col("_n") >= threshold)
-            .select(key, F.least(F.lit(max_salts), F.greatest(F.lit(2), F.ceil(F.col("_n") / rows_per_salt)))
-                    .cast("int").alias("_salts")))
+    est_rows = F.col("_n") / F.lit(sample_fraction)
+    salts = F.least(F.lit(max_salts), F.greatest(F.lit(2), F.ceil(est_rows / rows_per_salt))).cast("int")
+    hot = (counts.filter(F.col("_n") >= threshold).select(key, salts.alias("_salts"))
+           .orderBy(F.desc("_salts")).limit(max_hot_keys))
+    rows = hot.collect()  # bounded: at most max_hot_keys rows
+    return df.sparkSession.createDataFrame(rows, hot.schema)
 
 
 def join_salted(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | None = None,
-                salts: int | None = None, max_hot_keys: int = 1000, rows_per_salt: int = 1_000_000) -> DataFrame:
+                salts: int | None = None, max_hot_keys: int = 1000, rows_per_salt: int = 1_000_000,
+                sample_fraction: float = 0.01, strategy: str | None = "merge") -> DataFrame:
     """Inner equi-join on one key with the hot keys salted.
 
     `hot` is a (key, _salts) table (see `hot_keys`); with `salts` given instead, every key
     is salted `salts` ways (the textbook form).  The result equals `big.join(small, key)`.
+    `strategy` is the join hint for the final (key, salt) join: salting is for the case
+    where the other side is too big to broadcast, so a shuffle join by default.
     """
     if hot is None and salts is None:
-        hot = hot_keys(big, key, max_hot_keys=max_hot_keys, rows_per_salt=rows_per_salt)
+        hot = hot_keys(big, key, max_hot_keys=max_hot_keys, rows_per_salt=rows_per_salt,
+                       sample_fraction=sample_fraction)
     big_cols = big.columns
     if hot is not None:
         hot = F.broadcast(hot)  # at most max_hot_keys rows
@@ -86,7 +96,10 @@ def join_salted(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | Non
     # Deterministic salt from the row's own values: a re-run task assigns the same salt.
     b = b.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big_cols]), F.col("_salts")).cast("int"))
     s = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts").cast("int") - 1)))
-    return b.drop("_salts").join(s.drop("_salts"), [key, "_salt"]).drop("_salt")
+    s = s.drop("_salts")
+    if strategy:
+        s = s.hint(strategy)
+    return b.drop("_salts").join(s, [key, "_salt"]).drop("_salt")
 
 
 def skew_join_settings(spark: SparkSession, enabled: bool = True, factor: float = 5.0,

@@ -154,8 +154,8 @@ def join_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hot keys salted on the big side, replicated on the lookup side."""
     big = skewed_lineitem(spark, sf_dir)
-    lookup = J.key_lookup(spark, N_KEYS).hint("merge")
-    return _label_agg(J.join_salted(big, lookup, "join_key", rows_per_salt=4096))
+    lookup = J.key_lookup(spark, N_KEYS)
+    return _label_agg(J.join_salted(big, lookup, "join_key", rows_per_salt=4096, sample_fraction=0.05))
 
 
 def key_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
