@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidepool.plans import batch as B
 from tidepool.plans import drift as D
+from tidepool.plans import layout as LY
 from tidepool.plans import monitoring as M
 from tidepool.plans import streams as S
 from tidepool.plans import versioned as V
@@ -41,6 +42,9 @@ def queries() -> dict[str, Query]:
         "key_balance": B.key_balance,
         "conform_schema": B.conform_schema,
         "split_totals": B.split_totals,
+        "partition_totals": LY.partition_totals,
+        "dir_file_stats": LY.dir_file_stats,
+        "cross_database_join": LY.cross_database_join,
         "version_row_counts": V.version_row_counts,
         "version_diff": V.version_diff,
         "time_travel": V.time_travel,
@@ -73,6 +77,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     sql = dict(BATCH_SQL)
+    sql.update(LY.LAYOUT_SQL)
     sql.update(V.VERSIONED_SQL)
     sql.update(S.STREAM_SQL)
     sql.update(D.DRIFT_SQL)
