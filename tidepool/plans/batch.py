@@ -40,7 +40,7 @@ def minmax_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def describe_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: typed summary statistics of two lineitem columns."""
-    return A.summary_stats(read_table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice"], digits=4)
+    return A.summary_stats(read_table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice"], digits=6)
 
 
 def count_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +137,7 @@ def skew_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _label_agg(df: DataFrame) -> DataFrame:
-    return df.groupBy("label").agg(F.count(F.lit(1)).alias("n"), rounded(F.avg("l_extendedprice"), 4).alias("avg_price"))
+    return df.groupBy("label").agg(F.count(F.lit(1)).alias("n"), rounded(F.avg("l_extendedprice"), 6).alias("avg_price"))
 
 
 def join_plain(spark: SparkSession, sf_dir: str) -> DataFrame:

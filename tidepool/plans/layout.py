@@ -66,7 +66,7 @@ def cross_database_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     K.save_table(hourly, f"{db_a}.hourly")
     K.create_or_replace(totals, f"{db_b}.totals")
     return spark.sql(f"""
-        SELECT a.hour, a.event_type, a.n, round(b.total_value, 4) AS total_value
+        SELECT a.hour, a.event_type, a.n, round(b.total_value, 6) AS total_value
         FROM {db_a}.hourly a JOIN {db_b}.totals b ON a.hour = b.hour AND a.event_type = b.event_type""")
 
 
@@ -79,7 +79,7 @@ SELECT o_orderstatus, 1 AS files_listed, 1 AS files_read, count(*) AS rows, min(
     "cross_database_join": f"""
 SELECT CAST(hour(ts) AS INTEGER) AS hour, event_type,
        count(*) FILTER (WHERE value BETWEEN {HOURLY_VALUE_RANGE[0]} AND {HOURLY_VALUE_RANGE[1]}) AS n,
-       round(sum(value), 4) AS total_value
+       round(sum(value), 6) AS total_value
 FROM events GROUP BY 1, 2
 HAVING count(*) FILTER (WHERE value BETWEEN {HOURLY_VALUE_RANGE[0]} AND {HOURLY_VALUE_RANGE[1]}) > 0
 """,

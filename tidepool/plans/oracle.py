@@ -16,7 +16,7 @@ HOT_KEY_SQL = "CASE WHEN l_orderkey % 10 < 9 THEN 0 ELSE l_orderkey % 99 + 1 END
 _SKEWED = f"SELECT l_orderkey, l_extendedprice, l_quantity, CAST({HOT_KEY_SQL} AS BIGINT) AS join_key FROM lineitem"
 
 _JOIN = f"""
-SELECT 'key_' || CAST(s.join_key AS VARCHAR) AS label, count(*) AS n, round(avg(s.l_extendedprice), 4) AS avg_price
+SELECT 'key_' || CAST(s.join_key AS VARCHAR) AS label, count(*) AS n, round(avg(s.l_extendedprice), 6) AS avg_price
 FROM ({_SKEWED}) s JOIN range(0, 100) r(join_key) ON s.join_key = r.join_key
 GROUP BY 1
 """
@@ -31,12 +31,12 @@ GROUP BY 1, 2 ORDER BY 1, 2
 """,
     "minmax_ts": "SELECT min(ts) AS min_ts, max(ts) AS max_ts FROM events",
     "describe_lineitem": """
-SELECT 'l_quantity' AS column_name, count(l_quantity) AS n, round(avg(l_quantity), 4) AS mean,
-       round(stddev_samp(l_quantity), 4) AS stddev, CAST(min(l_quantity) AS DOUBLE) AS min_value,
+SELECT 'l_quantity' AS column_name, count(l_quantity) AS n, round(avg(l_quantity), 6) AS mean,
+       round(stddev_samp(l_quantity), 6) AS stddev, CAST(min(l_quantity) AS DOUBLE) AS min_value,
        CAST(max(l_quantity) AS DOUBLE) AS max_value FROM lineitem
 UNION ALL
-SELECT 'l_extendedprice', count(l_extendedprice), round(avg(l_extendedprice), 4),
-       round(stddev_samp(l_extendedprice), 4), CAST(min(l_extendedprice) AS DOUBLE),
+SELECT 'l_extendedprice', count(l_extendedprice), round(avg(l_extendedprice), 6),
+       round(stddev_samp(l_extendedprice), 6), CAST(min(l_extendedprice) AS DOUBLE),
        CAST(max(l_extendedprice) AS DOUBLE) FROM lineitem
 """,
     "count_by_flag": "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_returnflag",

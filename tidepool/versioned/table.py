@@ -76,6 +76,11 @@ class VersionedTable:
         return last.filter(F.col("s.action") == "add").select(
             "file", "s.rows", "s.bytes", "s.min_key", "s.max_key")
 
+    def _schema(self):
+        """The table's schema, from one data file it ever added (all share one schema)."""
+        first = self.manifest().filter(F.col("action") == "add").select("file").limit(1).collect()
+        return self.spark.read.parquet(first[0][0]).schema
+
     def _paths(self, live: DataFrame) -> list[str]:
         return [r[0] for r in live.select("file").collect()]  # a file list, bounded by file count
 
@@ -247,8 +252,7 @@ class VersionedTable:
             lo, hi = key_range
             live = live.filter((F.col("max_key") >= lo) & (F.col("min_key") <= hi))
         paths = self._paths(live)
-        schema = self.spark.read.parquet(self.data_dir).schema if not paths else None
-        df = self.spark.read.parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        df = self.spark.read.parquet(*paths) if paths else self.spark.createDataFrame([], self._schema())
         if key_range is not None:
             df = df.filter(F.col(self.key).between(*key_range))
         return df
