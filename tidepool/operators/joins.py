@@ -3,8 +3,9 @@
 Strategy, in order of preference:
 
 1. A side whose size is *proven* small is broadcast.  "Proven" means either bounded by
-   construction (a lookup built from `range(n)`) or checked: `limit(bound + 1).count()`
-   stops after `bound + 1` rows, so the check itself is cheap and bounded.  A side that
+   construction (a lookup built from `range(n)`) or checked: `take(bound + 1)` of a
+   one-literal projection scans partitions incrementally and stops as soon as it has
+   `bound + 1` rows, so the check is bounded in both work and driver memory.  A side that
    fails the check is joined by shuffle instead -- never broadcast on hope.
 2. Otherwise a shuffle (sort-merge) join on the key, with AQE's skew-join splitting on.
 3. When one key holds a large share of the big side and the other side cannot be
@@ -24,9 +25,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+MAX_BROADCAST_ROWS = 1_000_000
+
+
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Bounded size check: True when `df` has at most `max_rows` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Bounded size check: True when `df` has at most `max_rows` rows.
+
+    `take` runs as an incremental collect-limit (one partition first, then more only if
+    needed) over a single literal column, so a huge input costs a partition or two, never a
+    full scan or a shuffle of `max_rows` rows per partition.
+    """
+    if max_rows > MAX_BROADCAST_ROWS:
+        raise ValueError(f"a broadcast bound above {MAX_BROADCAST_ROWS} rows is not a small table")
+    return len(df.select(F.lit(1).alias("_one")).take(max_rows + 1)) <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
@@ -44,7 +55,7 @@ def join_shuffle(big: DataFrame, small: DataFrame, keys: str | Sequence[str], ho
     return big.join(small.hint("merge"), on=keys, how=how)
 
 
-def join_broadcast(big: DataFrame, small: DataFrame, keys: str | Sequence[str], max_rows: int = 1_000_000,
+def join_broadcast(big: DataFrame, small: DataFrame, keys: str | Sequence[str], max_rows: int = 100_000,
                    how: str = "inner") -> DataFrame:
     """Broadcast `small` if it passes the bounded size check, else a shuffle join."""
     return big.join(maybe_broadcast(small, max_rows), on=keys, how=how)

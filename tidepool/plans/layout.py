@@ -18,23 +18,33 @@ from tidepool.sources import catalog as K
 from tidepool.sources.tables import read_events, read_table
 from tidepool.plans.batch import HOURLY_VALUE_RANGE
 
-REPORT_FILES = 4
+MIN_REPORT_FILES = 4
+ROWS_PER_FILE = 1_000_000
+
+
+def report_file_count(rows: int) -> int:
+    """Files for a copy of `rows` rows: at least four, about ROWS_PER_FILE rows each."""
+    return max(MIN_REPORT_FILES, -(-rows // ROWS_PER_FILE))
 
 
 def partition_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`orders` written as four files, read back: files, rows on disk, rows read."""
+    """`orders` copied into files of about a million rows (at least four), read back:
+    files on disk, rows on disk, rows read by the tasks."""
     path = f"{work_dir(spark, 'layout')}/orders"
-    write_parquet(read_table(spark, sf_dir, "orders"), path, files=REPORT_FILES)
+    o = read_table(spark, sf_dir, "orders")
+    write_parquet(o, path, files=report_file_count(o.count()))
     _, _, totals = LY.partition_report(spark, path)
     return totals.select("files", "total_rows", "partition_rows")
 
 
 def dir_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`orders` partitioned by status, one file per status folder; per folder the
-    file count (from the listing) and rows, min and max key (from the files' rows)."""
+    """`orders` written partitioned by status straight from the scan (no shuffle:
+    a status holding a third of the rows is spread over all write tasks); per folder the
+    rows, min and max key from the files' rows, and whether the listing and the scan agree
+    on the folder's file count."""
     path = f"{work_dir(spark, 'layout')}/orders_by_status"
     o = read_table(spark, sf_dir, "orders")
-    o.repartition("o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
+    o.write.partitionBy("o_orderstatus").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
     stats = (spark.read.parquet(path)
              .groupBy("o_orderstatus", F.col("_metadata.file_path").alias("file_path"))
              .agg(F.count(F.lit(1)).alias("rows"), F.min("o_orderkey").alias("min_key"),
@@ -46,7 +56,8 @@ def dir_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
               .select(F.regexp_extract("directory", r"o_orderstatus=([^/]+)$", 1).alias("o_orderstatus"),
                       F.col("files").alias("files_listed")))
     return per_dir.join(listed, "o_orderstatus", "left").select(
-        "o_orderstatus", "files_listed", "files_read", "rows", "min_key", "max_key")
+        "o_orderstatus", (F.col("files_listed") == F.col("files_read")).alias("files_match"),
+        "rows", "min_key", "max_key")
 
 
 def cross_database_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,9 +82,12 @@ def cross_database_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LAYOUT_SQL = {
-    "partition_totals": f"SELECT {REPORT_FILES} AS files, count(*) AS total_rows, count(*) AS partition_rows FROM orders",
+    "partition_totals": f"""
+SELECT CAST(greatest({MIN_REPORT_FILES}, ceil(count(*) / {ROWS_PER_FILE})) AS BIGINT) AS files,
+       count(*) AS total_rows, count(*) AS partition_rows FROM orders
+""",
     "dir_file_stats": """
-SELECT o_orderstatus, 1 AS files_listed, 1 AS files_read, count(*) AS rows, min(o_orderkey) AS min_key,
+SELECT o_orderstatus, true AS files_match, count(*) AS rows, min(o_orderkey) AS min_key,
        max(o_orderkey) AS max_key FROM orders GROUP BY 1
 """,
     "cross_database_join": f"""

@@ -19,6 +19,7 @@ from tidepool.sources.tables import read_table
 from tidepool.versioned.table import VersionedTable, new_table_root
 
 SUPPLIER_KEY_OFFSET = 1_000_000_000
+ROWS_PER_FILE = 1_000_000
 DELETE_PREDICATE = "c_acctbal < 0"
 UPDATE_PREDICATE = "c_mktsegment = 'AUTOMOBILE'"
 UPDATE_SET = {"c_name": "concat('vip_', c_name)"}
@@ -40,7 +41,9 @@ def customer_chain(spark: SparkSession, sf_dir: str) -> VersionedTable:
     if k in _chains:
         return _chains[k]
     t = VersionedTable(spark, new_table_root(spark, "customer-versions"), "c_custkey")
-    t.create(read_table(spark, sf_dir, "customer"), files=3)
+    cust = read_table(spark, sf_dir, "customer")
+    # Three key-range files at small scale; about ROWS_PER_FILE rows per file beyond that.
+    t.create(cust, files=max(3, -(-cust.count() // ROWS_PER_FILE)))
     t.append(suppliers_as_customers(spark, sf_dir))
     t.delete(DELETE_PREDICATE)
     t.update(UPDATE_PREDICATE, UPDATE_SET)

@@ -39,6 +39,8 @@ class VersionedTable:
         self.key = key
         self.manifest_dir = f"{self.root}/_manifest"
         self.data_dir = f"{self.root}/data"
+        self._latest: int | None = None  # single writer: the version this object last saw or wrote
+        self._key_type: T.DataType | None = None
 
     # ----------------------------------------------------------------- manifest
     def _manifest_schema(self, key_type: T.DataType) -> T.StructType:
@@ -62,8 +64,13 @@ class VersionedTable:
         return self.spark.read.parquet(self.manifest_dir)
 
     def latest_version(self) -> int:
-        v = self.manifest().agg(F.max("version")).first()[0]
-        return -1 if v is None else int(v)
+        if self._latest is None:
+            try:
+                v = self.manifest().agg(F.max("version")).first()[0]
+            except Exception:  # noqa: BLE001 - no manifest yet
+                v = None
+            self._latest = -1 if v is None else int(v)
+        return self._latest
 
     def _live(self, version: int | None = None) -> DataFrame:
         """Live file rows (file, rows, bytes, min_key, max_key) of a version."""
@@ -76,6 +83,10 @@ class VersionedTable:
         return last.filter(F.col("s.action") == "add").select(
             "file", "s.rows", "s.bytes", "s.min_key", "s.max_key")
 
+    def _live_rows(self, version: int | None = None) -> list[dict]:
+        """The live file list as rows (one per file: commit metadata, bounded by file count)."""
+        return [r.asDict() for r in self._live(version).collect()]
+
     def _schema(self):
         """The table's schema, from one data file it ever added (all share one schema)."""
         first = self.manifest().filter(F.col("action") == "add").select("file").limit(1).collect()
@@ -85,42 +96,42 @@ class VersionedTable:
         return [r[0] for r in live.select("file").collect()]  # a file list, bounded by file count
 
     # ----------------------------------------------------------------- writing
-    def _write_files(self, df: DataFrame, version: int, files: int | None = None) -> DataFrame:
-        """Write `df` as new data files; return their stats (one row per file)."""
+    def _write_files(self, df: DataFrame, version: int, files: int | None = None) -> list[dict]:
+        """Write `df` as new data files; return their stats, one row per file.
+
+        The stats come from reading the new files back (key column and footers only).
+        """
         folder = f"{self.data_dir}/v{version}-{uuid.uuid4().hex[:8]}"
         out = df.repartition(files) if files else df
         out.write.mode("errorifexists").parquet(folder)
+        if self._key_type is None:
+            self._key_type = out.schema[self.key].dataType
         back = self.spark.read.parquet(folder)
-        return (back.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
-                .agg(F.count(F.lit(1)).alias("rows"), F.min(self.key).alias("min_key"),
-                     F.max(self.key).alias("max_key")))
-
-    def _commit(self, version: int, operation: str, params: Mapping[str, str], metrics: Mapping[str, object],
-                adds: DataFrame | None, removes: DataFrame | None, data_change: bool = True) -> int:
-        key_type = (self.manifest().schema["min_key"].dataType if adds is None
-                    else adds.schema["min_key"].dataType)
-        schema = self._manifest_schema(key_type)
+        stats = (back.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+                 .agg(F.count(F.lit(1)).alias("rows"), F.min(self.key).alias("min_key"),
+                      F.max(self.key).alias("max_key")))
+        return [r.asDict() for r in stats.collect()]
+
+    def _key_type_now(self) -> T.DataType:
+        if self._key_type is None:
+            self._key_type = self.manifest().schema["min_key"].dataType
+        return self._key_type
+
+    def _commit(self, version: int, operation: str, params: Mapping[str, object], metrics: Mapping[str, object],
+                adds: list[dict], removes: list[dict], data_change: bool = True) -> int:
+        """Write the manifest folder of one version: a commit row plus one row per file
+        added or removed.  Spark's job commit makes the folder appear whole or not at all."""
+        schema = self._manifest_schema(self._key_type_now())
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        p = {k: str(v) for k, v in params.items()}
-        mm = {k: str(v) for k, v in metrics.items()}
-        info = self.spark.createDataFrame(
-            [(now, operation, p, mm, "commit", None, None, None, None, None, data_change)], schema)
-        parts = [info]
-        for action, df in (("add", adds), ("remove", removes)):
-            if df is None:
-                continue
-            parts.append(df.select(
-                F.lit(now).cast("timestamp").alias("ts"), F.lit(operation).alias("operation"),
-                F.create_map().cast("map<string,string>").alias("params"),
-                F.create_map().cast("map<string,string>").alias("metrics"),
-                F.lit(action).alias("action"), "file", F.col("rows").cast("long"), F.col("bytes").cast("long"),
-                F.col("min_key").cast(key_type), F.col("max_key").cast(key_type),
-                F.lit(data_change).alias("data_change")))
-        out = parts[0]
-        for p_df in parts[1:]:
-            out = out.unionByName(p_df)
-        # Small: one row per file touched by this commit.  One output file per commit.
-        out.coalesce(1).write.mode("errorifexists").parquet(f"{self.manifest_dir}/version={version}")
+        empty: dict[str, str] = {}
+        rows = [(now, operation, {k: str(v) for k, v in params.items()}, {k: str(v) for k, v in metrics.items()},
+                 "commit", None, None, None, None, None, data_change)]
+        for action, files in (("add", adds), ("remove", removes)):
+            rows += [(now, operation, empty, empty, action, f["file"], f["rows"], f["bytes"], f["min_key"],
+                      f["max_key"], data_change) for f in files]
+        (self.spark.createDataFrame(rows, schema).coalesce(1)
+         .write.mode("errorifexists").parquet(f"{self.manifest_dir}/version={version}"))
+        self._latest = version
         return version
 
     # ----------------------------------------------------------------- operations
@@ -128,35 +139,33 @@ class VersionedTable:
         """V1: version 0 from a DataFrame (optionally range-partitioned into `files`)."""
         src = df.repartitionByRange(files, self.key) if files else df
         adds = self._write_files(src, 0)
-        s = adds.agg(F.count(F.lit(1)), F.sum("rows")).first()
         return self._commit(0, "CREATE", {"mode": "ErrorIfExists"},
-                            {"numFiles": s[0], "numOutputRows": s[1] or 0}, adds, None)
+                            {"numFiles": len(adds), "numOutputRows": sum(f["rows"] for f in adds)}, adds, [])
 
     def append(self, df: DataFrame, files: int | None = None) -> int:
         """V2: blind append: new files only."""
         v = self.latest_version() + 1
         adds = self._write_files(df, v, files)
-        s = adds.agg(F.count(F.lit(1)), F.sum("rows")).first()
         return self._commit(v, "WRITE", {"mode": "Append", "readVersion": v - 1, "isBlindAppend": True},
-                            {"numFiles": s[0], "numOutputRows": s[1] or 0}, adds, None)
+                            {"numFiles": len(adds), "numOutputRows": sum(f["rows"] for f in adds)}, adds, [])
 
-    def _touched(self, live: DataFrame, cond: Column, key_range: tuple | None) -> tuple[DataFrame, list[str]]:
-        """Files holding at least one row where `cond` is true.
+    def _touched(self, cond: Column, key_range: tuple | None) -> list[dict]:
+        """Live files holding at least one row where `cond` is true, with `matched` rows each.
 
-        With `key_range`, the manifest's min/max prune candidate files first (V14), so
-        only overlapping files are scanned.
+        One scan of the candidate files finds both the files and how many of their rows
+        match.  With `key_range`, the manifest's min/max prune candidate files first (V14),
+        so only overlapping files are scanned.
         """
-        cand = live
+        live = self._live_rows()
         if key_range is not None:
             lo, hi = key_range
-            cand = cand.filter((F.col("max_key") >= lo) & (F.col("min_key") <= hi))
-        paths = self._paths(cand)
-        if not paths:
-            return cand.limit(0), []
-        hit = (self.spark.read.parquet(*paths).filter(F.coalesce(cond, F.lit(False)))
-               .select(F.col("_metadata.file_path").alias("file")).distinct())
-        touched = live.join(hit, "file", "left_semi")
-        return touched, self._paths(touched)
+            live = [f for f in live if f["max_key"] >= lo and f["min_key"] <= hi]
+        if not live:
+            return []
+        hits = (self.spark.read.parquet(*[f["file"] for f in live]).filter(F.coalesce(cond, F.lit(False)))
+                .groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("matched")))
+        matched = {r["file"]: r["matched"] for r in hits.collect()}  # one row per touched file
+        return [{**f, "matched": matched[f["file"]]} for f in live if f["file"] in matched]
 
     def delete(self, cond: Column | str, key_range: tuple | None = None) -> int:
         """V3: copy-on-write delete; only files with a matching row are rewritten.
@@ -165,18 +174,13 @@ class VersionedTable:
         """
         cond = F.expr(cond) if isinstance(cond, str) else cond
         v = self.latest_version() + 1
-        live = self._live()
-        touched, paths = self._touched(live, cond, key_range)
-        if not paths:
-            return self._commit(v, "DELETE", {"predicate": str(cond), "readVersion": v - 1},
-                                {"numDeletedRows": 0, "numCopiedRows": 0, "numRemovedFiles": 0,
-                                 "numAddedFiles": 0}, None, None)
-        kept = self.spark.read.parquet(*paths).filter(~F.coalesce(cond, F.lit(False)))
-        adds = self._write_files(kept, v)
-        a = adds.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
-        r = touched.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
-        metrics = {"numDeletedRows": r[1] - a[1], "numCopiedRows": a[1], "numRemovedFiles": r[0],
-                   "numAddedFiles": a[0]}
+        touched = self._touched(cond, key_range)
+        adds = []
+        if touched:
+            kept = self.spark.read.parquet(*[f["file"] for f in touched]).filter(~F.coalesce(cond, F.lit(False)))
+            adds = self._write_files(kept, v)
+        metrics = {"numDeletedRows": sum(f["matched"] for f in touched), "numCopiedRows": sum(f["rows"] for f in adds),
+                   "numRemovedFiles": len(touched), "numAddedFiles": len(adds)}
         return self._commit(v, "DELETE", {"predicate": str(cond), "readVersion": v - 1}, metrics, adds, touched)
 
     def update(self, cond: Column | str, assignments: Mapping[str, Column | str],
@@ -185,33 +189,30 @@ class VersionedTable:
         cond = F.expr(cond) if isinstance(cond, str) else cond
         sets = {k: (F.expr(e) if isinstance(e, str) else e) for k, e in assignments.items()}
         v = self.latest_version() + 1
-        live = self._live()
-        touched, paths = self._touched(live, cond, key_range)
-        hit = F.coalesce(cond, F.lit(False))
-        if not paths:
-            return self._commit(v, "UPDATE", {"predicate": str(cond), "readVersion": v - 1},
-                                {"numUpdatedRows": 0, "numCopiedRows": 0}, None, None)
-        old = self.spark.read.parquet(*paths)
-        n_upd = old.agg(F.count_if(hit)).first()[0]
-        new = old.select(*[(F.when(hit, sets[c]).otherwise(F.col(c)).cast(old.schema[c].dataType).alias(c))
-                           if c in sets else F.col(c) for c in old.columns])
-        adds = self._write_files(new, v)
-        a = adds.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
-        metrics = {"numUpdatedRows": n_upd, "numCopiedRows": a[1] - n_upd, "numRemovedFiles": len(paths),
-                   "numAddedFiles": a[0]}
+        touched = self._touched(cond, key_range)
+        adds = []
+        if touched:
+            hit = F.coalesce(cond, F.lit(False))
+            old = self.spark.read.parquet(*[f["file"] for f in touched])
+            new = old.select(*[(F.when(hit, sets[c]).otherwise(F.col(c)).cast(old.schema[c].dataType).alias(c))
+                               if c in sets else F.col(c) for c in old.columns])
+            adds = self._write_files(new, v)
+        n_upd = sum(f["matched"] for f in touched)
+        metrics = {"numUpdatedRows": n_upd, "numCopiedRows": sum(f["rows"] for f in adds) - n_upd,
+                   "numRemovedFiles": len(touched), "numAddedFiles": len(adds)}
         return self._commit(v, "UPDATE", {"predicate": str(cond), "readVersion": v - 1}, metrics, adds, touched)
 
     def restore(self, version: int) -> int:
-        """V9: make the live files equal to those of `version`, as a new commit."""
+        """V9: make the live files equal to those of `version`, as a new commit (history kept)."""
         v = self.latest_version() + 1
-        now_live, then_live = self._live(), self._live(version)
-        adds = then_live.join(now_live.select("file"), "file", "left_anti")
-        removes = now_live.join(then_live.select("file"), "file", "left_anti")
-        a = adds.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
-        r = removes.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
+        now_live = {f["file"]: f for f in self._live_rows()}
+        then_live = {f["file"]: f for f in self._live_rows(version)}
+        adds = [f for k, f in then_live.items() if k not in now_live]
+        removes = [f for k, f in now_live.items() if k not in then_live]
         return self._commit(v, "RESTORE", {"version": version, "readVersion": v - 1},
-                            {"numRestoredFiles": a[0], "numRemovedFiles": r[0],
-                             "restoredFilesSize": a[1], "removedFilesSize": r[1]}, adds, removes)
+                            {"numRestoredFiles": len(adds), "numRemovedFiles": len(removes),
+                             "restoredFilesSize": sum(f["bytes"] for f in adds),
+                             "removedFilesSize": sum(f["bytes"] for f in removes)}, adds, removes)
 
     def compact(self, target_bytes: int = 128 * 1024 * 1024, min_files: int = 2) -> int:
         """Rewrite the small live files into about total/target files; same rows.
@@ -220,19 +221,17 @@ class VersionedTable:
         rewritten again.  `data_change=false`: readers of any version see the same rows.
         """
         v = self.latest_version() + 1
-        small = self._live().filter(F.col("bytes") < target_bytes)
-        s = small.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
-        if s[0] < min_files:
-            return self._commit(v, "OPTIMIZE", {"targetBytes": target_bytes, "readVersion": v - 1},
-                                {"numRemovedFiles": 0, "numAddedFiles": 0}, None, None, data_change=False)
-        n_out = max(1, -(-int(s[1]) // target_bytes))
-        paths = self._paths(small)
-        rows = self.spark.read.parquet(*paths)
+        small = [f for f in self._live_rows() if f["bytes"] < target_bytes]
+        params = {"targetBytes": target_bytes, "readVersion": v - 1}
+        if len(small) < min_files:
+            return self._commit(v, "OPTIMIZE", params, {"numRemovedFiles": 0, "numAddedFiles": 0}, [], [],
+                                data_change=False)
+        n_out = max(1, -(-sum(f["bytes"] for f in small) // target_bytes))
+        rows = self.spark.read.parquet(*[f["file"] for f in small])
         rows = rows.repartitionByRange(n_out, self.key) if n_out > 1 else rows.coalesce(1)
         adds = self._write_files(rows, v)
-        a = adds.agg(F.count(F.lit(1))).first()
-        return self._commit(v, "OPTIMIZE", {"targetBytes": target_bytes, "readVersion": v - 1},
-                            {"numRemovedFiles": s[0], "numAddedFiles": a[0]}, adds, small, data_change=False)
+        return self._commit(v, "OPTIMIZE", params, {"numRemovedFiles": len(small), "numAddedFiles": len(adds)},
+                            adds, small, data_change=False)
 
     # ----------------------------------------------------------------- reading
     def version_at(self, timestamp) -> int:
@@ -257,11 +256,22 @@ class VersionedTable:
             df = df.filter(F.col(self.key).between(*key_range))
         return df
 
+    def _read_files(self, live: DataFrame) -> DataFrame:
+        paths = self._paths(live)
+        return self.spark.read.parquet(*paths) if paths else self.spark.createDataFrame([], self._schema())
+
     def diff(self, a: int, b: int) -> DataFrame:
-        """V8: rows of version a missing from b ('removed') and rows of b missing from a ('added')."""
-        va, vb = self.read(a), self.read(b)
-        return (va.exceptAll(vb).withColumn("_change", F.lit("removed"))
-                .unionByName(vb.exceptAll(va).withColumn("_change", F.lit("added"))))
+        """V8: rows of version a missing from b ('removed') and rows of b missing from a ('added').
+
+        Files live in both versions hold the same rows and cancel out, so only the files
+        that differ between the two versions are read and compared (a delete that touched
+        one file of a thousand compares that one file with its rewrite).
+        """
+        la, lb = self._live(a), self._live(b)
+        only_a = self._read_files(la.join(lb.select("file"), "file", "left_anti"))
+        only_b = self._read_files(lb.join(la.select("file"), "file", "left_anti"))
+        return (only_a.exceptAll(only_b).withColumn("_change", F.lit("removed"))
+                .unionByName(only_b.exceptAll(only_a).withColumn("_change", F.lit("added"))))
 
     def history(self) -> DataFrame:
         """V5: one row per version, newest first."""
