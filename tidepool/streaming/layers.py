@@ -87,16 +87,25 @@ def gold(silver_stream: DataFrame, window: str = GOLD_WINDOW, delay: str = GOLD_
 
 
 def drain(df: DataFrame, sink_dir: str, checkpoint_dir: str, name: str, output_mode: str = "append",
-          fmt: str = "parquet") -> list[dict]:
+          fmt: str = "parquet", state_partitions: int | None = None) -> list[dict]:
     """One availableNow run into a folder; resumes from the checkpoint if it exists.
 
     Returns the run's progress records (one per micro-batch, as dicts).  T15: Spark itself
     refuses an aggregation in append mode without a watermark when the query starts.
+    `state_partitions` sets the shuffle (state store) partitions of a stateful query; Spark
+    records the number in the checkpoint at the first start and keeps it from then on.
     """
-    q = (df.writeStream.format(fmt).outputMode(output_mode).queryName(name)
-         .option("checkpointLocation", checkpoint_dir).option("path", sink_dir)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    spark = df.sparkSession
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = (df.writeStream.format(fmt).outputMode(output_mode).queryName(name)
+             .option("checkpointLocation", checkpoint_dir).option("path", sink_dir)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
     if q.exception() is not None:
         raise RuntimeError(f"stream {name} failed: {q.exception()}")
     return [progress_dict(p) for p in q.recentProgress]

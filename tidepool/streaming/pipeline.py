@@ -26,6 +26,16 @@ from tidepool.streaming import layers as L
 from tidepool.streaming.replay import LATE_MOD, N_DELIVERIES, land, plan_deliveries
 
 MAX_BROADCAST_DELIVERIES = 100_000
+ROWS_PER_STATE_PARTITION = 1_000_000
+
+
+def state_partitions_for(spark: SparkSession, rows_per_batch: int) -> int:
+    """State store partitions for a stateful stream: about ROWS_PER_STATE_PARTITION input
+    rows per partition per micro-batch, at least 2, at most the session's shuffle
+    partitions.  Streaming has no adaptive coalescing and the number is fixed at the first
+    start, so it is sized from the expected volume instead."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, min(most, -(-rows_per_batch // ROWS_PER_STATE_PARTITION)))
 
 
 @dataclass
@@ -46,7 +56,8 @@ class MedallionRun:
 
 def run_medallion(spark: SparkSession, events: DataFrame, root: str | None = None, n_deliveries: int = N_DELIVERIES,
                   late_mod: int = LATE_MOD, redeliver: int | None = 1, window: str = L.GOLD_WINDOW,
-                  delay: str = L.GOLD_DELAY, key: str = L.GOLD_KEY) -> MedallionRun:
+                  delay: str = L.GOLD_DELAY, key: str = L.GOLD_KEY,
+                  state_partitions: int | None = None) -> MedallionRun:
     """Replay `events` as deliveries and drain bronze, silver and gold once per delivery.
 
     With `redeliver=b`, delivery b lands a second time under new file names right after
@@ -60,6 +71,9 @@ def run_medallion(spark: SparkSession, events: DataFrame, root: str | None = Non
     plan_dir = f"{root}/replay"
     plan_deliveries(events, n_deliveries, late_mod).write.partitionBy("delivery").parquet(plan_dir)
     planned = spark.read.parquet(plan_dir)
+    if state_partitions is None:
+        biggest = planned.groupBy("delivery").count().agg(F.max("count")).first()[0] or 0
+        state_partitions = state_partitions_for(spark, biggest)
 
     b_stream = L.bronze(spark, run.landing)
     s_stream = L.silver(L.layer_source(spark, run.bronze_dir, b_stream.schema))
@@ -68,7 +82,8 @@ def run_medallion(spark: SparkSession, events: DataFrame, root: str | None = Non
     def drain_all(tag: str) -> None:
         for name, df, out in (("bronze", b_stream, run.bronze_dir), ("silver", s_stream, run.silver_dir),
                               ("gold", g_stream, run.gold_dir)):
-            for p in L.drain(df, out, run.checkpoint(name), f"{name}_{tag}"):
+            parts = state_partitions if name in ("silver", "gold") else None
+            for p in L.drain(df, out, run.checkpoint(name), f"{name}_{tag}", state_partitions=parts):
                 p["layer"] = name
                 run.progress.append(p)
 
@@ -86,12 +101,6 @@ def read_layer(spark: SparkSession, layer_dir: str) -> DataFrame:
     return spark.read.parquet(layer_dir)
 
 
-def _delay_seconds(delay: str) -> int:
-    n, unit = delay.split()
-    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
-    return int(n) * mult
-
-
 def watermarks_by_delivery(silver: DataFrame, delay: str) -> DataFrame:
     """(delivered_ts, wm): the watermark each delivery meets (NULL for the first).
 
