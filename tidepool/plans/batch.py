@@ -188,3 +188,61 @@ def split_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     return o.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("o_orderkey").alias("distinct_keys"),
                  F.min("o_orderkey").alias("min_key"), F.max("o_orderkey").alias("max_key"))
+
+
+# --- single-operator views (D3, O3, O5, P2-P6, P9, P10, F7) -------------------------------
+
+def file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3: rows, min and max key per file of the given `lineitem` table."""
+    from tidepool.operators.layout import file_stats as fs
+
+    return fs(read_table(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
+def newest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest 20 events (a top-k report; the limit is the feature)."""
+    from tidepool.operators.order import newest
+
+    return newest(read_table(spark, sf_dir, "events"), "ts", 20, tie="event_id").select("event_id", "ts", "event_type")
+
+
+def shuffled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3: all orders in a seeded random order (the same rows, a different order)."""
+    from tidepool.operators.order import shuffle_rows
+
+    return shuffle_rows(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), seed=42)
+
+
+def cast_rename_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A typed, renamed seven-column projection of `lineitem`."""
+    from tidepool.operators.projection import cast_rename
+
+    li = read_table(spark, sf_dir, "lineitem")
+    out = cast_rename(li, [("l_shipdate", "timestamp_ntz", "ship_ts"), ("l_quantity", "int", "quantity"),
+                           ("l_extendedprice", "double", "price"), ("l_discount", "double", "discount"),
+                           ("l_tax", "double", "tax"), ("l_returnflag", "string", "flag"),
+                           ("l_orderkey", "bigint", "order_key")])
+    return out.withColumnRenamed("flag", "return_flag").drop("tax")
+
+
+def discount_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A computed ratio column, NULL where the denominator is 0 (ANSI-safe)."""
+    from tidepool.operators.projection import with_ratio
+
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", "l_tax")
+    return with_ratio(li, "discount_per_tax", "l_discount", "l_tax")
+
+
+def size_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conditional labels with NULL-aware predicates, counted."""
+    li = read_table(spark, sf_dir, "lineitem")
+    cls = (F.when(F.col("l_quantity").isNull(), "unknown")
+           .when((F.col("l_quantity") > 25) & ~(F.col("l_returnflag") == "R"), "large")
+           .otherwise("small"))
+    return li.groupBy(cls.alias("size_class")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def props_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON text parsed to a struct, then expanded with `r.*`."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k int").alias("r"))
+    return ev.select("event_id", "r.*")

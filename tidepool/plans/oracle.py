@@ -95,3 +95,26 @@ SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS distinct_keys, min(o_orde
        max(o_orderkey) AS max_key FROM orders
 """,
 }
+
+BATCH_SQL.update({
+    "file_stats": """
+SELECT 'lineitem.parquet' AS file_name, count(*) AS rows, min(l_orderkey) AS min_key, max(l_orderkey) AS max_key
+FROM lineitem
+""",
+    "newest_events": "SELECT event_id, ts, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 20",
+    "shuffled_orders": "SELECT o_orderkey, o_totalprice FROM orders",
+    "cast_rename_lineitem": """
+SELECT l_shipdate AS ship_ts, CAST(l_quantity AS INTEGER) AS quantity, l_extendedprice AS price,
+       l_discount AS discount, l_returnflag AS return_flag, l_orderkey AS order_key FROM lineitem
+""",
+    "discount_ratio": """
+SELECT l_orderkey, l_linenumber, l_discount, l_tax,
+       CASE WHEN l_tax = 0 THEN NULL ELSE l_discount / l_tax END AS discount_per_tax FROM lineitem
+""",
+    "size_classes": """
+SELECT CASE WHEN l_quantity IS NULL THEN 'unknown'
+            WHEN l_quantity > 25 AND NOT (l_returnflag = 'R') THEN 'large' ELSE 'small' END AS size_class,
+       count(*) AS n FROM lineitem GROUP BY 1
+""",
+    "props_struct": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
+})

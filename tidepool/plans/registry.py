@@ -42,6 +42,13 @@ def queries() -> dict[str, Query]:
         "key_balance": B.key_balance,
         "conform_schema": B.conform_schema,
         "split_totals": B.split_totals,
+        "file_stats": B.file_stats,
+        "newest_events": B.newest_events,
+        "shuffled_orders": B.shuffled_orders,
+        "cast_rename_lineitem": B.cast_rename_lineitem,
+        "discount_ratio": B.discount_ratio,
+        "size_classes": B.size_classes,
+        "props_struct": B.props_struct,
         "partition_totals": LY.partition_totals,
         "dir_file_stats": LY.dir_file_stats,
         "cross_database_join": LY.cross_database_join,
@@ -58,6 +65,7 @@ def queries() -> dict[str, Query]:
         "window_reconciliation": S.window_reconciliation,
         "lag_percentiles": S.lag_percentiles,
         "event_vs_processing_time": S.event_vs_processing_time,
+        "lag_alert": S.lag_alert,
         "unknown_fields": D.unknown_fields,
         "rescued": D.rescued,
         "bad_values": D.bad_values,

@@ -67,6 +67,14 @@ def lag_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
                              ["p50", "p95", "p99"], digits=3)
 
 
+def lag_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9: ticket per event type when the p99 ingestion lag exceeds 80 % of the watermark delay."""
+    from tidepool.monitor.metrics import lag_alert as alert
+
+    delay_s = int(GOLD_DELAY.split()[0]) * 60
+    return alert(lag_percentiles(spark, sf_dir).select("event_type", "p99"), delay_s)
+
+
 def event_vs_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings per day by event time and by delivery (processing) time."""
     s = P.read_layer(spark, medallion(spark, sf_dir).silver_dir)
@@ -142,6 +150,12 @@ l AS (SELECT event_type, CAST(floor((epoch_us(delivered_at) - epoch_us(ts)) / 10
 SELECT event_type, count(*) AS n, round(quantile_cont(lag_s, 0.5), 3) AS p50, round(quantile_cont(lag_s, 0.95), 3) AS p95,
        round(quantile_cont(lag_s, 0.99), 3) AS p99
 FROM l GROUP BY 1
+""",
+    "lag_alert": f"""WITH {_REPLAY},
+l AS (SELECT event_type, CAST(floor((epoch_us(delivered_at) - epoch_us(ts)) / 1000000) AS BIGINT) AS lag_s FROM r)
+SELECT event_type, round(quantile_cont(lag_s, 0.99), 3) AS p99,
+       round(quantile_cont(lag_s, 0.99), 3) > 0.8 * {int(GOLD_DELAY.split()[0]) * 60} AS ticket
+FROM l GROUP BY 1
 """,
     "event_vs_processing_time": f"""WITH {_REPLAY},
 e AS (SELECT date_trunc('day', ts) AS day, count(*) AS by_event_time FROM r GROUP BY 1),
