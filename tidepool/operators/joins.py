@@ -71,10 +71,12 @@ def hot_keys(df: DataFrame, key: str, max_hot_keys: int = 1000, rows_per_salt: i
     it is materialised on the driver (<= max_hot_keys rows) so the big side is not
     scanned again each time the table is used.
     """
+    # The row count needs no column (Parquet answers it from footers); the sample's expected
+    # size sets the threshold, so the sample is aggregated once.
+    expected = df.count() * sample_fraction
+    threshold = max(1, math.ceil(expected / max_hot_keys))
     sample = df.select(key).sample(fraction=sample_fraction, seed=seed)
     counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    threshold = max(1, math.ceil(total / max_hot_keys))
     est_rows = F.col("_n") / F.lit(sample_fraction)
     salts = F.least(F.lit(max_salts), F.greatest(F.lit(2), F.ceil(est_rows / rows_per_salt))).cast("int")
     hot = (counts.filter(F.col("_n") >= threshold).select(key, salts.alias("_salts"))
@@ -131,7 +133,7 @@ def key_lookup(spark: SparkSession, n_keys: int = 100, key: str = "join_key", pr
 def skew_report(df: DataFrame, key: str, top: int | None = None) -> DataFrame:
     """Rows per key, hottest first, with the key's share of all rows."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    total = counts.agg(F.sum("rows")).first()[0] or 0
+    total = df.count()  # no column read: row counts from the file footers
     out = (counts.withColumn("share", F.round(F.try_divide(F.col("rows"), F.lit(total)), 6))
            .orderBy(F.desc("rows"), F.asc(key)))
     return out.limit(top) if top else out
