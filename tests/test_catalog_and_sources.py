@@ -103,3 +103,34 @@ def test_bench_helpers_and_job_names(spark):
     assert sweep.count() == 2 and spark.sparkContext.getLocalProperty("spark.job.description") is None
     assert aqe_compare(spark, build).count() == 2
     assert schema_string(build()) == "struct<o_orderstatus:string,count:bigint>"
+
+
+def test_scalar_helpers(spark):
+    from tidepool.functions import scalar as X
+
+    df = spark.createDataFrame([(float("nan"), None, "abcdef123456", "2024-01-01T00:00:00.000Z", "file:/a/b/part-00003-uuid-c000.snappy.parquet"),
+                                (1.5, "q", "zz", "1970-01-01T00:00:00.000Z", "x/y")],
+                               "x double, name string, id string, wm string, path string")
+    r = df.select(X.nan_to_null("x").alias("x"), X.label_or_id("name", "id").alias("label"),
+                  X.real_watermark("wm").alias("wm"), X.last_path_segment("path").alias("file"),
+                  X.short_file_label("path").alias("short"), X.safe_ratio(F.lit(1.0), F.lit(0.0)).alias("ratio"),
+                  X.parse_ts(F.lit("not-a-time")).alias("bad")).collect()
+    assert r[0]["x"] is None and r[0]["label"] == "unnamed-abcdef12" and r[0]["wm"] is not None
+    assert r[0]["file"] == "part-00003-uuid-c000.snappy.parquet" and r[0]["short"] == "part-00003"
+    assert r[0]["ratio"] is None and r[0]["bad"] is None
+    assert r[1]["x"] == 1.5 and r[1]["label"] == "q" and r[1]["wm"] is None
+
+
+def test_avro_is_gated(spark, scratch):
+    import pytest
+
+    with pytest.raises(RuntimeError, match="Avro"):
+        S.read_avro(spark, scratch).count()
+
+
+def test_publish_lines_is_atomic(scratch):
+    from tidepool.streaming.replay import publish_lines
+
+    path = publish_lines(f"{scratch}/land", "a.json", ['{"x": 1}'])
+    assert os.path.basename(path) == "a.json"
+    assert sorted(os.listdir(f"{scratch}/land")) == ["a.json"]

@@ -104,3 +104,13 @@ def test_compact_and_vacuum(spark):
     assert t.read().count() == 20030  # the readability check reads real rows
     with pytest.raises(Exception):
         t.read(0).count()  # files of version 0 are gone
+
+
+def test_files_and_commit_actions(table):
+    files = table.files()
+    live = files.filter("live").agg(F.count(F.lit(1)), F.sum("rows")).first()
+    assert live[1] == 20000  # after the restore: version 0's three files
+    assert files.count() > live[0]  # rewritten and appended files are still on disk
+    delete = table.commit_actions(2)
+    kinds = {r["action"]: r["n"] for r in delete.groupBy("action").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert kinds == {"commit": 1, "add": 1, "remove": 1}

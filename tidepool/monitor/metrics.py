@@ -10,7 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.functions.scalar import real_watermark
+from tidepool.functions.scalar import label_or_id, real_watermark
+
+
+def labelled(progress: DataFrame) -> DataFrame:
+    """every row gets a query label: its name, or `unnamed-<first 8 of id>`."""
+    return progress.withColumn("query_name", label_or_id("query_name", "query_id"))
 
 
 def totals(progress: DataFrame) -> DataFrame:

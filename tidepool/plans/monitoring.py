@@ -25,7 +25,7 @@ from tidepool.streaming.upsert import run_upsert
 def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1: one metrics row per micro-batch of the pipeline; query name = layer."""
     run = medallion(spark, sf_dir)
-    p = progress_rows(spark, run.progress)
+    p = M.labelled(progress_rows(spark, run.progress))
     return p.withColumn("query_name", F.regexp_extract("query_name", r"^([a-z]+)_", 1))
 
 

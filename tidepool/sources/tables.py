@@ -43,6 +43,21 @@ def read_csv(spark: SparkSession, path: str, header: bool = True, schema: str |
     return r.option("inferSchema", infer).csv(path)
 
 
+def read_avro(spark: SparkSession, path: str) -> DataFrame:
+    """Avro files, when the Avro data source is on the classpath.
+
+    This environment has no Avro package; the call fails with a clear message instead of
+    Spark's generic "data source not found".
+    """
+    try:
+        return spark.read.format("avro").load(path)
+    except Exception as e:  # noqa: BLE001
+        if "avro" in str(e).lower() and ("not find" in str(e).lower() or "failed to find" in str(e).lower()):
+            raise RuntimeError("the Avro data source is not installed; add the spark-avro package "
+                               "or convert the files to Parquet") from e
+        raise
+
+
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
     """JSON lines, inferred (S10) or with a fixed schema."""
     r = spark.read

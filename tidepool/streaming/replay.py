@@ -58,3 +58,19 @@ def land(planned: DataFrame, landing_dir: str, delivery: int) -> None:
     """Write one delivery's readings as JSON lines into the landing folder (append)."""
     (as_landing_rows(planned.filter(F.col("delivery") == delivery))
      .write.mode("append").json(landing_dir))
+
+
+def publish_lines(folder: str, name: str, lines: list[str]) -> str:
+    """Publish one small local fixture file atomically: write it under a hidden name
+    (file sources skip names starting with '.' or '_'), then rename it into place, so a
+    stream never lists a half-written file.  Spark's own writers get the same guarantee
+    from their commit protocol."""
+    import os
+
+    os.makedirs(folder, exist_ok=True)
+    tmp = os.path.join(folder, f".{name}.tmp")
+    with open(tmp, "w") as f:
+        f.writelines(line if line.endswith("\n") else line + "\n" for line in lines)
+    final = os.path.join(folder, name)
+    os.replace(tmp, final)
+    return final
