@@ -104,11 +104,21 @@ def read_layer(spark: SparkSession, layer_dir: str) -> DataFrame:
 def watermarks_by_delivery(silver: DataFrame, delay: str) -> DataFrame:
     """(delivered_ts, wm): the watermark each delivery meets (NULL for the first).
 
-    One row per delivery: the cumulative max runs over that small table only.
+    wm(d) = max event time over all earlier deliveries - delay: a running max, computed
+    in two levels so no task holds every delivery: within each day (window partitioned by
+    day), and across days over a table of one row per day (its size follows the time span,
+    not the data).
     """
-    per = silver.groupBy("delivered_ts").agg(F.max("event_ts").alias("_mx"))
-    w = Window.orderBy("delivered_ts").rowsBetween(Window.unboundedPreceding, -1)
-    return per.select("delivered_ts", (F.max("_mx").over(w) - F.expr(f"INTERVAL {delay}")).alias("wm"))
+    per = (silver.groupBy("delivered_ts").agg(F.max("event_ts").alias("_mx"))
+           .withColumn("_day", F.date_trunc("day", "delivered_ts")))
+    within = Window.partitionBy("_day").orderBy("delivered_ts").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("_prev_same_day", F.max("_mx").over(within))
+    days = per.groupBy("_day").agg(F.max("_mx").alias("_day_mx"))
+    across = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("_day", F.max("_day_mx").over(across).alias("_prev_days"))
+    j = per.join(maybe_broadcast(days, MAX_BROADCAST_DELIVERIES), "_day", "left")
+    prev = F.greatest("_prev_same_day", "_prev_days")  # NULLs are skipped; both NULL -> NULL
+    return j.select("delivered_ts", (prev - F.expr(f"INTERVAL {delay}")).alias("wm"))
 
 
 def classify_rows(silver: DataFrame, window: str, delay: str) -> DataFrame:
