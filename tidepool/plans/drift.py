@@ -7,6 +7,7 @@ them into their own folder.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,19 +26,21 @@ class DriftRun:
     rescue_dir: str
 
 
+_lock = threading.RLock()  # one build per session and input, even with concurrent callers
 _runs: dict[tuple[str, str], DriftRun] = {}
 
 
 def drift_run(spark: SparkSession, sf_dir: str) -> DriftRun:
-    k = (spark.sparkContext.applicationId, sf_dir)
-    if k not in _runs:
-        root = work_dir(spark, "drift")
-        run = DriftRun(f"{root}/landing", f"{root}/none", f"{root}/rescue")
-        D.land_lines(D.drift_lines(read_table(spark, sf_dir, "events")), run.landing)
-        drain(D.policy_none(spark, run.landing), run.none_dir, f"{root}/_checkpoints/none", "drift_none")
-        drain(D.policy_rescue(spark, run.landing), run.rescue_dir, f"{root}/_checkpoints/rescue", "drift_rescue")
-        _runs[k] = run
-    return _runs[k]
+    with _lock:
+        k = (spark.sparkContext.applicationId, sf_dir)
+        if k not in _runs:
+            root = work_dir(spark, "drift")
+            run = DriftRun(f"{root}/landing", f"{root}/none", f"{root}/rescue")
+            D.land_lines(D.drift_lines(read_table(spark, sf_dir, "events")), run.landing)
+            drain(D.policy_none(spark, run.landing), run.none_dir, f"{root}/_checkpoints/none", "drift_none")
+            drain(D.policy_rescue(spark, run.landing), run.rescue_dir, f"{root}/_checkpoints/rescue", "drift_rescue")
+            _runs[k] = run
+        return _runs[k]
 
 
 def unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:

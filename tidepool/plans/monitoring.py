@@ -6,6 +6,8 @@ its progress records become the metrics table (M1), its checkpoints are read bac
 
 from __future__ import annotations
 
+import threading
+
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +80,7 @@ def state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("key.event_type").alias("event_type"))
 
 
+_lock = threading.RLock()  # one build per session and input, even with concurrent callers
 _upserts: dict[tuple[str, str], str] = {}
 
 
@@ -85,17 +88,18 @@ def upsert_not_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pipeline's landing folder (one delivery redelivered) upserted by event id,
     then the whole landing replayed once more through a fresh checkpoint: nothing doubles."""
     k = (spark.sparkContext.applicationId, sf_dir)
-    if k not in _upserts:
-        run = medallion(spark, sf_dir)
-        root = work_dir(spark, "upsert")
-        target = f"{root}/target"
-        for attempt in ("first", "replay"):
-            src = (spark.readStream.format("json").schema(READINGS_SCHEMA).option("maxFilesPerTrigger", 2)
-                   .load(run.landing))
-            typed = L.silver_columns(src)
-            run_upsert(typed, target, f"{root}/_checkpoints/{attempt}", ["event_id"], "event_ts",
-                       name=f"upsert_{attempt}")
-        _upserts[k] = target
+    with _lock:
+        if k not in _upserts:
+            run = medallion(spark, sf_dir)
+            root = work_dir(spark, "upsert")
+            target = f"{root}/target"
+            for attempt in ("first", "replay"):
+                src = (spark.readStream.format("json").schema(READINGS_SCHEMA).option("maxFilesPerTrigger", 2)
+                       .load(run.landing))
+                typed = L.silver_columns(src)
+                run_upsert(typed, target, f"{root}/_checkpoints/{attempt}", ["event_id"], "event_ts",
+                           name=f"upsert_{attempt}")
+            _upserts[k] = target
     t = spark.read.parquet(_upserts[k])
     return t.select("event_id", "user_id", "event_type", to_ntz("event_ts").alias("event_ts"), "value")
 

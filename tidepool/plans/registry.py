@@ -13,10 +13,21 @@ from tidepool.plans import monitoring as M
 from tidepool.plans import streams as S
 from tidepool.plans import versioned as V
 from tidepool.plans.oracle import BATCH_SQL
+from tidepool.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _prepared(fn: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "hourly_summary": B.hourly_summary,
@@ -80,7 +91,7 @@ def queries() -> dict[str, Query]:
         "freshness": M.freshness,
         "checkpoint_log": M.checkpoint_log,
     }
-    return q
+    return {k: _prepared(v) for k, v in q.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,6 +6,8 @@ per session and input folder; each query reads one of its layers back as a table
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,14 +19,16 @@ from tidepool.streaming.layers import GOLD_DELAY, GOLD_WINDOW
 from tidepool.streaming.replay import LATE_MOD, N_DELIVERIES
 
 REDELIVERED = 1
+_lock = threading.RLock()  # one build per session and input, even with concurrent callers
 _runs: dict[tuple[str, str], P.MedallionRun] = {}
 
 
 def medallion(spark: SparkSession, sf_dir: str) -> P.MedallionRun:
-    k = (spark.sparkContext.applicationId, sf_dir)
-    if k not in _runs:
-        _runs[k] = P.run_medallion(spark, read_events(spark, sf_dir), redeliver=REDELIVERED)
-    return _runs[k]
+    with _lock:
+        k = (spark.sparkContext.applicationId, sf_dir)
+        if k not in _runs:
+            _runs[k] = P.run_medallion(spark, read_events(spark, sf_dir), redeliver=REDELIVERED)
+        return _runs[k]
 
 
 def bronze_resume(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,8 @@ The version chain, built once per session and input folder:
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ UPDATE_SET = {"c_name": "concat('vip_', c_name)"}
 SKIP_RANGE = (1000, 4999)
 OPERATIONS = ["CREATE", "WRITE", "DELETE", "UPDATE", "RESTORE", "OPTIMIZE"]
 
+_lock = threading.RLock()  # one build per session and input, even with concurrent callers
 _chains: dict[tuple[str, str], VersionedTable] = {}
 
 
@@ -37,20 +40,21 @@ def suppliers_as_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_chain(spark: SparkSession, sf_dir: str) -> VersionedTable:
-    k = (spark.sparkContext.applicationId, sf_dir)
-    if k in _chains:
-        return _chains[k]
-    t = VersionedTable(spark, new_table_root(spark, "customer-versions"), "c_custkey")
-    cust = read_table(spark, sf_dir, "customer")
-    # Three key-range files at small scale; about ROWS_PER_FILE rows per file beyond that.
-    t.create(cust, files=max(3, -(-cust.count() // ROWS_PER_FILE)))
-    t.append(suppliers_as_customers(spark, sf_dir))
-    t.delete(DELETE_PREDICATE)
-    t.update(UPDATE_PREDICATE, UPDATE_SET)
-    t.restore(0)
-    t.compact()
-    _chains[k] = t
-    return t
+    with _lock:
+        k = (spark.sparkContext.applicationId, sf_dir)
+        if k in _chains:
+            return _chains[k]
+        t = VersionedTable(spark, new_table_root(spark, "customer-versions"), "c_custkey")
+        cust = read_table(spark, sf_dir, "customer")
+        # Three key-range files at small scale; about ROWS_PER_FILE rows per file beyond that.
+        t.create(cust, files=max(3, -(-cust.count() // ROWS_PER_FILE)))
+        t.append(suppliers_as_customers(spark, sf_dir))
+        t.delete(DELETE_PREDICATE)
+        t.update(UPDATE_PREDICATE, UPDATE_SET)
+        t.restore(0)
+        t.compact()
+        _chains[k] = t
+        return t
 
 
 def version_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

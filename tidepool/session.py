@@ -42,6 +42,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings every job here relies on, applied to a session built elsewhere: UTC session
+    time (event times are stored without a zone) and a checkpoint folder."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only where none is set."""
     d = spark.conf.get("spark.checkpoint.dir", None)
