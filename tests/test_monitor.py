@@ -103,12 +103,7 @@ def test_listener_persists_rows(spark, scratch):
              .option("path", f"{scratch}/out").option("checkpointLocation", f"{scratch}/ck")
              .queryName("listened").trigger(availableNow=True).start())
         q.awaitTermination()
-        import time
-
-        for _ in range(50):  # callbacks arrive asynchronously
-            if listener.rows():
-                break
-            time.sleep(0.2)
+        listener.settle()  # callbacks arrive asynchronously
     finally:
         detach(spark, listener)
     assert listener.flush(spark) >= 1

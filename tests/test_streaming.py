@@ -212,3 +212,18 @@ def test_json_drift_detects_new_field(spark, scratch):
     from tidepool.sources.tables import json_drift
 
     assert json_drift(spark, landing, D.DRIFT_SCHEMA) == ["battery_pct"]
+
+
+def test_live_pipeline_with_listener(spark, scratch):
+    run = P.run_live(spark, read_events(spark, SF001), root=f"{scratch}/live", trigger="500 milliseconds",
+                     metrics_dir=f"{scratch}/metrics")
+    silver = P.read_layer(spark, run.silver_dir)
+    assert silver.count() == silver.select("event_id").distinct().count() == 1000
+    bronze = P.read_layer(spark, run.bronze_dir)
+    assert bronze.count() > 1000  # the redelivered copy is kept in bronze
+    m = spark.read.parquet(f"{scratch}/metrics")
+    names = {r[0].split("_live_")[0] for r in m.select("query_name").distinct().collect()}
+    assert names == {"bronze", "silver", "gold"}
+    per = {r[0].split("_live_")[0]: r[1] for r in m.groupBy("query_name").agg(F.sum("num_input_rows")).collect()}
+    assert per["bronze"] == bronze.count() and per["gold"] == 1000
+    assert not [q for q in spark.streams.active if "_live_" in (q.name or "")]

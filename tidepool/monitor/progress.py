@@ -119,6 +119,21 @@ class MetricsListener(StreamingQueryListener):
         except Exception:  # noqa: BLE001
             pass
 
+    def settle(self, quiet_seconds: float = 0.5, timeout: float = 10.0) -> None:
+        """Wait until no new progress event has arrived for `quiet_seconds` (callbacks are
+        delivered asynchronously, after the batch that produced them)."""
+        import time
+
+        deadline = time.time() + timeout
+        seen = -1
+        while time.time() < deadline:
+            with self._lock:
+                n = len(self._rows)
+            if n == seen:
+                return
+            seen = n
+            time.sleep(quiet_seconds)
+
     def rows(self) -> list[tuple]:
         with self._lock:
             return list(self._rows)
