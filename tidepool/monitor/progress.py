@@ -119,9 +119,10 @@ class MetricsListener(StreamingQueryListener):
         except Exception:  # noqa: BLE001
             pass
 
-    def settle(self, quiet_seconds: float = 0.5, timeout: float = 10.0) -> None:
-        """Wait until no new progress event has arrived for `quiet_seconds` (callbacks are
-        delivered asynchronously, after the batch that produced them)."""
+    def settle(self, min_rows: int = 1, quiet_seconds: float = 0.5, timeout: float = 15.0) -> None:
+        """Wait until at least `min_rows` rows are buffered and no new progress event has
+        arrived for `quiet_seconds` (callbacks are delivered asynchronously, after the batch
+        that produced them)."""
         import time
 
         deadline = time.time() + timeout
@@ -129,7 +130,7 @@ class MetricsListener(StreamingQueryListener):
         while time.time() < deadline:
             with self._lock:
                 n = len(self._rows)
-            if n == seen:
+            if n == seen and n >= min_rows:
                 return
             seen = n
             time.sleep(quiet_seconds)
