@@ -114,3 +114,37 @@ def test_files_and_commit_actions(table):
     delete = table.commit_actions(2)
     kinds = {r["action"]: r["n"] for r in delete.groupBy("action").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert kinds == {"commit": 1, "add": 1, "remove": 1}
+
+
+def test_null_predicate_keeps_row_and_orphans_are_ignored(spark):
+    from tidepool.session import work_dir
+
+    t = VersionedTable(spark, work_dir(spark, "edge") + "/t", "id")
+    t.create(spark.createDataFrame([(1, 5.0), (2, None), (3, -1.0)], "id long, bal double"))
+    t.delete("bal < 0")  # NULL < 0 is NULL: row 2 stays
+    assert sorted(r["id"] for r in t.read().collect()) == [1, 2]
+    # A commit that died after writing data but before its manifest: an orphan folder.
+    spark.createDataFrame([(9, 9.0)], "id long, bal double").write.parquet(f"{t.data_dir}/v99-crashed")
+    assert sorted(r["id"] for r in t.read().collect()) == [1, 2]  # readers never see it
+    import os
+
+    crashed = [f for f in os.listdir(f"{t.data_dir}/v99-crashed".replace("file:", "")) if f.endswith(".parquet")]
+    orphans = t.files().filter(~F.col("live") & F.col("rows").isNull())
+    assert orphans.count() == len(crashed) and orphans.filter(~F.col("file").contains("v99-crashed")).count() == 0
+    gone = t.vacuum(retention_hours=0, force=True)
+    assert gone.filter(F.col("file").contains("v99-crashed")).filter("deleted").count() == len(crashed)
+    assert sorted(r["id"] for r in t.read().collect()) == [1, 2]
+
+
+def test_same_version_cannot_commit_twice(spark):
+    from tidepool.session import work_dir
+
+    root = work_dir(spark, "race") + "/t"
+    a = VersionedTable(spark, root, "id")
+    a.create(spark.range(10))
+    b = VersionedTable(spark, root, "id")
+    b.latest_version()  # both writers now believe version 0 is the latest
+    a.append(spark.range(10, 12))
+    with pytest.raises(Exception):
+        b.append(spark.range(12, 14))  # version 1 exists already: the second commit fails
+    assert VersionedTable(spark, root, "id").read().count() == 12

@@ -99,18 +99,26 @@ class VersionedTable:
     def _write_files(self, df: DataFrame, version: int, files: int | None = None) -> list[dict]:
         """Write `df` as new data files; return their stats, one row per file.
 
-        The stats come from reading the new files back (key column and footers only).
+        Every file the write produced is listed (zero-row files included, so the manifest
+        accounts for all of them); rows and key min/max come from reading the new files
+        back (key column and footers only).
         """
+        from tidepool.operators.layout import list_files
+
         folder = f"{self.data_dir}/v{version}-{uuid.uuid4().hex[:8]}"
         out = df.repartition(files) if files else df
         out.write.mode("errorifexists").parquet(folder)
         if self._key_type is None:
             self._key_type = out.schema[self.key].dataType
         back = self.spark.read.parquet(folder)
-        stats = (back.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+        stats = (back.groupBy(F.col("_metadata.file_path").alias("file"))
                  .agg(F.count(F.lit(1)).alias("rows"), F.min(self.key).alias("min_key"),
                       F.max(self.key).alias("max_key")))
-        return [r.asDict() for r in stats.collect()]
+        listed = list_files(self.spark, folder, recursive=False).select(F.col("file_path").alias("file"),
+                                                                         F.col("file_bytes").alias("bytes"))
+        both = listed.join(stats, "file", "left").select(
+            "file", "bytes", F.coalesce("rows", F.lit(0)).alias("rows"), "min_key", "max_key")
+        return [r.asDict() for r in both.collect()]
 
     def _key_type_now(self) -> T.DataType:
         if self._key_type is None:
@@ -156,7 +164,7 @@ class VersionedTable:
         match.  With `key_range`, the manifest's min/max prune candidate files first (V14),
         so only overlapping files are scanned.
         """
-        live = self._live_rows()
+        live = [f for f in self._live_rows() if f["rows"]]  # zero-row files hold nothing to match
         if key_range is not None:
             lo, hi = key_range
             live = [f for f in live if f["max_key"] >= lo and f["min_key"] <= hi]
