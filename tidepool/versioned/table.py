@@ -348,11 +348,15 @@ def _delete_files(batches):
     for pdf in batches:
         done = []
         for f in pdf["file"]:
+            # A retried task finds some files already gone: that counts as deleted, so the
+            # report is the same however often a task runs.
             try:
                 filesystem, path = pafs.FileSystem.from_uri(f if "://" in f else "file://" + f.replace("file:", ""))
                 filesystem.delete_file(path)
                 done.append(True)
-            except (FileNotFoundError, OSError):
+            except FileNotFoundError:
+                done.append(True)
+            except OSError:
                 done.append(False)
         yield pd.DataFrame({"file": pdf["file"], "file_bytes": pdf["file_bytes"], "deleted": done})
 
