@@ -69,3 +69,4 @@ def hot_key(orderkey, hot_share_tenths: int = 9, n_keys: int = 100) -> Column:
     k = _c(orderkey)
     return F.when(F.pmod(k, F.lit(10)) < hot_share_tenths, F.lit(0).cast("long")) \
         .otherwise(F.pmod(k, F.lit(n_keys - 1)) + 1)
+

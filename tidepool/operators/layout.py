@@ -53,13 +53,15 @@ def partition_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
              .join(per_part, "partition_id", "left")
              .select("partition_id", F.coalesce("rows", F.lit(0)).alias("rows"),
                      F.coalesce("files_read", F.array().cast("array<string>")).alias("files_read")))
-    f_tot = files.agg(F.count(F.lit(1)).alias("files"), F.sum("file_bytes").alias("total_bytes"),
-                      F.sum("rows").alias("total_rows"))
-    p_tot = parts.agg(F.count(F.lit(1)).alias("partitions"),
-                      F.count_if(F.col("rows") == 0).alias("empty_partitions"),
-                      F.sum("rows").alias("partition_rows"))
-    # Both sides are single aggregated rows; joining on a constant keeps them one row.
-    totals = f_tot.withColumn("_k", F.lit(1)).join(p_tot.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    # Both halves are small (one row per file, one per task); fold them into one row with
+    # one aggregate over their union rather than a join of two one-row aggregates.
+    u = (files.select(F.lit("f").alias("_s"), F.col("file_bytes").alias("_b"), "rows")
+         .unionByName(parts.select(F.lit("p").alias("_s"), F.lit(None).cast("long").alias("_b"), "rows")))
+    is_f, is_p = F.col("_s") == "f", F.col("_s") == "p"
+    totals = u.agg(F.count_if(is_f).alias("files"), F.coalesce(F.sum(F.when(is_f, F.col("_b"))), F.lit(0)).alias("total_bytes"),
+                   F.coalesce(F.sum(F.when(is_f, F.col("rows"))), F.lit(0)).alias("total_rows"),
+                   F.count_if(is_p).alias("partitions"), F.count_if(is_p & (F.col("rows") == 0)).alias("empty_partitions"),
+                   F.coalesce(F.sum(F.when(is_p, F.col("rows"))), F.lit(0)).alias("partition_rows"))
     return files, parts, totals
 
 

@@ -152,13 +152,19 @@ def accounting(spark: SparkSession, run: MedallionRun) -> DataFrame:
     bronze = read_layer(spark, run.bronze_dir)
     silver = read_layer(spark, run.silver_dir)
     gold = read_layer(spark, run.gold_dir)
-    b = bronze.agg(F.count(F.lit(1)).alias("bronze_rows"))
-    s = classify_rows(silver, run.window, run.delay).agg(
-        F.count(F.lit(1)).alias("silver_rows"), F.count_if("open").alias("open_rows"),
-        F.count_if("late").alias("late_rows"))
-    g = gold.agg(F.coalesce(F.sum("readings"), F.lit(0)).alias("gold_rows"))
-    one = b.withColumn("_k", F.lit(1)).join(s.withColumn("_k", F.lit(1)), "_k").join(g.withColumn("_k", F.lit(1)), "_k")
-    return one.select("bronze_rows", "silver_rows", (F.col("bronze_rows") - F.col("silver_rows")).alias("duplicates"),
+    rows = classify_rows(silver, run.window, run.delay)
+    # One row per layer count, folded into one row by an aggregate: no join needed.
+    parts = (("bronze_rows", bronze.select(F.lit(0).alias("_l"), F.lit(1).alias("_n"))),
+             ("silver_rows", rows.select(F.lit(1).alias("_l"), F.lit(1).alias("_n"))),
+             ("open_rows", rows.select(F.lit(2).alias("_l"), F.col("open").cast("int").alias("_n"))),
+             ("late_rows", rows.select(F.lit(3).alias("_l"), F.col("late").cast("int").alias("_n"))),
+             ("gold_rows", gold.select(F.lit(4).alias("_l"), F.col("readings").alias("_n"))))
+    u = parts[0][1]
+    for _, p in parts[1:]:
+        u = u.unionByName(p)
+    agg = u.agg(*[F.coalesce(F.sum(F.when(F.col("_l") == i, F.col("_n"))), F.lit(0)).cast("long").alias(name)
+                  for i, (name, _) in enumerate(parts)])
+    return agg.select("bronze_rows", "silver_rows", (F.col("bronze_rows") - F.col("silver_rows")).alias("duplicates"),
                       "gold_rows", "open_rows", "late_rows")
 
 
