@@ -227,3 +227,16 @@ def test_live_pipeline_with_listener(spark, scratch):
     per = {r[0].split("_live_")[0]: r[1] for r in m.groupBy("query_name").agg(F.sum("num_input_rows")).collect()}
     assert per["bronze"] == bronze.count() and per["gold"] == 1000
     assert not [q for q in spark.streams.active if "_live_" in (q.name or "")]
+
+
+def test_complete_and_update_modes_span_batches(spark):
+    from tidepool.plans import streams as PS
+
+    complete_dir, update_dir = PS._mode_run(spark, SF001)
+    snaps = spark.read.parquet(complete_dir).select("batch").distinct().count()
+    logs = spark.read.parquet(update_dir).select("batch").distinct().count()
+    assert snaps > 1 and logs > 1
+    # Every snapshot is a whole result: the last one has every key, earlier ones fewer rows.
+    latest = PS.complete_counts(spark, SF001)
+    assert latest.agg(F.sum("n")).first()[0] == 1000
+    assert PS.update_counts(spark, SF001).agg(F.sum("n")).first()[0] == 1000

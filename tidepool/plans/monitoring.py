@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidepool.functions.scalar import to_ntz
 from tidepool.monitor import metrics as M
 from tidepool.monitor.progress import progress_rows
-from tidepool.plans.streams import _CLASSIFIED, REDELIVERED, medallion
+from tidepool.plans.streams import CLASSIFIED_SQL, REDELIVERED, medallion
 from tidepool.session import work_dir
 from tidepool.streaming import checkpoint as C
 from tidepool.streaming import layers as L
@@ -114,6 +114,6 @@ SELECT 'bronze' AS layer, (SELECT rows FROM n) + (SELECT rows FROM d) AS input_r
 UNION ALL SELECT 'silver', (SELECT rows FROM n) + (SELECT rows FROM d)
 UNION ALL SELECT 'gold', (SELECT rows FROM n)
 """,
-    "state_rows": f"{_CLASSIFIED} SELECT DISTINCT window_start, window_end, event_type FROM c WHERE open",
+    "state_rows": f"{CLASSIFIED_SQL} SELECT DISTINCT window_start, window_end, event_type FROM c WHERE open",
     "upsert_not_matched": "SELECT event_id, user_id, event_type, ts AS event_ts, value FROM events",
 }

@@ -77,6 +77,8 @@ def queries() -> dict[str, Query]:
         "lag_percentiles": S.lag_percentiles,
         "event_vs_processing_time": S.event_vs_processing_time,
         "lag_alert": S.lag_alert,
+        "complete_counts": S.complete_counts,
+        "update_counts": S.update_counts,
         "unknown_fields": D.unknown_fields,
         "rescued": D.rescued,
         "bad_values": D.bad_values,

@@ -79,6 +79,46 @@ def lag_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alert(lag_percentiles(spark, sf_dir).select("event_type", "p99"), delay_s)
 
 
+_modes: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def _mode_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Running counts per event type over the silver layer, drained in complete and in
+    update mode (two files per micro-batch, so several batches)."""
+    from tidepool.session import work_dir
+    from tidepool.streaming import modes
+    from tidepool.streaming.layers import layer_source
+
+    k = (spark.sparkContext.applicationId, sf_dir)
+    with _lock:
+        if k not in _modes:
+            run = medallion(spark, sf_dir)
+            schema = P.read_layer(spark, run.silver_dir).schema
+            root = work_dir(spark, "modes")
+            for mode in ("complete", "update"):
+                src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(run.silver_dir))
+                counts = modes.running_counts(src, "event_type")
+                drain = modes.drain_complete if mode == "complete" else modes.drain_update
+                drain(counts, f"{root}/{mode}", f"{root}/_checkpoints/{mode}", name=f"counts_{mode}",
+                      state_partitions=2)
+            _modes[k] = (f"{root}/complete", f"{root}/update")
+        return _modes[k]
+
+
+def complete_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complete mode, the newest snapshot of the running counts."""
+    from tidepool.streaming.modes import latest_snapshot
+
+    return latest_snapshot(spark, _mode_run(spark, sf_dir)[0])
+
+
+def update_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update mode, the current table rebuilt from the change log."""
+    from tidepool.streaming.modes import current_from_log
+
+    return current_from_log(spark, _mode_run(spark, sf_dir)[1], ["event_type"])
+
+
 def event_vs_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings per day by event time and by delivery (processing) time."""
     s = P.read_layer(spark, medallion(spark, sf_dir).silver_dir)
@@ -104,7 +144,7 @@ _r AS (SELECT *, CASE WHEN event_id % {LATE_MOD} = 0 THEN least(base + 1, {_LAST
 _dt AS (SELECT delivery, max(ts) AS delivered_at FROM _r WHERE delivery = base GROUP BY 1),
 r AS (SELECT _r.*, _dt.delivered_at FROM _r JOIN _dt USING (delivery))"""
 
-_CLASSIFIED = f"""WITH {_REPLAY},
+CLASSIFIED_SQL = f"""WITH {_REPLAY},
 _d AS (SELECT delivery, max(ts) AS mx FROM r GROUP BY 1),
 _wm AS (SELECT delivery, max(mx) OVER (ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
         - {_DELAY_SQL} AS wm FROM _d),
@@ -123,12 +163,12 @@ FROM (SELECT * FROM r UNION ALL SELECT * FROM r WHERE delivery = {REDELIVERED})
 SELECT event_id, user_id, event_type, ts AS event_ts, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
        delivered_at AS delivered_ts FROM r
 """,
-    "gold_windows": f"""{_CLASSIFIED}
+    "gold_windows": f"""{CLASSIFIED_SQL}
 SELECT window_start, window_end, event_type, count(*) AS readings, round(avg(value), 6) AS avg_value,
        max(value) AS max_value
 FROM c WHERE NOT late AND NOT open GROUP BY 1, 2, 3
 """,
-    "pipeline_accounting": f"""{_CLASSIFIED}
+    "pipeline_accounting": f"""{CLASSIFIED_SQL}
 SELECT (SELECT count(*) FROM r) + (SELECT count(*) FROM r WHERE delivery = {REDELIVERED}) AS bronze_rows,
        count(*) AS silver_rows,
        (SELECT count(*) FROM r WHERE delivery = {REDELIVERED}) AS duplicates,
@@ -137,7 +177,7 @@ SELECT (SELECT count(*) FROM r) + (SELECT count(*) FROM r WHERE delivery = {REDE
        count(*) FILTER (WHERE late) AS late_rows
 FROM c
 """,
-    "window_reconciliation": f"""{_CLASSIFIED},
+    "window_reconciliation": f"""{CLASSIFIED_SQL},
 w AS (SELECT window_start, window_end, event_type, count(*) AS silver_rows,
              count(*) FILTER (WHERE late) AS late_rows, bool_or(open) AS is_open,
              count(*) FILTER (WHERE NOT late AND NOT open) AS kept
@@ -161,6 +201,8 @@ SELECT event_type, round(quantile_cont(lag_s, 0.99), 3) AS p99,
        round(quantile_cont(lag_s, 0.99), 3) > 0.8 * {int(GOLD_DELAY.split()[0]) * 60} AS ticket
 FROM l GROUP BY 1
 """,
+    "complete_counts": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
+    "update_counts": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
     "event_vs_processing_time": f"""WITH {_REPLAY},
 e AS (SELECT date_trunc('day', ts) AS day, count(*) AS by_event_time FROM r GROUP BY 1),
 p AS (SELECT date_trunc('day', delivered_at) AS day, count(*) AS by_processing_time FROM r GROUP BY 1)
