@@ -41,6 +41,9 @@ class VersionedTable:
         self.data_dir = f"{self.root}/data"
         self._latest: int | None = None  # single writer: the version this object last saw or wrote
         self._key_type: T.DataType | None = None
+        # Live files of `_latest`, kept after each commit this object writes.  If another
+        # writer committed meanwhile, our next commit fails on the existing version folder.
+        self._live_cache: dict[str, dict] | None = None
 
     # ----------------------------------------------------------------- manifest
     def _manifest_schema(self, key_type: T.DataType) -> T.StructType:
@@ -85,7 +88,12 @@ class VersionedTable:
 
     def _live_rows(self, version: int | None = None) -> list[dict]:
         """The live file list as rows (one per file: commit metadata, bounded by file count)."""
-        return [r.asDict() for r in self._live(version).collect()]
+        if (version is None or version == self._latest) and self._live_cache is not None:
+            return list(self._live_cache.values())
+        rows = [r.asDict() for r in self._live(version).collect()]
+        if version is None:
+            self._live_cache = {r["file"]: r for r in rows}
+        return rows
 
     def _schema(self):
         """The table's schema, from one data file it ever added (all share one schema)."""
@@ -137,9 +145,15 @@ class VersionedTable:
         for action, files in (("add", adds), ("remove", removes)):
             rows += [(now, operation, empty, empty, action, f["file"], f["rows"], f["bytes"], f["min_key"],
                       f["max_key"], data_change) for f in files]
+        before = self._live_rows() if version > 0 else []
         (self.spark.createDataFrame(rows, schema).coalesce(1)
          .write.mode("errorifexists").parquet(f"{self.manifest_dir}/version={version}"))
-        self._latest = version
+        live = {f["file"]: f for f in before}
+        for f in removes:
+            live.pop(f["file"], None)
+        for f in adds:
+            live[f["file"]] = {k: f[k] for k in ("file", "rows", "bytes", "min_key", "max_key")}
+        self._latest, self._live_cache = version, live
         return version
 
     # ----------------------------------------------------------------- operations
