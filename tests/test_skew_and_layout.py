@@ -129,3 +129,33 @@ def test_latest_per_key_defined_survivor(spark, n):
     df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 4, "z"), (2, 1, "q")] * n, "k int, t int, p string")
     rows = {r["k"]: (r["t"], r["p"]) for r in latest_per_key(df, ["k"], ["t"], ["p"]).collect()}
     assert rows == {1: (5, "b"), 2: (1, "q")}
+
+
+def test_salting_spreads_the_hot_key_over_tasks(spark):
+    big = B.skewed_lineitem(spark, SF001)  # 90 % of rows on key 0
+    hot = J.hot_keys(big, "join_key", rows_per_salt=200, sample_fraction=0.5)
+    salted, _ = J.salted_sides(big, J.key_lookup(spark, 100), "join_key", hot)
+
+    def max_share(df, *cols):
+        parts = df.repartition(16, *cols).groupBy(F.spark_partition_id().alias("p")).count()
+        return parts.agg(F.max("count")).first()[0] / df.count()
+
+    assert max_share(big, "join_key") > 0.85  # one task would get the hot key
+    assert max_share(salted, "join_key", "_salt") < 0.25  # spread over the tasks
+
+
+def test_hot_group_aggregates_partially_before_the_shuffle(spark):
+    from tidepool.operators.aggregate import latest_per_key
+    from tidepool.plans.inspect import plan_text
+
+    df = spark.range(30000).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))).alias("k"),
+                                   F.col("id").alias("t"))  # key 0 holds a third of the rows
+    out = latest_per_key(df, ["k"], ["t"])
+    import re
+
+    ops = re.findall(r"^\(\d+\) (\w+)", plan_text(out), flags=re.M)  # leaves first
+    ex = ops.index("Exchange")
+    # A partial aggregate runs before the exchange and the final one after it: the hot key
+    # crosses the shuffle as one row per map task, not as a third of the table.
+    assert any(o.endswith("Aggregate") for o in ops[:ex]) and any(o.endswith("Aggregate") for o in ops[ex:])
+    assert out.filter("k = 0").first()["t"] == 29997

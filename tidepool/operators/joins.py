@@ -85,19 +85,13 @@ def hot_keys(df: DataFrame, key: str, max_hot_keys: int = 1000, rows_per_salt: i
     return df.sparkSession.createDataFrame(rows, hot.schema)
 
 
-def join_salted(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | None = None,
-                salts: int | None = None, max_hot_keys: int = 1000, rows_per_salt: int = 1_000_000,
-                sample_fraction: float = 0.01, strategy: str | None = "merge") -> DataFrame:
-    """Inner equi-join on one key with the hot keys salted.
+def salted_sides(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | None = None,
+                 salts: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a salted join, each with a `_salt` column to join on with `key`.
 
-    `hot` is a (key, _salts) table (see `hot_keys`); with `salts` given instead, every key
-    is salted `salts` ways (the textbook form).  The result equals `big.join(small, key)`.
-    `strategy` is the join hint for the final (key, salt) join: salting is for the case
-    where the other side is too big to broadcast, so a shuffle join by default.
+    Big side: hot keys get `_salt = pmod(xxhash64(row), salts_of_key)`, every other key 0.
+    Small side: hot keys' rows are repeated once per salt value, other rows once with 0.
     """
-    if hot is None and salts is None:
-        hot = hot_keys(big, key, max_hot_keys=max_hot_keys, rows_per_salt=rows_per_salt,
-                       sample_fraction=sample_fraction)
     big_cols = big.columns
     if hot is not None:
         hot = F.broadcast(hot)  # at most max_hot_keys rows
@@ -109,10 +103,26 @@ def join_salted(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | Non
     # Deterministic salt from the row's own values: a re-run task assigns the same salt.
     b = b.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big_cols]), F.col("_salts")).cast("int"))
     s = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts").cast("int") - 1)))
-    s = s.drop("_salts")
+    return b.drop("_salts"), s.drop("_salts")
+
+
+def join_salted(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | None = None,
+                salts: int | None = None, max_hot_keys: int = 1000, rows_per_salt: int = 1_000_000,
+                sample_fraction: float = 0.01, strategy: str | None = "merge") -> DataFrame:
+    """Inner equi-join on one key with the hot keys salted.
+
+    `hot` is a (key, _salts) table (see `hot_keys`); with `salts` given instead, every key
+    is salted `salts` ways (the textbook form).  The result equals `big.join(small, key)`.
+    `strategy` is the join hint for the final (key, salt) join: salting is for the case
+    where the other side is too big to broadcast, so a shuffle join by default.
+    """
+    if hot is None and salts is None:
+        hot = hot_keys(big, key, max_hot_keys=max_hot_keys, rows_per_salt=rows_per_salt,
+                       sample_fraction=sample_fraction)
+    b, s = salted_sides(big, small, key, hot, salts)
     if strategy:
         s = s.hint(strategy)
-    return b.drop("_salts").join(s, [key, "_salt"]).drop("_salt")
+    return b.join(s, [key, "_salt"]).drop("_salt")
 
 
 def skew_join_settings(spark: SparkSession, enabled: bool = True, factor: float = 5.0,
