@@ -3,7 +3,7 @@
 All of these are declarative group-bys, so Catalyst plans them as partial aggregate ->
 shuffle on the grouping key -> final aggregate.  A hot key therefore never travels as raw
 rows: every map task folds its share of the key into one partial row before the exchange.
-Where the reference keeps "the newest row per key" we use `max(struct(...))`, an ordinary
+For "the newest row per key" we use `max(struct(...))`, an ordinary
 mergeable aggregate, instead of a window with row_number (which would sort a hot key's
 rows inside one task).
 """
