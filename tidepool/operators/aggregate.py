@@ -101,13 +101,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
 
 def time_buckets(df: DataFrame, ts: str, width: str, keys: Sequence[str] = (),
                  value: str | None = None) -> DataFrame:
-    """Tumbling time buckets (`window`), rows and optional sum/avg per bucket."""
+    """Tumbling time buckets (`window`), rows and optional sum / max per bucket."""
+    names = ["n"] + ([f"sum_{value}", f"max_{value}"] if value is not None else [])
     aggs = [F.count(F.lit(1)).alias("n")]
     if value is not None:
-        aggs += [F.sum(value).alias(f"sum_{value}"), F.max(value).alias(f"max_{value}")]
+        aggs += [F.sum(value).alias(names[1]), F.max(value).alias(names[2])]
     return (df.groupBy(F.window(ts, width).alias("w"), *keys).agg(*aggs)
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys,
-                    *[a for a in ["n"] + ([f"sum_{value}", f"max_{value}"] if value else [])]))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, *names))
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Sequence[float],
