@@ -134,3 +134,37 @@ def test_publish_lines_is_atomic(scratch):
     path = publish_lines(f"{scratch}/land", "a.json", ['{"x": 1}'])
     assert os.path.basename(path) == "a.json"
     assert sorted(os.listdir(f"{scratch}/land")) == ["a.json"]
+
+
+def test_file_metadata_and_directory_bytes(spark, scratch):
+    from tidepool.operators.layout import bytes_per_directory, file_stats
+
+    o = S.read_table(spark, SF001, "orders")
+    o.write.partitionBy("o_orderstatus").parquet(f"{scratch}/by_status")
+    meta = S.with_file_metadata(spark.read.parquet(f"{scratch}/by_status"))
+    assert {"_file_path", "_file_name", "_file_size", "_file_block_start", "_file_mtime"} <= set(meta.columns)
+    per_dir = bytes_per_directory(spark, f"{scratch}/by_status").collect()
+    assert len(per_dir) == 3 and all(r["bytes"] > 0 for r in per_dir)
+    fs = file_stats(spark.read.parquet(f"{scratch}/by_status"), "o_orderkey")
+    assert fs.agg(F.sum("rows")).first()[0] == 1500
+
+
+def test_catalog_listing(spark):
+    cats = {r["catalog"] for r in K.catalogs(spark).collect()}
+    assert "spark_catalog" in cats
+
+
+def test_first_n_and_sort(spark):
+    o = S.read_table(spark, SF001, "orders")
+    top = O.first_n(o, 5, [F.desc("o_totalprice"), F.asc("o_orderkey")]).collect()
+    assert len(top) == 5 and top[0]["o_totalprice"] == o.agg(F.max("o_totalprice")).first()[0]
+    s = O.sort_by(o.select("o_orderkey"), F.desc("o_orderkey")).first()
+    assert s[0] == 1499
+
+
+def test_approx_percentiles_close_to_exact(spark):
+    ev = S.read_table(spark, SF001, "events")
+    exact = {r["event_type"]: r["p50"] for r in A.exact_percentiles(ev, ["event_type"], "value", [0.5], ["p50"]).collect()}
+    approx = {r["event_type"]: r["p50"] for r in A.approx_percentiles(ev, ["event_type"], "value", [0.5], ["p50"]).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(exact[k] - approx[k]) <= 0.05 * max(1.0, abs(exact[k])) + 5 for k in exact)
