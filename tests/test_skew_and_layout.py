@@ -159,3 +159,16 @@ def test_hot_group_aggregates_partially_before_the_shuffle(spark):
     # crosses the shuffle as one row per map task, not as a third of the table.
     assert any(o.endswith("Aggregate") for o in ops[:ex]) and any(o.endswith("Aggregate") for o in ops[ex:])
     assert out.filter("k = 0").first()["t"] == 29997
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-50, 50))),
+                min_size=1, max_size=80))
+def test_ranked_percentiles_equal_builtin(spark, rows):
+    from tidepool.operators.aggregate import exact_percentiles, ranked_percentiles
+
+    df = spark.createDataFrame(rows + [("a", 7)] * 30, "g string, v int")  # "a" is hot
+    ps, names = [0.0, 0.25, 0.5, 0.9, 1.0], ["p0", "p25", "p50", "p90", "p100"]
+    got = {r["g"]: tuple(r) for r in ranked_percentiles(df, ["g"], "v", ps, names, partitions=4).collect()}
+    want = {r["g"]: tuple(r) for r in exact_percentiles(df.filter("v IS NOT NULL"), ["g"], "v", ps, names).collect()}
+    assert got == want
