@@ -85,7 +85,7 @@ _modes: dict[tuple[str, str], tuple[str, str]] = {}
 
 def _mode_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Running counts per event type over the silver layer, drained in complete and in
-    update mode (two files per micro-batch, so several batches)."""
+    update mode (four files per micro-batch, so several batches)."""
     from tidepool.session import work_dir
     from tidepool.streaming import modes
     from tidepool.streaming.layers import layer_source
@@ -97,7 +97,7 @@ def _mode_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
             schema = P.read_layer(spark, run.silver_dir).schema
             root = work_dir(spark, "modes")
             for mode in ("complete", "update"):
-                src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(run.silver_dir))
+                src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(run.silver_dir)
                 counts = modes.running_counts(src, "event_type")
                 drain = modes.drain_complete if mode == "complete" else modes.drain_update
                 drain(counts, f"{root}/{mode}", f"{root}/_checkpoints/{mode}", name=f"counts_{mode}",
