@@ -40,7 +40,7 @@ PROGRESS_SCHEMA = T.StructType([
 def _ts(s: str | None):
     if not s:
         return None
-    return dt.datetime.fromisoformat(s.replace("Z", "+00:00")).astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return dt.datetime.fromisoformat(s.replace("Z", "+00:00")).astimezone(dt.timezone.utc)
 
 
 def _num(x):
@@ -58,7 +58,7 @@ def progress_row(p: dict, logged_at: dt.datetime | None = None) -> tuple:
     ops = p.get("stateOperators") or []
     dur = p.get("durationMs") or {}
     return (
-        logged_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+        logged_at or dt.datetime.now(dt.timezone.utc),
         p.get("name"), p.get("id"), p.get("runId"), p.get("batchId"), _ts(p.get("timestamp")),
         p.get("numInputRows"), _num(p.get("inputRowsPerSecond")), _num(p.get("processedRowsPerSecond")),
         dur.get("triggerExecution"), dur.get("addBatch"), (p.get("eventTime") or {}).get("watermark"),

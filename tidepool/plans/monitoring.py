@@ -64,7 +64,7 @@ def late_drop_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staleness of each layer against the time of the check (10 s trigger)."""
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    now = dt.datetime.now(dt.timezone.utc)
     return M.freshness(progress(spark, sf_dir), now, trigger_seconds=10)
 
 

@@ -138,7 +138,7 @@ class VersionedTable:
         """Write the manifest folder of one version: a commit row plus one row per file
         added or removed.  Spark's job commit makes the folder appear whole or not at all."""
         schema = self._manifest_schema(self._key_type_now())
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        now = dt.datetime.now(dt.timezone.utc)
         empty: dict[str, str] = {}
         rows = [(now, operation, {k: str(v) for k, v in params.items()}, {k: str(v) for k, v in metrics.items()},
                  "commit", None, None, None, None, None, data_change)]
@@ -337,7 +337,7 @@ class VersionedTable:
         """
         if retention_hours < MIN_RETENTION_HOURS and not force:
             raise ValueError(f"retention {retention_hours} h is below {MIN_RETENTION_HOURS} h; pass force=True")
-        now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        now = now or dt.datetime.now(dt.timezone.utc)
         cutoff = now - dt.timedelta(hours=retention_hours)
         removed_at = (self.manifest().filter(F.col("action") == "remove")
                       .groupBy("file").agg(F.max("ts").alias("removed_ts")))
