@@ -20,12 +20,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidepool.operators.joins import maybe_broadcast
 from tidepool.session import work_dir
 from tidepool.streaming import layers as L
 from tidepool.streaming.replay import LATE_MOD, N_DELIVERIES, land, plan_deliveries
 
-MAX_BROADCAST_DELIVERIES = 100_000
 ROWS_PER_STATE_PARTITION = 1_000_000
 
 
@@ -119,14 +117,21 @@ def watermarks_by_delivery(silver: DataFrame, delay: str) -> DataFrame:
     days = per.groupBy("_day").agg(F.max("_mx").alias("_day_mx"))
     across = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     days = days.select("_day", F.max("_day_mx").over(across).alias("_prev_days"))
-    j = per.join(maybe_broadcast(days, MAX_BROADCAST_DELIVERIES), "_day", "left")
+    # One row per day: small, but only known after the aggregation runs, so the join
+    # strategy is left to adaptive execution, which measures the stage and broadcasts it
+    # only under its size threshold (a shuffle join otherwise).
+    j = per.join(days, "_day", "left")
     prev = F.greatest("_prev_same_day", "_prev_days")  # NULLs are skipped; both NULL -> NULL
     return j.select("delivered_ts", (prev - F.expr(f"INTERVAL {delay}")).alias("wm"))
 
 
 def classify_rows(silver: DataFrame, window: str, delay: str) -> DataFrame:
-    """Silver rows + window bounds + `late` (dropped by the watermark) + `open` (not final)."""
-    wms = maybe_broadcast(watermarks_by_delivery(silver, delay), MAX_BROADCAST_DELIVERIES)
+    """Silver rows + window bounds + `late` (dropped by the watermark) + `open` (not final).
+
+    The watermark table has one row per delivery; adaptive execution picks broadcast or
+    shuffle for its join from the measured size.
+    """
+    wms = watermarks_by_delivery(silver, delay)
     final_wm = silver.agg(F.max("event_ts")).first()[0]
     rows = (silver.join(wms, "delivered_ts", "left")
             .withColumn("_w", F.window("event_ts", window))
