@@ -21,7 +21,7 @@ from tidepool.session import work_dir
 from tidepool.streaming import checkpoint as C
 from tidepool.streaming import layers as L
 from tidepool.streaming.replay import READINGS_SCHEMA
-from tidepool.streaming.upsert import run_upsert
+from tidepool.streaming.upsert import read_target, run_upsert
 
 
 def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +100,7 @@ def upsert_not_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
                 run_upsert(typed, target, f"{root}/_checkpoints/{attempt}", ["event_id"], "event_ts",
                            name=f"upsert_{attempt}")
             _upserts[k] = target
-    t = spark.read.parquet(_upserts[k])
+    t = read_target(spark, _upserts[k])
     return t.select("event_id", "user_id", "event_type", to_ntz("event_ts").alias("event_ts"), "value")
 
 
