@@ -148,3 +148,15 @@ def test_same_version_cannot_commit_twice(spark):
     with pytest.raises(Exception):
         b.append(spark.range(12, 14))  # version 1 exists already: the second commit fails
     assert VersionedTable(spark, root, "id").read().count() == 12
+
+
+def test_hot_key_value_is_split_across_files(spark):
+    from tidepool.session import work_dir
+
+    t = VersionedTable(spark, work_dir(spark, "hotkey") + "/t", "k")
+    df = spark.range(3000).select(F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).cast("long").alias("k"),
+                                  F.col("id").alias("v"))  # key 0 holds a third of the rows
+    t.create(df, files=6)
+    rows = sorted(r["rows"] for r in t._live_rows())
+    assert len(rows) == 6 and max(rows) < 1000  # key 0 does not land in a single file
+    assert t.read().count() == 3000
