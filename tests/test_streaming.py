@@ -240,3 +240,17 @@ def test_complete_and_update_modes_span_batches(spark):
     latest = PS.complete_counts(spark, SF001)
     assert latest.agg(F.sum("n")).first()[0] == 1000
     assert PS.update_counts(spark, SF001).agg(F.sum("n")).first()[0] == 1000
+
+
+def test_gold_stream_folds_hot_keys_before_the_state_shuffle(spark, scratch):
+    from tidepool.plans.inspect import plan_text
+
+    os.makedirs(f"{scratch}/in")
+    g = _gold_of(spark, f"{scratch}/in")
+    text = plan_text(g, "simple")
+    # Top-down text: the state store exchange sits above a partial aggregate, so a hot
+    # (window, key) crosses the shuffle as one partial row per task.
+    assert "REQUIRED_BY_STATEFUL_OPERATOR" in text and "partial_count(1)" in text
+    assert text.index("REQUIRED_BY_STATEFUL_OPERATOR") < text.index("partial_count(1)")
+    # Only the columns the aggregation needs are parsed from the JSON source's rows.
+    assert "EventTimeWatermark" in text
