@@ -168,3 +168,27 @@ def test_approx_percentiles_close_to_exact(spark):
     approx = {r["event_type"]: r["p50"] for r in A.approx_percentiles(ev, ["event_type"], "value", [0.5], ["p50"]).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(exact[k] - approx[k]) <= 0.05 * max(1.0, abs(exact[k])) + 5 for k in exact)
+
+
+def test_job_tags_cancel(spark):
+    import threading
+    import time
+
+    from tidepool.plans.inspect import cancel_tagged, job_tag
+
+    errors = []
+
+    def slow():
+        try:
+            with job_tag(spark, "tp-cancel-me"):
+                spark.range(10**12).selectExpr("sum(id)").collect()
+        except Exception as e:  # noqa: BLE001
+            errors.append(str(e))
+
+    t = threading.Thread(target=slow)
+    t.start()
+    time.sleep(3)
+    cancel_tagged(spark, "tp-cancel-me")
+    t.join(60)
+    assert not t.is_alive() and errors and "cancel" in errors[0].lower()
+    assert "tp-cancel-me" not in spark.sparkContext.getJobTags()

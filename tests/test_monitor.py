@@ -90,7 +90,10 @@ def test_progress_row_nan_rates_become_null():
     assert r[7] is None and r[8] == 0.0 and r[9] == 5
 
 
-def test_listener_persists_rows(spark, scratch):
+def test_listener_persists_rows(spark, scratch, caplog):
+    import logging
+
+    caplog.set_level(logging.INFO, logger="tidepool.monitor")
     landing = f"{scratch}/landing"
     os.makedirs(landing)
     with open(f"{landing}/a.json", "w") as f:
@@ -109,3 +112,5 @@ def test_listener_persists_rows(spark, scratch):
     assert listener.flush(spark) >= 1
     m = spark.read.parquet(f"{scratch}/metrics")
     assert m.filter("query_name = 'listened'").agg(F.sum("num_input_rows")).first()[0] == 1
+    logged = " ".join(r.getMessage() for r in caplog.records)
+    assert "started listened" in logged and "progress listened" in logged

@@ -64,6 +64,23 @@ def job_description(spark: SparkSession, text: str) -> Iterator[None]:
         sc.setJobDescription(None)
 
 
+@contextlib.contextmanager
+def job_tag(spark: SparkSession, tag: str) -> Iterator[str]:
+    """Tag the jobs started inside the block so they can be cancelled together
+    (`cancel_tagged`); the tag is removed afterwards."""
+    sc = spark.sparkContext
+    sc.addJobTag(tag)
+    try:
+        yield tag
+    finally:
+        sc.removeJobTag(tag)
+
+
+def cancel_tagged(spark: SparkSession, tag: str) -> None:
+    """Cancel every running job carrying `tag` (from any thread)."""
+    spark.sparkContext.cancelJobsWithTag(tag)
+
+
 def timed(df: DataFrame) -> float:
     """Seconds to run the whole plan into the noop sink (K6)."""
     t = time.time()
