@@ -172,3 +172,14 @@ def test_ranked_percentiles_equal_builtin(spark, rows):
     got = {r["g"]: tuple(r) for r in ranked_percentiles(df, ["g"], "v", ps, names, partitions=4).collect()}
     want = {r["g"]: tuple(r) for r in exact_percentiles(df.filter("v IS NOT NULL"), ["g"], "v", ps, names).collect()}
     assert got == want
+
+
+def test_rank_rows_range_partitions_a_hot_group(spark):
+    from tidepool.operators.aggregate import rank_rows
+    from tidepool.plans.inspect import plan_text
+
+    df = spark.range(12000).select(F.lit("hot").alias("g"), (F.col("id") * 7 % 1000).alias("v"))  # one group
+    r = rank_rows(df, ["g"], "v", partitions=8)
+    assert "rangepartitioning" in plan_text(r, "simple")
+    per_task = r.groupBy("_pid").count().collect()
+    assert len(per_task) > 1 and max(x["count"] for x in per_task) < 12000 / 2  # the group is split

@@ -140,6 +140,17 @@ def balance(counts: DataFrame, count_col: str) -> DataFrame:
     )
 
 
+def rank_rows(df: DataFrame, keys: Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
+    """Non-NULL values as `_v`, range-partitioned by (keys, value) and sorted within each task,
+    with `_id` (increasing within a task, in sorted order) and `_pid` (the task)."""
+    keys = list(keys)
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    vals = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    return (vals.repartitionByRange(n_parts, *keys, "_v").sortWithinPartitions(*keys, "_v")
+            .withColumn("_id", F.monotonically_increasing_id())
+            .withColumn("_pid", F.spark_partition_id()))
+
+
 def ranked_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Sequence[float],
                        names: Sequence[str], digits: int = 6, partitions: int | None = None,
                        max_broadcast_rows: int = 100_000) -> DataFrame:
@@ -164,12 +175,7 @@ def ranked_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Seque
 
     keys = list(keys)
     spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vals = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    ranked = (vals.repartitionByRange(n_parts, *keys, "_v").sortWithinPartitions(*keys, "_v")
-              .withColumn("_id", F.monotonically_increasing_id())
-              .withColumn("_pid", F.spark_partition_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    ranked = rank_rows(df, keys, value, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         blocks = ranked.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"), F.min("_id").alias("_first"))
         before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
