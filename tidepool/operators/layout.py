@@ -39,6 +39,8 @@ def partition_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     * totals: files, bytes, partitions, empty partitions, rows.
     """
     df = spark.read.parquet(path)
+    # The number of read tasks (metadata of the planned scan, no data is touched): the
+    # DataFrame API only sees partitions that produce rows, and empty ones must be reported.
     n_parts = df.rdd.getNumPartitions()
     groups = _scan_groups(df)
     per_file = groups.groupBy("file_path").agg(F.sum("rows").alias("rows"))
