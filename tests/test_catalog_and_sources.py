@@ -181,14 +181,16 @@ def test_job_tags_cancel(spark):
     def slow():
         try:
             with job_tag(spark, "tp-cancel-me"):
-                spark.range(10**12).selectExpr("sum(id)").collect()
+                spark.range(0, 10**10, 1, 200_000).selectExpr("count(*)").collect()  # many short tasks
         except Exception as e:  # noqa: BLE001
             errors.append(str(e))
 
     t = threading.Thread(target=slow)
     t.start()
-    time.sleep(3)
-    cancel_tagged(spark, "tp-cancel-me")
-    t.join(60)
+    deadline = time.time() + 90
+    while t.is_alive() and time.time() < deadline:  # the job may not be submitted yet
+        time.sleep(1)
+        cancel_tagged(spark, "tp-cancel-me")
+    t.join(5)
     assert not t.is_alive() and errors and "cancel" in errors[0].lower()
     assert "tp-cancel-me" not in spark.sparkContext.getJobTags()
