@@ -10,6 +10,7 @@ local test session) do we fall back to a scratch folder of our own.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -48,9 +49,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application (Spark distributes the file)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(here):  # not when we were imported from such a file ourselves
+        to = os.path.join(tempfile.mkdtemp(prefix="tidepool-code-"), "tidepool")
+        sc.addPyFile(shutil.make_archive(to, "zip", os.path.dirname(here), os.path.basename(here)))
+    _shipped.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only where none is set."""
     d = spark.conf.get("spark.checkpoint.dir", None)
