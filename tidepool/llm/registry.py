@@ -7,6 +7,8 @@ import importlib
 from tidepool.session import prepare
 
 MODULES = {
+    "op5_licenses": "licenses",
+    "op3_quality": "quality",
     "op1_exact_dedup": "exact_dedup",
     "op4_pack": "packing",
     "op9_chat_format": "chat_format",
