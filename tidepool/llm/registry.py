@@ -7,6 +7,7 @@ import importlib
 from tidepool.session import prepare
 
 MODULES = {
+    "op7_pii": "pii",
     "op5_licenses": "licenses",
     "op3_quality": "quality",
     "op1_exact_dedup": "exact_dedup",
