@@ -7,6 +7,7 @@ import importlib
 from tidepool.session import prepare
 
 MODULES = {
+    "op8_suffix_dedup": "suffix_dedup",
     "op6_lm_score": "lm_score",
     "op2_near_duplicates": "near_dup",
     "op7_pii": "pii",
