@@ -10,17 +10,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidepool.llm.decontaminate import find_contamination
 from tidepool.llm.exact_dedup import exact_dedup
+from tidepool.llm.near_dup import near_duplicates
 from tidepool.llm.packing import pack_documents
+from tidepool.llm.quality import classify
 from tidepool.llm.shared import documents, keep_rows, materialise
 from tidepool.session import prepare, table_path
 
 
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: rejected documents go."""
+    scored = classify(docs, spark.read.parquet(table_path(sf_dir, "labels")))
+    return keep_rows(docs, scored.where("predicted = 1"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exact deduplication: the row with the smallest identifier of each text stays."""
     kept = exact_dedup(docs).where("kept")
     return keep_rows(docs, kept).dropDuplicates(["doc_id", "text"])
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join, five words and a similarity of 0.8: the smallest identifier of each group stays."""
+    found = near_duplicates(docs, words=5, percent=80)
+    return keep_rows(docs, found.where("doc_id <=> component_id"))
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents that hold a window of a test item go."""
     found = find_contamination(docs, spark.read.parquet(table_path(sf_dir, "benchmark")))
@@ -33,7 +47,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", drop_low_quality),
     ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
     ("decontamination", drop_contaminated),
     ("packing", pack),
 ]
