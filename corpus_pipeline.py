@@ -46,12 +46,20 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs)
 
 
+def _prepared(stage):
+    def apply(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(prepare(spark), docs, sf_dir)
+
+    apply.__name__, apply.__doc__ = stage.__name__, stage.__doc__
+    return apply
+
+
 STAGES = [
-    ("quality", drop_low_quality),
-    ("exact_dedup", drop_copies),
-    ("near_dedup", drop_near_copies),
-    ("decontamination", drop_contaminated),
-    ("packing", pack),
+    ("quality", _prepared(drop_low_quality)),
+    ("exact_dedup", _prepared(drop_copies)),
+    ("near_dedup", _prepared(drop_near_copies)),
+    ("decontamination", _prepared(drop_contaminated)),
+    ("packing", _prepared(pack)),
 ]
 
 #: Tokenisation and the learnt classifier cannot be written in SQL.
@@ -59,8 +67,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare(spark)
-    docs = documents(spark, sf_dir)
+    docs = documents(prepare(spark), sf_dir)
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
