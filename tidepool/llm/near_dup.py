@@ -106,7 +106,7 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     late = maybe[(s & np.uint64(0xFFFFF)).astype(np.int64)]
                     if late.any():
                         at = np.flatnonzero(late)
-                        late[at] = np.isin(s[at], frequent)
+                        late[at] = frequent[np.minimum(np.searchsorted(frequent, s[at]), len(frequent) - 1)] == s[at]
                         s = np.concatenate([s[~late], s[late]])
                     prefix.append(s[:p])
                     size.append(p)
