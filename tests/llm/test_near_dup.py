@@ -87,3 +87,20 @@ def test_large_group_of_near_copies_is_one_component(make):
 
 def test_empty_table(no_docs):
     assert N.near_duplicates(no_docs).collect() == []
+
+
+def test_links_around_the_threshold(make):
+    rng = random.Random(11)
+    rows = []
+    for family in range(25):
+        base = [f"f{family}w{i}" for i in range(rng.choice([3, 5, 8, 14, 30, 60, 120]))]
+        shared = [f"common{i}" for i in range(rng.choice([0, 0, 20]))]
+        for _ in range(8):
+            w = base + shared
+            for _ in range(rng.randrange(0, 3)):
+                at = rng.randrange(len(w))
+                w = rng.choice([w[:at] + ["new"] + w[at:], w[:at] + w[at + 1:], w[:at] + [f"x{rng.randrange(99)}"] + w[at + 1:], w + ["tail"] * rng.randrange(6)])
+            rows.append((len(rows), " ".join(w)))
+    want, _ = brute(rows, 4, 85)
+    assert {r.doc_id: r.component_id for r in N.near_duplicates(make(rows)).collect()} == want
+    assert 20 < len(set(want.values())) < len(rows) - 20

@@ -4,11 +4,14 @@ A document's set holds its distinct k-word shingles (64-bit hashes).  Documents
 are one class.  Two classes link when 100 * |x & y| >= percent * |x | y|; the result is the
 connected component of every document.  The join is exact:
 
-1. Routing.  Shingles are ordered by (frequent, hash).  Two sets that link share a shingle among
-   the first |x| - ceil(percent |x| / 100) + 1 of both, so sets without a common prefix shingle
-   cannot link.  Sets that share one, directly or over others, form a block.  The frequent
+1. Routing.  Shingles are ordered by (frequent, hash).  With a = ceil(percent |x| / 100), the first
+   k common shingles of two sets that link stand among the first |x| - a + k of x, and so for y.
+   With k = half the plain prefix, a set stays only if so many of its first shingles (k of the
+   smallest partner size) occur in another set at all; this is repeated once on those that stay,
+   and leaves little but near copies.  What stays and shares a first shingle with a set of the
+   same or a neighbouring size class, directly or over others, forms a block.  The frequent
    shingles (at most 65,536, counted over all documents) come last in the order, so a passage
-   that many documents hold rarely connects them; the order never changes the result.
+   that many documents hold rarely matters; the order never changes the result.
 2. Trees.  The sets of a block are the leaves of a signature tree, ordered by their smallest
    hashes.  A node holds the OR of its leaves' token bitmaps, their range of sizes and the
    largest number of tokens that share a bit with another.  Two trees (or one with itself) are
@@ -36,12 +39,13 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import textops as T
 from tidepool.llm.graph import components
 from tidepool.llm.shared import documents, id_and_text, materialise
+from tidepool.operators.joins import maybe_broadcast
 
 WORDS, PERCENT = 4, 85
 FREQUENT = 65_536
@@ -103,6 +107,7 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     k1.append(int(np.add.reduce(T.mix(s ^ np.uint64(0x51ED270B7A3F9C15)))))
                     k2.append(int(np.add.reduce(T.mix(s + np.uint64(0x2545F4914F6CDD1D)))))
                     p = len(s) - (percent * len(s) + 99) // 100 + 1 if len(s) else 0
+                    p = p - 1 + max(1, p // 2) if p else 0
                     late = maybe[(s & np.uint64(0xFFFFF)).astype(np.int64)]
                     if late.any():
                         at = np.flatnonzero(late)
@@ -235,10 +240,41 @@ def _children(p: np.ndarray, q: np.ndarray, size: int) -> tuple[np.ndarray, np.n
     return kids[kids < size], other[kids < size]
 
 
+def _needed(n: Column, percent: int) -> Column:
+    """First shingles that a set of n must share: half the plain prefix of its smallest partner."""
+    least = F.floor((n * percent + 99) / 100)
+    return F.greatest(F.lit(1), F.floor((least - F.floor((least * percent + 99) / 100) + 1) / 2))
+
+
+def _size_class(n: Column, percent: int) -> Column:
+    """Sizes that can link differ by one class at most."""
+    return F.floor(F.log(n) / -F.log(F.lit((percent - 1) / 100))).cast("int")
+
+
+def survivors(tokens: DataFrame, percent: int) -> DataFrame:
+    """The rows rep, n, token of the sets that share enough first shingles with any others."""
+    shared = tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
+    hits = tokens.join(shared, "token").groupBy("rep").agg(F.count("*").alias("hits"), F.min("n").alias("n"))
+    stay = hits.where(F.col("hits") >= _needed(F.col("n"), percent)).select("rep")
+    return tokens.join(stay, "rep", "left_semi")
+
+
+def blocks(tokens: DataFrame, percent: int) -> DataFrame:
+    """rep, block, n: sets connected over shingles shared inside a size class or with the next.  Each
+    set hangs on the smallest of its shingle and class, a minimum that is combined map-side."""
+    t = tokens.withColumn("c", _size_class(F.col("n"), percent))
+    low = materialise(t.groupBy("token", "c").agg(F.min("rep").alias("low"), F.count("*").alias("held")), "lows")
+    inside = t.join(low.where("held > 1"), ["token", "c"]).select(F.col("rep").alias("a"), F.col("low").alias("b"))
+    upper = low.select("token", (F.col("c") - 1).alias("c"), F.col("low").alias("next"))
+    across = low.join(upper, ["token", "c"]).select(F.col("next").alias("a"), F.col("low").alias("b"))
+    found = components(inside.unionByName(across)).select(F.col("node").alias("rep"), F.col("component").alias("block"))
+    members = found.unionByName(found.select(F.col("block").alias("rep"), "block").distinct())
+    return members.join(tokens.groupBy("rep").agg(F.max("n").alias("n")), "rep")
+
+
 def units(members: DataFrame, percent: int) -> DataFrame:
     """rep, with the unit (block, u, v) and side for every unit it belongs to.  members: rep, block, n."""
-    size_class = F.floor(F.log("n") / -F.log(F.lit((percent - 1) / 100))).cast("int")  # sizes that can link differ by one class at most
-    m = members.withColumn("c", size_class)
+    m = members.withColumn("c", _size_class(F.col("n"), percent))
     total = m.groupBy("block").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
     small = (F.col("sets") <= PART_SETS) & (F.col("shingles") <= PART_SHINGLES)
     m = m.join(total.select("block", small.alias("small")), "block")
@@ -298,14 +334,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies = rows.where("n > 0").join(sets.select("n", "k1", "k2", "rep"), ["n", "k1", "k2"]).where("doc_id <> rep").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
-    tokens = sets.select("rep", F.explode("prefix").alias("token"))
-    shared = tokens.groupBy("token").agg(F.min("rep").alias("low"), F.count("*").alias("held")).where("held > 1").select("token", "low")
-    blocks = components(tokens.join(shared, "token").select(F.col("rep").alias("a"), F.col("low").alias("b")))
-    members = blocks.select(F.col("node").alias("rep"), F.col("component").alias("block"))
-    members = members.unionByName(members.select(F.col("block").alias("rep"), "block").distinct())
-    sized = members.join(sets.groupBy("rep").agg(F.max("n").alias("n")), "rep")
-    dealt = units(materialise(sized, "members"), percent)
-    links = verify(docs.withColumnRenamed("doc_id", "rep").join(dealt, "rep"), words, percent)
+    tokens = sets.select("rep", "n", F.explode("prefix").alias("token"))
+    tokens = materialise(survivors(tokens, percent), "survivors")
+    tokens = materialise(survivors(tokens, percent), "survivors")
+    dealt = materialise(units(materialise(blocks(tokens, percent), "members"), percent), "units")
+    few = maybe_broadcast(dealt.select(F.col("rep").alias("doc_id")).distinct(), 1_000_000)
+    texts = docs.join(few, "doc_id", "left_semi").withColumnRenamed("doc_id", "rep")
+    links = verify(texts.join(dealt, "rep"), words, percent)
     found = components(links.unionByName(copies))
     null_id = lambda c: F.nullif(F.col(c), F.lit(NULL_ID).cast("long")).alias(c)
     return (rows.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
