@@ -10,8 +10,9 @@ would be sorted by a suffix array; at scale that is done in three distributed st
    equal strings; the others are left out.  Four bytes per gram are shuffled for this.
 2. Equal runs.  Of runs equal byte for byte (digest) the smallest identifier counts; all other
    documents lose these strings, and no more is needed for them.
-3. Difference cover.  The remaining first runs are dealt by gram, so all equal strings meet in one
-   bucket.  There the suffixes at two of three positions are sorted by their triples of bytes
+3. Difference cover.  Of the remaining first runs those matter whose gram has another first run
+   (two digests per gram and block tell).  They are dealt by gram, so all equal strings meet in
+   one bucket.  There the suffixes at two of three positions are sorted by their triples of bytes
    and named; the names are sorted by triples again, until a name stands for 48 bytes (3, 9, 27,
    48).  Any two strings have a common offset 0, 1 or 2 at which both are sampled, so the rest is
    merged by (leading bytes, name, trailing bytes), and neighbours with equal keys are equal
@@ -49,7 +50,8 @@ LENGTH, GRAM = 50, 20
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20  # of input per bucket: about a million grams
 SEGMENT = 1 << 20
-HOT_RUNS = 100_000
+RUN_BYTES = 2 << 20  # of first runs per bucket of the last step
+HOT_RUNS = 20_000
 NO_ID = np.iinfo(np.int64).max  # stands for a null identifier
 
 FLAGS = "block long, kind int, bucket int, flags binary"
@@ -87,10 +89,13 @@ class Runs:
         np.minimum.at(lowest, of, self.ids[self.doc[repeated]])
         return keys, lowest, of
 
-    def covered(self, flags: dict[int, list], repeated: np.ndarray) -> np.ndarray:
-        """Of the repeated runs: those that an equal run of a smaller identifier covers."""
+    def divide(self, flags: dict[int, list]) -> tuple[np.ndarray, np.ndarray]:
+        """The repeated runs that an equal run of a smaller identifier covers, and the others: first runs."""
+        repeated = self.repeated(flags)
         keys, lowest, of = self.equal(repeated)
-        return _unpack(flags.get(1), len(keys))[of] | (self.ids[self.doc[repeated]] > lowest[of])
+        covered = _unpack(flags.get(1), len(keys))[of] | (self.ids[self.doc[repeated]] > lowest[of])
+        at = np.flatnonzero(repeated)
+        return at[covered], at[~covered]
 
 
 def _runs(data: np.ndarray, off: np.ndarray, row: int) -> Iterator[tuple]:
@@ -225,26 +230,59 @@ def covered_runs(blocks: DataFrame, flags: DataFrame, buckets: int) -> DataFrame
     return sent.groupBy("bucket").applyInArrow(resolve, FLAGS)
 
 
-FIRST_RUNS = "bucket int, gram long, block long, id long, doc int, first long, bytes binary"
+def contested_grams(blocks: DataFrame, flags: DataFrame, buckets: int) -> DataFrame:
+    """Flags (kind 2) for the grams of the first runs of each block that have different first runs."""
+
+    def emit(table: pa.Table, other: pa.Table) -> pa.Table:
+        out: dict[str, list] = {"bucket": [], "keys": [], "low": [], "high": []}
+        if table.num_rows:
+            runs = Runs(table)
+            first = runs.divide(_flags(other))[1]
+            grams, of = np.unique(runs.gram[first], return_inverse=True)
+            low, high = np.full(len(grams), np.iinfo(np.uint64).max), np.zeros(len(grams), np.uint64)
+            np.minimum.at(low, of, runs.digest[first])
+            np.maximum.at(high, of, runs.digest[first])
+            cut = _bounds(grams, buckets)
+            for i in np.flatnonzero(np.diff(cut)):
+                for c, v in (("keys", grams.astype(np.uint32)), ("low", low), ("high", high)):
+                    out[c].append(v[cut[i]:cut[i + 1]].tobytes())
+                out["bucket"].append(int(i))
+        block = [table.column("block")[0].as_py()] * len(out["bucket"]) if table.num_rows else []
+        return pa.table({"block": pa.array(block, pa.int64()), "bucket": pa.array(out["bucket"], pa.int32()),
+                         **{c: pa.array(out[c], pa.binary()) for c in ("keys", "low", "high")}})
+
+    def resolve(table: pa.Table) -> pa.Table:
+        keys, size = _segments(table.column("keys"), "<u4")
+        distinct, of = np.unique(keys, return_inverse=True)
+        low, high = np.full(len(distinct), np.iinfo(np.uint64).max), np.zeros(len(distinct), np.uint64)
+        np.minimum.at(low, of, _segments(table.column("low"), "<u8")[0])
+        np.maximum.at(high, of, _segments(table.column("high"), "<u8")[0])
+        return _returned(table, 2, (low < high)[of], size)
+
+    sent = blocks.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(emit, "block long, bucket int, keys binary, low binary, high binary")
+    return sent.groupBy("bucket").applyInArrow(resolve, FLAGS)
+
+
+FIRST_RUNS = "gram long, block long, id long, doc int, first long, bytes binary"
 
 
-def first_runs(blocks: DataFrame, flags: DataFrame, buckets: int) -> DataFrame:
-    """The runs with a repeated gram that no equal run of a smaller identifier covers, with their bytes."""
-    schema = pa.schema([("bucket", pa.int32()), ("gram", pa.int64()), ("block", pa.int64()), ("id", pa.int64()), ("doc", pa.int32()), ("first", pa.int64()), ("bytes", pa.binary())])
+def first_runs(blocks: DataFrame, flags: DataFrame) -> DataFrame:
+    """The first runs of contested grams, with their bytes."""
+    schema = pa.schema([("gram", pa.int64()), ("block", pa.int64()), ("id", pa.int64()), ("doc", pa.int32()), ("first", pa.int64()), ("bytes", pa.binary())])
 
     def emit(table: pa.Table, other: pa.Table) -> pa.Table:
         if not table.num_rows:
             return schema.empty_table()
         runs, known = Runs(table), _flags(other)
-        repeated = runs.repeated(known)
-        at = np.flatnonzero(repeated)[~runs.covered(known, repeated)]
+        at = runs.divide(known)[1]
+        grams, of = np.unique(runs.gram[at], return_inverse=True)
+        at = at[_unpack(known.get(2), len(grams))[of]]
         _, off, data = runs.texts.buffers()
         off = np.frombuffer(off, np.int32)[runs.texts.offset:].astype(np.int64)
         raw = memoryview(data) if data is not None else b""
         start = off[runs.doc[at]] + runs.first[at]
         end = off[runs.doc[at]] + runs.last[at] + LENGTH
-        bucket = ((runs.gram[at] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
-        return pa.table([bucket, runs.gram[at].view(np.int64), np.full(len(at), table.column("block")[0].as_py()), runs.ids[runs.doc[at]],
+        return pa.table([runs.gram[at].view(np.int64), np.full(len(at), table.column("block")[0].as_py()), runs.ids[runs.doc[at]],
                          runs.doc[at].astype(np.int32), runs.first[at], pa.array([bytes(raw[a:b]) for a, b in zip(start.tolist(), end.tolist())], pa.binary())], schema=schema)
 
     return blocks.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(emit, FIRST_RUNS)
@@ -293,7 +331,7 @@ def lowest_by_string(text: np.ndarray, at: np.ndarray, ids: np.ndarray) -> np.nd
 SPANS = "block long, docs binary, starts binary, ends binary"
 
 
-def compare_runs(rows: DataFrame) -> DataFrame:
+def compare_runs(rows: DataFrame, buckets: int) -> DataFrame:
     """Spans of strings that an equal string of a smaller identifier removes, per block."""
 
     def resolve(table: pa.Table) -> pa.Table:
@@ -315,7 +353,7 @@ def compare_runs(rows: DataFrame) -> DataFrame:
         start = table.column("first").to_numpy()[run[found]] + inner[found]
         return _spans(table.column("block").to_numpy()[run[found]], table.column("doc").to_numpy()[run[found]], start)
 
-    return rows.groupBy("bucket").applyInArrow(resolve, SPANS)
+    return rows.groupBy(F.pmod("gram", F.lit(buckets)).alias("bucket")).applyInArrow(resolve, SPANS)
 
 
 def _spans(block: np.ndarray, doc: np.ndarray, start: np.ndarray) -> pa.Table:
@@ -350,18 +388,17 @@ def compare_hot(rows: DataFrame) -> DataFrame:
 def apply_spans(blocks: DataFrame, flags: DataFrame, spans: DataFrame) -> DataFrame:
     """doc_id, n_bytes, spans (start, end in bytes), kept (the remaining bytes) of every row."""
     found = flags.select("block", "kind", "bucket", "flags", *[F.lit(None).cast("binary").alias(c) for c in ("docs", "starts", "ends")])
-    found = found.unionByName(spans.select("block", F.lit(2).alias("kind"), F.lit(0).alias("bucket"), F.lit(None).cast("binary").alias("flags"), "docs", "starts", "ends"))
+    found = found.unionByName(spans.select("block", F.lit(3).alias("kind"), F.lit(0).alias("bucket"), F.lit(None).cast("binary").alias("flags"), "docs", "starts", "ends"))
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def finish(table: pa.Table, other: pa.Table) -> pa.Table:
         out: dict[str, list] = {"n_bytes": [], "spans": [], "kept": []}
         runs = Runs(table) if table.num_rows else None
         if runs:
-            is_span = np.array(other.column("kind").to_pylist()) == 2
+            is_span = np.array(other.column("kind").to_pylist()) == 3
             known = _flags(other.filter(pa.array(~is_span, pa.bool_())) if len(is_span) else other)
             more = other.filter(pa.array(is_span, pa.bool_())) if len(is_span) else other
-            repeated = runs.repeated(known)
-            at = np.flatnonzero(repeated)[runs.covered(known, repeated)]
+            at = runs.divide(known)[0]
             cells = [np.concatenate([np.frombuffer(v, "<i8") for v in more.column(c).to_pylist()] or [np.zeros(0, np.int64)]) for c in ("docs", "starts", "ends")]
             doc, start, end = (np.concatenate([x, y]) for x, y in zip((runs.doc[at], runs.first[at], runs.last[at] + LENGTH), cells))
             order = np.lexsort((start, doc))
@@ -403,9 +440,14 @@ def remove_repeats(docs: DataFrame, finish: Callable[[DataFrame], DataFrame] = l
     blocks = spark.table(table)
     flags = materialise(repeated_grams(blocks, buckets), "grams")
     flags = flags.unionByName(materialise(covered_runs(blocks, flags, buckets), "runs"))
-    first = materialise(first_runs(blocks, flags, buckets), "first_runs")
-    hot = first.groupBy("gram").count().where(F.col("count") > hot_runs).select("gram")
-    spans = compare_runs(first.join(hot, "gram", "left_anti")).unionByName(compare_hot(first.join(hot, "gram", "left_semi")))
+    flags = flags.unionByName(materialise(contested_grams(blocks, flags, buckets), "contested"))
+    first = materialise(first_runs(blocks, flags), "first_runs")
+    size = first.agg(F.coalesce(F.sum(F.length("bytes").cast("long")), F.lit(0)).alias("n")).first().n
+    hot = materialise(first.groupBy("gram").count().where(F.col("count") > hot_runs).select("gram"), "hot")
+    if hot.isEmpty():
+        spans = compare_runs(first, 1 + size // RUN_BYTES)
+    else:
+        spans = compare_runs(first.join(hot, "gram", "left_anti"), 1 + size // RUN_BYTES).unionByName(compare_hot(first.join(hot, "gram", "left_semi")))
     out = materialise(finish(apply_spans(blocks, flags, materialise(spans, "spans"))), "result")
     spark.sql(f"DROP TABLE {table}")
     return out
