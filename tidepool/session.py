@@ -3,18 +3,19 @@
 Every job in this package takes a ``SparkSession`` and returns a DataFrame.  Jobs that
 must write something first (versioned tables, stream layers, stream checkpoints, lineage
 cuts) write it under ``work_dir(spark)``: a fresh sub-folder of the shared folder the
-cluster names in ``spark.checkpoint.dir``.  Only when that setting is missing (a bare
-local test session) do we fall back to a scratch folder of our own.
+cluster names in ``spark.checkpoint.dir``.  Only a local session without that setting gets a
+scratch folder of our own; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings applied to sessions built here.  Batch jobs run with AQE on (coalesce small
 # shuffle partitions, split skewed join partitions, demote joins to broadcast at run time
@@ -68,39 +69,42 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+_scratch: dict[str, str] = {}  # application -> folder of a local session without the setting
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only where none is set."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared checkpoint folder.  A scratch folder is made only where none is named and the
+    session is a local one; on a cluster every executor would write to its own disk."""
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not d:
-        d = tempfile.mkdtemp(prefix="tidepool-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {sc.master} share")
+        if sc.applicationId not in _scratch:
+            _scratch[sc.applicationId] = tempfile.mkdtemp(prefix="tidepool-ckpt-")
+        d = _scratch[sc.applicationId]
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder for one job run."""
-    root = ensure_checkpoint_dir(spark)
-    path = os.path.join(root, "tidepool", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = "/".join([ensure_checkpoint_dir(spark).rstrip("/"), "tidepool", f"{name}-{uuid.uuid4().hex[:12]}"])
     ensure_folder(spark, path)
     return path
 
 
-def ensure_folder(spark: SparkSession, path: str) -> None:
-    """Create a folder on whatever file system the path names (a file stream needs it)."""
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file://", "").replace("file:", ""), exist_ok=True)
-        return
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+def folder(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop for a path on whatever store it names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives the loss of an executor)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder through its own file system (a file stream needs it)."""
+    fs, p = folder(spark, path)
+    fs.mkdirs(p)
 
 
 def table_path(sf_dir: str, name: str) -> str:
