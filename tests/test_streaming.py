@@ -38,7 +38,7 @@ def _gold_of(spark, landing, max_files=None):
     src = spark.readStream.format("json").schema(READINGS_SCHEMA)
     if max_files:
         src = src.option("maxFilesPerTrigger", max_files)
-    return L.gold(L.silver_columns(src.load(landing)), "10 minutes", "15 minutes", "event_type")
+    return L.gold(L.silver_columns(src.load(landing)))
 
 
 def _window_1200(spark, out):
@@ -173,22 +173,115 @@ def test_append_without_watermark_is_refused(spark, scratch):
         L.drain(agg, f"{scratch}/o", f"{scratch}/ck", "no_wm")
 
 
-def test_rocksdb_dedup(spark, scratch):
-    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    control.use_rocksdb_state(spark)
-    try:
-        planned = plan_deliveries(read_table(spark, SF001, "events"))
-        from tidepool.streaming.replay import land
-
-        landing = f"{scratch}/landing"
-        land(planned, landing, 0)
-        land(planned, landing, 0)  # redelivered
-        silver = L.silver(L.bronze(spark, landing))
-        L.drain(silver, f"{scratch}/silver", f"{scratch}/ck", "rocks")
-        out = spark.read.parquet(f"{scratch}/silver")
-        assert out.count() == out.select("event_id").distinct().count() == planned.filter("delivery = 0").count()
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+def test_stream_session_uses_rocksdb_and_leaves_the_shared_settings(spark, scratch):
+    from tidepool.streaming.replay import land
+
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass")}
+    session = L.stream_session(spark, 3)
+    planned = plan_deliveries(read_table(spark, SF001, "events"))
+    landing = f"{scratch}/landing"
+    land(planned, landing, 0)
+    land(planned, landing, 0)  # redelivered
+    L.drain(L.silver(L.bronze(session, landing)), f"{scratch}/silver", f"{scratch}/ck", "rocks")
+    out = spark.read.parquet(f"{scratch}/silver")
+    assert out.count() == out.select("event_id").distinct().count() == planned.filter("delivery = 0").count()
+    assert "RocksDB" in session.conf.get("spark.sql.streaming.stateStore.providerClass")
+    assert len([d for d in os.listdir(f"{scratch}/ck/state/0") if d.isdigit()]) == 3
+    assert {k: spark.conf.get(k) for k in before} == before
+
+
+def test_composite_dedup_key(spark, scratch):
+    landing = f"{scratch}/landing"
+    os.makedirs(landing)
+    rows = [(1, "x", "12:00"), (1, "x", "12:00"), (1, "x", "12:01"), (2, "x", "12:00"), (1, "y", "12:00")]
+    with open(f"{landing}/a.json", "w") as f:
+        for i, (user, kind, t) in enumerate(rows):
+            f.write(json.dumps({"event_id": i, "event_time": f"2024-01-01T{t}:00", "user_id": user, "event_type": kind, "value": 1.0}) + "\n")
+    spec = L.LayerSpec(dedup_key=("user_id", "event_ts"))
+    L.drain(L.silver(L.bronze(spark, landing), spec), f"{scratch}/silver", f"{scratch}/ck", "composite")
+    assert spark.read.parquet(f"{scratch}/silver").count() == 3
+
+
+def test_progress_of_more_than_a_hundred_batches(spark, scratch):
+    landing = f"{scratch}/landing"
+    os.makedirs(landing)
+    for i in range(120):
+        _write_reading_file(landing, f"b{i:03d}.json", ["12:00"], time.time() - 500 + i)
+    source = L.bronze(spark, landing, max_files_per_trigger=1)
+    records = L.drain(source, f"{scratch}/out", f"{scratch}/ck", "many", metrics_dir=f"{scratch}/metrics")
+    assert len(records) == 120 and sum(r["numInputRows"] for r in records) == 120
+    assert spark.read.parquet(f"{scratch}/metrics").agg(F.sum("num_input_rows")).first()[0] == 120
+
+
+def test_bytes_bound_a_trigger(spark, scratch):
+    landing = f"{scratch}/landing"
+    os.makedirs(landing)
+    for i in range(6):
+        _write_reading_file(landing, f"b{i}.json", ["12:00"], time.time() - 100 + i)
+    size = os.path.getsize(f"{landing}/b0.json")
+    records = L.drain(L.bronze(spark, landing, max_bytes_per_trigger=2 * size), f"{scratch}/o", f"{scratch}/ck", "bytes")
+    assert [r["numInputRows"] for r in records if r["numInputRows"]] == [2, 2, 2]
+
+
+def _upsert(spark, target, rows, batch_id):
+    from tidepool.streaming.upsert import insert_new
+
+    df = spark.createDataFrame(rows, "device int, at timestamp, v int")
+    insert_new(target, ["device", "at"], "at")(df, batch_id)
+
+
+def test_upsert_identity(spark, scratch):
+    import datetime as dt
+
+    from tidepool.streaming.upsert import insert_new, quarantine_dir, read_target
+
+    t = [dt.datetime(2024, 1, 1, 12), dt.datetime(2024, 1, 2, 12)]
+    target = f"{scratch}/target"
+    first = [(1, t[0], 1), (None, t[0], 2), (2, None, 3), (1, t[0], 1)]
+    for batch in (0, 0, 1):  # run, replayed, redelivered in another batch
+        _upsert(spark, target, first, batch)
+    _upsert(spark, target, [(9, None, 7)], 2)  # a batch without any time
+    _upsert(spark, target, [(1, t[1], 5)], 3)  # the same device at another time is another reading
+    assert sorted(((r.device or 0), r.at) for r in read_target(spark, target).collect()) == [(0, t[0]), (1, t[0]), (1, t[1])]
+    held = spark.read.parquet(quarantine_dir(target))
+    assert held.where("batch = 0").count() == 1 and held.where("batch = 2").count() == 1
+    with pytest.raises(ValueError):
+        insert_new(target, ["device"], "at")
+
+
+def test_replayed_batch_of_the_failing_policy_writes_once(spark, scratch):
+    lines = spark.createDataFrame([(json.dumps({"event_id": 1, "value": 2.0}),)], "value string")
+    write = D.fail_on_unknown(f"{scratch}/sink")
+    write(lines, 0)
+    write(lines, 0)
+    assert spark.read.parquet(f"{scratch}/sink").count() == 1
+
+
+def test_unknown_field_error_names_every_field(spark, scratch):
+    lines = spark.createDataFrame([(json.dumps({f"new_{i:02d}": i}),) for i in range(45)], "value string")
+    with pytest.raises(D.UnknownFieldError) as e:
+        D.fail_on_unknown(f"{scratch}/sink")(lines, 0)
+    assert e.value.fields == [f"new_{i:02d}" for i in range(45)]
+
+
+def test_quarantine_holds_each_row_once(spark, scratch):
+    rows = D.rescue_columns(D.drift_lines(read_table(spark, SF001, "events"))).limit(200).persist()
+    sink = D.quarantine(f"{scratch}/good", f"{scratch}/bad")
+    sink(rows, 0)
+    sink(rows, 0)
+    good, bad = spark.read.parquet(f"{scratch}/good"), spark.read.parquet(f"{scratch}/bad")
+    assert good.count() + bad.count() == 200 and bad.where("_rescued_data IS NULL").count() == 0 < bad.count()
+    rows.unpersist()
+
+
+def test_incomplete_snapshot_is_not_read(spark, scratch):
+    from tidepool.streaming import modes
+
+    spark.range(3).write.parquet(f"{scratch}/s/batch=0")
+    spark.range(9).write.parquet(f"{scratch}/s/batch=1")
+    os.remove(f"{scratch}/s/batch=1/_SUCCESS".replace("file:", ""))
+    assert modes.latest_snapshot(spark, f"{scratch}/s").count() == 3
+    assert modes.latest_snapshot(spark, f"{scratch}/none") is None
 
 
 def test_query_control(spark, scratch):
@@ -231,17 +324,23 @@ def test_live_pipeline_with_listener(spark, scratch):
 
 def test_complete_and_update_modes_span_batches(spark):
     from tidepool.plans import streams as PS
+    from tidepool.streaming import modes
 
-    complete_dir, update_dir = PS._mode_run(spark, SF001)
-    snaps = spark.read.parquet(complete_dir).select("batch").distinct().count()
-    logs = spark.read.parquet(update_dir).select("batch").distinct().count()
-    assert snaps > 1 and logs > 1
-    # Every snapshot is a whole result: the last one has every key, earlier ones fewer rows.
-    latest = PS.complete_counts(spark, SF001)
-    assert latest.agg(F.sum("n")).first()[0] == 1000
+    for folder in PS._mode_run(spark, SF001):
+        kept = modes.snapshots(spark, folder)
+        assert len(kept) == modes.KEPT_SNAPSHOTS and kept[-1] >= 2  # several batches, old snapshots gone
+    assert PS.complete_counts(spark, SF001).agg(F.sum("n")).first()[0] == 1000
     assert PS.update_counts(spark, SF001).agg(F.sum("n")).first()[0] == 1000
 
 
+def test_accounting_scans_each_layer_once(spark, run):
+    from tidepool.plans.inspect import plan_text
+
+    text = plan_text(P.accounting(spark, run))
+    assert len([line for line in text.splitlines() if line.startswith("Location") and ("bronze" in line or "gold" in line)]) <= 2
+    assert P.accounting(spark, run).first().late_rows == 58
+
+
 def test_gold_stream_folds_hot_keys_before_the_state_shuffle(spark, scratch):
     from tidepool.plans.inspect import plan_text
 

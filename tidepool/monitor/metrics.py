@@ -7,7 +7,7 @@ partition is one query's batch history.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions.scalar import label_or_id, real_watermark
@@ -84,9 +84,11 @@ def late_drop_ratio(progress: DataFrame, window_seconds: int = 1800, page_ratio:
 
 
 def freshness(progress: DataFrame, now, trigger_seconds: float, factor: float = 3.0) -> DataFrame:
-    """A query is stale when its last batch is older than `factor` trigger intervals."""
+    """A query is stale when its last batch is older than `factor` trigger intervals at `now`
+    (a time or a column)."""
     last = progress.groupBy("query_name").agg(F.max("batch_timestamp").alias("last_batch"))
-    age = F.unix_timestamp(F.lit(now).cast("timestamp")) - F.unix_timestamp("last_batch")
+    at = now if isinstance(now, Column) else F.lit(now)
+    age = F.unix_timestamp(at.cast("timestamp")) - F.unix_timestamp("last_batch")
     return last.select("query_name", "last_batch", age.alias("age_seconds"),
                        (age > factor * trigger_seconds).alias("stale"))
 

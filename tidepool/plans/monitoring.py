@@ -1,30 +1,59 @@
-"""Catalogue queries for monitoring (G5), stream state and logs, and the upsert sink.
+"""Catalogue queries for monitoring (G5), stream state, and the upsert sink.
 
-All of them run on the pipeline of `tidepool.plans.streams` (the replay of `events`):
-its progress records become the metrics table (M1), its checkpoints are read back as rows.
+The monitoring views read the 15-column metrics table (M1).  `metrics_table` derives one from
+`events` by integer rules, an event type standing for a query and ten minutes for a batch, so the
+views are checked row by row and their work grows with the table.  `stream_totals` and `state_rows`
+read the progress and the state of the pipeline of `tidepool.plans.streams` itself.
 """
 
 from __future__ import annotations
 
-import threading
-
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions.scalar import to_ntz
 from tidepool.monitor import metrics as M
-from tidepool.monitor.progress import progress_rows
+from tidepool.monitor.progress import PROGRESS_SCHEMA, progress_rows
+from tidepool.operators.layout import list_files
+from tidepool.plans.memo import built_once
 from tidepool.plans.streams import CLASSIFIED_SQL, REDELIVERED, medallion
 from tidepool.session import work_dir
+from tidepool.sources.tables import read_events
 from tidepool.streaming import checkpoint as C
 from tidepool.streaming import layers as L
-from tidepool.streaming.replay import READINGS_SCHEMA
 from tidepool.streaming.upsert import read_target, run_upsert
 
-
-def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+BATCH_SECONDS = 600
+ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+
+
+def metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 layout over `events`: one row per event type (query) and ten minutes (batch)."""
+    ev = read_events(spark, sf_dir)
+    one_in = lambda n: F.count_if(F.col("event_id") % n == 0)
+    per = ev.groupBy("event_type", F.window("ts", f"{BATCH_SECONDS} seconds").start.alias("at")).agg(
+        F.count("*").alias("n"), one_in(13).alias("late"), one_in(17).alias("again"), one_in(3).alias("slow"), F.count_distinct("user_id").alias("users"))
+    first = ev.agg(F.floor(F.unix_timestamp(F.min("ts")) / BATCH_SECONDS)).scalar()
+    batch = F.floor(F.unix_timestamp("at") / BATCH_SECONDS) - first
+    trigger = 500 + F.col("n") % 700
+    epoch = F.lit("1970-01-01T00:00:00.000Z")
+    mark = F.when(batch == 0, epoch).otherwise(F.date_format(F.col("at") - F.expr("INTERVAL 15 MINUTES"), ISO_MILLIS))
+    columns = {
+        "logged_at": F.col("at") + F.expr(f"INTERVAL {BATCH_SECONDS} SECONDS"),
+        "query_name": F.when(F.length("event_type") % 2 == 0, F.col("event_type")), "query_id": F.md5(F.col("event_type").cast("binary")),
+        "run_id": F.lit("run"), "batch_id": batch, "batch_timestamp": F.col("at"), "num_input_rows": F.col("n"),
+        "input_rows_per_sec": F.col("n") / 10.0, "processed_rows_per_sec": (F.col("n") - F.col("slow")) / 6.0,
+        "trigger_ms": trigger, "add_batch_ms": trigger - 100, "watermark": mark, "state_rows": F.col("users"),
+        "rows_dropped_by_watermark": F.col("late"), "duplicates_dropped": F.col("again"),
+    }
+    return M.labelled(per.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in PROGRESS_SCHEMA.fields]))
+
+
+def _zoneless(df: DataFrame) -> DataFrame:
+    return df.withColumns({f.name: to_ntz(f.name) for f in df.schema.fields if f.dataType.typeName() == "timestamp"})
+
+
+def pipeline_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1: one metrics row per micro-batch of the pipeline; query name = layer."""
     run = medallion(spark, sf_dir)
     p = M.labelled(progress_rows(spark, run.progress))
@@ -32,45 +61,40 @@ def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4: input rows per layer (deterministic part of the totals)."""
-    t = M.totals(progress(spark, sf_dir))
+    """M4: input rows per layer of the pipeline, from the progress of its micro-batches."""
+    t = M.totals(pipeline_progress(spark, sf_dir))
     return t.select(F.col("query_name").alias("layer"), "input_rows")
 
 
 def stream_totals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4: batches, input rows, last batch duration, dropped rows per layer."""
-    return M.totals(progress(spark, sf_dir))
+    """Batches, input rows, last batch duration, dropped rows per query."""
+    return M.totals(metrics_table(spark, sf_dir))
 
 
 def backlog_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Backlog over the last five batches and sustained backlog."""
-    return M.backlog(progress(spark, sf_dir))
+    return M.backlog(metrics_table(spark, sf_dir))
 
 
 def rate_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates in long form."""
-    return M.rate_series(progress(spark, sf_dir))
+    return _zoneless(M.rate_series(metrics_table(spark, sf_dir)))
 
 
 def watermark_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Watermark, state rows and drops over time."""
-    return M.watermark_series(progress(spark, sf_dir))
+    return _zoneless(M.watermark_series(metrics_table(spark, sf_dir)))
 
 
 def late_drop_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trailing 30-minute late-drop ratio with page and ticket flags."""
-    return M.late_drop_ratio(progress(spark, sf_dir))
+    return _zoneless(M.late_drop_ratio(metrics_table(spark, sf_dir)))
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staleness of each layer against the time of the check (10 s trigger)."""
-    now = dt.datetime.now(dt.timezone.utc)
-    return M.freshness(progress(spark, sf_dir), now, trigger_seconds=10)
-
-
-def checkpoint_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The gold query's checkpoint logs as rows."""
-    return C.checkpoint_rows(spark, medallion(spark, sf_dir).checkpoint("gold"))
+    """Staleness of each query at the time of the newest event (10-minute trigger)."""
+    now = read_events(spark, sf_dir).agg(F.max("ts")).scalar()
+    return _zoneless(M.freshness(metrics_table(spark, sf_dir), now, trigger_seconds=BATCH_SECONDS, factor=1.0))
 
 
 def state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,30 +104,34 @@ def state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("key.event_type").alias("event_type"))
 
 
-_lock = threading.RLock()  # one build per session and input, even with concurrent callers
-_upserts: dict[tuple[str, str], str] = {}
-
-
 def upsert_not_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pipeline's landing folder (one delivery redelivered) upserted by event id,
-    then the whole landing replayed once more through a fresh checkpoint: nothing doubles."""
-    k = (spark.sparkContext.applicationId, sf_dir)
-    with _lock:
-        if k not in _upserts:
-            run = medallion(spark, sf_dir)
-            root = work_dir(spark, "upsert")
-            target = f"{root}/target"
-            for attempt in ("first", "replay"):
-                src = (spark.readStream.format("json").schema(READINGS_SCHEMA).option("maxFilesPerTrigger", 2)
-                       .load(run.landing))
-                typed = L.silver_columns(src)
-                run_upsert(typed, target, f"{root}/_checkpoints/{attempt}", ["event_id"], "event_ts",
-                           name=f"upsert_{attempt}")
-            _upserts[k] = target
-    t = read_target(spark, _upserts[k])
+    """The pipeline's landing folder (one delivery redelivered) upserted by event id and time in
+    batches of about a third of its bytes, then the whole landing replayed once more through a
+    fresh checkpoint: nothing doubles."""
+
+    def build() -> str:
+        run = medallion(spark, sf_dir)
+        session = L.stream_session(spark)
+        root = work_dir(spark, "upsert")
+        held = list_files(spark, run.landing, "*.json").agg(F.sum("file_bytes")).first()[0] or 0
+        for attempt in ("first", "replay"):
+            src = L.bronze(session, run.landing, max_bytes_per_trigger=max(1, held // 3)).drop(L.SOURCE, L.INGESTED)
+            run_upsert(L.silver_columns(src), f"{root}/target", f"{root}/_checkpoints/{attempt}", ["event_id", "event_ts"], "event_ts",
+                       name=f"upsert_{attempt}")
+        return f"{root}/target"
+
+    t = read_target(spark, built_once(spark, sf_dir, "upsert", ("events",), build))
     return t.select("event_id", "user_id", "event_type", to_ntz("event_ts").alias("event_ts"), "value")
 
 
+_METRICS = f"""WITH g AS (
+  SELECT event_type, time_bucket(INTERVAL {BATCH_SECONDS} SECOND, ts) AS t, count(*) AS n, count(*) FILTER (event_id % 13 = 0) AS late,
+         count(*) FILTER (event_id % 17 = 0) AS again, count(*) FILTER (event_id % 3 = 0) AS slow, count(DISTINCT user_id) AS users
+  FROM events GROUP BY 1, 2),
+p AS (SELECT CASE WHEN length(event_type) % 2 = 0 THEN event_type ELSE 'unnamed-' || left(md5(event_type), 8) END AS query_name,
+             CAST(epoch(t) AS BIGINT) // {BATCH_SECONDS} - (SELECT CAST(floor(epoch(min(ts))) AS BIGINT) // {BATCH_SECONDS} FROM events) AS batch_id,
+             t AS batch_timestamp, n, n / 10.0::DOUBLE AS i, (n - slow) / 6.0::DOUBLE AS o, 500 + n % 700 AS trigger_ms, late, again, users FROM g)"""
+
 MONITORING_SQL = {
     "stream_totals": f"""
 WITH n AS (SELECT count(*) AS rows FROM events),
@@ -115,5 +143,39 @@ UNION ALL SELECT 'silver', (SELECT rows FROM n) + (SELECT rows FROM d)
 UNION ALL SELECT 'gold', (SELECT rows FROM n)
 """,
     "state_rows": f"{CLASSIFIED_SQL} SELECT DISTINCT window_start, window_end, event_type FROM c WHERE open",
+    "stream_totals_full": f"""{_METRICS}
+SELECT query_name, count(*) AS batches, sum(n)::BIGINT AS input_rows, arg_max(trigger_ms, batch_id) AS last_batch_ms, sum(late)::BIGINT AS dropped_rows
+FROM p GROUP BY 1
+""",
+    "backlog_alert": f"""{_METRICS},
+l AS (SELECT query_name, avg(i) AS avg_input_rate, avg(o) AS avg_processed_rate
+      FROM (SELECT *, row_number() OVER (PARTITION BY query_name ORDER BY batch_id DESC) AS k FROM p) WHERE k <= 5 GROUP BY 1),
+s AS (SELECT *, sum(CASE WHEN i > o THEN 0 ELSE 1 END) OVER (PARTITION BY query_name ORDER BY batch_id) AS run FROM p),
+r AS (SELECT query_name, max(m) AS m FROM (SELECT query_name, run, (epoch(max(batch_timestamp)) - epoch(min(batch_timestamp))) / 60.0 AS m
+      FROM s WHERE i > o GROUP BY 1, 2) GROUP BY 1)
+SELECT query_name, avg_input_rate, avg_processed_rate, avg_input_rate > avg_processed_rate AS backlog,
+       coalesce(m, 0.0)::DOUBLE AS longest_backlog_minutes, coalesce(m >= 10, false) AS sustained_backlog
+FROM l LEFT JOIN r USING (query_name)
+""",
+    "rate_series": f"""{_METRICS}
+SELECT query_name, batch_id, batch_timestamp, 'input' AS rate, i AS rows_per_sec FROM p
+UNION ALL SELECT query_name, batch_id, batch_timestamp, 'processed', o FROM p
+""",
+    "watermark_series": f"""{_METRICS}
+SELECT query_name, batch_id, batch_timestamp, CASE WHEN batch_id > 0 THEN batch_timestamp - INTERVAL 15 MINUTE END AS watermark,
+       users AS state_rows, again AS duplicates_dropped, late AS rows_dropped_by_watermark FROM p
+""",
+    "late_drop_ratio": f"""{_METRICS},
+w AS (SELECT *, sum(late) OVER t AS d, sum(n) OVER t AS r, sum(late) OVER (PARTITION BY query_name, batch_timestamp::DATE) AS today FROM p
+      WINDOW t AS (PARTITION BY query_name ORDER BY batch_timestamp RANGE BETWEEN INTERVAL 30 MINUTE PRECEDING AND CURRENT ROW))
+SELECT query_name, batch_id, batch_timestamp, d::BIGINT AS dropped_30m, r::BIGINT AS input_30m, d::DOUBLE / nullif(r, 0) AS drop_ratio,
+       coalesce(d::DOUBLE / nullif(r, 0) > 0.01, false) AS page, today > 0 AS ticket FROM w
+""",
+    "freshness": f"""{_METRICS}
+SELECT query_name, max(batch_timestamp) AS last_batch,
+       CAST(floor(epoch((SELECT max(ts) FROM events))) AS BIGINT) - CAST(epoch(max(batch_timestamp)) AS BIGINT) AS age_seconds,
+       CAST(floor(epoch((SELECT max(ts) FROM events))) AS BIGINT) - CAST(epoch(max(batch_timestamp)) AS BIGINT) > {BATCH_SECONDS} AS stale
+FROM p GROUP BY 1
+""",
     "upsert_not_matched": "SELECT event_id, user_id, event_type, ts AS event_ts, value FROM events",
 }

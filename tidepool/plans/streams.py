@@ -1,34 +1,32 @@
 """Catalogue queries over the streaming pipeline (G4) run on a replay of `events`.
 
 The pipeline (bronze -> silver -> gold, four deliveries, delivery 1 redelivered) runs once
-per session and input folder; each query reads one of its layers back as a table.
+per application and state of the input; each query reads one of its layers back as a table.
 """
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions.scalar import rounded, to_ntz
+from tidepool.monitor.metrics import lag_alert as alert
 from tidepool.operators.aggregate import ranked_percentiles
+from tidepool.operators.layout import list_files
+from tidepool.plans.memo import built_once
+from tidepool.session import work_dir
 from tidepool.sources.tables import read_events
+from tidepool.streaming import modes
 from tidepool.streaming import pipeline as P
-from tidepool.streaming.layers import GOLD_DELAY, GOLD_WINDOW
+from tidepool.streaming.layers import GOLD_DELAY, GOLD_WINDOW, layer_source, stream_session
 from tidepool.streaming.replay import LATE_MOD, N_DELIVERIES
 
 REDELIVERED = 1
-_lock = threading.RLock()  # one build per session and input, even with concurrent callers
-_runs: dict[tuple[str, str], P.MedallionRun] = {}
 
 
 def medallion(spark: SparkSession, sf_dir: str) -> P.MedallionRun:
-    with _lock:
-        k = (spark.sparkContext.applicationId, sf_dir)
-        if k not in _runs:
-            _runs[k] = P.run_medallion(spark, read_events(spark, sf_dir), redeliver=REDELIVERED)
-        return _runs[k]
+    return built_once(spark, sf_dir, "medallion", ("events",),
+                      lambda: P.run_medallion(spark, read_events(spark, sf_dir), redeliver=REDELIVERED))
 
 
 def bronze_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,50 +72,41 @@ def lag_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lag_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M9: ticket per event type when the p99 ingestion lag exceeds 80 % of the watermark delay."""
-    from tidepool.monitor.metrics import lag_alert as alert
-
     delay_s = int(GOLD_DELAY.split()[0]) * 60
     return alert(lag_percentiles(spark, sf_dir).select("event_type", "p99"), delay_s)
 
 
-_modes: dict[tuple[str, str], tuple[str, str]] = {}
-
-
 def _mode_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Running counts per event type over the silver layer, drained in complete and in
-    update mode (four files per micro-batch, so several batches)."""
-    from tidepool.session import work_dir
-    from tidepool.streaming import modes
-    from tidepool.streaming.layers import layer_source
-
-    k = (spark.sparkContext.applicationId, sf_dir)
-    with _lock:
-        if k not in _modes:
-            run = medallion(spark, sf_dir)
-            schema = P.read_layer(spark, run.silver_dir).schema
-            root = work_dir(spark, "modes")
-            for mode in ("complete", "update"):
-                src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(run.silver_dir)
-                counts = modes.running_counts(src, "event_type")
-                drain = modes.drain_complete if mode == "complete" else modes.drain_update
-                drain(counts, f"{root}/{mode}", f"{root}/_checkpoints/{mode}", name=f"counts_{mode}",
-                      state_partitions=2)
-            _modes[k] = (f"{root}/complete", f"{root}/update")
-        return _modes[k]
+    """Running counts per event type over the silver layer, drained in complete and in update mode
+    (a trigger takes about a quarter of the layer's bytes, so there are several batches)."""
+
+    def build() -> tuple[str, str]:
+        run = medallion(spark, sf_dir)
+        held = list_files(spark, run.silver_dir).agg(F.sum("file_bytes")).first()[0] or 0
+        session = stream_session(spark, P.state_partitions_for(P.read_layer(spark, run.silver_dir).count()))
+        schema = P.read_layer(spark, run.silver_dir).schema
+        root = work_dir(spark, "modes")
+        for mode in ("complete", "update"):
+            src = layer_source(session, run.silver_dir, schema, max(1, held // 4))
+            counts = modes.running_counts(src, "event_type")
+            where = f"{root}/{mode}", f"{root}/_checkpoints/{mode}"
+            if mode == "complete":
+                modes.drain_complete(counts, *where, name="counts_complete")
+            else:
+                modes.drain_update(counts, *where, keys=["event_type"], name="counts_update")
+        return f"{root}/complete", f"{root}/update"
+
+    return built_once(spark, sf_dir, "modes", ("events",), build)
 
 
 def complete_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complete mode, the newest snapshot of the running counts."""
-    from tidepool.streaming.modes import latest_snapshot
-
-    return latest_snapshot(spark, _mode_run(spark, sf_dir)[0])
+    return modes.latest_snapshot(spark, _mode_run(spark, sf_dir)[0])
 
 
 def update_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Update mode, the current table rebuilt from the change log."""
-    from tidepool.streaming.modes import current_from_log
-
-    return current_from_log(spark, _mode_run(spark, sf_dir)[1], ["event_type"])
+    """Update mode, the table that every batch was upserted into."""
+    return modes.latest_snapshot(spark, _mode_run(spark, sf_dir)[1])
 
 
 def event_vs_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepool.operators.projection import split_good_bad as split
 from tidepool.session import ensure_folder
 
 DRIFT_SCHEMA = T.StructType([
@@ -64,17 +65,18 @@ def policy_none(spark: SparkSession, landing_dir: str) -> DataFrame:
 
 
 def rescue_columns(raw: DataFrame, schema: T.StructType = DRIFT_SCHEMA, line: str = "value") -> DataFrame:
-    """T7 on any DataFrame with a raw JSON `line` column: parsed fields + `_rescued_data` + reason."""
+    """T7 on any DataFrame with a raw JSON `line` column: parsed fields + `_rescued_data` + reason.
+
+    The line is parsed twice: into the schema, and into a map of raw strings, which tells unknown
+    names and values that were there but did not fit their type."""
     known = [f.name for f in schema.fields]
-    keys = F.json_object_keys(F.col(line))
-    parsed = F.from_json(F.col(line), schema)
-    unknown = F.size(F.array_except(keys, F.array(*[F.lit(k) for k in known]))) > 0
-    bad_type = F.lit(False)
-    for f in schema.fields:
-        raw_v = F.get_json_object(F.col(line), f"$.{f.name}")
-        bad_type = bad_type | (raw_v.isNotNull() & F.col("_p")[f.name].isNull())
-    reason = (F.when(keys.isNull(), "not_json").when(unknown, "unknown_field").when(bad_type, "bad_type"))
-    return (raw.withColumn("_p", parsed).withColumn("_reason", reason)
+    both = raw.withColumns({"_p": F.from_json(F.col(line), schema), "_raw": F.from_json(F.col(line), "map<string,string>")})
+    unknown = F.size(F.array_except(F.map_keys("_raw"), F.array(*[F.lit(k) for k in known]))) > 0
+    misfit = F.lit(False)
+    for k in known:
+        misfit = misfit | (F.col("_raw")[k].isNotNull() & F.col("_p")[k].isNull())
+    reason = F.when(F.json_object_keys(F.col(line)).isNull(), "not_json").when(unknown, "unknown_field").when(misfit, "bad_type")
+    return (both.withColumn("_reason", reason)
             .select(*[F.col("_p")[k].alias(k) for k in known],
                     F.when(F.col("_reason").isNotNull(), F.col(line)).alias(RESCUED),
                     F.col("_reason").alias("rescue_reason")))
@@ -87,27 +89,48 @@ def policy_rescue(spark: SparkSession, landing_dir: str) -> DataFrame:
 
 
 class UnknownFieldError(RuntimeError):
-    pass
+    """Names every field that the reader's schema lacks."""
+
+    def __init__(self, batch_id: int, fields: list[str]):
+        self.fields = fields
+        super().__init__(f"micro-batch {batch_id} carries {len(fields)} field(s) outside the schema: {', '.join(fields)}")
 
 
 def fail_on_unknown(sink_dir: str, schema: T.StructType = DRIFT_SCHEMA, line: str = "value"):
-    """A foreachBatch function that appends parsed rows, or raises before writing when a
-    line carries a field the schema does not know (the batch is then not committed)."""
-    known = [f.name for f in schema.fields]
+    """A foreachBatch function that refuses a batch with unknown fields, before anything is
+    written.  Each batch has its own folder, so a batch that runs again replaces its own rows."""
+    known = {f.name for f in schema.fields}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parsed = batch.select(F.from_json(F.col(line), "map<string,string>").alias("raw"),
+                              F.from_json(F.col(line), schema).alias("row")).persist()
+        try:
+            names = parsed.select(F.explode(F.map_keys("raw")).alias("name")).groupBy("name").agg(F.count("*").alias("lines"))
+            surplus = sorted(r.name for r in names.where(~F.col("name").isin(list(known))).collect())  # distinct names only
+            if surplus:
+                raise UnknownFieldError(batch_id, surplus)
+            parsed.select("row.*").write.mode("overwrite").parquet(f"{sink_dir}/batch={batch_id}")
+        finally:
+            parsed.unpersist()
+
+    return write
+
+
+def quarantine(good_dir: str, bad_dir: str):
+    """A foreachBatch function that sends every row of `rescue_columns` to one of two tables:
+    complete rows to `good_dir`, all others, raw line and reason included, to `bad_dir`."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        keys = F.json_object_keys(F.col(line))
-        unknown = batch.select(F.explode(F.array_except(keys, F.array(*[F.lit(k) for k in known]))).alias("k"))
-        found = [r[0] for r in unknown.distinct().limit(20).collect()]
-        if found:
-            raise UnknownFieldError(f"batch {batch_id}: unknown field(s) {sorted(found)}; widen the schema and restart")
-        (batch.select(F.from_json(F.col(line), schema).alias("r")).select("r.*")
-         .write.mode("append").parquet(sink_dir))
+        rows = batch.persist()
+        try:
+            for part, to in zip(split_good_bad(rows), (good_dir, bad_dir)):
+                part.write.mode("overwrite").parquet(f"{to}/batch={batch_id}")
+        finally:
+            rows.unpersist()
 
     return write
 
 
 def split_good_bad(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows (parsed, nothing rescued) and the quarantine; each row on one side."""
-    good = F.coalesce(F.col(RESCUED).isNull() & F.col("event_id").isNotNull(), F.lit(False))
-    return rows.filter(good), rows.filter(~good)
+    return split(rows, F.col(RESCUED).isNull() & F.col("event_id").isNotNull())

@@ -1,26 +1,22 @@
 """The complete and update output modes, for sinks that are folders of Parquet files.
 
-File sinks accept append only, so the other two modes go through `foreachBatch`:
-
-* complete -- every micro-batch emits the whole result; it is written as its own snapshot
-  folder `batch=<id>` and readers take the newest complete snapshot, so a reader never
-  sees a half-replaced table;
-* update   -- every micro-batch emits only the rows whose aggregate changed; they are
-  appended to a change log with their batch id, and the current table is the latest row
-  per key (a mergeable `max(struct(batch_id, ...))`, so a hot key is folded map-side).
-
-Both are idempotent per batch id: a replayed batch rewrites the same snapshot, or appends
-rows that the latest-per-key view collapses.
+File sinks accept append only, so both modes go through `foreachBatch` into snapshot folders
+`batch=<id>`: complete mode writes the whole result it is handed; update mode is handed the rows
+that changed and upserts them into the snapshot before.  Readers take the newest snapshot that
+is complete (it has `_SUCCESS`), so neither a half-written one nor one that a replayed batch is
+writing anew is ever read.  The two newest are kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.operators.aggregate import latest_per_key
+from tidepool.session import folder
+
+KEPT_SNAPSHOTS = 2
 
 
 def running_counts(stream: DataFrame, key: str) -> DataFrame:
@@ -28,52 +24,54 @@ def running_counts(stream: DataFrame, key: str) -> DataFrame:
     return stream.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _run(df: DataFrame, fn, checkpoint_dir: str, mode: str, name: str, state_partitions: int | None) -> None:
-    spark = df.sparkSession
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    if state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        q = (df.writeStream.outputMode(mode).foreachBatch(fn).queryName(name)
-             .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
-        q.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-    if q.exception() is not None:
-        raise RuntimeError(f"stream {name} failed: {q.exception()}")
+def snapshots(spark: SparkSession, target_dir: str) -> list[int]:
+    """Batch ids of the complete snapshots, oldest first (a few folder names)."""
+    fs, root = folder(spark, target_dir)
+    if not fs.exists(root):
+        return []
+    names = [s.getPath() for s in fs.listStatus(root) if s.isDirectory() and s.getPath().getName().startswith("batch=")]
+    jvm = spark.sparkContext._jvm
+    return sorted(int(p.getName()[6:]) for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
 
 
-def drain_complete(df: DataFrame, target_dir: str, checkpoint_dir: str, name: str = "complete",
-                   state_partitions: int | None = None) -> None:
-    """Complete mode: one snapshot folder per micro-batch."""
+def latest_snapshot(spark: SparkSession, target_dir: str, before: int | None = None) -> DataFrame | None:
+    """The newest complete snapshot (of a batch before `before`), or None."""
+    ids = [b for b in snapshots(spark, target_dir) if before is None or b < before]
+    return spark.read.parquet(f"{target_dir}/batch={ids[-1]}") if ids else None
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target_dir}/batch={batch_id}")
-
-    _run(df, write, checkpoint_dir, "complete", name, state_partitions)
 
+def _drain(df: DataFrame, target_dir: str, checkpoint_dir: str, mode: str, name: str,
+           result: Callable[[DataFrame, int], DataFrame]) -> None:
+    spark = df.sparkSession
 
-def latest_snapshot(spark: SparkSession, target_dir: str) -> DataFrame:
-    """The newest complete snapshot (partition pruning reads only that folder)."""
-    snaps = spark.read.parquet(target_dir)
-    newest = snaps.agg(F.max("batch")).first()[0]
-    return snaps.filter(F.col("batch") == newest).drop("batch")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        result(batch, batch_id).write.mode("overwrite").parquet(f"{target_dir}/batch={batch_id}")
+        fs, _ = folder(spark, target_dir)
+        for old in snapshots(spark, target_dir)[:-KEPT_SNAPSHOTS]:
+            fs.delete(folder(spark, f"{target_dir}/batch={old}")[1], True)
+
+    q = (df.writeStream.outputMode(mode).foreachBatch(write).queryName(name)
+         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream {name} failed: {q.exception()}")
 
 
-def drain_update(df: DataFrame, log_dir: str, checkpoint_dir: str, name: str = "update",
-                 state_partitions: int | None = None) -> None:
-    """Update mode: changed rows appended to a log, tagged with their batch id."""
+def drain_complete(df: DataFrame, target_dir: str, checkpoint_dir: str, name: str = "complete") -> None:
+    """Complete mode: every micro-batch is the whole result."""
+    _drain(df, target_dir, checkpoint_dir, "complete", name, lambda batch, _: batch)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # Replays of a batch id overwrite that batch's own folder: no duplicates.
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite") \
-            .parquet(f"{log_dir}/batch={batch_id}")
 
-    _run(df, write, checkpoint_dir, "update", name, state_partitions)
+def drain_update(df: DataFrame, target_dir: str, checkpoint_dir: str, keys: Sequence[str], name: str = "update") -> None:
+    """Update mode: the changed rows of a micro-batch replace those of the same keys."""
+    keys = list(keys)
 
+    def upserted(batch: DataFrame, batch_id: int) -> DataFrame:
+        before = latest_snapshot(df.sparkSession, target_dir, batch_id)
+        if before is None:
+            return batch
+        new = batch.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+        kept = before.join(new, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys], "left_anti")
+        return kept.unionByName(batch)
 
-def current_from_log(spark: SparkSession, log_dir: str, keys: Sequence[str]) -> DataFrame:
-    """The current table of an update-mode log: per key, the row of the latest batch."""
-    log = spark.read.parquet(log_dir).drop("batch")
-    values = [c for c in log.columns if c not in (*keys, "batch_id")]
-    return latest_per_key(log, list(keys), ["batch_id"], values).drop("batch_id")
+    _drain(df, target_dir, checkpoint_dir, "update", name, upserted)

@@ -27,13 +27,11 @@ from tidepool.streaming.replay import LATE_MOD, N_DELIVERIES, land, plan_deliver
 ROWS_PER_STATE_PARTITION = 1_000_000
 
 
-def state_partitions_for(spark: SparkSession, rows_per_batch: int) -> int:
-    """State store partitions for a stateful stream: about ROWS_PER_STATE_PARTITION input
-    rows per partition per micro-batch, at least 2, at most the session's shuffle
-    partitions.  Streaming has no adaptive coalescing and the number is fixed at the first
-    start, so it is sized from the expected volume instead."""
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(most, -(-rows_per_batch // ROWS_PER_STATE_PARTITION)))
+def state_partitions_for(rows_per_batch: int) -> int:
+    """State store partitions for a stateful stream: one per ROWS_PER_STATE_PARTITION input rows of
+    a micro-batch, at least 2.  Streaming has no adaptive coalescing and the number is fixed at
+    the first start, so it is sized from the expected volume."""
+    return max(2, -(-rows_per_batch // ROWS_PER_STATE_PARTITION))
 
 
 @dataclass
@@ -71,19 +69,13 @@ def run_medallion(spark: SparkSession, events: DataFrame, root: str | None = Non
     planned = spark.read.parquet(plan_dir)
     if state_partitions is None:
         biggest = planned.groupBy("delivery").count().agg(F.max("count")).first()[0] or 0
-        state_partitions = state_partitions_for(spark, biggest)
-
-    b_stream = L.bronze(spark, run.landing)
-    s_stream = L.silver(L.layer_source(spark, run.bronze_dir, b_stream.schema))
-    g_stream = L.gold(L.layer_source(spark, run.silver_dir, s_stream.schema), window, delay, key)
+        state_partitions = state_partitions_for(biggest)
+    streams = layer_streams(L.stream_session(spark, state_partitions), run)
 
     def drain_all(tag: str, layers=("bronze", "silver", "gold")) -> None:
-        for name, df, out in (("bronze", b_stream, run.bronze_dir), ("silver", s_stream, run.silver_dir),
-                              ("gold", g_stream, run.gold_dir)):
-            if name not in layers:
-                continue
-            parts = state_partitions if name in ("silver", "gold") else None
-            for p in L.drain(df, out, run.checkpoint(name), f"{name}_{tag}", state_partitions=parts):
+        for name in layers:
+            df, out = streams[name]
+            for p in L.drain(df, out, run.checkpoint(name), f"{name}_{tag}"):
                 p["layer"] = name
                 run.progress.append(p)
 
@@ -97,6 +89,15 @@ def run_medallion(spark: SparkSession, events: DataFrame, root: str | None = Non
     return run
 
 
+def layer_streams(session: SparkSession, run: MedallionRun, max_bytes_per_trigger: int | None = None) -> dict[str, tuple[DataFrame, str]]:
+    """The three layers as unstarted streams of `session`, each with its folder."""
+    spec = L.LayerSpec(window=run.window, delay=run.delay, group_by=(run.key,))
+    b = L.bronze(session, run.landing, max_bytes_per_trigger=max_bytes_per_trigger)
+    s = L.silver(L.layer_source(session, run.bronze_dir, b.schema, max_bytes_per_trigger), spec)
+    g = L.gold(L.layer_source(session, run.silver_dir, s.schema, max_bytes_per_trigger), spec)
+    return {"bronze": (b, run.bronze_dir), "silver": (s, run.silver_dir), "gold": (g, run.gold_dir)}
+
+
 def read_layer(spark: SparkSession, layer_dir: str) -> DataFrame:
     """A layer folder read as a table (only files committed by the stream's log)."""
     return spark.read.parquet(layer_dir)
@@ -152,47 +153,47 @@ def gold_twin(silver: DataFrame, window: str = L.GOLD_WINDOW, delay: str = L.GOL
                  F.max("value").alias("max_value")))
 
 
-def accounting(spark: SparkSession, run: MedallionRun) -> DataFrame:
-    """Bronze, silver, duplicates, gold, open and late rows in one row.
+def silver_windows(spark: SparkSession, run: MedallionRun) -> DataFrame:
+    """Silver rows per window and key, and whether the window was still open at the end: it ends
+    after the final watermark (greatest event time less the delay).  One scan of silver; the
+    table of windows is written, because the watermark is a maximum over it."""
+    rows = read_layer(spark, run.silver_dir)
+    per = rows.groupBy(F.window("event_ts", run.window).alias("w"), run.key).agg(
+        F.count(F.lit(1)).alias("silver_rows"), F.max("event_ts").alias("newest"))
+    path = f"{work_dir(spark, 'windows')}/silver"
+    per.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), run.key, "silver_rows", "newest").write.parquet(path)
+    per = spark.read.parquet(path)
+    final = per.agg(F.max("newest") - F.expr(f"INTERVAL {run.delay}")).scalar()
+    return per.withColumn("open", F.col("window_end") > final).drop("newest")
 
-    silver - gold = open + late, and bronze - silver = duplicates (+ invalid rows).
-    """
-    bronze = read_layer(spark, run.bronze_dir)
-    silver = read_layer(spark, run.silver_dir)
-    gold = read_layer(spark, run.gold_dir)
-    rows = classify_rows(silver, run.window, run.delay)
-    # One row per layer count, folded into one row by an aggregate: no join needed.
-    parts = (("bronze_rows", bronze.select(F.lit(0).alias("_l"), F.lit(1).alias("_n"))),
-             ("silver_rows", rows.select(F.lit(1).alias("_l"), F.lit(1).alias("_n"))),
-             ("open_rows", rows.select(F.lit(2).alias("_l"), F.col("open").cast("int").alias("_n"))),
-             ("late_rows", rows.select(F.lit(3).alias("_l"), F.col("late").cast("int").alias("_n"))),
-             ("gold_rows", gold.select(F.lit(4).alias("_l"), F.col("readings").alias("_n"))))
-    u = parts[0][1]
-    for _, p in parts[1:]:
-        u = u.unionByName(p)
-    agg = u.agg(*[F.coalesce(F.sum(F.when(F.col("_l") == i, F.col("_n"))), F.lit(0)).cast("long").alias(name)
-                  for i, (name, _) in enumerate(parts)])
-    return agg.select("bronze_rows", "silver_rows", (F.col("bronze_rows") - F.col("silver_rows")).alias("duplicates"),
-                      "gold_rows", "open_rows", "late_rows")
+
+def accounting(spark: SparkSession, run: MedallionRun) -> DataFrame:
+    """Bronze, silver, duplicates, gold, open and late rows in one row, each measured:
+    open rows stand in open windows, late rows are closed silver rows that gold lacks, and
+    bronze - silver = duplicates (+ invalid rows)."""
+    bronze = read_layer(spark, run.bronze_dir).agg(F.count(F.lit(1))).scalar()
+    gold = read_layer(spark, run.gold_dir).agg(F.coalesce(F.sum("readings"), F.lit(0))).scalar()
+    silver = silver_windows(spark, run).agg(
+        F.coalesce(F.sum("silver_rows"), F.lit(0)).alias("silver_rows"),
+        F.coalesce(F.sum(F.when(F.col("open"), F.col("silver_rows"))), F.lit(0)).alias("open_rows"))
+    rows = silver.select(bronze.alias("bronze_rows"), "silver_rows", gold.alias("gold_rows"), "open_rows")
+    return rows.select("bronze_rows", "silver_rows", (F.col("bronze_rows") - F.col("silver_rows")).alias("duplicates"),
+                       "gold_rows", "open_rows", (F.col("silver_rows") - F.col("open_rows") - F.col("gold_rows")).alias("late_rows"))
 
 
 def reconcile(spark: SparkSession, run: MedallionRun) -> DataFrame:
-    """Per window and key, silver rows vs gold readings, with the reason for a gap."""
-    rows = classify_rows(read_layer(spark, run.silver_dir), run.window, run.delay)
-    s = rows.groupBy("window_start", "window_end", run.key).agg(
-        F.count(F.lit(1)).alias("silver_rows"), F.count_if("late").alias("late_rows"),
-        F.max(F.col("open").cast("int")).alias("_open"))
-    g = read_layer(spark, run.gold_dir).select("window_start", "window_end", run.key,
-                                                F.col("readings").alias("gold_rows"))
-    j = s.join(g, ["window_start", "window_end", run.key], "full_outer")
-    status = (F.when(F.col("gold_rows").isNull() & (F.col("_open") == 1), "open")
+    """Per window and key, silver rows against gold readings, with the reason for a gap.  What a
+    closed window lacks in gold came late; an open one has no gold row yet."""
+    at = ["window_start", "window_end", run.key]
+    gold = read_layer(spark, run.gold_dir).select(*at, F.col("readings").alias("gold_rows"))
+    j = silver_windows(spark, run).join(gold, at, "full_outer")
+    silver_rows, gold_rows = (F.coalesce(c, F.lit(0)) for c in ("silver_rows", "gold_rows"))
+    late = F.when(F.col("open"), F.lit(0)).otherwise(silver_rows - gold_rows)
+    status = (F.when(F.col("gold_rows").isNull() & F.col("open"), "open")
+              .when(F.col("open") | (late < 0) | F.col("silver_rows").isNull(), "mismatch")
               .when(F.col("gold_rows").isNull(), "all_late")
-              .when(F.col("gold_rows") == F.col("silver_rows"), "match")
-              .when(F.col("gold_rows") + F.col("late_rows") == F.col("silver_rows"), "some_late")
-              .otherwise("mismatch"))
-    return j.select("window_start", "window_end", run.key, F.coalesce("silver_rows", F.lit(0)).alias("silver_rows"),
-                    F.coalesce("gold_rows", F.lit(0)).alias("gold_rows"),
-                    F.coalesce("late_rows", F.lit(0)).alias("late_rows"), status.alias("status"))
+              .when(late == 0, "match").otherwise("some_late"))
+    return j.select(*at, silver_rows.alias("silver_rows"), gold_rows.alias("gold_rows"), late.alias("late_rows"), status.alias("status"))
 
 
 def run_live(spark: SparkSession, events: DataFrame, root: str | None = None, trigger: str = "1 second",
@@ -214,16 +215,13 @@ def run_live(spark: SparkSession, events: DataFrame, root: str | None = None, tr
     plan_dir = f"{root}/replay"
     plan_deliveries(events, n_deliveries, late_mod).write.partitionBy("delivery").parquet(plan_dir)
     planned = spark.read.parquet(plan_dir)
-    listener = MetricsListener(sink_dir=metrics_dir or f"{root}/_metrics")
-    attach(spark, listener)
-    b_stream = L.bronze(spark, run.landing)
-    s_stream = L.silver(L.layer_source(spark, run.bronze_dir, b_stream.schema))
-    g_stream = L.gold(L.layer_source(spark, run.silver_dir, s_stream.schema))
+    session = L.stream_session(spark)
+    listener = MetricsListener(sink_dir=metrics_dir or f"{root}/_metrics", spark=spark)
+    attach(session, listener)
     tag = os.path.basename(root)
     queries = []
     try:
-        for name, df, out in (("bronze", b_stream, run.bronze_dir), ("silver", s_stream, run.silver_dir),
-                              ("gold", g_stream, run.gold_dir)):
+        for name, (df, out) in layer_streams(session, run).items():
             queries.append(control.start(df, f"{name}_live_{tag}", out, run.checkpoint(name), every=trigger))
         for b in range(n_deliveries):
             copies = 2 if redeliver is not None and b == redeliver else 1
@@ -231,12 +229,12 @@ def run_live(spark: SparkSession, events: DataFrame, root: str | None = None, tr
                 land(planned, run.landing, b)
                 for q in queries:  # in layer order: each layer sees the one before it
                     q.processAllAvailable()
-        control.drain_and_stop_all(spark)
+        control.drain_and_stop_all(session)
     finally:
         for q in queries:
             if q.isActive:
                 q.stop()
         listener.settle()
-        detach(spark, listener)
-        listener.flush(spark)
+        detach(session, listener)
+        listener.close()
     return run

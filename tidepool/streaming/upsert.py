@@ -1,11 +1,12 @@
 """Idempotent "insert when not matched" of each micro-batch into a Parquet table.
 
-The target is partitioned by the date of its time column.  Per batch: drop duplicates
-inside the batch, then anti-join against the target on the key, reading only the date
-folders the batch's time range covers (partition pruning) and, inside them, only row
-groups whose time statistics overlap (the range filter reaches the Parquet scan); then
-append.  A replayed batch, a redelivered file or a restarted query inserts nothing twice,
-and the cost of a batch follows its own time span, not the size of the target.
+A row is identified by its key columns, of which the time column is one (a device and the time of
+its reading, say); keys are compared null-safely.  The target is partitioned by the date of the
+time column.  Per batch: duplicates inside the batch are dropped, rows whose key the target holds
+are dropped by an anti-join that reads only the dates and times the batch spans (any match has the
+same time, so nothing outside can match), and the rest is appended.  Rows without a time have no
+identity; they go to `<target>_quarantine`, in a folder per batch that a replay overwrites.
+A replayed batch, a redelivered file or a restarted query inserts nothing twice.
 """
 
 from __future__ import annotations
@@ -17,30 +18,41 @@ from pyspark.sql import functions as F
 
 from tidepool.session import ensure_folder
 
-
 DATE_COL = "_date"
 
 
-def insert_new(target_dir: str, keys: Sequence[str], ts_col: str):
-    """A foreachBatch function appending only rows whose key the target lacks."""
+def quarantine_dir(target_dir: str) -> str:
+    return f"{target_dir.rstrip('/')}_quarantine"
+
+
+def insert_new(target_dir: str, keys: Sequence[str], ts_col: str, files_per_date: int = 8):
+    """A foreachBatch function appending only rows whose key the target lacks, in at most
+    `files_per_date` files per batch and date."""
     keys = list(keys)
+    if ts_col not in keys:
+        raise ValueError(f"the time column {ts_col!r} must be one of the key columns {keys}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # Used twice (time range, then the insert): keep the deduplicated batch.
-        b = batch.dropDuplicates(keys).withColumn(DATE_COL, F.to_date(ts_col)).persist()
+        b = batch.withColumn(DATE_COL, F.to_date(ts_col)).dropDuplicates(keys).persist()
         try:
             # Bounds computed by Spark (dates in the session time zone, like the partitions).
-            lo, hi, d_lo, d_hi = b.agg(F.min(ts_col), F.max(ts_col), F.min(DATE_COL), F.max(DATE_COL)).first()
+            lo, hi, d_lo, d_hi, timeless = b.agg(F.min(ts_col), F.max(ts_col), F.min(DATE_COL), F.max(DATE_COL),
+                                                 F.count_if(F.col(ts_col).isNull())).first()
+            if timeless:
+                (batch.where(F.col(ts_col).isNull()).write.mode("overwrite")
+                 .parquet(f"{quarantine_dir(target_dir)}/batch={batch_id}"))
             if lo is None:
                 return
             ensure_folder(spark, target_dir)
-            existing = (spark.read.schema(b.schema).parquet(target_dir)
-                        .filter(F.col(DATE_COL).between(d_lo, d_hi))  # partition pruning
-                        .filter(F.col(ts_col).between(lo, hi))  # row-group pruning
-                        .select(*keys))
-            (b.join(existing, keys, "left_anti")
-             .write.mode("append").partitionBy(DATE_COL).parquet(target_dir))
+            held = (spark.read.schema(b.schema).parquet(target_dir)
+                    .where(F.col(DATE_COL).between(d_lo, d_hi) & F.col(ts_col).between(lo, hi))
+                    .select(*[F.col(k).alias(f"_held_{k}") for k in keys]))
+            same = [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys]
+            fresh = b.where(F.col(ts_col).isNotNull()).join(held, same, "left_anti")
+            # one task per date and share of its keys: few files, and a hot date is split
+            fresh = fresh.repartition(DATE_COL, F.pmod(F.xxhash64(*keys), F.lit(files_per_date)))
+            fresh.write.mode("append").partitionBy(DATE_COL).parquet(target_dir)
         finally:
             b.unpersist()
 
