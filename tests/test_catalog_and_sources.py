@@ -194,3 +194,15 @@ def test_job_tags_cancel(spark):
     t.join(5)
     assert not t.is_alive() and errors and "cancel" in errors[0].lower()
     assert "tp-cancel-me" not in spark.sparkContext.getJobTags()
+
+
+def test_replacing_a_table_by_a_query_on_itself(spark):
+    from tidepool.sources import catalog as K
+
+    K.create_or_replace(spark.range(10), "self_replace")
+    K.create_or_replace(spark.table("self_replace").where("id < 4"), "self_replace")
+    assert spark.table("self_replace").count() == 4
+    with __import__("pytest").raises(Exception):
+        K.create_or_replace(spark.table("self_replace").select((1 / (spark.range(1).id * 0)).alias("x")), "self_replace")
+    assert spark.table("self_replace").count() == 4  # a failing write leaves the old table
+    K.drop_table(spark, "self_replace")

@@ -32,10 +32,10 @@ def test_salted_join_equals_plain_join(spark, rows, salts):
 
 def test_hot_keys_bounded(spark):
     li = B.skewed_lineitem(spark, SF001)
-    hot = J.hot_keys(li, "join_key", max_hot_keys=5, rows_per_salt=100, sample_fraction=0.5)
+    hot = J.hot_keys(li, "join_key", max_hot_keys=5, rows_per_salt=1, sample_fraction=0.5)
     rows = hot.collect()
     assert 1 <= len(rows) <= 5
-    assert rows[0]["join_key"] == 0 and rows[0]["_salts"] >= 2
+    assert rows[0]["join_key"] == 0 and rows[0]["_salts"] > 4000  # no ceiling: one salt per row here
 
 
 def test_broadcast_only_behind_a_size_check(spark):
@@ -167,19 +167,57 @@ def test_hot_group_aggregates_partially_before_the_shuffle(spark):
 def test_ranked_percentiles_equal_builtin(spark, rows):
     from tidepool.operators.aggregate import exact_percentiles, ranked_percentiles
 
-    df = spark.createDataFrame(rows + [("a", 7)] * 30, "g string, v int")  # "a" is hot
+    rows = rows + [("a", 7)] * 30 + [("only nulls", None)] * 3  # "a" is hot
+    df = spark.createDataFrame(rows, "g string, v int")
     ps, names = [0.0, 0.25, 0.5, 0.9, 1.0], ["p0", "p25", "p50", "p90", "p100"]
     got = {r["g"]: tuple(r) for r in ranked_percentiles(df, ["g"], "v", ps, names, partitions=4).collect()}
-    want = {r["g"]: tuple(r) for r in exact_percentiles(df.filter("v IS NOT NULL"), ["g"], "v", ps, names).collect()}
-    assert got == want
+    want = {r["g"]: tuple(r) for r in exact_percentiles(df, ["g"], "v", ps, names).collect()}
+    assert got == want and got["only nulls"][1] == 3
+    whole = ranked_percentiles(df, [], "v", ps, names).first()
+    assert tuple(whole)[1:] == tuple(exact_percentiles(df, [], "v", ps, names).first())[1:] and whole["n"] == len(rows)
 
 
-def test_rank_rows_range_partitions_a_hot_group(spark):
-    from tidepool.operators.aggregate import rank_rows
+def test_hot_values_and_large_groups_are_spread(spark):
+    from tidepool.operators.aggregate import rank_values
     from tidepool.plans.inspect import plan_text
 
-    df = spark.range(12000).select(F.lit("hot").alias("g"), (F.col("id") * 7 % 1000).alias("v"))  # one group
-    r = rank_rows(df, ["g"], "v", partitions=8)
-    assert "rangepartitioning" in plan_text(r, "simple")
-    per_task = r.groupBy("_pid").count().collect()
-    assert len(per_task) > 1 and max(x["count"] for x in per_task) < 12000 / 2  # the group is split
+    hot_value = spark.range(90000).select(F.lit("hot").alias("g"), F.when(F.col("id") % 10 > 0, 1).otherwise(F.col("id")).alias("v"))
+    r = rank_values(hot_value, ["g"], "v", partitions=8)
+    text = plan_text(r, "simple")
+    assert "rangepartitioning" in text and "partial_count" in text  # a hot value is one row before the ranges
+    per_range = [x["count"] for x in r.groupBy("_pid").count().collect()]
+    assert sum(per_range) == 9001 and len(per_range) > 4 and max(per_range) < 9001 / 3
+
+
+def test_narrow_equal_rows_fill_all_salts(spark):
+    big = spark.range(5000).select(F.lit(0).alias("k"))  # one column, all rows equal
+    salted, _ = J.salted_sides(big, spark.createDataFrame([(0, "x")], "k int, label string"), "k", salts=16)
+    counts = [r["count"] for r in salted.groupBy("_salt").count().collect()]
+    assert len(counts) == 16 and max(counts) < 2 * min(counts)
+
+
+def test_broadcast_is_bounded_in_bytes(spark):
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 10000).alias("t"))
+    assert J.fits_broadcast(wide, 1000) and not J.fits_broadcast(wide, 1000, max_bytes=100_000)
+
+
+def test_paths_with_special_characters(spark, scratch):
+    path = f"{scratch}/a b=c%d+e/t"
+    o = read_table(spark, SF001, "orders")
+    o.repartition(2).write.parquet(path)
+    o.repartition(1).write.mode("append").parquet(path)
+    files, parts, totals = LY.partition_report(spark, path)
+    assert totals.first()["total_rows"] == totals.first()["partition_rows"] == 3000
+    assert files.where("rows = 0").count() == 0
+    read = {f for r in parts.collect() for f in r["files_read"]}
+    assert read == {r["file_path"] for r in files.collect()} and len(read) == 3  # whole names, none merged
+
+
+def test_conform_requires_required_fields(spark):
+    df = spark.createDataFrame([(None, 2), (3, None)], "old int, new int")
+    r = conform(df, [ReaderField("new", "int", ("old",))]).collect()
+    assert [x["new"] for x in r] == [2, 3]  # names are coalesced, not just the first one taken
+    with pytest.raises(ValueError, match="missing"):
+        conform(df, [ReaderField("other", "int", nullable=False)])
+    with pytest.raises(Exception, match="required field"):
+        conform(df, [ReaderField("new", "int", nullable=False)]).collect()

@@ -140,81 +140,60 @@ def balance(counts: DataFrame, count_col: str) -> DataFrame:
     )
 
 
-def rank_rows(df: DataFrame, keys: Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
-    """Non-NULL values as `_v`, range-partitioned by (keys, value) and sorted within each task,
-    with `_id` (increasing within a task, in sorted order) and `_pid` (the task)."""
-    keys = list(keys)
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    vals = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    return (vals.repartitionByRange(n_parts, *keys, "_v").sortWithinPartitions(*keys, "_v")
-            .withColumn("_id", F.monotonically_increasing_id())
-            .withColumn("_pid", F.spark_partition_id()))
+def rank_values(df: DataFrame, keys: Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
+    """Distinct (keys, value) pairs as `_v` with their row count `_c` (map-side combined, so a hot
+    value is one row), range-partitioned by (keys, value): `_pid` is the range, so a group with
+    very many values is spread over several.  Rows without a value keep one pair with NULL."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    return counts.repartitionByRange(n, *keys, "_v").withColumn("_pid", F.spark_partition_id())
 
 
 def ranked_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Sequence[float],
-                       names: Sequence[str], digits: int = 6, partitions: int | None = None,
-                       max_broadcast_rows: int = 100_000) -> DataFrame:
-    """A15, exact and safe for a hot group: linearly interpolated percentiles per key
-    (the definition of `percentile` / `quantile_cont`) from the rows' ranks.
-
-    1. Range-partition by (keys, value) and sort within partitions: a group holding a third
-       of the rows is spread over a third of the tasks instead of landing in one.
-    2. Number rows in each task (`monotonically_increasing_id`, consecutive within a task
-       in sorted order); one small table of (task, group) blocks with row count and first
-       id gives every block's rank offset (a running sum over the blocks of a group).
-    3. For each group and percentile the two ranks around (n - 1) * p are located in their
-       blocks, the rows with those ids are fetched (a semi-join with a table of at most
-       groups x percentiles x 2 rows) and interpolated.
-
-    No step holds more than one task's share of a group; the data is shuffled once.
+                       names: Sequence[str], digits: int = 6, partitions: int | None = None) -> DataFrame:
+    """A15, exact and safe for hot groups and hot values: linearly interpolated percentiles per key
+    (the definition of `percentile` / `quantile_cont`) from cumulative value counts.
+
+    `n` counts all rows of the group; percentiles are over its non-NULL values and NULL if it has
+    none.  The distinct values with their counts are written (a small table next to the input);
+    the sums of each range give the ranges' rank offsets, running sums inside a range the ranks
+    of each value, and one aggregate picks the values around (n - 1) * p.
     """
-    from pyspark import StorageLevel
     from pyspark.sql import Window
 
-    from tidepool.operators.joins import maybe_broadcast
-
     keys = list(keys)
-    spark = df.sparkSession
-    ranked = rank_rows(df, keys, value, partitions).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        blocks = ranked.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"), F.min("_id").alias("_first"))
-        before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-        blocks = blocks.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-        totals = blocks.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-        wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(ps)])
-        t = totals.select(*keys, "_n", F.explode(wanted).alias("_q"))
-        h = (F.col("_n") - 1) * F.col("_q.p")
-        t = t.select(*keys, "_n", F.col("_q.i").alias("_i"), F.floor(h).cast("long").alias("_lo"),
-                     F.ceil(h).cast("long").alias("_hi"), (h - F.floor(h)).alias("_frac"))
-        ranks = (t.select(*keys, "_i", "_frac", F.lit("lo").alias("_side"), F.col("_lo").alias("_rank"))
-                 .unionByName(t.select(*keys, "_i", "_frac", F.lit("hi").alias("_side"), F.col("_hi").alias("_rank"))))
-        same = [ranks[k].eqNullSafe(blocks[k]) for k in keys]
-        located = (ranks.join(blocks, same)
-                   .filter((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_c")))
-                   .select(*[ranks[k] for k in keys], "_i", "_frac", "_side",
-                           (F.col("_first") + F.col("_rank") - F.col("_off")).alias("_id")))
-        picked = ranked.select("_id", "_v").join(maybe_broadcast(located, max_broadcast_rows), "_id")
-        per_p = picked.groupBy(*keys, "_i").agg(
-            F.max(F.when(F.col("_side") == "lo", F.col("_v"))).alias("_vlo"),
-            F.max(F.when(F.col("_side") == "hi", F.col("_v"))).alias("_vhi"),
-            F.max("_frac").alias("_frac"))
-        interp = F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))
-        out = per_p.groupBy(*keys).agg(*[rounded(F.max(F.when(F.col("_i") == i, interp)), digits).alias(n)
-                                         for i, n in enumerate(names)])
-        tot = totals.select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_n").alias("n"))
-        result = (out.join(tot, [out[k].eqNullSafe(tot[f"_t_{k}"]) for k in keys])
-                  .select(*[out[k] for k in keys], "n", *names))
-        # Written out before the cached ranking is released (one row per group).
-        return _materialise(result)
-    finally:
-        ranked.unpersist()
+    if not keys:  # one group of all rows
+        return ranked_percentiles(df.withColumn("_all", F.lit(0)), ["_all"], value, ps, names, digits, partitions).drop("_all")
+    ranked = _materialise(rank_values(df, keys, value, partitions))
+    same = [f"_b_{k}" for k in keys]
+    has = F.col("_v").isNotNull()
+    ranges = ranked.groupBy("_pid", *keys).agg(F.sum(F.when(has, F.col("_c")).otherwise(0)).alias("_range"), F.sum("_c").alias("_rows"))
+    group = Window.partitionBy(*keys)  # at most one row per range
+    ranges = (ranges.withColumn("_before", F.sum("_range").over(group.orderBy("_pid")) - F.col("_range"))
+              .withColumn("_n", F.sum("_range").over(group)).withColumn("n", F.sum("_rows").over(group))
+              .select(F.col("_pid").alias("_b_pid"), *[F.col(k).alias(b) for k, b in zip(keys, same)], "_before", "_n", "n"))
+    placed = ranked.join(ranges, [F.col("_pid") == F.col("_b_pid"), *[F.col(k).eqNullSafe(F.col(b)) for k, b in zip(keys, same)]])
+    inside = Window.partitionBy("_pid", *keys).orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    count = F.when(has, F.col("_c")).otherwise(0)
+    placed = placed.withColumn("_end", F.col("_before") + F.sum(count).over(inside)).withColumn("_start", F.col("_end") - count)
+    aggs = []
+    for i, p in enumerate(ps):
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        for side, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            aggs.append(F.max(F.when(has & (F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_v"))).alias(f"_{side}{i}"))
+    out = placed.groupBy(*keys).agg(F.max("n").alias("n"), F.max("_n").alias("_n"), *aggs)
+    picked = []
+    for i, (p, name) in enumerate(zip(ps, names)):
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        picked.append(rounded(F.col(f"_lo{i}") + (h - F.floor(h)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}")), digits).alias(name))
+    return out.select(*keys, "n", *picked)
 
 
 def _materialise(df: DataFrame) -> DataFrame:
-    """Write a result to the shared checkpoint folder and read it back (cuts the lineage so
-    cached inputs can be released; survives the loss of an executor)."""
+    """Write a table to the shared checkpoint folder and read it back (cuts the lineage; survives
+    the loss of an executor)."""
     from tidepool.session import work_dir
 
     path = f"{work_dir(df.sparkSession, 'result')}/part"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -26,28 +26,26 @@ from pyspark.sql import functions as F
 
 
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Bounded size check: True when `df` has at most `max_rows` rows.
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Bounded size check: True when `df` has at most `max_rows` rows and about `max_bytes` bytes.
 
     `take` runs as an incremental collect-limit (one partition first, then more only if
     needed) over a single literal column, so a huge input costs a partition or two, never a
-    full scan or a shuffle of `max_rows` rows per partition.
+    full scan.  Only a side that passes it is measured (the text form of its values).
     """
     if max_rows > MAX_BROADCAST_ROWS:
         raise ValueError(f"a broadcast bound above {MAX_BROADCAST_ROWS} rows is not a small table")
-    return len(df.select(F.lit(1).alias("_one")).take(max_rows + 1)) <= max_rows
+    if len(df.select(F.lit(1).alias("_one")).take(max_rows + 1)) > max_rows:
+        return False
+    return (df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))).first()[0] or 0) <= max_bytes
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+def maybe_broadcast(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint only behind a size check; otherwise leave the choice to Spark."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def join_on(big: DataFrame, small: DataFrame, keys: str | Sequence[str], how: str = "inner") -> DataFrame:
-    """Plain equi-join; Catalyst and AQE pick the strategy from statistics."""
-    return big.join(small, on=keys, how=how)
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def join_shuffle(big: DataFrame, small: DataFrame, keys: str | Sequence[str], how: str = "inner") -> DataFrame:
@@ -62,48 +60,42 @@ def join_broadcast(big: DataFrame, small: DataFrame, keys: str | Sequence[str],
 
 
 def hot_keys(df: DataFrame, key: str, max_hot_keys: int = 1000, rows_per_salt: int = 1_000_000,
-             max_salts: int = 512, sample_fraction: float = 0.01, seed: int = 7) -> DataFrame:
-    """Keys holding at least 1/max_hot_keys of the rows, each with a salt count.
-
-    Detection runs on a sample: which keys get salted never changes the join's result
-    (salting any key is exact), only how evenly the work spreads.  At most
-    `max_hot_keys` keys can pass the threshold, so the table is bounded by construction;
-    it is materialised on the driver (<= max_hot_keys rows) so the big side is not
-    scanned again each time the table is used.
+             sample_fraction: float = 0.01, seed: int = 7) -> DataFrame:
+    """Keys holding at least 1/max_hot_keys of the rows, each with its number of salts: one per
+    `rows_per_salt` rows, without a ceiling.
+
+    Detection is one pass over a sample: which keys get salted never changes the join's result
+    (salting any key is exact), only how evenly the work spreads.  At most `max_hot_keys` keys can
+    hold that share of the sample, so the table is bounded by construction and kept on the driver.
     """
-    # The row count needs no column (Parquet answers it from footers); the sample's expected
-    # size sets the threshold, so the sample is aggregated once.
-    expected = df.count() * sample_fraction
-    threshold = max(1, math.ceil(expected / max_hot_keys))
-    sample = df.select(key).sample(fraction=sample_fraction, seed=seed)
-    counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    est_rows = F.col("_n") / F.lit(sample_fraction)
-    salts = F.least(F.lit(max_salts), F.greatest(F.lit(2), F.ceil(est_rows / rows_per_salt))).cast("int")
-    hot = (counts.filter(F.col("_n") >= threshold).select(key, salts.alias("_salts"))
-           .orderBy(F.desc("_salts")).limit(max_hot_keys))
-    rows = hot.collect()  # bounded: at most max_hot_keys rows
-    return df.sparkSession.createDataFrame(rows, hot.schema)
+    counts = df.select(key).sample(fraction=sample_fraction, seed=seed).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.orderBy(F.desc("_n"), key).limit(max_hot_keys).collect()  # no key beyond these can hold the share
+    expected = df.count() * sample_fraction  # no column read: row counts from the file footers
+    least = max(1.0, expected / max_hot_keys)
+    hot = [(r[0], max(2, math.ceil(r[1] / sample_fraction / rows_per_salt))) for r in top if r[1] >= least]
+    return df.sparkSession.createDataFrame(hot, counts.select(key, F.lit(0).alias("_salts")).schema)
 
 
 def salted_sides(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | None = None,
                  salts: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Both sides of a salted join, each with a `_salt` column to join on with `key`.
 
-    Big side: hot keys get `_salt = pmod(xxhash64(row), salts_of_key)`, every other key 0.
-    Small side: hot keys' rows are repeated once per salt value, other rows once with 0.
+    Big side: hot keys get `_salt` = position of the row in its task modulo the key's salts, so equal
+    rows are spread as well; every other key 0.  Any salt of a row is right, because the small
+    side's rows of a hot key are repeated once per salt value.  `hot` is hinted for broadcast only
+    if it passes the size check (a caller may bring any table).
     """
-    big_cols = big.columns
+    at = F.monotonically_increasing_id()
     if hot is not None:
-        hot = F.broadcast(hot)  # at most max_hot_keys rows
-        b = big.join(hot, key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+        hot = maybe_broadcast(hot, 100_000)
+        b = big.withColumn("_at", at).join(hot, key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
         s = small.join(hot, key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
     else:
-        b = big.withColumn("_salts", F.lit(salts))
+        b = big.withColumn("_at", at).withColumn("_salts", F.lit(salts))
         s = small.withColumn("_salts", F.lit(salts))
-    # Deterministic salt from the row's own values: a re-run task assigns the same salt.
-    b = b.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big_cols]), F.col("_salts")).cast("int"))
+    b = b.withColumn("_salt", F.pmod(F.col("_at"), F.col("_salts")).cast("int"))
     s = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts").cast("int") - 1)))
-    return b.drop("_salts"), s.drop("_salts")
+    return b.drop("_salts", "_at"), s.drop("_salts")
 
 
 def join_salted(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | None = None,
@@ -143,7 +135,7 @@ def key_lookup(spark: SparkSession, n_keys: int = 100, key: str = "join_key", pr
 def skew_report(df: DataFrame, key: str, top: int | None = None) -> DataFrame:
     """Rows per key, hottest first, with the key's share of all rows."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    total = df.count()  # no column read: row counts from the file footers
-    out = (counts.withColumn("share", F.round(F.try_divide(F.col("rows"), F.lit(total)), 6))
+    total = df.agg(F.count(F.lit(1))).scalar()  # part of the same query; no column is read
+    out = (counts.withColumn("share", F.round(F.try_divide(F.col("rows"), total), 6))
            .orderBy(F.desc("rows"), F.asc(key)))
     return out.limit(top) if top else out

@@ -15,56 +15,48 @@ from tidepool.functions.scalar import last_path_segment, short_file_label
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.parquet", recursive: bool = True) -> DataFrame:
-    """Files under `path` with size and mtime; `content` is never selected, so never read."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", str(recursive).lower()).load(path)
-            .select(F.col("path").alias("file_path"), F.col("length").alias("file_bytes"),
-                    F.col("modificationTime").alias("mtime")))
-
-
-def _scan_groups(df: DataFrame) -> DataFrame:
-    return (df.groupBy(F.spark_partition_id().alias("partition_id"),
-                       F.col("_metadata.file_path").alias("file_path"),
-                       F.col("_metadata.file_size").alias("file_bytes"))
-            .agg(F.count(F.lit(1)).alias("rows")))
+    """Files under `path`: plain path, the URI that scans report in `_metadata.file_path` (special
+    characters encoded), size and mtime; `content` is never selected, so never read."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower())
+    return listing.load(path).select(F.col("path").alias("file_path"), F.col("_metadata.file_path").alias("file_uri"),
+                                     F.col("length").alias("file_bytes"), F.col("modificationTime").alias("mtime"))
 
 
 def partition_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(files, partitions, totals) for a Parquet folder read back.
 
-    * files: every Parquet file on disk with bytes and rows -- a zero-row file is kept
-      (left join from the listing);
-    * partitions: every read task with rows and files read -- an empty task is kept
-      (left join from `range(num_partitions)`);
-    * totals: files, bytes, partitions, empty partitions, rows.
+    One grouped scan counts the rows of each (task, file).  `files` starts from the listing, so a
+    zero-row file is kept; a scanned file that the listing lacks is an error.  `partitions` starts
+    from the tasks themselves, so an idle one is kept.  `files_read` holds full paths.
     """
-    df = spark.read.parquet(path)
-    # The number of read tasks (metadata of the planned scan, no data is touched): the
-    # DataFrame API only sees partitions that produce rows, and empty ones must be reported.
-    n_parts = df.rdd.getNumPartitions()
-    groups = _scan_groups(df)
-    per_file = groups.groupBy("file_path").agg(F.sum("rows").alias("rows"))
-    files = (list_files(spark, path).join(per_file, "file_path", "left")
-             .select("file_path", short_file_label("file_path").alias("file"), "file_bytes",
-                     F.coalesce("rows", F.lit(0)).alias("rows")))
-    per_part = groups.groupBy("partition_id").agg(
-        F.sum("rows").alias("rows"),
-        F.array_sort(F.collect_set(short_file_label("file_path"))).alias("files_read"))
-    parts = (spark.range(n_parts).withColumnRenamed("id", "partition_id")
-             .withColumn("partition_id", F.col("partition_id").cast("int"))
-             .join(per_part, "partition_id", "left")
-             .select("partition_id", F.coalesce("rows", F.lit(0)).alias("rows"),
-                     F.coalesce("files_read", F.array().cast("array<string>")).alias("files_read")))
-    # Both halves are small (one row per file, one per task); fold them into one row with
-    # one aggregate over their union rather than a join of two one-row aggregates.
-    u = (files.select(F.lit("f").alias("_s"), F.col("file_bytes").alias("_b"), "rows")
-         .unionByName(parts.select(F.lit("p").alias("_s"), F.lit(None).cast("long").alias("_b"), "rows")))
-    is_f, is_p = F.col("_s") == "f", F.col("_s") == "p"
-    totals = u.agg(F.count_if(is_f).alias("files"), F.coalesce(F.sum(F.when(is_f, F.col("_b"))), F.lit(0)).alias("total_bytes"),
-                   F.coalesce(F.sum(F.when(is_f, F.col("rows"))), F.lit(0)).alias("total_rows"),
-                   F.count_if(is_p).alias("partitions"), F.count_if(is_p & (F.col("rows") == 0)).alias("empty_partitions"),
-                   F.coalesce(F.sum(F.when(is_p, F.col("rows"))), F.lit(0)).alias("partition_rows"))
-    return files, parts, totals
+    rows = spark.read.parquet(path)
+    seen = (rows.select(F.spark_partition_id().alias("partition_id"), F.col("_metadata.file_path").alias("file_uri"))
+            .groupBy("partition_id", "file_uri").agg(F.count("*").alias("rows")))
+    listed = list_files(spark, path)
+    by_file = seen.groupBy("file_uri").agg(F.sum("rows").alias("rows"))
+    files = listed.join(by_file, "file_uri", "full_outer").select(
+        F.coalesce("file_path", F.raise_error(F.concat(F.lit("scanned but not listed: "), F.col("file_uri")))).alias("file_path"),
+        short_file_label("file_path").alias("file"), "file_bytes", F.coalesce("rows", F.lit(0)).alias("rows"))
+    named = seen.join(listed.select("file_uri", "file_path"), "file_uri")
+    by_task = named.groupBy("partition_id").agg(F.sort_array(F.collect_set("file_path")).alias("files_read"))
+    parts = _rows_by_task(rows).join(by_task, "partition_id", "left").select("partition_id", "rows", F.coalesce("files_read", F.array().cast("array<string>")).alias("files_read"))
+    on_disk = files.agg(F.count("*").alias("files"), F.coalesce(F.sum("file_bytes"), F.lit(0)).alias("total_bytes"), F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"))
+    by_tasks = parts.agg(F.count("*").alias("partitions"), F.count_if(F.col("rows") == 0).alias("empty_partitions"),
+                         F.coalesce(F.sum("rows"), F.lit(0)).alias("partition_rows"))
+    return files, parts, on_disk.join(by_tasks, F.lit(True))
+
+
+def _rows_by_task(df: DataFrame) -> DataFrame:
+    """partition_id, rows of every scan task, idle ones included (which grouping rows would hide)."""
+
+    def count(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        rows = sum(b.num_rows for b in batches)
+        yield pa.RecordBatch.from_pydict({"partition_id": pa.array([TaskContext.get().partitionId()], pa.int32()), "rows": pa.array([rows], pa.int64())})
+
+    return df.select(F.lit(True).alias("one")).mapInArrow(count, "partition_id int, rows long")
 
 
 def split_audit(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

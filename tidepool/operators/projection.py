@@ -43,11 +43,6 @@ def parse_failures(df: DataFrame, raw: str, parsed: str) -> DataFrame:
     return df.agg(F.count_if(F.col(raw).isNotNull() & F.col(parsed).isNull()).alias("parse_failures"))
 
 
-def typed_readings(df: DataFrame, ts_col: str = "event_time") -> DataFrame:
-    """P11 helper: parse the event time with the NULL-on-failure form."""
-    return df.withColumn("event_ts", parse_ts(ts_col))
-
-
 @dataclass(frozen=True)
 class ReaderField:
     """One field of a reader schema (P13): its name, type, older names, default."""
@@ -62,20 +57,21 @@ class ReaderField:
 def conform(df: DataFrame, fields: Sequence[ReaderField]) -> DataFrame:
     """Project rows written with one schema onto a reader schema.
 
-    Per reader field: take the first of (name, *aliases) the data has, cast it; a field the
-    data lacks becomes its default; a non-nullable field with a NULL value takes the default
-    too.  Fields the reader does not know are dropped.  A single projection -- no codec.
+    Per reader field: the first non-NULL of its name and aliases, among the columns the data has,
+    cast to its type; a field the data lacks becomes its default.  A required field falls back to
+    its default where it is NULL; without a default, a required field that the data lacks is an
+    error at once, and a NULL in one an error when the row is read.  Fields the reader does not
+    know are dropped.  A single projection -- no codec.
     """
     have = set(df.columns)
     out = []
     for f in fields:
-        src = next((c for c in (f.name, *f.aliases) if c in have), None)
-        dflt = F.lit(f.default).cast(f.type)
-        if src is None:
-            expr = dflt
-        else:
-            expr = F.col(src).cast(f.type)
-            if not f.nullable and f.default is not None:
-                expr = F.coalesce(expr, dflt)
-        out.append(expr.alias(f.name))
+        values = [F.col(c).cast(f.type) for c in (f.name, *f.aliases) if c in have]
+        if f.default is not None and (not values or not f.nullable):
+            values.append(F.lit(f.default).cast(f.type))
+        if not f.nullable and f.default is None:
+            if not values:
+                raise ValueError(f"required field {f.name!r} is missing from the data and has no default")
+            values.append(F.raise_error(F.lit(f"required field {f.name!r} is NULL and has no default")).cast(f.type))
+        out.append((F.coalesce(*values) if values else F.lit(None).cast(f.type)).alias(f.name))
     return df.select(*out)

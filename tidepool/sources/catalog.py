@@ -6,6 +6,8 @@ be given its own location (K14), and table inventories are DataFrames.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,14 +48,23 @@ def save_table(df: DataFrame, name: str, files: int | None = None, mode: str = "
 def create_or_replace(df: DataFrame, name: str) -> None:
     """K3: create or replace through the V2 write path (`writeTo`).
 
-    The session catalog cannot REPLACE a Parquet table atomically, so an existing table is
-    dropped first, then created from the DataFrame; catalogs with atomic replace can call
-    `writeTo(name).createOrReplace()` directly.
+    The session catalog cannot REPLACE a Parquet table atomically, and `df` may read the table it
+    replaces, so the new table is written in full under a name of its own first; only then is the
+    old one dropped and the new one renamed.  A failing write leaves the old table as it was.
     """
     spark = df.sparkSession
-    if spark.catalog.tableExists(name):
-        spark.sql(f"DROP TABLE {name}")
-    df.writeTo(name).using("parquet").create()
+    if not spark.catalog.tableExists(name):
+        df.writeTo(name).using("parquet").create()
+        return
+    new = f"{name}__new_{uuid.uuid4().hex[:8]}"
+    try:
+        df.writeTo(new).using("parquet").create()
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+    spark.catalog.refreshTable(name)
 
 
 def table_inventory(spark: SparkSession, database: str | None = None) -> DataFrame:

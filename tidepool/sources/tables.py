@@ -20,6 +20,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def read_split(spark: SparkSession, path: str, max_partition_bytes: int) -> DataFrame:
+    """A Parquet folder read in splits of at most so many bytes.  The setting lives in a session
+    of its own, so other readers keep theirs."""
+    own = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(max_partition_bytes))
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    return own.read.parquet(path)
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` with its zone-less `ts` turned into a session-zone (UTC) timestamp.
 
