@@ -160,3 +160,66 @@ def test_hot_key_value_is_split_across_files(spark):
     rows = sorted(r["rows"] for r in t._live_rows())
     assert len(rows) == 6 and max(rows) < 1000  # key 0 does not land in a single file
     assert t.read().count() == 3000
+
+
+def test_special_characters_in_the_path(spark):
+    from tidepool.session import work_dir
+
+    t = VersionedTable(spark, work_dir(spark, "odd") + "/a b=c%d", "id")
+    t.create(spark.range(100).select("id", (F.col("id") * 2).alias("v")), files=4)
+    assert t.count_from_stats() == 100 and t.read(key_range=(0, 9)).count() == 10
+    t.delete("id < 10")
+    t.update("id < 20", {"v": "0"}, key_range=(15, 30))
+    rows = {r["id"]: r["v"] for r in t.read().collect()}
+    assert sorted(rows) == list(range(10, 100)) and [i for i, v in rows.items() if v == 0] == [15, 16, 17, 18, 19]
+    assert t.read(0).count() == 100
+
+
+def test_key_range_is_part_of_the_condition(spark):
+    from tidepool.session import work_dir
+
+    left = []
+    for files in (1, 4):
+        t = VersionedTable(spark, work_dir(spark, "range") + "/t", "id")
+        t.create(spark.range(100), files=files)
+        t.delete("id % 2 = 0", key_range=(10, 20))
+        left.append(sorted(r["id"] for r in t.read().collect()))
+    assert left[0] == left[1] == [i for i in range(100) if i % 2 or not 10 <= i <= 20]
+
+
+def test_files_with_only_null_keys(spark):
+    from tidepool.session import work_dir
+
+    t = VersionedTable(spark, work_dir(spark, "nulls") + "/t", "id")
+    t.create(spark.createDataFrame([(None, 1), (None, 2)], "id long, v int").coalesce(1))
+    t.append(spark.createDataFrame([(5, 3)], "id long, v int"))
+    t.delete("v > 0", key_range=(0, 10))
+    assert sorted(r["v"] for r in t.read().collect()) == [1, 2]
+
+
+def test_append_must_fit_the_schema(spark):
+    from tidepool.session import work_dir
+
+    t = VersionedTable(spark, work_dir(spark, "fit") + "/t", "id")
+    t.create(spark.createDataFrame([(1, 2)], "id long, v int"))
+    for bad in ("id long, v double", "id long, v int, extra int", "id long"):
+        with pytest.raises(ValueError):
+            t.append(spark.createDataFrame([], bad))
+    t.append(spark.createDataFrame([(7, 8)], "v int, id long"))  # any order
+    assert sorted(tuple(r) for r in t.read().collect()) == [(1, 2), (8, 7)]
+
+
+def test_unreadable_manifest_is_an_error(spark):
+    from tidepool.session import work_dir
+
+    t = VersionedTable(spark, work_dir(spark, "broken") + "/t", "id")
+    assert t.latest_version() == -1  # nothing there yet
+    spark.createDataFrame([("x",)], "value string").write.text(f"{t.manifest_dir}/version=0")
+    with pytest.raises(Exception):
+        VersionedTable(spark, t.root, "id").latest_version()
+
+
+def test_readers_get_folders_of_whole_commits(table):
+    assert len(table._paths(table._live(0))) == 1  # three files, one folder
+    assert all(not p.endswith(".parquet") for p in table._paths(table._live(1)))
+    assert any(p.endswith(".parquet") for p in table._paths(table._live(2)))  # one file of version 0 was rewritten

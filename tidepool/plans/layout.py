@@ -75,10 +75,16 @@ def cross_database_join(spark: SparkSession, sf_dir: str) -> DataFrame:
               .groupBy(F.hour("ts").alias("hour"), "event_type").agg(F.count(F.lit(1)).alias("n")))
     totals = ev.groupBy(F.hour("ts").alias("hour"), "event_type").agg(F.sum("value").alias("total_value"))
     K.save_table(hourly, f"{db_a}.hourly")
-    K.create_or_replace(totals, f"{db_b}.totals")
-    return spark.sql(f"""
+    K.create_or_replace(totals.withColumn("total_value", -F.col("total_value")), f"{db_b}.totals")
+    # replaced by a query on itself
+    K.create_or_replace(spark.table(f"{db_b}.totals").withColumn("total_value", -F.col("total_value")), f"{db_b}.totals")
+    joined = spark.sql(f"""
         SELECT a.hour, a.event_type, a.n, round(b.total_value, 6) AS total_value
         FROM {db_a}.hourly a JOIN {db_b}.totals b ON a.hour = b.hour AND a.event_type = b.event_type""")
+    joined.write.parquet(f"{root}/joined")
+    for db in (db_a, db_b):
+        K.drop_database(spark, db)
+    return spark.read.parquet(f"{root}/joined")
 
 
 LAYOUT_SQL = {

@@ -10,6 +10,7 @@ from tidepool.plans import batch as B
 from tidepool.plans import drift as D
 from tidepool.plans import layout as LY
 from tidepool.plans import monitoring as M
+from tidepool.plans import sources as SO
 from tidepool.plans import streams as S
 from tidepool.plans import versioned as V
 from tidepool.plans.oracle import BATCH_SQL
@@ -91,7 +92,21 @@ def queries() -> dict[str, Query]:
         "watermark_series": M.watermark_series,
         "late_drop_ratio": M.late_drop_ratio,
         "freshness": M.freshness,
-        "checkpoint_log": M.checkpoint_log,
+        "version_history": V.version_history,
+        "time_travel_by_time": V.time_travel_by_time,
+        "quarantined": D.quarantined,
+        "parse_failures": D.parse_failures,
+        "widened_schema": D.widened_schema,
+        "csv_inferred": SO.csv_inferred,
+        "csv_with_schema": SO.csv_with_schema,
+        "json_round_trip": SO.json_round_trip,
+        "status_names": SO.status_names,
+        "split_audit": SO.split_audit,
+        "capped_files": SO.capped_files,
+        "sum_or_zero_value": SO.sum_or_zero_value,
+        "partition_rows": SO.partition_rows,
+        "nan_values": SO.nan_values,
+        "file_metadata": SO.file_metadata,
     }
     return {k: _prepared(v) for k, v in q.items()}
 
@@ -103,4 +118,5 @@ def oracle_sql() -> dict[str, str]:
     sql.update(S.STREAM_SQL)
     sql.update(D.DRIFT_SQL)
     sql.update(M.MONITORING_SQL)
+    sql.update(SO.SOURCES_SQL)
     return sql

@@ -1,6 +1,6 @@
-"""Catalogue queries over a versioned copy of `customer`.
+"""Catalogue queries over a versioned copy of `customer`.
 
-The version chain, built once per session and input folder:
+The version chain, built once per application and state of the input:
 
     0 CREATE    customer, three files by key range
     1 WRITE     append: every supplier as a customer (keys offset into their own range)
@@ -12,11 +12,10 @@ The version chain, built once per session and input folder:
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.plans.memo import built_once
 from tidepool.sources.tables import read_table
 from tidepool.versioned.table import VersionedTable, new_table_root
 
@@ -26,11 +25,6 @@ DELETE_PREDICATE = "c_acctbal < 0"
 UPDATE_PREDICATE = "c_mktsegment = 'AUTOMOBILE'"
 UPDATE_SET = {"c_name": "concat('vip_', c_name)"}
 SKIP_RANGE = (1000, 4999)
-OPERATIONS = ["CREATE", "WRITE", "DELETE", "UPDATE", "RESTORE", "OPTIMIZE"]
-
-_lock = threading.RLock()  # one build per session and input, even with concurrent callers
-_chains: dict[tuple[str, str], VersionedTable] = {}
-
 
 def suppliers_as_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier")
@@ -40,10 +34,7 @@ def suppliers_as_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_chain(spark: SparkSession, sf_dir: str) -> VersionedTable:
-    with _lock:
-        k = (spark.sparkContext.applicationId, sf_dir)
-        if k in _chains:
-            return _chains[k]
+    def build() -> VersionedTable:
         t = VersionedTable(spark, new_table_root(spark, "customer-versions"), "c_custkey")
         cust = read_table(spark, sf_dir, "customer")
         # Three key-range files at small scale; about ROWS_PER_FILE rows per file beyond that.
@@ -53,20 +44,35 @@ def customer_chain(spark: SparkSession, sf_dir: str) -> VersionedTable:
         t.update(UPDATE_PREDICATE, UPDATE_SET)
         t.restore(0)
         t.compact()
-        _chains[k] = t
         return t
 
+    return built_once(spark, sf_dir, "versions", ("customer", "supplier"), build)
+
 
 def version_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every version, counted by reading the version's files."""
+    """V5 V6: the history, with the rows of every version counted by reading its files."""
+    t = customer_chain(spark, sf_dir)
+    counts = None
+    for v in range(t.latest_version() + 1):  # one count per commit of the chain
+        one = t.read(v).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(v).alias("v"), "rows")
+        counts = one if counts is None else counts.unionByName(one)
+    return t.history().join(counts, F.col("version") == F.col("v")).select(F.col("version").cast("int").alias("version"), "operation", "rows")
+
+
+def version_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5: every commit with what it says it did: rows written, deleted or updated."""
+    m = F.col("metrics")
+    rows = F.coalesce(F.try_element_at(m, F.lit("numDeletedRows")), F.try_element_at(m, F.lit("numUpdatedRows")), F.try_element_at(m, F.lit("numOutputRows")))
+    return customer_chain(spark, sf_dir).history().select(
+        F.col("version").cast("int").alias("version"), "operation", F.col("readVersion").alias("read_version"),
+        F.col("isBlindAppend").alias("blind_append"), F.col("data_change"), rows.cast("long").alias("rows_changed"))
+
+
+def time_travel_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V7: the table as of the moment version 2 (the delete) was committed."""
     t = customer_chain(spark, sf_dir)
-    parts = [t.read(v).agg(F.count(F.lit(1)).alias("rows"))
-             .select(F.lit(v).alias("version"), F.lit(op).alias("operation"), "rows")
-             for v, op in enumerate(OPERATIONS)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    at = t.history().where("operation = 'DELETE'").select("ts").first()[0]
+    return t.read(timestamp=at)
 
 
 def version_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +117,15 @@ UNION ALL SELECT 3, 'UPDATE', (SELECT count(*) FROM {_V3})
 UNION ALL SELECT 4, 'RESTORE', (SELECT count(*) FROM customer)
 UNION ALL SELECT 5, 'OPTIMIZE', (SELECT count(*) FROM customer)
 """,
+    "version_history": f"""
+SELECT 0 AS version, 'CREATE' AS operation, NULL::BIGINT AS read_version, false AS blind_append, true AS data_change, (SELECT count(*) FROM customer) AS rows_changed
+UNION ALL SELECT 1, 'WRITE', 0, true, true, (SELECT count(*) FROM supplier)
+UNION ALL SELECT 2, 'DELETE', 1, false, true, (SELECT count(*) FROM {_V1} WHERE {DELETE_PREDICATE})
+UNION ALL SELECT 3, 'UPDATE', 2, false, true, (SELECT count(*) FROM {_V2} WHERE {UPDATE_PREDICATE})
+UNION ALL SELECT 4, 'RESTORE', 3, false, true, NULL
+UNION ALL SELECT 5, 'OPTIMIZE', 4, false, false, NULL
+""",
+    "time_travel_by_time": f"SELECT * FROM {_V2}",
     "version_diff": f"SELECT *, 'removed' AS _change FROM {_V1} WHERE coalesce({DELETE_PREDICATE}, false)",
     "time_travel": f"SELECT * FROM {_V3}",
     "restore": _CUST,

@@ -14,8 +14,8 @@ folders of a commit that never finished are ignored by readers and removed by `v
 One writer at a time (no transaction protocol).
 
 All the data work -- file statistics, finding the files a predicate touches, rewriting
-them, counting, diffs -- is Spark jobs.  The driver only ever holds a list of file paths
-of the files to read (a bounded listing, like any file source's index) and scalars.
+them, counting, diffs -- is Spark jobs.  Readers are given whole commit folders, and single
+files only of commits that were partly rewritten.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepool.session import folder, work_dir
+
 MIN_RETENTION_HOURS = 168  # vacuum refuses a shorter retention unless forced
 
 
@@ -55,6 +57,7 @@ class VersionedTable:
             T.StructField("metrics", m),
             T.StructField("action", T.StringType()),
             T.StructField("file", T.StringType()),
+            T.StructField("uri", T.StringType()),
             T.StructField("rows", T.LongType()),
             T.StructField("bytes", T.LongType()),
             T.StructField("min_key", key_type),
@@ -67,12 +70,10 @@ class VersionedTable:
         return self.spark.read.parquet(self.manifest_dir)
 
     def latest_version(self) -> int:
+        """-1 where nothing was ever committed; a manifest that cannot be read is an error."""
         if self._latest is None:
-            try:
-                v = self.manifest().agg(F.max("version")).first()[0]
-            except Exception:  # noqa: BLE001 - no manifest yet
-                v = None
-            self._latest = -1 if v is None else int(v)
+            fs, path = folder(self.spark, self.manifest_dir)
+            self._latest = int(self.manifest().agg(F.max("version")).first()[0]) if fs.exists(path) else -1
         return self._latest
 
     def _live(self, version: int | None = None) -> DataFrame:
@@ -81,10 +82,10 @@ class VersionedTable:
         if version is not None:
             m = m.filter(F.col("version") <= version)
         files = m.filter(F.col("action").isin("add", "remove"))
-        last = files.groupBy("file").agg(F.max_by(F.struct("action", "rows", "bytes", "min_key", "max_key"),
+        last = files.groupBy("file").agg(F.max_by(F.struct("action", "uri", "rows", "bytes", "min_key", "max_key"),
                                                   F.col("version")).alias("s"))
         return last.filter(F.col("s.action") == "add").select(
-            "file", "s.rows", "s.bytes", "s.min_key", "s.max_key")
+            "file", "s.uri", "s.rows", "s.bytes", "s.min_key", "s.max_key")
 
     def _live_rows(self, version: int | None = None) -> list[dict]:
         """The live file list as rows (one per file: commit metadata, bounded by file count)."""
@@ -101,7 +102,17 @@ class VersionedTable:
         return self.spark.read.parquet(first[0][0]).schema
 
     def _paths(self, live: DataFrame) -> list[str]:
-        return [r[0] for r in live.select("file").collect()]  # a file list, bounded by file count
+        """What to read for the live files: a commit's folder where all its files are live, and single
+        files only of commits that a rewrite has partly replaced.  So the driver's list follows the
+        number of commits and of rewritten files, not the size of the table."""
+        added = self.manifest().where("action = 'add'").select("file").distinct()
+        parent = F.regexp_extract("file", r"^(.*)/[^/]*$", 1)
+        both = added.join(live.select("file", F.lit(True).alias("live")), "file", "left").withColumn("folder", parent)
+        whole = both.groupBy("folder").agg(F.count("*").alias("files"), F.count("live").alias("live"))
+        whole = whole.where("live > 0").withColumn("whole", F.col("files") == F.col("live"))
+        paths = [r.folder for r in whole.where("whole").select("folder").collect()]
+        parts = both.where("live").join(whole.where("NOT whole").select("folder"), "folder", "left_semi")
+        return sorted(paths) + sorted(r.file for r in parts.select("file").collect())
 
     # ----------------------------------------------------------------- writing
     def _write_files(self, df: DataFrame, version: int, files: int | None = None) -> list[dict]:
@@ -113,20 +124,23 @@ class VersionedTable:
         """
         from tidepool.operators.layout import list_files
 
-        folder = f"{self.data_dir}/v{version}-{uuid.uuid4().hex[:8]}"
+        to = f"{self.data_dir}/v{version}-{uuid.uuid4().hex[:8]}"
         out = df.repartition(files) if files else df
-        out.write.mode("errorifexists").parquet(folder)
+        out.write.mode("errorifexists").parquet(to)
         if self._key_type is None:
             self._key_type = out.schema[self.key].dataType
-        back = self.spark.read.parquet(folder)
-        stats = (back.groupBy(F.col("_metadata.file_path").alias("file"))
+        back = self.spark.read.parquet(to)
+        stats = (back.groupBy(F.col("_metadata.file_path").alias("uri"))
                  .agg(F.count(F.lit(1)).alias("rows"), F.min(self.key).alias("min_key"),
                       F.max(self.key).alias("max_key")))
-        listed = list_files(self.spark, folder, recursive=False).select(F.col("file_path").alias("file"),
-                                                                         F.col("file_bytes").alias("bytes"))
-        both = listed.join(stats, "file", "left").select(
-            "file", "bytes", F.coalesce("rows", F.lit(0)).alias("rows"), "min_key", "max_key")
-        return [r.asDict() for r in both.collect()]
+        listed = list_files(self.spark, to, recursive=False).select(
+            F.col("file_path").alias("file"), F.col("file_uri").alias("uri"), F.col("file_bytes").alias("bytes"))
+        both = listed.join(stats, "uri", "full_outer").select(
+            "file", "uri", "bytes", F.coalesce("rows", F.lit(0)).alias("rows"), "min_key", "max_key")
+        files = [r.asDict() for r in both.collect()]
+        if any(f["file"] is None for f in files):
+            raise RuntimeError(f"files of {to} hold rows but are not listed")
+        return files
 
     def _key_type_now(self) -> T.DataType:
         if self._key_type is None:
@@ -141,9 +155,9 @@ class VersionedTable:
         now = dt.datetime.now(dt.timezone.utc)
         empty: dict[str, str] = {}
         rows = [(now, operation, {k: str(v) for k, v in params.items()}, {k: str(v) for k, v in metrics.items()},
-                 "commit", None, None, None, None, None, data_change)]
+                 "commit", None, None, None, None, None, None, data_change)]
         for action, files in (("add", adds), ("remove", removes)):
-            rows += [(now, operation, empty, empty, action, f["file"], f["rows"], f["bytes"], f["min_key"],
+            rows += [(now, operation, empty, empty, action, f["file"], f["uri"], f["rows"], f["bytes"], f["min_key"],
                       f["max_key"], data_change) for f in files]
         before = self._live_rows() if version > 0 else []
         (self.spark.createDataFrame(rows, schema).coalesce(1)
@@ -152,7 +166,7 @@ class VersionedTable:
         for f in removes:
             live.pop(f["file"], None)
         for f in adds:
-            live[f["file"]] = {k: f[k] for k in ("file", "rows", "bytes", "min_key", "max_key")}
+            live[f["file"]] = {k: f[k] for k in ("file", "uri", "rows", "bytes", "min_key", "max_key")}
         self._latest, self._live_cache = version, live
         return version
 
@@ -173,36 +187,43 @@ class VersionedTable:
                             {"numFiles": len(adds), "numOutputRows": sum(f["rows"] for f in adds)}, adds, [])
 
     def append(self, df: DataFrame, files: int | None = None) -> int:
-        """V2: blind append: new files only."""
+        """V2: blind append: new files only.  Names and types must be those of the table (in any order)."""
         v = self.latest_version() + 1
+        want = {f.name: f.dataType for f in self._schema().fields}
+        have = {f.name: f.dataType for f in df.schema.fields}
+        if want != have:
+            odd = sorted(k for k in {*want, *have} if want.get(k) != have.get(k))
+            raise ValueError(f"append does not fit the table's schema in {odd}: {[(k, want.get(k), have.get(k)) for k in odd]}")
+        df = df.select(*want)
         adds = self._write_files(df, v, files)
         return self._commit(v, "WRITE", {"mode": "Append", "readVersion": v - 1, "isBlindAppend": True},
                             {"numFiles": len(adds), "numOutputRows": sum(f["rows"] for f in adds)}, adds, [])
 
-    def _touched(self, cond: Column, key_range: tuple | None) -> list[dict]:
-        """Live files holding at least one row where `cond` is true, with `matched` rows each.
+    def _condition(self, cond: Column | str, key_range: tuple | None) -> Column:
+        cond = F.expr(cond) if isinstance(cond, str) else cond
+        return cond if key_range is None else cond & F.col(self.key).between(*key_range)
 
-        One scan of the candidate files finds both the files and how many of their rows
-        match.  With `key_range`, the manifest's min/max prune candidate files first (V14),
-        so only overlapping files are scanned.
-        """
-        live = [f for f in self._live_rows() if f["rows"]]  # zero-row files hold nothing to match
+    def _touched(self, cond: Column, key_range: tuple | None) -> list[dict]:
+        """Live files holding at least one row where `cond` is true, with `matched` rows each: one scan.
+        Files without rows, and with `key_range` those whose keys (NULL in all rows, or outside it)
+        cannot match, are not read."""
+        live = {f["uri"]: f for f in self._live_rows() if f["rows"]}
         if key_range is not None:
             lo, hi = key_range
-            live = [f for f in live if f["max_key"] >= lo and f["min_key"] <= hi]
+            live = {u: f for u, f in live.items() if f["max_key"] is not None and f["max_key"] >= lo and f["min_key"] <= hi}
         if not live:
             return []
-        hits = (self.spark.read.parquet(*[f["file"] for f in live]).filter(F.coalesce(cond, F.lit(False)))
-                .groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("matched")))
-        matched = {r["file"]: r["matched"] for r in hits.collect()}  # one row per touched file
-        return [{**f, "matched": matched[f["file"]]} for f in live if f["file"] in matched]
+        hits = (self.spark.read.parquet(*[f["file"] for f in live.values()]).filter(F.coalesce(cond, F.lit(False)))
+                .groupBy(F.col("_metadata.file_path").alias("uri")).agg(F.count(F.lit(1)).alias("matched")))
+        return [{**live[r["uri"]], "matched": r["matched"]} for r in hits.collect()]  # one row per touched file
 
     def delete(self, cond: Column | str, key_range: tuple | None = None) -> int:
         """V3: copy-on-write delete; only files with a matching row are rewritten.
 
-        A row whose predicate is NULL is kept (SQL DELETE semantics).
+        A row whose predicate is NULL is kept (SQL DELETE semantics).  A `key_range` is part of the
+        predicate (and prunes files by it), so the result never depends on the file layout.
         """
-        cond = F.expr(cond) if isinstance(cond, str) else cond
+        cond = self._condition(cond, key_range)
         v = self.latest_version() + 1
         touched = self._touched(cond, key_range)
         adds = []
@@ -215,8 +236,8 @@ class VersionedTable:
 
     def update(self, cond: Column | str, assignments: Mapping[str, Column | str],
                key_range: tuple | None = None) -> int:
-        """V4: copy-on-write update of the files with a matching row."""
-        cond = F.expr(cond) if isinstance(cond, str) else cond
+        """V4: copy-on-write update of the files with a matching row (`key_range` as in `delete`)."""
+        cond = self._condition(cond, key_range)
         sets = {k: (F.expr(e) if isinstance(e, str) else e) for k, e in assignments.items()}
         v = self.latest_version() + 1
         touched = self._touched(cond, key_range)
@@ -383,11 +404,5 @@ def _delete_files(batches):
         yield pd.DataFrame({"file": pdf["file"], "file_bytes": pdf["file_bytes"], "deleted": done})
 
 
-def open_table(spark: SparkSession, root: str, key: str) -> VersionedTable:
-    return VersionedTable(spark, root, key)
-
-
 def new_table_root(spark: SparkSession, name: str) -> str:
-    from tidepool.session import work_dir
-
     return os.path.join(work_dir(spark, name), "table")
