@@ -19,6 +19,8 @@ through `pack`, and those of the documents are not read.
 
 from __future__ import annotations
 
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,7 +79,10 @@ class ChunkTokenizer:
         return out
 
     def raw(self, text: str) -> bytes:
-        return np.array(self._encode(text), dtype="<u4").tobytes()
+        ids = array("I", self._encode(text))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def __call__(self, text: str) -> bytes:
         if self._unsafe(text):
