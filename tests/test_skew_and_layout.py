@@ -221,3 +221,10 @@ def test_conform_requires_required_fields(spark):
         conform(df, [ReaderField("other", "int", nullable=False)])
     with pytest.raises(Exception, match="required field"):
         conform(df, [ReaderField("new", "int", nullable=False)]).collect()
+
+
+def test_skew_join_settings_stay_in_their_session(spark):
+    own = spark.newSession()
+    J.skew_join_settings(own, factor=2.0, threshold="1MB")
+    assert own.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor") == "2.0"
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor") != "2.0"

@@ -31,11 +31,6 @@ def to_ntz(x) -> Column:
     return _c(x).cast("timestamp_ntz")
 
 
-def epoch_seconds(x) -> Column:
-    """Seconds since the epoch as a double (microsecond precision kept)."""
-    return F.unix_micros(_c(x).cast("timestamp")) / F.lit(1_000_000.0)
-
-
 def last_path_segment(x) -> Column:
     """file name from a path."""
     return F.substring_index(_c(x), "/", -1)
