@@ -82,3 +82,14 @@ def test_edge_rows(edge_docs, edge_rows):
     docs = id_and_text(edge_docs)
     rows = L.score_texts(docs, docs).collect()
     assert len(rows) == len(edge_rows) and all(np.isfinite(r.score) and r.n_known == r.n_tokens for r in rows)
+
+
+def test_all_repeated_ngrams_count_whatever_the_corpus(make):
+    # with its default constants: "rare left pair" and its bigrams occur twice in 60,000 tokens
+    texts = [f"filler{i} " * 2000 for i in range(30)] + ["rare left pair"] * 2
+    docs = id_and_text(make(list(enumerate(texts))))
+    model = Plain(texts, 0.0, 0.0)
+    got = {r.doc_id: r for r in L.score_texts(docs, docs).collect()}
+    assert ("rare", "left", "pair") in model.kept
+    for i, t in enumerate(texts):
+        assert got[i].score == pytest.approx(model.score(t), abs=1e-6)

@@ -4,19 +4,24 @@ Tokens are the lower-cased (A-Z) words of a text and one end token.  Training co
 of all training documents.  The model:
 
 * unigrams of all words, add-half smoothed: P(w) = (c + 0.5) / (N + 0.5 (V + 1));
-* bigrams and trigrams over the frequent words (at least 1e-4 of all tokens, so 10,000 at most),
-  kept from a share of 4e-6 on (so 250,000 of each length at most), absolutely discounted by 0.5;
+* all bigrams and trigrams that occur at least twice (`MIN_NGRAM`), absolutely discounted by 0.5;
 * what the discount and the dropped n-grams free goes to the shorter context by a weight that makes
   each distribution sum to one.
 
-Contexts are states, n-grams are arcs with log-probabilities, and each state has a failure arc to
-its longest proper suffix with its backoff weight.  A text is scored by one traversal that carries
-the state.  The automaton's size is bounded by the shares above, whatever the corpus, so it is
-broadcast, as are the counts of the words from 2e-6 on (at most 500,000).  All other words, rare
-each by itself, are joined with the full table of counts by word hash; only sums go back.
+Contexts are states, n-grams are arcs, and each state has a failure arc to its longest proper
+suffix with its backoff weight.  The automaton is a Spark table that grows with the corpus: an arc
+holds its log-probability less the weight of the failure path that it replaces, and the failure
+weight of the state it leads to.  So the weight of a text's path is the sum of the table's values
+over all its words, bigrams and trigrams, and a text is scored without walking arc by arc.
 
-Counts are combined per Arrow batch and map-side; no key of a shuffle is hot, because frequent
-words never reach the join and n-gram counts are partial sums.
+The arcs that hold at least 2e-6 of all tokens (at most 500,000 of each length) are broadcast; all
+others are joined by their hash, and only sums go back.  A bitmap of fixed size over the hashes
+of the table keeps most n-grams that it does not hold out of the shuffles; what it lets through
+besides finds nothing in the join, so its size never changes the result.  Words and n-grams are
+compared by 64-bit hash.
+
+Counts are combined per slice and map-side; hot arcs never reach the join with the texts, and n-gram
+counts are partial sums.
 
 Defined cases: null text is the empty text (the end token alone); null and repeated identifiers
 are separate documents, row by row (a null one is not held out); without training documents every
@@ -35,11 +40,14 @@ from pyspark.sql import functions as F
 from tidepool.llm import textops as T
 from tidepool.llm.shared import documents, id_and_text, materialise
 
-CONTEXT_SHARE = 1e-4  # of words in n-grams
-NGRAM_SHARE = 4e-6  # of kept n-grams
-LOCAL_SHARE = 2e-6  # of words whose counts are broadcast
+CONTEXT_SHARE = 0.0  # of words in n-grams; 0: all words
+NGRAM_SHARE = 0.0  # of kept n-grams; 0: all from MIN_NGRAM occurrences on
+LOCAL_SHARE = 2e-6  # of words and n-grams whose values are broadcast
 MIN_NGRAM = 2
 DISCOUNT = 0.5
+BITMAP_BITS = 27
+SEGMENT = 1 << 13  # words of the bitmap that a row brings to the driver
+BEGIN, END = np.uint64(0x8C5F1E0B3A7D4296), np.uint64(0x51D7A3C94E80B62F)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -65,37 +73,83 @@ def word_counts(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def sequences(ids: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
-    """The word numbers of all rows of a slice, each row between begin (size + 1) and end (size)."""
+def sequences(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The word hashes of all rows of a slice, each row between BEGIN and END."""
     rows = np.arange(len(first) - 1)
-    out = np.empty(len(ids) + 2 * len(rows), dtype=np.int64)
-    out[first[:-1] + 2 * rows] = size + 1
-    out[first[1:] + 2 * rows + 1] = size
-    out[np.arange(len(ids)) + 2 * T.spread(first) + 1] = ids
+    out = np.empty(len(h) + 2 * len(rows), dtype=np.uint64)
+    out[first[:-1] + 2 * rows] = BEGIN
+    out[first[1:] + 2 * rows + 1] = END
+    out[np.arange(len(h)) + 2 * T.spread(first) + 1] = h
+    return out
+
+
+def pair_key(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Hash of an n-gram from those of its first and its last n - 1 words."""
+    return T.mix(prefix * np.uint64(0x9E3779B97F4A7C15) + suffix * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
+
+
+def _slot(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word of the bitmap and bit in it."""
+    at = key >> np.uint64(64 - BITMAP_BITS)
+    return (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
+
+
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """2 ** BITMAP_BITS bits, set where a key falls; the bits are merged by Spark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                key = np.sort(batch.column(0).to_numpy().view(np.uint64))  # slots are the leading bits
+                word, bit = _slot(key)
+                head = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+                yield pa.RecordBatch.from_arrays([pa.array(word[head]), pa.array(np.bitwise_or.reduceat(bit, head).view(np.int64))], ["word", "bits"])
+
+    def dense(key: tuple, table: pa.Table) -> pa.Table:
+        out = np.zeros(SEGMENT, dtype=np.uint64)
+        out[table.column("word").to_numpy() % SEGMENT] = table.column("bits").to_numpy().view(np.uint64)
+        return pa.table({"segment": [key[0].as_py()], "bits": pa.array([out.tobytes()], pa.binary())})
+
+    merged = keys.select("key").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    segments = merged.groupBy(F.floor(F.col("word") / SEGMENT).alias("segment")).applyInArrow(dense, "segment long, bits binary")
+    out = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.uint64)
+    for r in segments.toLocalIterator():
+        out[r.segment * SEGMENT:(r.segment + 1) * SEGMENT] = np.frombuffer(bytes(r.bits), np.uint64)
     return out
 
 
-def ngram_counts(train: DataFrame, context: np.ndarray) -> DataFrame:
-    """key, n of the bigrams and trigrams over the words `context` (sorted hashes), begin and end."""
-    shared = train.sparkSession.sparkContext.broadcast(context)
+def _maybe(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    word, bit = _slot(key)
+    return (bits[word] & bit) != 0
+
+
+def ngram_counts(train: DataFrame, least: float, bigrams: np.ndarray | None = None) -> DataFrame:
+    """key, prefix, suffix, c of the bigrams or, given a bitmap of the kept bigrams, of the trigrams
+    (both of whose bigrams are kept) with at least `least` occurrences."""
+    shared = train.sparkSession.sparkContext.broadcast(bigrams)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        size, m = len(known), len(known) + 2
+        bits = shared.value
         for batch in batches:
-            keys = []
             for _, _, h, first in _words(batch.column(0)):
-                s = sequences(_number(known, h), first, size)
-                ok = (s[:-1] >= 0) & (s[1:] >= 0) & (s[:-1] != size) & (s[1:] != size + 1)
-                two = s[:-1] * m + s[1:]
-                keys.append(two[ok])
-                three = ok[:-1] & ok[1:]
-                keys.append(m * m + (two[:-1] * m + s[2:])[three])
-            if keys:
-                key, n = np.unique(np.concatenate(keys), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+                s = sequences(h, first)
+                ok = s[:-1] != END
+                prefix, suffix = s[:-1], s[1:]
+                if bits is not None:
+                    two = pair_key(prefix, suffix)
+                    ok &= _maybe(bits, two)
+                    prefix, suffix, ok = two[:-1], two[1:], ok[:-1] & ok[1:]
+                prefix, suffix = prefix[ok], suffix[ok]
+                _, at, n = np.unique(pair_key(prefix, suffix), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(prefix[at].view(np.int64)), pa.array(suffix[at].view(np.int64)), pa.array(n)], ["prefix", "suffix", "c"])
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix, suffix = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(pair_key(prefix, suffix).view(np.int64)), *batch.columns], ["key", "prefix", "suffix", "c"])
 
-    return train.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    found = train.select("text").mapInArrow(run, "prefix long, suffix long, c long").groupBy("prefix", "suffix").agg(F.sum("c").alias("c"))
+    return found.where(F.col("c") >= least).mapInArrow(keyed, "key long, prefix long, suffix long, c long")
 
 
 def _number(known: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -106,78 +160,49 @@ def _number(known: np.ndarray, h: np.ndarray) -> np.ndarray:
     return np.where(known[at] == h, at, -1)
 
 
-class Automaton:
-    """States 0 (root) and up; arcs (state, word) -> log10 probability and next state; failure arcs."""
-
-    def __init__(self, unigram: np.ndarray, count: np.ndarray, begin: int, keys: np.ndarray, n: np.ndarray):
-        """unigram: probability of each context word and, last, of the end; count: their counts;
-        begin: number of texts; keys, n: the kept n-grams."""
-        self.size = size = len(unigram) - 1  # the end is word `size`, the begin `size` + 1
-        self.m = m = size + 2
-        two, three = keys < m * m, keys >= m * m
-        grams: dict[tuple, dict[int, int]] = {}
-        for k, c in zip(keys[two].tolist(), n[two].tolist()):
-            grams.setdefault((k // m,), {})[k % m] = c
-        for k, c in zip((keys[three] - m * m).tolist(), n[three].tolist()):
-            grams.setdefault((k // m // m, k // m % m), {})[k % m] = c
-        total = {(w,): int(c) for w, c in enumerate(count[:-1].tolist())} | {(size + 1,): begin}
-        total |= {(k // m, k % m): c for k, c in zip(keys[two].tolist(), n[two].tolist())}
-        contexts = [(), *sorted(c for c in grams if len(c) == 1), *sorted(c for c in grams if len(c) == 2)]
-        state = {c: i for i, c in enumerate(contexts)}
-        self.fail, self.weight = [0] * len(contexts), [0.0] * len(contexts)
-        self.drop = [0.0] * len(contexts)  # weight of all failure arcs down to the root
-        self.arcs = {w: w for w in range(size + 1)}  # root arcs
-        self.log: list[float] = np.log10(unigram).tolist()
-        self.next = [state.get((w,), 0) for w in range(size + 1)]
-        prob = {(): unigram.tolist()}
-        self.start = state.get((size + 1,), 0)
-        for c in contexts[1:]:
-            i, short = state[c], c[1:]
-            while short not in state:
-                short = short[1:]
-            own = {w: (x - DISCOUNT) / total[c] for w, x in grams[c].items()}
-            lower = sum(self._prob(prob, short, w, state) for w in own)
-            self.fail[i] = state[short]
-            self.weight[i] = float(np.log10((1 - sum(own.values())) / (1 - lower)))
-            self.drop[i] = self.weight[i] + self.drop[state[short]]
-            prob[c] = own
-            for w, p in own.items():
-                self.arcs[i * m + w] = len(self.log)
-                self.log.append(float(np.log10(p)))
-                after = (*c, w)[-2:]
-                while after not in state:
-                    after = after[1:]
-                self.next.append(state[after])
-
-    def _prob(self, prob: dict, c: tuple, w: int, state: dict) -> float:
-        if not c:
-            return prob[()][w]
-        if w in prob[c]:
-            return prob[c][w]
-        i = state[c]
-        short = c[1:]
-        while short not in state:
-            short = short[1:]
-        return 10 ** self.weight[i] * self._prob(prob, short, w, state)
-
-    def traverse(self, words: list[int]) -> float:
-        """Sum of the weights along a text (word numbers, -1: a word without arcs, whose own
-        probability is added elsewhere), from the begin state over the end."""
-        arc, log, following, weight, fail, drop, m = self.arcs.get, self.log, self.next, self.weight, self.fail, self.drop, self.m
-        s, total = self.start, 0.0
-        for w in words:
-            if w < 0:
-                total += drop[s]
-                s = 0
-                continue
-            a = arc(s * m + w)
-            while a is None:
-                total += weight[s]
-                s = fail[s]
-                a = arc(s * m + w)
-            total += log[a]
-            s = following[a]
-        return total
+def _signed(h: np.uint64) -> Column:
+    return F.lit(int(h.view(np.int64))).cast("long")
+
+
+def automaton(train: DataFrame, counts: DataFrame, n: int, texts: int, z: float) -> tuple[DataFrame, float]:
+    """The arcs key, n, base, extra, known of all words and kept n-grams (base: what a word adds to the
+    unigram score of an unseen one; extra: what the arc adds to the unigram score), and the failure
+    weight of the begin state."""
+    spark = train.sparkSession
+    ends = spark.createDataFrame([(int(h.view(np.int64)), texts) for h in (BEGIN, END)], "word long, n long")
+    words = counts.unionByName(ends)
+    least, often = max(MIN_NGRAM, NGRAM_SHARE * n), max(2.0, CONTEXT_SHARE * n)
+    two = (ngram_counts(train, least).join(words.select(F.col("word").alias("prefix"), F.col("n").alias("before")), "prefix")
+           .join(words.select(F.col("word").alias("suffix"), F.col("n").alias("alone")), "suffix")
+           .where((F.col("prefix") == _signed(BEGIN)) | (F.col("before") >= often))
+           .where((F.col("suffix") == _signed(END)) | (F.col("alone") >= often)))
+    two = materialise(two.select("key", "prefix", "suffix", "c", "before", "alone"), "bigrams")
+    three = (ngram_counts(train, least, bitmap(two))
+             .join(two.select(F.col("key").alias("prefix"), F.col("c").alias("before")), "prefix")
+             .join(two.select(F.col("key").alias("suffix"), F.col("c").alias("alone"), F.col("before").alias("middle")), "suffix"))
+    three = materialise(three.select("key", "prefix", "c", "before", "alone", "middle"), "trigrams")
+
+    # backoff weights from sums of integers, so they do not depend on the order of arrival
+    freed = 1 - (F.col("c") - DISCOUNT * F.col("k")) / F.col("before")
+    total = [F.count("*").alias("k"), F.sum("c").alias("c"), F.sum("alone").alias("alone"), F.min("before").alias("before")]
+    one_weight = materialise(two.groupBy("prefix").agg(*total).select(
+        "prefix", F.log10(freed / (1 - (F.col("alone") + 0.5 * F.col("k")) / F.lit(float(z)))).alias("weight")), "weights")
+    two_weight = materialise(three.groupBy("prefix").agg(*total, F.min("middle").alias("middle")).select(
+        "prefix", F.log10(freed / (1 - (F.col("alone") - DISCOUNT * F.col("k")) / F.col("middle"))).alias("weight")), "weights")
+    begin = one_weight.where(F.col("prefix") == _signed(BEGIN)).first()
+
+    unigram = lambda c: F.log10((F.col(c) + 0.5) / F.lit(float(z)))
+    own = F.log10((F.col("c") - DISCOUNT) / F.col("before"))
+    fails = lambda w: w.select(F.col("prefix").alias("key"), F.col("weight").alias("fail"))
+    fail = F.coalesce("fail", F.lit(0.0))
+    word_arcs = counts.withColumnRenamed("word", "key").join(fails(one_weight), "key", "left").select(
+        "key", "n", (unigram("n") - float(np.log10(0.5 / z))).alias("base"), fail.alias("extra"), F.lit(1).alias("known"))
+    none = F.lit(0.0).alias("base"), F.lit(0).alias("known")
+    two_arcs = two.join(one_weight, "prefix").join(fails(two_weight), "key", "left").select(
+        "key", F.col("c").alias("n"), (own - F.col("weight") - unigram("alone") + fail).alias("extra"), *none)
+    three_arcs = three.join(two_weight, "prefix").select(
+        "key", F.col("c").alias("n"), (own - F.col("weight") - F.log10((F.col("alone") - DISCOUNT) / F.col("middle"))).alias("extra"), *none)
+    return materialise(word_arcs.unionByName(two_arcs).unionByName(three_arcs), "arcs"), begin.weight if begin else 0.0
 
 
 def score_texts(docs: DataFrame, train: DataFrame) -> DataFrame:
@@ -189,37 +214,34 @@ def score_texts(docs: DataFrame, train: DataFrame) -> DataFrame:
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = sums.n + texts, sums.v + (texts > 0)
     z = n + 0.5 * (v + 1)
-    local = counts.where(F.col("n") >= max(1.0, LOCAL_SHARE * n)).toPandas()  # at most 1 / LOCAL_SHARE words
-    word, count = local["word"].to_numpy(np.int64).view(np.uint64), local["n"].to_numpy(np.int64)
-    order = np.argsort(word)
-    word, count = word[order], count[order]
-    in_context = count >= max(2.0, CONTEXT_SHARE * n)
-    context = word[in_context]
-    grams = ngram_counts(train, context).where(F.col("n") >= max(MIN_NGRAM, NGRAM_SHARE * n)).orderBy("key").toPandas()
-    ends = (texts + 0.5) / z
-    model = Automaton(np.append((count[in_context] + 0.5) / z, ends), np.append(count[in_context], texts), texts,
-                      grams["key"].to_numpy(np.int64), grams["n"].to_numpy(np.int64))
-    number = np.append(np.where(in_context, np.cumsum(in_context) - 1, -1), -1)  # local word -> context word; last: not local
-    log = np.append(np.log10((count + 0.5) / z), 0.0)
-    shared = spark.sparkContext.broadcast((word, number, log, float(np.log10(ends)), model))
+    arcs, begin = automaton(train, counts, n, texts, z)
+    hot = F.col("n") >= max(1.0, LOCAL_SHARE * n)
+    local = arcs.where(hot).select("key", "base", "extra", "known").toPandas()  # at most 1 / LOCAL_SHARE of each length
+    key = local["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(key)
+    values = [np.append(local[c].to_numpy(np.float64)[order], 0.0) for c in ("base", "extra", "known")]  # last: not local
+    rest = arcs.where(~hot)
+    ends, unseen = float(np.log10((texts + 0.5) / z)), float(np.log10(0.5 / z))
+    shared = spark.sparkContext.broadcast((key[order], values, bitmap(rest)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word, number, log, end_log, model = shared.value
+        key, (base, extra, known), bits = shared.value
         for batch in batches:
             for a, b, h, first in _words(batch.column(1)):
                 rows = b - a
-                row = T.spread(first)
-                at = _number(word, h)
-                own = log[at]
-                ids = number[at]
-                base = np.bincount(row, own, rows) + end_log
-                plain = np.bincount(row, np.where(ids < 0, own, 0.0), rows)
-                known = np.bincount(row[at >= 0], minlength=rows)
-                seq = sequences(ids, first, model.size).tolist()
-                cut = (first + 2 * np.arange(rows + 1)).tolist()
-                walked = [model.traverse(seq[x + 1:y]) for x, y in zip(cut[:-1], cut[1:])]
-                rare = at < 0
-                rh, rr = h[rare], row[rare]
+                s = sequences(h, first)
+                place = np.repeat(np.arange(rows), np.diff(first) + 2)
+                inside = s[:-1] != END
+                two = pair_key(s[:-1], s[1:])
+                both = inside[:-1] & inside[1:]
+                asked = np.concatenate([h, two[inside], pair_key(two[:-1], two[1:])[both]])
+                row = np.concatenate([T.spread(first), place[:-1][inside], place[:-2][both]])
+                at = _number(key, asked)
+                plain = np.bincount(row, base[at], rows) + np.diff(first) * unseen + ends
+                more = np.bincount(row, extra[at], rows) + begin
+                seen = np.bincount(row, known[at], rows).astype(np.int64)
+                rare = (at < 0) & _maybe(bits, asked)
+                rh, rr = asked[rare], row[rare]
                 by = np.lexsort((rh, rr))
                 rh, rr = rh[by], rr[by]
                 new = np.concatenate([[True], (rh[1:] != rh[:-1]) | (rr[1:] != rr[:-1])]) if len(rh) else np.zeros(0, bool)
@@ -227,22 +249,20 @@ def score_texts(docs: DataFrame, train: DataFrame) -> DataFrame:
                 times = np.diff(np.append(head, len(rh)))
                 offsets = pa.array(np.searchsorted(rr[head], np.arange(rows + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, rows), pa.array(np.diff(first) + 1), pa.array(known), pa.array(base), pa.array(plain + np.array(walked)),
+                    batch.column(0).slice(a, rows), pa.array(np.diff(first) + 1), pa.array(seen), pa.array(plain), pa.array(more),
                     pa.ListArray.from_arrays(offsets, pa.array(rh[head].view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32)))],
-                    ["doc_id", "n_tokens", "known", "base", "walked", "rare", "times"])
+                    ["doc_id", "n_tokens", "known", "base", "extra", "rare", "times"])
 
-    schema = "doc_id long, n_tokens long, known long, base double, walked double, rare array<long>, times array<int>"
+    schema = "doc_id long, n_tokens long, known long, base double, extra double, rare array<long>, times array<int>"
     rows = materialise(docs.select("doc_id", "text").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "rows")
-    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
-    c = F.coalesce("n", F.lit(0))
-    rest = (rare.join(counts, "word", "left").groupBy("row")
-            .agg(F.sum(F.col("times") * F.log10((c + 0.5) / F.lit(float(z)))).alias("rest"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more")))
-    rest = rest.withColumn("rest", F.round("rest", 9))  # sums of doubles arrive in any order
-    end_known = 1 if texts else 0
-    add = F.coalesce("rest", F.lit(0.0))
-    return rows.join(rest, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0)) + end_known).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + add).alias("base_score"), (F.col("walked") + add).alias("score"))
+    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("key"), F.col("r.times").alias("times"))
+    sums = [F.sum(F.col("times") * F.col(c)).alias(f"more_{c}") for c in ("known", "base", "extra")]
+    found = rare.join(rest.select("key", "base", "extra", "known"), "key").groupBy("row").agg(*sums)
+    more = lambda c: F.coalesce(F.round(f"more_{c}", 9), F.lit(0))  # noqa: E731  sums of doubles arrive in any order
+    base = F.col("base") + more("base")
+    return rows.join(found, "row", "left").select(
+        "doc_id", "n_tokens", (F.col("known") + more("known") + (1 if texts else 0)).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+        base.alias("base_score"), (base + F.col("extra") + more("extra")).alias("score"))
 
 
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
