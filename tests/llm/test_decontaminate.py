@@ -58,6 +58,13 @@ def test_blocks_of_items_give_the_same(spark, make, case):
     assert run(make(rows), bench, pattern_block=60) == brute(rows, items)
 
 
+def test_blocks_keep_rows_with_repeated_and_null_identifiers(spark, make, case):
+    rows, items = case
+    rows = rows + [(None, "alpha Beta " * 40), (None, None), (None, "nothing to find"), (50, "nothing to find"), rows[0]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert run(make(rows), bench, pattern_block=60) == brute(rows, items)
+
+
 def test_empty_tables(spark, make, no_docs, case):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert run(make([(1, "a b")]), bench) == Counter({(1, 2, (), ()): 1})

@@ -12,10 +12,11 @@ patterns shorter than two).  For patterns of m words:
 * where the shift is 0 the hash of the last block selects the patterns (sorted pattern hashes),
   and the words are compared directly.
 
-The benchmark is read in blocks of at most 200,000 patterns (a stated query set against all
-rows): each block is one broadcast table of bounded size, and a second block is a second pass.
-A document is split over nothing: each row is searched whole in its own task, without a shuffle,
-so no key can be hot.
+The benchmark is read in blocks of about 200,000 patterns (a stated query set against all rows),
+dealt by a running sum: each block is one broadcast table of bounded size, and a second block is a
+second pass.  A document is split over nothing: each row is searched whole in its own task, without
+a shuffle; with several blocks the rows are numbered and written first, and their hits are merged
+by that number, so no key can be hot.
 
 Defined cases: null text has no words; an item without words has no window; repeated items count
 as one item per identifier; null item identifiers are ignored in the list of items; repeated
@@ -29,7 +30,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidepool.llm import textops as T
 from tidepool.llm.shared import documents, id_and_text, materialise
@@ -39,7 +42,7 @@ WINDOW = 10
 PATTERN_BLOCK = 200_000
 TABLE_BITS = 20
 
-HITS = "doc_id long, n_words long, hit_words array<int>, items array<string>"
+HITS = "n_words long, hit_words array<int>, items array<string>"
 
 
 class Patterns:
@@ -122,7 +125,9 @@ def compile_patterns(ids: list[str], texts: list[str], window: int) -> list[Patt
 
 
 def search(docs: DataFrame, items: list[tuple[str, str]], window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, hit_words (positions), items (identifiers found), for one block of items."""
+    """The columns of `docs` before its last, the text, with n_words, hit_words (positions) and items
+    (identifiers found), for one block of items."""
+    others = docs.columns[:-1]
     ids = [i for i, _ in items]
     texts = [t for _, t in items]
     shared = docs.sparkSession.sparkContext.broadcast((ids, texts))
@@ -130,7 +135,7 @@ def search(docs: DataFrame, items: list[tuple[str, str]], window: int = WINDOW)
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, patterns = shared.value[0], compile_patterns(*shared.value, window)
         for batch in batches:
-            texts = batch.column(1)
+            texts = batch.column(len(others))
             for a, b, h, first in word_hashes(texts):
                 hit = np.zeros(len(h) + 1, dtype=np.int32)
                 pairs = []
@@ -148,46 +153,52 @@ def search(docs: DataFrame, items: list[tuple[str, str]], window: int = WINDOW)
                         if names[item] is not None:
                             found[row].append(names[item])
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), pa.array(np.diff(first)),
+                    *[batch.column(i).slice(a, b - a) for i in range(len(others))], pa.array(np.diff(first)),
                     pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(where.astype(np.int32))),
-                    pa.array(found, pa.list_(pa.string()))], ["doc_id", "n_words", "hit_words", "items"])
+                    pa.array(found, pa.list_(pa.string()))], [*others, "n_words", "hit_words", "items"])
 
-    return docs.mapInArrow(scan, HITS)
+    return docs.mapInArrow(scan, StructType([*docs.schema.fields[:-1], *StructType.fromDDL(HITS).fields]))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        window: int = WINDOW, pattern_block: int = PATTERN_BLOCK) -> DataFrame:
-    """One row per document: doc_id, n_words, hit_words, items (sorted identifiers).  With more than
-    one block of items the documents need unique identifiers."""
+    """One row per document: doc_id, n_words, hit_words, items (sorted identifiers)."""
     docs = id_and_text(docs, id_col, text_col)
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    blocks, held, size = [], [], 0
-    for r in items.toLocalIterator():  # block by block; an item is at most a pattern for each two bytes
-        if held and size + len(r.text) // 2 + 1 > pattern_block:
-            blocks.append(_block_path(items, held))
-            held, size = [], 0
-        held.append((r.item_id, r.text))
-        size += len(r.text) // 2 + 1
-    if not blocks:
-        found = search(docs, held, window)
+    items = materialise(_dealt(benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")),
+                               pattern_block), "items")
+    blocks = [r.block for r in items.select("block").distinct().orderBy("block").collect()]
+    held = lambda block: [(r.item_id, r.text) for r in items.where(F.col("block") == block).collect()]
+    if len(blocks) < 2:
+        found = search(docs, held(blocks[0]) if blocks else [], window)
     else:
-        blocks.append(_block_path(items, held))
-        found = _joined(docs, blocks, window)
+        found = _joined(docs, [lambda block=block: held(block) for block in blocks], window)
     return found.withColumn("items", F.array_sort(F.array_distinct("items")))
 
 
-def _block_path(items: DataFrame, held: list[tuple[str, str]]) -> DataFrame:
-    return materialise(items.sparkSession.createDataFrame(held, "item_id string, text string").coalesce(1), "items")
-
-
-def _joined(docs: DataFrame, blocks: list[DataFrame], window: int) -> DataFrame:
-    out = None
-    for block in blocks:
-        one = materialise(search(docs, [(r.item_id, r.text) for r in block.collect()], window), "hits")
-        out = one if out is None else out.unionByName(one)
-    return out.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("hit_words"),
-        F.flatten(F.collect_list("items")).alias("items"))
+def _dealt(items: DataFrame, pattern_block: int) -> DataFrame:
+    """item_id, text, block: blocks of about `pattern_block` patterns (an item is at most a pattern for
+    each two characters), by a running sum inside each partition on top of the sums before it."""
+    items = materialise(items.withColumn("no", F.monotonically_increasing_id()), "items")
+    items = items.withColumn("part", F.shiftright("no", 33)).withColumn("size", F.floor(F.length("text") / 2) + 1)
+    before = items.groupBy("part").agg(F.sum("size").alias("own"))  # a row per partition
+    before = before.select("part", (F.sum("own").over(W.orderBy("part")) - F.col("own")).alias("before"))
+    inside = F.sum("size").over(W.partitionBy("part").orderBy("no")) - F.col("size")
+    return items.withColumn("inside", inside).join(before, "part").select(
+        "item_id", "text", F.floor((F.col("before") + F.col("inside")) / pattern_block).alias("block"))
+
+
+def _joined(docs: DataFrame, blocks: list, window: int) -> DataFrame:
+    """The hits of all blocks (functions that read one), merged by the number of the row."""
+    rows = materialise(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "numbered")
+    first, *rest = [search(rows.select("row", *(["doc_id"] if i == 0 else []), "text"), block(), window) for i, block in enumerate(blocks)]
+    first = materialise(first, "hits")
+    out = first.select("row", "hit_words", "items").where(F.size("hit_words") > 0)
+    for one in rest:
+        out = out.unionByName(materialise(one.where(F.size("hit_words") > 0).select("row", "hit_words", "items"), "hits"))
+    merged = out.groupBy("row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("_words"),
+                                    F.flatten(F.collect_list("items")).alias("_items"))
+    return first.join(merged, "row", "left").select(
+        "doc_id", "n_words", F.coalesce("_words", "hit_words").alias("hit_words"), F.coalesce("_items", "items").alias("items"))
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
