@@ -1,44 +1,54 @@
 """Corpus pipeline: the stages that turn `documents` into packed training sequences.
 
 Each stage is (spark, docs, sf_dir) -> DataFrame.  Between stages the rows are written to the
-shared folder and read back; all but the last return the columns of `documents`.
+shared folder and read back; all but the last return the columns of `documents`.  A stage numbers
+its rows and decides about each by that number, so null and repeated identifiers are separate rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidepool.llm import quality
 from tidepool.llm.decontaminate import find_contamination
 from tidepool.llm.exact_dedup import exact_dedup
 from tidepool.llm.near_dup import near_duplicates
 from tidepool.llm.packing import pack_documents
-from tidepool.llm.quality import classify
-from tidepool.llm.shared import documents, keep_rows, materialise
+from tidepool.llm.shared import ROW, documents, id_and_text, keep_rows, materialise, numbered, smallest_rows
 from tidepool.session import prepare, table_path
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: rejected documents go."""
-    scored = classify(docs, spark.read.parquet(table_path(sf_dir, "labels")))
-    return keep_rows(docs, scored.where("predicted = 1"))
+    rows = numbered(docs)
+    model = quality.train(id_and_text(rows), spark.read.parquet(table_path(sf_dir, "labels")))
+    scored = quality.score(id_and_text(rows, ROW), model).where(F.col("score") >= quality.THRESHOLD)
+    return keep_rows(rows, _by_row(scored))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Exact deduplication: the row with the smallest identifier of each text stays."""
-    kept = exact_dedup(docs).where("kept")
-    return keep_rows(docs, kept).dropDuplicates(["doc_id", "text"])
+    """Exact deduplication: one row of each text stays, that with the smallest identifier (null last)."""
+    rows = numbered(docs)
+    found = _by_row(exact_dedup(rows, ROW)).select(ROW, "keep_id")
+    ids = rows.select(ROW, F.struct(F.col("doc_id").isNull(), "doc_id").alias("_doc_id"))
+    return keep_rows(rows, smallest_rows(found.join(ids, ROW), "keep_id"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join, five words and a similarity of 0.8: the smallest identifier of each group stays."""
-    found = near_duplicates(docs, words=5, percent=80)
-    return keep_rows(docs, found.where("doc_id <=> component_id"))
+    """N-gram Jaccard join, five words and a similarity of 0.8: one row of each group stays, that with the
+    smallest identifier (null first)."""
+    rows = numbered(docs)
+    found = _by_row(near_duplicates(rows, ROW, words=5, percent=80)).select(ROW, "component_id")
+    ids = rows.select(ROW, F.struct(F.col("doc_id").isNotNull(), "doc_id").alias("_doc_id"))
+    return keep_rows(rows, smallest_rows(found.join(ids, ROW), "component_id"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents that hold a window of a test item go."""
-    found = find_contamination(docs, spark.read.parquet(table_path(sf_dir, "benchmark")))
-    return keep_rows(docs, found.where("size(hit_words) = 0"))
+    rows = numbered(docs)
+    found = find_contamination(rows, spark.read.parquet(table_path(sf_dir, "benchmark")), ROW)
+    return keep_rows(rows, _by_row(found.where("size(hit_words) = 0")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,6 +56,11 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs)
 
 
+def _by_row(found: DataFrame) -> DataFrame:
+    """An operator's result over numbered rows; their number was its identifier."""
+    return found.withColumnRenamed("doc_id", ROW)
+
+
 def _prepared(stage):
     def apply(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return stage(prepare(spark), docs, sf_dir)

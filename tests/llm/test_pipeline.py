@@ -1,5 +1,7 @@
 """Each stage of the pipeline against a brute-force version, on what its predecessor kept."""
 
+from collections import Counter
+
 import test_decontaminate
 import test_exact_dedup
 import test_near_dup
@@ -55,3 +57,37 @@ def test_stages_on_an_empty_table_and_on_repeated_rows(spark, make, edge_docs, n
             assert docs.columns == columns
         ids = [r.doc_id for r in C.STAGES[-1][1](spark, docs, SF001).collect() if r.piece == 0]
         assert len(ids) == len(set(ids)) == docs.count()
+
+
+def kept_by(spark, stage, docs):
+    return Counter((r.doc_id, r.text) for r in dict(C.STAGES)[stage](spark, docs, SF001).select("doc_id", "text").collect())
+
+
+def test_quality_decides_row_by_row(spark, make):
+    source = documents(spark, SF001).select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF001}/labels.parquet")
+    scored = {r.doc_id: r.predicted for r in quality.classify(source, labels).collect()}
+    good, bad = ([r.text for r in source.orderBy("doc_id").collect() if scored[r.doc_id] == k] for k in (1, 0))
+    more = [(i, t) for i in (None, 10**9) for t in (good[0], bad[0], bad[1], good[1])]
+    kept = kept_by(spark, "quality", source.unionByName(make(more).select("doc_id", "text")))
+    assert {(i, t): n for (i, t), n in kept.items() if i in (None, 10**9)} == {(i, t): 1 for i, t in more if t in good}
+
+
+def test_exact_copies_go_row_by_row(spark, make):
+    rows = [(None, "a b"), (None, "a  b"), (None, "c"), (None, "c"), (5, "a b"), (5, "a b"), (5, "a\tb"), (5, "d"), (6, "a b"), (6, "d")]
+    kept = kept_by(spark, "exact_dedup", make(rows))
+    assert Counter((i, " ".join(t.split())) for i, t in kept.elements()) == Counter([(5, "a b"), (None, "c"), (5, "d")])
+
+
+def test_near_copies_go_row_by_row(spark, make):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    rows = [(i, text(k) + end) for i, k in ((None, "a"), (7, "c")) for end in (" one", " two", " three")]
+    rows += [(None, text("b")), (7, text("d")), (3, text("e")), (9, text("e") + " x"), (9, text("f"))]
+    kept = kept_by(spark, "near_dedup", make(rows))
+    assert Counter((i, t[0]) for i, t in kept.elements()) == Counter([(None, "a"), (7, "c"), (None, "b"), (7, "d"), (3, "e"), (9, "f")])
+
+
+def test_contaminated_rows_go_row_by_row(spark, make):
+    item = spark.read.parquet(f"{SF001}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(i, t) for i in (None, 4) for t in ("clean one", f"before {item} after", "clean two", None)]
+    assert kept_by(spark, "decontamination", make(rows)) == Counter((i, t) for i, t in rows if t is None or "clean" in t)

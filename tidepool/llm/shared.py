@@ -25,7 +25,20 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id is in `kept` (null matches null); all columns of `docs`."""
-    ids = kept.select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+ROW = "_stage_row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """`docs` with a number for each row (column ROW), written, so that the numbers stay what they are."""
+    return materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def smallest_rows(rows: DataFrame, group: str) -> DataFrame:
+    """Of the rows ROW, _doc_id and `group`, the one of each group with the smallest identifier; equal ones
+    are told apart by ROW.  Minima are combined map-side, so a large group is never gathered."""
+    return rows.groupBy(group).agg(F.min(F.struct("_doc_id", ROW)).alias("best")).select(F.col(f"best.{ROW}").alias(ROW))
+
+
+def keep_rows(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of a numbered table whose number is in `kept`; all columns but the number."""
+    return rows.join(kept.select(ROW), ROW, "left_semi").select(*[F.col(c) for c in rows.columns if c != ROW])
