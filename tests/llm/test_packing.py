@@ -70,6 +70,14 @@ def test_chunks_give_the_ids_of_the_whole_text(tokenizer, text):
     assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_get_their_own_ids(make):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = list(enumerate(["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y", "a <|endoftext| b", "no such token", "", None]))
+    assert 50256 in library.encode(rows[0][1], add_special_tokens=False).ids
+    got = P.pack_documents(make(rows)).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == pieces_of(rows, library, 2048)
+
+
 def test_sum_of_squares_rule():
     rng = np.random.default_rng(1)
     lengths = rng.integers(1, 33, 400)

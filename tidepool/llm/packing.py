@@ -4,7 +4,8 @@ Tokenisation (`token_pieces`) runs over Arrow batches; the ids come back as bina
 can digest or store them.  A single space between two non-space characters always starts a new
 pre-token of this byte-level BPE, so a text is the concatenation of its space-separated chunks
 and the ids of a chunk are kept in a bounded table per worker.  Texts where a space touches
-other white space are encoded whole.
+other white space are encoded whole, and texts that hold an added token of the file by the
+`tokenizers` library itself.
 
 Packing (`pack`) deals the pieces by hash to groups of about 65,536 pieces (their number grows
 with the input), so a task holds one bounded group.  Inside a group pieces go longest first to
@@ -63,7 +64,7 @@ def _ranked(path: str):
 
 
 class ChunkTokenizer:
-    """Whole texts to little-endian uint32 ids, chunk by chunk."""
+    """Whole texts without added tokens to little-endian uint32 ids, chunk by chunk."""
 
     def __init__(self, path: str):
         import regex
@@ -92,6 +93,33 @@ class ChunkTokenizer:
         return self.raw(head) + b"".join([kept[c] if c in kept else new(c) for c in rest])
 
 
+class TextTokenizer:
+    """The ids of `tokenizers`' own encode(text, add_special_tokens=False).  Its added tokens are cut
+    out of a text before anything else; a text that holds one is encoded by the library itself."""
+
+    def __init__(self, path: str):
+        import json
+
+        import regex
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        added = spec.get("added_tokens", [])
+        always = spec.get("normalizer") is not None and any(t["normalized"] for t in added)  # found in other spellings too
+        self._added = regex.compile("" if always else "|".join(regex.escape(t["content"]) for t in added) or r"(?!)").search
+        self._path, self._library = path, None
+        self._plain = ChunkTokenizer(path)
+
+    def __call__(self, text: str) -> bytes:
+        if not self._added(text):
+            return self._plain(text)
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self._path)
+        return np.array(self._library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
                  capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids (uint32 little-endian): each document's ids and an end id,
@@ -99,7 +127,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     path = tokenizer or default_tokenizer()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = ChunkTokenizer(path)
+        encode = TextTokenizer(path)
         end = np.array([END_ID], dtype="<u4").tobytes()
         names = ["doc_id", "piece", "start", "length", "ids"]
         for batch in batches:
