@@ -17,6 +17,9 @@ MODULES = {
     "op4_pack": "packing",
     "op9_chat_format": "chat_format",
     "op10_decontaminate": "decontaminate",
+    "op11_whiten": "whitening",
+    "op12_line_dedup": "line_dedup",
+    "op13_token_align": "token_align",
 }
 
 
