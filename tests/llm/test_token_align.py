@@ -72,6 +72,7 @@ def brute(rows, tokenizers):
 
 EDGES = ["", None, " ", "a", "holds ▁ the mark", "<|endoftext|> and <s> </s> <unk> <0x41>", "\U0001f600 emoji Жизнь 中文", "x" * 3000,
          "tab\tand\r\nlines\n\n  spaces  ", "é́ ﬁ ½", "\x00\x01 controls", "0123456789" * 50, "same words same words same words",
+         "a \n b", "in\nner\tspace ok", "can't we'll 12 3", "x\u00a0y \u3000z", "mark in ▁ word▁s", "one  two",
          " ".join(f"word{i} of a long text," for i in range(3000))]
 
 

@@ -44,7 +44,7 @@ from tidepool.llm import textops as T
 from tidepool.llm.packing import ChunkTokenizer
 from tidepool.llm.shared import documents, id_and_text, materialise
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
 LANE = 256  # tokens of A after which a cut to divide a document at is looked for
 LARGE = 4096
 LISTED = 4 << 20  # links listed at once
@@ -78,8 +78,7 @@ class ByteLevel:
         pre = spec.get("pre_tokenizer") or {}
         plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
         if plain and spec.get("normalizer") is None and not spec["model"].get("ignore_merges"):
-            encode = ChunkTokenizer(path)
-            self.encode = lambda text: np.frombuffer(encode(text), "<u4")
+            self.encode = lambda text, raw=ChunkTokenizer(path).raw: np.frombuffer(raw(text), "<u4")
         else:  # any other file is left to its library
             from tokenizers import Tokenizer
 
@@ -142,17 +141,18 @@ class Block:
         self.doc = np.repeat(np.arange(len(coded)), np.diff(self.group_of))
         self.links = (a_hi - self.a_lo) * (b_hi - self.b_lo)
 
-    def spelling(self) -> tuple[list[bytes], np.ndarray]:
-        """Every token of the block as bytes, group after group, and the number of tokens before each document."""
+    def digests(self) -> list[str]:
+        """SHA-256 of each document's groups, spelt a1,a2|b1;a3|b2,b3 in decimal; '' without tokens."""
         n_a, n_b = len(self.a), len(self.b)
         a_last, b_last = np.zeros(n_a, np.int64), np.zeros(n_b, np.int64)
         a_last[self.a_hi - 1] = 1
         b_last[self.b_hi - 1] = 1
         codes = np.empty(n_a + n_b, np.int64)
-        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
-        codes[np.arange(n_a) + self.b_lo[a_group]] = self.pair.a_at + 2 * self.a + a_last
-        codes[np.arange(n_b) + self.a_hi[b_group]] = self.pair.b_at + 2 * self.b + b_last
-        return list(map(self.pair.spelt.__getitem__, codes.tolist())), self.a_of + self.b_of
+        codes[np.arange(n_a) + self.b_lo[np.cumsum(a_last) - a_last]] = self.pair.a_at + 2 * self.a + a_last
+        codes[np.arange(n_b) + self.a_hi[np.cumsum(b_last) - b_last]] = self.pair.b_at + 2 * self.b + b_last
+        before, spelt = self.a_of + self.b_of, self.pair.spelt.__getitem__
+        return [hashlib.sha256(b"".join(map(spelt, codes[p:q].tolist()))[:-1]).hexdigest() if q > p else ""
+                for p, q in zip(before, before[1:], strict=False)]
 
     def linked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, pair of ids, times) for each distinct linked id pair of each document, by document."""
@@ -307,8 +307,6 @@ def _stated(number: int, ids: list, block: Block) -> pa.RecordBatch:
     doc, key, times = block.linked()
     code, keys = pd.factorize(key)
     held = np.bincount(code, minlength=len(keys))
-    spelt, before = block.spelling()
-    digests = [hashlib.sha256(b"".join(spelt[p:q])[:-1]).hexdigest() if q > p else "" for p, q in zip(before, before[1:], strict=False)]
     links = np.append(0, np.cumsum(block.links))[block.group_of]
     off = np.searchsorted(doc, np.arange(n + 1))
     end = np.append(off, off[-1])  # the block's own row has no pairs of a document
@@ -316,7 +314,7 @@ def _stated(number: int, ids: list, block: Block) -> pa.RecordBatch:
     longs = [np.diff(block.a_of), np.diff(block.b_of), np.diff(block.group_of), np.diff(links)]
     return pa.RecordBatch.from_arrays([
         pa.array(np.full(n + 1, number), pa.int64()), pa.array([*range(n), None], pa.int32()), pa.array([*ids, None], pa.int64()),
-        *[pa.array(np.append(x, 0), pa.int64()) for x in longs], pa.array([*digests, None], pa.string()),
+        *[pa.array(np.append(x, 0), pa.int64()) for x in longs], pa.array([*block.digests(), None], pa.string()),
         _lists(code, end, pa.int32()), _lists(times, end, pa.int64()),
         _lists(keys, np.append(none, len(keys)), pa.int64()), _lists(held, np.append(none, len(keys)), pa.int32())],
         names=[f.split()[0] for f in STATED.split(", ")])
