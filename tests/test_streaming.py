@@ -326,11 +326,67 @@ def test_complete_and_update_modes_span_batches(spark):
     from tidepool.plans import streams as PS
     from tidepool.streaming import modes
 
-    for folder in PS._mode_run(spark, SF001):
-        kept = modes.snapshots(spark, folder)
-        assert len(kept) == modes.KEPT_SNAPSHOTS and kept[-1] >= 2  # several batches, old snapshots gone
-    assert PS.complete_counts(spark, SF001).agg(F.sum("n")).first()[0] == 1000
-    assert PS.update_counts(spark, SF001).agg(F.sum("n")).first()[0] == 1000
+    run = PS._mode_run(spark, SF001)
+    assert len(modes.snapshots(spark, run.complete_dir)) == modes.KEPT_SNAPSHOTS
+    assert len(modes._names(spark, f"{run.update_dir}/visible", "")) >= 2  # several batches
+    for q in (PS.complete_counts, PS.update_counts, PS.update_user_counts):
+        assert q(spark, SF001).agg(F.sum("n")).first()[0] == 1000
+
+
+def _files(folder):
+    return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(folder) for f in fs if f.startswith("part-")}
+
+
+def _counts_stream(spark, landing):
+    return spark.readStream.schema("k string, extra string").json(landing).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+
+
+def test_update_mode_leaves_other_buckets_alone(spark, scratch):
+    from tidepool.streaming import modes
+
+    landing, target = f"{scratch}/in", f"{scratch}/t"
+    put = lambda keys: spark.createDataFrame([(k, "x") for k in keys], "k string, extra string").write.mode("append").json(landing)
+    put([f"k{i}" for i in range(40)] + [None, None])
+    drain = lambda: modes.drain_update(_counts_stream(spark, landing), target, f"{scratch}/ck", ["k"], "buckets", buckets=8)
+    drain()
+    before = _files(target)
+    put(["k0", "k0", "new", None])
+    drain()
+    after = _files(target)
+    rows = spark.createDataFrame([("k0",), ("new",), (None,)], "k string")
+    touched = {r[0] for r in rows.select(F.pmod(F.xxhash64("k"), F.lit(8))).collect()}
+    bucket = lambda f: int(f.split(f"{modes.BUCKET}=")[1].split("/")[0])
+    assert {f: t for f, t in before.items() if bucket(f) not in touched} == {f: t for f, t in after.items() if bucket(f) not in touched}
+    assert {bucket(f) for f in after.keys() - before.keys()} == touched and len(touched) < 8
+    want = {f"k{i}": 1 for i in range(1, 40)} | {"k0": 3, "new": 1, None: 3}
+    assert {r.k: r.n for r in modes.read_buckets(spark, target).collect()} == want
+    with pytest.raises(ValueError, match="buckets"):
+        modes.drain_update(_counts_stream(spark, landing), target, f"{scratch}/ck", ["k"], "buckets", buckets=4)
+
+
+def test_update_mode_survives_an_interrupted_batch(spark, scratch):
+    """A batch whose data is written but not yet visible changes nothing for readers, and is replaced when it runs again."""
+    import shutil
+
+    from tidepool.streaming import modes
+
+    landing, target = f"{scratch}/in", f"{scratch}/t"
+    put = lambda keys: spark.createDataFrame([(k, "x") for k in keys], "k string, extra string").write.mode("append").json(landing)
+    drain = lambda: modes.drain_update(_counts_stream(spark, landing), target, f"{scratch}/ck", ["k"], "again", buckets=4)
+    assert modes.read_buckets(spark, target) is None
+    put(["a", "b", "c"])
+    drain()
+    put(["a", "d"])
+    drain()
+    last = max(modes._names(spark, f"{target}/visible", ""))
+    shutil.rmtree(f"{target}/visible/{last}".replace("file:", ""))
+    assert {r.k: r.n for r in modes.read_buckets(spark, target).collect()} == {"a": 1, "b": 1, "c": 1}
+    commits = f"{scratch}/ck/commits".replace("file:", "")
+    for f in os.listdir(commits):
+        if f.strip(".").split(".")[0] == str(last):
+            os.remove(os.path.join(commits, f))
+    drain()  # the batch runs again
+    assert {r.k: r.n for r in modes.read_buckets(spark, target).collect()} == {"a": 2, "b": 1, "c": 1, "d": 1}
 
 
 def test_accounting_scans_each_layer_once(spark, run):

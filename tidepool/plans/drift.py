@@ -19,6 +19,7 @@ from tidepool.plans.memo import built_once
 from tidepool.session import work_dir
 from tidepool.sources.tables import read_table
 from tidepool.streaming import drift as D
+from tidepool.streaming import variant as V
 from tidepool.streaming.layers import drain, stream_session
 
 
@@ -109,6 +110,40 @@ def bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(~good).alias("quarantined_rows"))
 
 
+def nested_schema() -> T.StructType:
+    return T.StructType.fromDDL(
+        "event_id long, event_time string, user struct<id: long, plan: struct<name: string>>, value double, tags array<struct<k: long>>")
+
+
+def nested_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`events` as nested JSON lines whose shape follows `event_id`: a plan for every fifth user (with seats
+    for every tenth, and just its name for every 25th), tags for every fourth line (the second of them of
+    another shape), the event's own `props`, `value` as a string in every tenth line and a cut line in every
+    hundredth."""
+    ev = read_table(spark, sf_dir, "events")
+    every = lambda n: F.col("event_id") % n == 0
+    text = lambda **c: F.to_json(F.struct(*[x.alias(n) for n, x in c.items()]))
+    plan = F.when(every(25), F.lit('"pro"')).when(every(5), text(name=F.lit("pro"), seats=F.when(every(10), F.col("user_id"))))
+    user = F.concat(F.lit('{"id":'), F.col("user_id").cast("string"), F.coalesce(F.concat(F.lit(',"plan":'), plan), F.lit("")), F.lit("}"))
+    tags = F.when(every(8), F.lit("[]")).when(every(4), F.concat(F.lit('[{"k":'), F.col("event_id").cast("string"), F.lit('},{"k":"x","w":{"deep":null}}]')))
+    value = F.when(F.col("event_id") % 10 == 6, F.lit('"n/a"')).otherwise(F.format_string("%.2f", "value"))
+    line = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"user":'), user, F.lit(',"value":'), value,
+                    F.coalesce(F.concat(F.lit(',"tags":'), tags), F.lit("")), F.lit(',"props":'), F.coalesce("props", F.lit("null")), F.lit("}"))
+    return ev.select(F.when(F.col("event_id") % 100 == 99, F.lit('{"event_id":')).otherwise(line).alias("value"))
+
+
+def drift_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every field of the nested lines, at any depth, with its types, the lines that hold it and
+    whether the reader's schema knows it."""
+    return V.against(V.field_counts(nested_lines(spark, sf_dir)), nested_schema())
+
+
+def rescued_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested lines through the rescue columns; fields unknown below the top level are told too."""
+    r = D.rescue_columns(nested_lines(spark, sf_dir), nested_schema())
+    return r.select("event_id", F.col("user.id").alias("user_id"), F.col("user.plan.name").alias("plan"), "value", F.size("tags").alias("n_tags"), "rescue_reason")
+
+
 _K = "(SELECT *, event_id % 10 AS kind FROM events)"
 _TS = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
 
@@ -149,5 +184,32 @@ SELECT count(*) AS lines, count(*) FILTER (WHERE kind <> 9) AS parsed_rows,
        count(*) FILTER (WHERE kind = 9) AS not_json_rows, count(*) FILTER (WHERE kind NOT IN (3, 6, 9)) AS good_rows,
        count(*) FILTER (WHERE kind IN (3, 6, 9)) AS quarantined_rows
 FROM {_K}
+""",
+    "drift_fields": """
+WITH e AS (SELECT * FROM events WHERE event_id % 100 <> 99),
+tag AS (SELECT event_id FROM e WHERE event_id % 4 = 0 AND event_id % 8 <> 0),
+f AS (
+  SELECT '$' AS path, 'NOT JSON' AS type, 'not_json' AS status FROM events WHERE event_id % 100 = 99
+  UNION ALL SELECT p.path, p.type, p.status FROM e, (VALUES ('$', 'OBJECT', 'known'), ('$.event_id', 'BIGINT', 'known'), ('$.user', 'OBJECT', 'known'),
+                                            ('$.user.id', 'BIGINT', 'known')) p(path, type, status)
+  UNION ALL SELECT '$.user.plan', 'STRING', 'bad_type' FROM e WHERE event_id % 25 = 0
+  UNION ALL SELECT p.path, p.type, 'known' FROM e, (VALUES ('$.user.plan', 'OBJECT'), ('$.user.plan.name', 'STRING')) p(path, type)
+            WHERE event_id % 5 = 0 AND event_id % 25 <> 0
+  UNION ALL SELECT '$.user.plan.seats', 'BIGINT', 'unknown_field' FROM e WHERE event_id % 10 = 0 AND event_id % 25 <> 0
+  UNION ALL SELECT '$.value', CASE WHEN event_id % 10 = 6 THEN 'STRING' ELSE 'DECIMAL' END, CASE WHEN event_id % 10 = 6 THEN 'bad_type' ELSE 'known' END FROM e
+  UNION ALL SELECT '$.tags', 'ARRAY', 'known' FROM e WHERE event_id % 4 = 0
+  UNION ALL SELECT p.path, p.type, p.status FROM tag, (VALUES ('$.tags[*]', 'OBJECT', 'known'), ('$.tags[*].k', 'BIGINT', 'known'), ('$.tags[*].k', 'STRING', 'bad_type'),
+            ('$.tags[*].w', 'OBJECT', 'unknown_field'), ('$.tags[*].w.deep', 'VOID', 'unknown_field')) p(path, type, status)
+  UNION ALL SELECT '$.props', CASE WHEN props IS NULL THEN 'VOID' ELSE 'OBJECT' END, 'unknown_field' FROM e
+  UNION ALL SELECT '$.props.' || k, 'BIGINT', 'unknown_field' FROM (SELECT unnest(json_keys(props)) AS k FROM e WHERE props IS NOT NULL))
+SELECT path, type, status, count(*) AS lines FROM f GROUP BY 1, 2, 3
+""",
+    "rescued_nested": """
+SELECT CASE WHEN ok THEN event_id END AS event_id, CASE WHEN ok THEN user_id END AS user_id,
+       CASE WHEN ok AND event_id % 5 = 0 AND event_id % 25 <> 0 THEN 'pro' END AS plan,
+       CASE WHEN ok AND event_id % 10 <> 6 THEN round(value, 2) END AS value,
+       CASE WHEN ok THEN CASE WHEN event_id % 8 = 0 THEN 0 WHEN event_id % 4 = 0 THEN 2 END END AS n_tags,
+       CASE WHEN ok THEN 'unknown_field' ELSE 'not_json' END AS rescue_reason
+FROM (SELECT *, event_id % 100 <> 99 AS ok FROM events)
 """,
 }

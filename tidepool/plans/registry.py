@@ -80,8 +80,11 @@ def queries() -> dict[str, Query]:
         "lag_alert": S.lag_alert,
         "complete_counts": S.complete_counts,
         "update_counts": S.update_counts,
+        "update_user_counts": S.update_user_counts,
         "unknown_fields": D.unknown_fields,
         "rescued": D.rescued,
+        "drift_fields": D.drift_fields,
+        "rescued_nested": D.rescued_nested,
         "bad_values": D.bad_values,
         "upsert_not_matched": M.upsert_not_matched,
         "state_rows": M.state_rows,

@@ -6,13 +6,14 @@ per application and state of the input; each query reads one of its layers back
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions.scalar import rounded, to_ntz
 from tidepool.monitor.metrics import lag_alert as alert
 from tidepool.operators.aggregate import ranked_percentiles
-from tidepool.operators.layout import list_files
 from tidepool.plans.memo import built_once
 from tidepool.session import work_dir
 from tidepool.sources.tables import read_events
@@ -76,37 +77,49 @@ def lag_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alert(lag_percentiles(spark, sf_dir).select("event_type", "p99"), delay_s)
 
 
-def _mode_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Running counts per event type over the silver layer, drained in complete and in update mode
-    (a trigger takes about a quarter of the layer's bytes, so there are several batches)."""
+TRIGGER_BYTES = 64 << 20
+
+
+@dataclass(frozen=True)
+class ModeRun:
+    complete_dir: str
+    update_dir: str
+    users_dir: str
+
 
-    def build() -> tuple[str, str]:
-        run = medallion(spark, sf_dir)
-        held = list_files(spark, run.silver_dir).agg(F.sum("file_bytes")).first()[0] or 0
-        session = stream_session(spark, P.state_partitions_for(P.read_layer(spark, run.silver_dir).count()))
-        schema = P.read_layer(spark, run.silver_dir).schema
+def _mode_run(spark: SparkSession, sf_dir: str) -> ModeRun:
+    """Running counts over the silver layer in complete and in update mode, drained twice: after the events
+    of even id have landed, and after the others have.  A trigger takes a fixed number of bytes at most."""
+
+    def build() -> ModeRun:
+        rows = P.read_layer(spark, medallion(spark, sf_dir).silver_dir)
         root = work_dir(spark, "modes")
-        for mode in ("complete", "update"):
-            src = layer_source(session, run.silver_dir, schema, max(1, held // 4))
-            counts = modes.running_counts(src, "event_type")
-            where = f"{root}/{mode}", f"{root}/_checkpoints/{mode}"
-            if mode == "complete":
-                modes.drain_complete(counts, *where, name="counts_complete")
-            else:
-                modes.drain_update(counts, *where, keys=["event_type"], name="counts_update")
-        return f"{root}/complete", f"{root}/update"
+        run = ModeRun(f"{root}/complete", f"{root}/update", f"{root}/users")
+        session = stream_session(spark, P.state_partitions_for(rows.count()))
+        for half in (0, 1):
+            rows.where(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{root}/landing")
+            src = layer_source(session, f"{root}/landing", rows.schema, TRIGGER_BYTES)
+            modes.drain_complete(modes.running_counts(src, "event_type"), run.complete_dir, f"{root}/_checkpoints/complete", "counts_complete")
+            for key, to in (("event_type", run.update_dir), ("user_id", run.users_dir)):
+                modes.drain_update(modes.running_counts(src, key), to, f"{root}/_checkpoints/{key}", [key], f"counts_{key}")
+        return run
 
     return built_once(spark, sf_dir, "modes", ("events",), build)
 
 
 def complete_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complete mode, the newest snapshot of the running counts."""
-    return modes.latest_snapshot(spark, _mode_run(spark, sf_dir)[0])
+    return modes.latest_snapshot(spark, _mode_run(spark, sf_dir).complete_dir)
 
 
 def update_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Update mode, the table that every batch was upserted into."""
-    return modes.latest_snapshot(spark, _mode_run(spark, sf_dir)[1])
+    """Update mode, the buckets that every batch was upserted into."""
+    return modes.read_buckets(spark, _mode_run(spark, sf_dir).update_dir)
+
+
+def update_user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same per user."""
+    return modes.read_buckets(spark, _mode_run(spark, sf_dir).users_dir)
 
 
 def event_vs_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,6 +205,7 @@ SELECT event_type, round(quantile_cont(lag_s, 0.99), 3) AS p99,
 FROM l GROUP BY 1
 """,
     "complete_counts": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
+    "update_user_counts": "SELECT user_id, count(*) AS n FROM events GROUP BY 1",
     "update_counts": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
     "event_vs_processing_time": f"""WITH {_REPLAY},
 e AS (SELECT date_trunc('day', ts) AS day, count(*) AS by_event_time FROM r GROUP BY 1),

@@ -20,12 +20,15 @@ Three unknown-field policies:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.operators.projection import split_good_bad as split
 from tidepool.session import ensure_folder
+from tidepool.streaming import variant as V
 
 DRIFT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -67,19 +70,17 @@ def policy_none(spark: SparkSession, landing_dir: str) -> DataFrame:
 def rescue_columns(raw: DataFrame, schema: T.StructType = DRIFT_SCHEMA, line: str = "value") -> DataFrame:
     """T7 on any DataFrame with a raw JSON `line` column: parsed fields + `_rescued_data` + reason.
 
-    The line is parsed twice: into the schema, and into a map of raw strings, which tells unknown
-    names and values that were there but did not fit their type."""
-    known = [f.name for f in schema.fields]
-    both = raw.withColumns({"_p": F.from_json(F.col(line), schema), "_raw": F.from_json(F.col(line), "map<string,string>")})
-    unknown = F.size(F.array_except(F.map_keys("_raw"), F.array(*[F.lit(k) for k in known]))) > 0
-    misfit = F.lit(False)
-    for k in known:
-        misfit = misfit | (F.col("_raw")[k].isNotNull() & F.col("_p")[k].isNull())
-    reason = F.when(F.json_object_keys(F.col(line)).isNull(), "not_json").when(unknown, "unknown_field").when(misfit, "bad_type")
-    return (both.withColumn("_reason", reason)
-            .select(*[F.col("_p")[k].alias(k) for k in known],
-                    F.when(F.col("_reason").isNotNull(), F.col(line)).alias(RESCUED),
-                    F.col("_reason").alias("rescue_reason")))
+    The line is parsed once, into a VARIANT; the fields, what does not fit their types and the names
+    that the schema lacks, at any depth, are read from that.  Anything but a JSON object without
+    repeated keys is not_json."""
+    parsed = raw.withColumn("_v", F.try_parse_json(line))
+    found = {f.name: V.typed(V.member(F.col("_v"), f.name), f.dataType) for f in schema.fields}
+    misfit = reduce(lambda a, b: a | b, [bad for _, bad in found.values()], F.lit(False))
+    is_object = F.coalesce(V.kind(F.col("_v")) == "OBJECT", F.lit(False))
+    reason = (F.when(~is_object, "not_json").when(F.size(V.unknown_fields(F.col("_v"), schema)) > 0, "unknown_field")
+              .when(misfit, "bad_type"))
+    return (parsed.select(*[value.alias(k) for k, (value, _) in found.items()], F.col(line).alias("_line"), reason.alias("rescue_reason"))
+            .select(*found, F.when(F.col("rescue_reason").isNotNull(), F.col("_line")).alias(RESCUED), "rescue_reason"))
 
 
 def policy_rescue(spark: SparkSession, landing_dir: str) -> DataFrame:
@@ -97,19 +98,19 @@ class UnknownFieldError(RuntimeError):
 
 
 def fail_on_unknown(sink_dir: str, schema: T.StructType = DRIFT_SCHEMA, line: str = "value"):
-    """A foreachBatch function that refuses a batch with unknown fields, before anything is
-    written.  Each batch has its own folder, so a batch that runs again replaces its own rows."""
-    known = {f.name for f in schema.fields}
+    """A foreachBatch function that refuses a batch with unknown fields at any depth, before anything
+    is written.  Each batch has its own folder, so a batch that runs again replaces its own rows."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = batch.select(F.from_json(F.col(line), "map<string,string>").alias("raw"),
-                              F.from_json(F.col(line), schema).alias("row")).persist()
+        v = F.col("_v")
+        parsed = batch.select(F.try_parse_json(line).alias("_v")).select(
+            *[V.typed(V.member(v, f.name), f.dataType)[0].alias(f.name) for f in schema.fields], V.unknown_fields(v, schema).alias("_unknown")).persist()
         try:
-            names = parsed.select(F.explode(F.map_keys("raw")).alias("name")).groupBy("name").agg(F.count("*").alias("lines"))
-            surplus = sorted(r.name for r in names.where(~F.col("name").isin(list(known))).collect())  # distinct names only
+            names = parsed.select(F.explode("_unknown").alias("path")).distinct()
+            surplus = sorted(r.path[2:] for r in names.collect())  # distinct names only
             if surplus:
                 raise UnknownFieldError(batch_id, surplus)
-            parsed.select("row.*").write.mode("overwrite").parquet(f"{sink_dir}/batch={batch_id}")
+            parsed.drop("_unknown").write.mode("overwrite").parquet(f"{sink_dir}/batch={batch_id}")
         finally:
             parsed.unpersist()
 
