@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from tidepool.functions.scalar import to_ntz
 from tidepool.monitor import metrics as M
 from tidepool.monitor.progress import PROGRESS_SCHEMA, progress_rows
-from tidepool.operators.layout import list_files
+from tidepool.monitor.watchdog import quiet_queries
 from tidepool.plans.memo import built_once
-from tidepool.plans.streams import CLASSIFIED_SQL, REDELIVERED, medallion
+from tidepool.plans.streams import CLASSIFIED_SQL, REDELIVERED, TRIGGER_BYTES, medallion
 from tidepool.session import work_dir
 from tidepool.sources.tables import read_events
 from tidepool.streaming import checkpoint as C
@@ -97,6 +97,26 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(M.freshness(metrics_table(spark, sf_dir), now, trigger_seconds=BATCH_SECONDS, factor=1.0))
 
 
+def quiet_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the freshness watchdog itself reported over the metrics of `events`, streamed in two runs
+    of one checkpoint (the earlier half of the time, then the rest): an event type without a batch for three
+    intervals."""
+
+    def build() -> str:
+        root = work_dir(spark, "watchdog")
+        rows = metrics_table(spark, sf_dir).select("query_name", "batch_timestamp", "batch_id")
+        half = rows.agg((F.min("batch_id") + F.max("batch_id")) / 2).scalar()
+        early = F.col("batch_id") < half
+        session = L.stream_session(spark)
+        for part in (early, ~early):
+            rows.where(part).write.mode("append").parquet(f"{root}/progress")
+            src = L.layer_source(session, f"{root}/progress", rows.schema)
+            L.drain(quiet_queries(src, BATCH_SECONDS), f"{root}/alerts", f"{root}/_checkpoint", "watchdog")
+        return f"{root}/alerts"
+
+    return _zoneless(spark.read.parquet(built_once(spark, sf_dir, "watchdog", ("events",), build)))
+
+
 def state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows still held in the gold query's state (the open windows)."""
     s = C.state_rows(spark, medallion(spark, sf_dir).checkpoint("gold"))
@@ -106,16 +126,15 @@ def state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_not_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pipeline's landing folder (one delivery redelivered) upserted by event id and time in
-    batches of about a third of its bytes, then the whole landing replayed once more through a
-    fresh checkpoint: nothing doubles."""
+    batches of a fixed number of bytes, then the whole landing replayed once more through a fresh
+    checkpoint: nothing doubles."""
 
     def build() -> str:
         run = medallion(spark, sf_dir)
         session = L.stream_session(spark)
         root = work_dir(spark, "upsert")
-        held = list_files(spark, run.landing, "*.json").agg(F.sum("file_bytes")).first()[0] or 0
         for attempt in ("first", "replay"):
-            src = L.bronze(session, run.landing, max_bytes_per_trigger=max(1, held // 3)).drop(L.SOURCE, L.INGESTED)
+            src = L.bronze(session, run.landing, max_bytes_per_trigger=TRIGGER_BYTES).drop(L.SOURCE, L.INGESTED)
             run_upsert(L.silver_columns(src), f"{root}/target", f"{root}/_checkpoints/{attempt}", ["event_id", "event_ts"], "event_ts",
                        name=f"upsert_{attempt}")
         return f"{root}/target"
@@ -176,6 +195,11 @@ SELECT query_name, max(batch_timestamp) AS last_batch,
        CAST(floor(epoch((SELECT max(ts) FROM events))) AS BIGINT) - CAST(epoch(max(batch_timestamp)) AS BIGINT) AS age_seconds,
        CAST(floor(epoch((SELECT max(ts) FROM events))) AS BIGINT) - CAST(epoch(max(batch_timestamp)) AS BIGINT) > {BATCH_SECONDS} AS stale
 FROM p GROUP BY 1
+""",
+    "quiet_alerts": f"""{_METRICS},
+n AS (SELECT query_name, batch_timestamp AS t, lead(batch_timestamp) OVER (PARTITION BY query_name ORDER BY batch_id) AS next FROM p)
+SELECT query_name, t AS last_batch, t + INTERVAL {3 * BATCH_SECONDS} SECOND AS alert_at FROM n
+WHERE coalesce(next, (SELECT max(batch_timestamp) FROM p)) > t + INTERVAL {3 * BATCH_SECONDS} SECOND
 """,
     "upsert_not_matched": "SELECT event_id, user_id, event_type, ts AS event_ts, value FROM events",
 }

@@ -95,6 +95,7 @@ def queries() -> dict[str, Query]:
         "watermark_series": M.watermark_series,
         "late_drop_ratio": M.late_drop_ratio,
         "freshness": M.freshness,
+        "quiet_alerts": M.quiet_alerts,
         "version_history": V.version_history,
         "time_travel_by_time": V.time_travel_by_time,
         "quarantined": D.quarantined,

@@ -19,15 +19,16 @@ from pyspark.sql import functions as F
 from tidepool.session import ensure_folder
 
 DATE_COL = "_date"
+ROWS_PER_FILE = 1_000_000
 
 
 def quarantine_dir(target_dir: str) -> str:
     return f"{target_dir.rstrip('/')}_quarantine"
 
 
-def insert_new(target_dir: str, keys: Sequence[str], ts_col: str, files_per_date: int = 8):
-    """A foreachBatch function appending only rows whose key the target lacks, in at most
-    `files_per_date` files per batch and date."""
+def insert_new(target_dir: str, keys: Sequence[str], ts_col: str, rows_per_file: int = ROWS_PER_FILE):
+    """A foreachBatch function appending only rows whose key the target lacks.  The tasks that write a
+    date follow its rows: one for every `rows_per_file` rows of the batch's largest date."""
     keys = list(keys)
     if ts_col not in keys:
         raise ValueError(f"the time column {ts_col!r} must be one of the key columns {keys}")
@@ -37,8 +38,10 @@ def insert_new(target_dir: str, keys: Sequence[str], ts_col: str, files_per_date
         b = batch.withColumn(DATE_COL, F.to_date(ts_col)).dropDuplicates(keys).persist()
         try:
             # Bounds computed by Spark (dates in the session time zone, like the partitions).
-            lo, hi, d_lo, d_hi, timeless = b.agg(F.min(ts_col), F.max(ts_col), F.min(DATE_COL), F.max(DATE_COL),
-                                                 F.count_if(F.col(ts_col).isNull())).first()
+            by_date = b.groupBy(DATE_COL).agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi"), F.count("*").alias("n"))
+            lo, hi, d_lo, d_hi, largest, timeless = by_date.agg(
+                F.min("lo"), F.max("hi"), F.min(DATE_COL), F.max(DATE_COL), F.max(F.when(F.col(DATE_COL).isNotNull(), F.col("n"))),
+                F.coalesce(F.sum(F.when(F.col(DATE_COL).isNull(), F.col("n"))), F.lit(0))).first()
             if timeless:
                 (batch.where(F.col(ts_col).isNull()).write.mode("overwrite")
                  .parquet(f"{quarantine_dir(target_dir)}/batch={batch_id}"))
@@ -50,8 +53,9 @@ def insert_new(target_dir: str, keys: Sequence[str], ts_col: str, files_per_date
                     .select(*[F.col(k).alias(f"_held_{k}") for k in keys]))
             same = [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys]
             fresh = b.where(F.col(ts_col).isNotNull()).join(held, same, "left_anti")
-            # one task per date and share of its keys: few files, and a hot date is split
-            fresh = fresh.repartition(DATE_COL, F.pmod(F.xxhash64(*keys), F.lit(files_per_date)))
+            # one task per date and share of its keys: a hot date is split by its volume
+            shares = -(-largest // rows_per_file)
+            fresh = fresh.repartition(DATE_COL, F.pmod(F.xxhash64(*keys), F.lit(shares)))
             fresh.write.mode("append").partitionBy(DATE_COL).parquet(target_dir)
         finally:
             b.unpersist()
