@@ -1,4 +1,4 @@
-"""M1-M3: stream progress as rows.
+"""Stream progress as rows, and the metrics that streams observe on the way.
 
 `progress_rows` turns progress records (from `recentProgress`, or gathered by a listener)
 into the 15-column metrics table; `MetricsListener` logs each event and appends its row to a
@@ -70,6 +70,24 @@ def progress_row(p: dict, logged_at: dt.datetime | None = None) -> tuple:
     )
 
 
+OBSERVED_SCHEMA = T.StructType([
+    T.StructField("query_name", T.StringType()), T.StructField("query_id", T.StringType()), T.StructField("run_id", T.StringType()),
+    T.StructField("batch_id", T.LongType()), T.StructField("observed", T.StringType()), T.StructField("metric", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+])
+
+
+def observed_rows(p: dict) -> list[tuple]:
+    """One row for each observed metric (`DataFrame.observe`) of one progress record."""
+    return [(p.get("name"), p.get("id"), p.get("runId"), p.get("batchId"), name, metric, _num(value))
+            for name, metrics in (p.get("observedMetrics") or {}).items() for metric, value in metrics.items()]
+
+
+def metrics_folders(sink_dir: str) -> tuple[str, str]:
+    """Where a listener keeps the progress rows and the observed metrics."""
+    return sink_dir, f"{sink_dir.rstrip('/')}_observed"
+
+
 def progress_rows(spark: SparkSession, records: list[dict]) -> DataFrame:
     """M1: the metrics table from a list of progress records."""
     return spark.createDataFrame([progress_row(p) for p in records], PROGRESS_SCHEMA)
@@ -96,6 +114,7 @@ class MetricsListener(StreamingQueryListener):
         self.spark = spark if sink_dir else None
         self.seen = 0
         self._rows: list[tuple] = []
+        self._observed: list[tuple] = []
         self._more = threading.Condition()
         self._write = threading.Lock()
         self._closed = False
@@ -124,6 +143,7 @@ class MetricsListener(StreamingQueryListener):
     def record(self, progress: dict) -> None:
         with self._more:
             self._rows.append(progress_row(progress))
+            self._observed += observed_rows(progress)
             self.seen += 1
             if self.spark is not None and self._writer is None:
                 self._writer = threading.Thread(target=self._persist, name="metrics-writer", daemon=True)
@@ -163,13 +183,17 @@ class MetricsListener(StreamingQueryListener):
         """Append the queued rows to the sink folder (one writer at a time); returns rows written."""
         with self._write:
             with self._more:
-                rows, self._rows = self._rows, []
+                rows, self._rows, observed, self._observed = self._rows, [], self._observed, []
             if rows and self.sink_dir:
+                to, to_observed = metrics_folders(self.sink_dir)
                 try:
-                    spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.sink_dir)
+                    if observed:
+                        spark.createDataFrame(observed, OBSERVED_SCHEMA).coalesce(1).write.mode("append").parquet(to_observed)
+                        observed = []
+                    spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(to)
                 except Exception:
                     with self._more:
-                        self._rows = rows + self._rows
+                        self._rows, self._observed = rows + self._rows, observed + self._observed
                     raise
             return len(rows)
 

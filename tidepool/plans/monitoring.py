@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.functions.scalar import to_ntz
+from tidepool.functions.scalar import real_watermark, to_ntz
 from tidepool.monitor import metrics as M
-from tidepool.monitor.progress import PROGRESS_SCHEMA, progress_rows
+from tidepool.monitor.progress import OBSERVED_SCHEMA, PROGRESS_SCHEMA, metrics_folders
 from tidepool.monitor.watchdog import quiet_queries
 from tidepool.plans.memo import built_once
-from tidepool.plans.streams import CLASSIFIED_SQL, REDELIVERED, TRIGGER_BYTES, medallion
+from tidepool.plans.streams import _REPLAY, CLASSIFIED_SQL, REDELIVERED, TRIGGER_BYTES, medallion
 from tidepool.session import work_dir
 from tidepool.sources.tables import read_events
 from tidepool.streaming import checkpoint as C
@@ -54,10 +54,34 @@ def _zoneless(df: DataFrame) -> DataFrame:
 
 
 def pipeline_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M1: one metrics row per micro-batch of the pipeline; query name = layer."""
-    run = medallion(spark, sf_dir)
-    p = M.labelled(progress_rows(spark, run.progress))
-    return p.withColumn("query_name", F.regexp_extract("query_name", r"^([a-z]+)_", 1))
+    """M1-M3: the metrics rows that the listener persisted while the pipeline ran; query name = layer."""
+    kept, _ = metrics_folders(medallion(spark, sf_dir).metrics_dir)
+    return M.labelled(spark.read.schema(PROGRESS_SCHEMA).parquet(kept)).withColumn("query_name", _layer())
+
+
+def _layer():
+    return F.regexp_extract("query_name", r"^([a-z]+)_", 1)
+
+
+def pipeline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M3: per layer, over the persisted rows: runs, input rows, duplicates dropped, the windows in
+    state and the watermark at the end (every column of the metrics that a replay determines)."""
+    p = pipeline_progress(spark, sf_dir)
+    whole = F.count_if(F.col("logged_at").isNull() | F.col("query_id").isNull() | F.col("batch_timestamp").isNull() | (F.col("trigger_ms") < F.col("add_batch_ms")))
+    per = p.groupBy(F.col("query_name").alias("layer")).agg(
+        F.count_distinct("run_id").alias("runs"), F.count_distinct("query_id").alias("queries"), F.sum("num_input_rows").alias("input_rows"),
+        F.sum("duplicates_dropped").alias("duplicates"), F.max_by("state_rows", F.struct("batch_timestamp", "batch_id")).alias("state"),
+        F.max(real_watermark("watermark")).alias("mark"), whole.alias("broken_rows"))
+    gold = F.col("layer") == "gold"
+    return per.select("layer", "runs", "queries", "input_rows", F.when(F.col("layer") == "silver", F.col("duplicates")).alias("duplicates"),
+                      F.when(gold, F.col("state")).alias("open_windows"), F.when(gold, to_ntz("mark")).alias("watermark"), "broken_rows")
+
+
+def silver_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What silver observed on its way, summed over the batches the listener persisted."""
+    _, kept = metrics_folders(medallion(spark, sf_dir).metrics_dir)
+    o = spark.read.schema(OBSERVED_SCHEMA).parquet(kept).where(F.col("observed") == L.CHECKS)
+    return o.groupBy("metric").agg(F.sum("value").cast("long").alias("total"))
 
 
 def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,6 +184,23 @@ d AS (SELECT count(*) AS rows FROM (
 SELECT 'bronze' AS layer, (SELECT rows FROM n) + (SELECT rows FROM d) AS input_rows
 UNION ALL SELECT 'silver', (SELECT rows FROM n) + (SELECT rows FROM d)
 UNION ALL SELECT 'gold', (SELECT rows FROM n)
+""",
+    "pipeline_metrics": f"""{CLASSIFIED_SQL},
+n AS (SELECT count(*) AS rows, (SELECT count(*) FROM r WHERE delivery = {REDELIVERED}) AS again FROM r)
+SELECT 'bronze' AS layer, 5 AS runs, 1 AS queries, rows + again AS input_rows, NULL::BIGINT AS duplicates, NULL::BIGINT AS open_windows, NULL::TIMESTAMP AS watermark,
+       0 AS broken_rows FROM n
+UNION ALL SELECT 'silver', 5, 1, rows + again, again, NULL, NULL, 0 FROM n
+UNION ALL SELECT 'gold', 4, 1, rows, NULL, (SELECT count(DISTINCT (window_start, event_type)) FROM c WHERE open),
+       (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 15 MINUTE FROM events), 0 FROM n
+""",
+    "silver_checks": f"""WITH {_REPLAY},
+b AS (SELECT *, epoch_us(delivered_at) - epoch_us(ts) AS lag FROM (SELECT * FROM r UNION ALL SELECT * FROM r WHERE delivery = {REDELIVERED})),
+t AS (SELECT count(*) AS rows, 0 AS bad_time, count(*) FILTER (props IS NOT NULL AND json_extract_string(props, '$.k') IS NULL) AS bad_props,
+             count(*) FILTER (value IS NULL) AS no_value, count(*) FILTER (event_id IS NULL OR ts IS NULL) AS incomplete,
+             sum(floor(lag / 1000000))::BIGINT AS lag_seconds, count(*) FILTER (lag > 900000000) AS overdue FROM b)
+UNPIVOT (SELECT rows::BIGINT AS rows, bad_time::BIGINT AS bad_time, bad_props::BIGINT AS bad_props, no_value::BIGINT AS no_value,
+         incomplete::BIGINT AS incomplete, lag_seconds, overdue::BIGINT AS overdue FROM t)
+ON rows, bad_time, bad_props, no_value, incomplete, lag_seconds, overdue INTO NAME metric VALUE total
 """,
     "state_rows": f"{CLASSIFIED_SQL} SELECT DISTINCT window_start, window_end, event_type FROM c WHERE open",
     "stream_totals_full": f"""{_METRICS}

@@ -96,6 +96,8 @@ def queries() -> dict[str, Query]:
         "late_drop_ratio": M.late_drop_ratio,
         "freshness": M.freshness,
         "quiet_alerts": M.quiet_alerts,
+        "pipeline_metrics": M.pipeline_metrics,
+        "silver_checks": M.silver_checks,
         "version_history": V.version_history,
         "time_travel_by_time": V.time_travel_by_time,
         "quarantined": D.quarantined,

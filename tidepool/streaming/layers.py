@@ -39,6 +39,25 @@ def _reading_columns() -> dict[str, Column]:
     }
 
 
+def _reading_checks() -> dict[str, Column]:
+    """Aggregates over the rows that silver is handed, told by every micro-batch's progress."""
+    lag = F.unix_micros(parse_ts("delivered_at")) - F.unix_micros(parse_ts("event_time"))
+    return {
+        "rows": F.count(F.lit(1)),
+        "bad_time": F.count_if(F.col("event_time").isNotNull() & parse_ts("event_time").isNull()),
+        "bad_props": F.count_if(F.col("props").isNotNull() & F.get_json_object("props", "$.k").cast("int").isNull()),
+        "no_value": F.count_if(F.col("value").isNull()),
+        "incomplete": F.count_if(parse_ts("event_time").isNull() | F.col("event_id").isNull()),
+        "lag_seconds": F.coalesce(F.sum(F.floor(lag / 1_000_000).cast("long")), F.lit(0)),
+        "overdue": F.count_if(lag > F.lit(seconds_of(GOLD_DELAY) * 1_000_000)),
+    }
+
+
+def seconds_of(interval: str) -> int:
+    n, unit = interval.split()
+    return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+
+
 def _reading_measures() -> dict[str, Column]:
     return {"readings": F.count(F.lit(1)), "avg_value": F.avg("value"), "max_value": F.max("value")}
 
@@ -56,9 +75,11 @@ class LayerSpec:
     delay: str = GOLD_DELAY
     group_by: tuple[str, ...] = (GOLD_KEY,)
     measures: Mapping[str, Column] = field(default_factory=_reading_measures)
+    checks: Mapping[str, Column] = field(default_factory=_reading_checks)
 
 
 INGESTED = "_ingested_at"
+CHECKS = "silver_checks"  # name of the observed metrics
 SOURCE = "_source_file"
 
 
@@ -101,9 +122,11 @@ def silver_columns(raw: DataFrame, spec: LayerSpec | None = None) -> DataFrame:
 
 
 def silver(bronze_stream: DataFrame, spec: LayerSpec | None = None) -> DataFrame:
-    """P11 + T13: typed readings, duplicates of the spec's key dropped while the key is in state."""
+    """P11 + T13: typed readings, duplicates of the spec's key dropped while the key is in state.  P14: the
+    spec's checks are counted on the way (`observedMetrics` of each batch); no row is read twice for them."""
     spec = spec or LayerSpec()
-    typed = silver_columns(bronze_stream, spec)
+    observed = bronze_stream.observe(CHECKS, *[c.alias(n) for n, c in spec.checks.items()]) if spec.checks else bronze_stream
+    typed = silver_columns(observed, spec)
     return typed.withWatermark(INGESTED, spec.dedup_delay).dropDuplicatesWithinWatermark(list(spec.dedup_key))
 
 

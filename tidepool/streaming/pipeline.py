@@ -46,6 +46,10 @@ class MedallionRun:
     key: str
     progress: list[dict] = field(default_factory=list)
 
+    @property
+    def metrics_dir(self) -> str:
+        return os.path.join(self.root, "_metrics")
+
     def checkpoint(self, layer: str) -> str:
         return os.path.join(self.root, "_checkpoints", layer)
 
@@ -75,7 +79,7 @@ def run_medallion(spark: SparkSession, events: DataFrame, root: str | None = Non
     def drain_all(tag: str, layers=("bronze", "silver", "gold")) -> None:
         for name in layers:
             df, out = streams[name]
-            for p in L.drain(df, out, run.checkpoint(name), f"{name}_{tag}"):
+            for p in L.drain(df, out, run.checkpoint(name), f"{name}_{tag}", metrics_dir=run.metrics_dir):
                 p["layer"] = name
                 run.progress.append(p)
 
@@ -216,7 +220,7 @@ def run_live(spark: SparkSession, events: DataFrame, root: str | None = None, tr
     plan_deliveries(events, n_deliveries, late_mod).write.partitionBy("delivery").parquet(plan_dir)
     planned = spark.read.parquet(plan_dir)
     session = L.stream_session(spark)
-    listener = MetricsListener(sink_dir=metrics_dir or f"{root}/_metrics", spark=spark)
+    listener = MetricsListener(sink_dir=metrics_dir or run.metrics_dir, spark=spark)
     attach(session, listener)
     tag = os.path.basename(root)
     queries = []
