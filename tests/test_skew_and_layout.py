@@ -26,13 +26,13 @@ def test_salted_join_equals_plain_join(spark, rows, salts):
     small = spark.createDataFrame([(k, f"l{k}") for k in range(0, 5)], "k long, label string")
     plain = big.join(small, "k")
     for salted in (J.join_salted(big, small, "k", salts=salts),
-                   J.join_salted(big, small, "k", max_hot_keys=3, rows_per_salt=2, sample_fraction=1.0)):
+                   J.join_salted(big, small, "k", max_hot_keys=3, rows_per_salt=2)):
         assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
 
 
 def test_hot_keys_bounded(spark):
     li = B.skewed_lineitem(spark, SF001)
-    hot = J.hot_keys(li, "join_key", max_hot_keys=5, rows_per_salt=1, sample_fraction=0.5)
+    hot = J.hot_keys(li, "join_key", max_hot_keys=5, rows_per_salt=1)
     rows = hot.collect()
     assert 1 <= len(rows) <= 5
     assert rows[0]["join_key"] == 0 and rows[0]["_salts"] > 4000  # no ceiling: one salt per row here
@@ -133,7 +133,7 @@ def test_latest_per_key_defined_survivor(spark, n):
 
 def test_salting_spreads_the_hot_key_over_tasks(spark):
     big = B.skewed_lineitem(spark, SF001)  # 90 % of rows on key 0
-    hot = J.hot_keys(big, "join_key", rows_per_salt=200, sample_fraction=0.5)
+    hot = J.hot_keys(big, "join_key", rows_per_salt=200)
     salted, _ = J.salted_sides(big, J.key_lookup(spark, 100), "join_key", hot)
 
     def max_share(df, *cols):

@@ -18,12 +18,12 @@ Strategy, in order of preference:
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.operators.sketches import heavy_keys
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 << 20
@@ -32,13 +32,12 @@ MAX_BROADCAST_BYTES = 64 << 20
 def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """Bounded size check: True when `df` has at most `max_rows` rows and about `max_bytes` bytes.
 
-    `take` runs as an incremental collect-limit (one partition first, then more only if
-    needed) over a single literal column, so a huge input costs a partition or two, never a
-    full scan.  Only a side that passes it is measured (the text form of its values).
+    The rows are counted first, which reads no column (a Parquet side: its footers), and only a side
+    that passes is measured (the text form of its values).  Two numbers come back, never a row.
     """
     if max_rows > MAX_BROADCAST_ROWS:
         raise ValueError(f"a broadcast bound above {MAX_BROADCAST_ROWS} rows is not a small table")
-    if len(df.select(F.lit(1).alias("_one")).take(max_rows + 1)) > max_rows:
+    if df.count() > max_rows:
         return False
     return (df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))).first()[0] or 0) <= max_bytes
 
@@ -59,21 +58,16 @@ def join_broadcast(big: DataFrame, small: DataFrame, keys: str | Sequence[str],
     return big.join(maybe_broadcast(small, max_rows), on=keys, how=how)
 
 
-def hot_keys(df: DataFrame, key: str, max_hot_keys: int = 1000, rows_per_salt: int = 1_000_000,
-             sample_fraction: float = 0.01, seed: int = 7) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, max_hot_keys: int = 1000, rows_per_salt: int = 1_000_000) -> DataFrame:
     """Keys holding at least 1/max_hot_keys of the rows, each with its number of salts: one per
     `rows_per_salt` rows, without a ceiling.
 
-    Detection is one pass over a sample: which keys get salted never changes the join's result
-    (salting any key is exact), only how evenly the work spreads.  At most `max_hot_keys` keys can
-    hold that share of the sample, so the table is bounded by construction and kept on the driver.
+    They are found by a mergeable frequent-items sketch over all rows and counted exactly
+    (`heavy_keys`), so none is missed and none too many is salted.  At most `max_hot_keys` keys can
+    hold that share, so the table is bounded by construction.  A NULL key joins nothing and is left out.
     """
-    counts = df.select(key).sample(fraction=sample_fraction, seed=seed).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.orderBy(F.desc("_n"), key).limit(max_hot_keys).collect()  # no key beyond these can hold the share
-    expected = df.count() * sample_fraction  # no column read: row counts from the file footers
-    least = max(1.0, expected / max_hot_keys)
-    hot = [(r[0], max(2, math.ceil(r[1] / sample_fraction / rows_per_salt))) for r in top if r[1] >= least]
-    return df.sparkSession.createDataFrame(hot, counts.select(key, F.lit(0).alias("_salts")).schema)
+    salts = F.greatest(F.lit(2), F.ceil(F.col("rows") / rows_per_salt).cast("int"))
+    return heavy_keys(df, key, 1 / max_hot_keys).where(F.col(key).isNotNull()).select(key, salts.alias("_salts"))
 
 
 def salted_sides(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | None = None,
@@ -100,7 +94,7 @@ def salted_sides(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | No
 
 def join_salted(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | None = None,
                 salts: int | None = None, max_hot_keys: int = 1000, rows_per_salt: int = 1_000_000,
-                sample_fraction: float = 0.01, strategy: str | None = "merge") -> DataFrame:
+                strategy: str | None = "merge") -> DataFrame:
     """Inner equi-join on one key with the hot keys salted.
 
     `hot` is a (key, _salts) table (see `hot_keys`); with `salts` given instead, every key
@@ -109,8 +103,7 @@ def join_salted(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | Non
     where the other side is too big to broadcast, so a shuffle join by default.
     """
     if hot is None and salts is None:
-        hot = hot_keys(big, key, max_hot_keys=max_hot_keys, rows_per_salt=rows_per_salt,
-                       sample_fraction=sample_fraction)
+        hot = hot_keys(big, key, max_hot_keys=max_hot_keys, rows_per_salt=rows_per_salt)
     b, s = salted_sides(big, small, key, hot, salts)
     if strategy:
         s = s.hint(strategy)

@@ -13,6 +13,7 @@ from tidepool.functions.scalar import hot_key, rounded, to_ntz
 from tidepool.operators import aggregate as A
 from tidepool.operators import joins as J
 from tidepool.operators.projection import ReaderField, conform, in_range, in_set
+from tidepool.operators.sketches import heavy_keys
 from tidepool.sources.tables import read_events, read_table
 
 # Parameters of the catalogue queries (fixed so Spark and the SQL oracle agree).
@@ -131,6 +132,11 @@ def skewed_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.withColumn("join_key", hot_key("l_orderkey", HOT_SHARE_TENTHS, N_KEYS))
 
 
+def heavy_hitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers with at least one hundredth of the order lines, by a frequent-items sketch."""
+    return heavy_keys(read_table(spark, sf_dir, "lineitem"), "l_suppkey", 0.01)
+
+
 def skew_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per derived key, hottest first, with share."""
     return J.skew_report(skewed_lineitem(spark, sf_dir), "join_key")
@@ -155,7 +161,7 @@ def join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hot keys salted on the big side, replicated on the lookup side."""
     big = skewed_lineitem(spark, sf_dir)
     lookup = J.key_lookup(spark, N_KEYS)
-    return _label_agg(J.join_salted(big, lookup, "join_key", rows_per_salt=4096, sample_fraction=0.05))
+    return _label_agg(J.join_salted(big, lookup, "join_key", rows_per_salt=4096))
 
 
 def key_balance(spark: SparkSession, sf_dir: str) -> DataFrame:

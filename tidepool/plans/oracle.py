@@ -72,6 +72,10 @@ WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY 1, 2 ORDER BY 1, 2
     "order_revenue_by_segment": """
 SELECT c.c_mktsegment, o.o_orderstatus, count(*) AS n, round(sum(o.o_totalprice), 2) AS revenue
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2
+""",
+    "heavy_hitters": """
+SELECT l_suppkey, count(*) AS rows, round(count(*) / (SELECT count(*) FROM lineitem), 6) AS share FROM lineitem GROUP BY 1
+HAVING count(*) >= 0.01::DOUBLE * (SELECT count(*) FROM lineitem)
 """,
     "skew_report": f"""
 SELECT join_key, rows, round(rows / sum(rows) OVER (), 6) AS share FROM (

@@ -48,6 +48,7 @@ def queries() -> dict[str, Query]:
         "top_orders": B.top_orders,
         "order_revenue_by_segment": B.order_revenue_by_segment,
         "skew_report": B.skew_report,
+        "heavy_hitters": B.heavy_hitters,
         "join_plain": B.join_plain,
         "join_broadcast": B.join_broadcast,
         "join_salted": B.join_salted,
@@ -78,6 +79,7 @@ def queries() -> dict[str, Query]:
         "lag_percentiles": S.lag_percentiles,
         "event_vs_processing_time": S.event_vs_processing_time,
         "lag_alert": S.lag_alert,
+        "lag_sketches": S.lag_sketches,
         "complete_counts": S.complete_counts,
         "update_counts": S.update_counts,
         "update_user_counts": S.update_user_counts,

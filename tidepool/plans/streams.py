@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidepool.functions.scalar import rounded, to_ntz
 from tidepool.monitor.metrics import lag_alert as alert
 from tidepool.operators.aggregate import ranked_percentiles
+from tidepool.operators.sketches import merged_quantiles, quantile_sketches, rank_errors
 from tidepool.plans.memo import built_once
 from tidepool.session import work_dir
 from tidepool.sources.tables import read_events
@@ -71,6 +72,27 @@ def lag_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
                               ["p50", "p95", "p99"], digits=3)
 
 
+LAG_RANKS, LAG_NAMES, LAG_ERROR = [0.5, 0.95, 0.99], ["p50", "p95", "p99"], 0.01
+
+
+def lag_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingestion lag per event type from stored hourly sketches, merged over the hours of the later
+    half of the time: the values that went in, and whether each quantile's exact rank is within 1 %."""
+    s = P.read_layer(spark, medallion(spark, sf_dir).silver_dir)
+    lag = F.floor((F.unix_micros("delivered_ts") - F.unix_micros("event_ts")) / 1_000_000).cast("long")
+    s = s.withColumn("lag_s", lag)
+    path = f"{work_dir(spark, 'sketches')}/hours"
+    quantile_sketches(s, ["event_type"], "event_ts", "lag_s", LAG_ERROR).write.parquet(path)
+    stored = spark.read.parquet(path)
+    ends = s.agg(F.unix_timestamp(F.min("event_ts")).alias("lo"), F.unix_timestamp(F.max("event_ts")).alias("hi"))
+    since = F.date_trunc("hour", F.timestamp_seconds(F.floor((F.col("lo") + F.col("hi")) / 2)))
+    since = ends.select(since).scalar()
+    got = merged_quantiles(stored.where(F.col("hour") >= since), ["event_type"], LAG_RANKS, LAG_NAMES)
+    errors = rank_errors(s.where(F.date_trunc("hour", "event_ts") >= since), ["event_type"], "lag_s", got, LAG_RANKS, LAG_NAMES)
+    within = errors.select("event_type", *[(F.col(n) <= LAG_ERROR).alias(f"{n}_within") for n in LAG_NAMES])
+    return got.select("event_type", "rows", "n").join(within, "event_type")
+
+
 def lag_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M9: ticket per event type when the p99 ingestion lag exceeds 80 % of the watermark delay."""
     delay_s = int(GOLD_DELAY.split()[0]) * 60
@@ -197,6 +219,11 @@ l AS (SELECT event_type, CAST(floor((epoch_us(delivered_at) - epoch_us(ts)) / 10
 SELECT event_type, count(*) AS n, round(quantile_cont(lag_s, 0.5), 3) AS p50, round(quantile_cont(lag_s, 0.95), 3) AS p95,
        round(quantile_cont(lag_s, 0.99), 3) AS p99
 FROM l GROUP BY 1
+""",
+    "lag_sketches": """
+SELECT event_type, count(*) AS rows, count(*) AS n, true AS p50_within, true AS p95_within, true AS p99_within
+FROM events WHERE date_trunc('hour', ts) >= (SELECT date_trunc('hour', to_timestamp((floor(epoch(min(ts))) + floor(epoch(max(ts)))) // 2)::TIMESTAMP) FROM events)
+GROUP BY 1
 """,
     "lag_alert": f"""WITH {_REPLAY},
 l AS (SELECT event_type, CAST(floor((epoch_us(delivered_at) - epoch_us(ts)) / 1000000) AS BIGINT) AS lag_s FROM r)
