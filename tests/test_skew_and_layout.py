@@ -82,10 +82,34 @@ def test_partition_report_keeps_empty_file_and_partition(spark, scratch):
     assert parts.agg(F.sum("rows")).first()[0] == 1500
 
 
-def test_split_audit_every_row_once(spark):
-    per_split, check = LY.split_audit(read_table(spark, SF001, "orders"), "o_orderkey")
-    c = check.first()
-    assert c["rows"] == c["distinct_keys"] == per_split.agg(F.sum("rows")).first()[0]
+def test_split_audit_finds_gaps_and_overlaps(spark, scratch):
+    """Splits of many files, row by row; then the same table of splits with one left out and one doubled."""
+    from tidepool.sources.tables import read_split
+
+    path = f"{scratch}/many"
+    spark.range(6000).select("id", F.repeat(F.lit("x"), 20).alias("t")).repartition(5).write.json(path)
+    splits = LY.split_audit(read_split(spark, path, 8000, "json", "id long, t string"), "id").persist()
+    assert splits.count() > 15 and splits.agg(F.sum("rows")).first()[0] == 6000
+    cover = LY.split_coverage(splits, slack=64).collect()
+    assert len(cover) == 5 and {(r.gap_bytes, r.overlap_bytes) for r in cover} == {(0, 0)}
+    per_file = {r.file_uri: r.n for r in spark.read.json(path).groupBy(F.col("_metadata.file_path").alias("file_uri")).agg(F.count("*").alias("n")).collect()}
+    assert {r.file_uri: r["rows"] for r in cover} == per_file
+    one = splits.where("block_start > 0").orderBy("file_uri", "block_start").first()
+    hole = splits.where((F.col("file_uri") != one.file_uri) | (F.col("block_start") != one.block_start))
+    assert [r.gap_bytes for r in LY.split_coverage(hole, slack=64).collect() if r.file_uri == one.file_uri] == [one.block_length]
+    twice = splits.unionByName(spark.createDataFrame([one], splits.schema))
+    assert [r.overlap_bytes for r in LY.split_coverage(twice, slack=64).collect() if r.file_uri == one.file_uri] == [one.block_length]
+    cut = splits.withColumn("block_length", F.when(F.col("block_start") == 0, F.col("block_length") - 100).otherwise(F.col("block_length")))
+    assert {r.gap_bytes for r in LY.split_coverage(cut, slack=64).collect()} == {100}
+    splits.unpersist()
+
+
+def test_split_audit_of_parquet_and_nothing(spark, scratch):
+    o = read_table(spark, SF001, "orders")
+    splits = LY.split_audit(o, "o_orderkey")
+    assert splits.agg(F.sum("rows")).first()[0] == 1500
+    assert LY.split_coverage(splits).first().gap_bytes == 0
+    assert LY.split_coverage(splits.limit(0)).collect() == []
 
 
 def test_file_integrity_detects_one_flipped_byte(spark, scratch):

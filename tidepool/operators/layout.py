@@ -8,7 +8,9 @@ content unless asked).  Nothing is listed or counted on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions.scalar import last_path_segment, short_file_label
@@ -48,24 +50,37 @@ def partition_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
 
 def _rows_by_task(df: DataFrame) -> DataFrame:
     """partition_id, rows of every scan task, idle ones included (which grouping rows would hide)."""
+    tasks = df.sparkSession.range(df.rdd.getNumPartitions()).select(F.col("id").cast("int").alias("partition_id"))
+    rows = df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("rows"))
+    return tasks.join(rows, "partition_id", "left").select("partition_id", F.coalesce("rows", F.lit(0)).alias("rows"))
+
 
-    def count(batches):
-        import pyarrow as pa
-        from pyspark import TaskContext
+SPLIT = ("file_uri", "block_start", "block_length", "file_bytes")
 
-        rows = sum(b.num_rows for b in batches)
-        yield pa.RecordBatch.from_pydict({"partition_id": pa.array([TaskContext.get().partitionId()], pa.int32()), "rows": pa.array([rows], pa.int64())})
 
-    return df.select(F.lit(True).alias("one")).mapInArrow(count, "partition_id int, rows long")
+def split_audit(df: DataFrame, key: str, groups: Sequence[str] = ()) -> DataFrame:
+    """One row for each split of a file scan that rows came from: its file, byte range and the
+    file's size, and the rows and the key range read from it."""
+    m = F.col("_metadata")
+    names = (m.file_path, m.file_block_start, m.file_block_length, m.file_size)
+    return (df.groupBy(*groups, *[c.alias(n) for c, n in zip(names, SPLIT, strict=True)])
+            .agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("min_key"), F.max(key).alias("max_key")))
 
 
-def split_audit(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows, min and max of `key` per read split, and a check that every row was read
-    exactly once (total rows == distinct keys, for a unique key)."""
-    per_split = (df.groupBy(F.spark_partition_id().alias("partition_id"))
-                 .agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("min_key"), F.max(key).alias("max_key")))
-    check = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("distinct_keys"))
-    return per_split, check
+def split_coverage(splits: DataFrame, groups: Sequence[str] = (), slack: int = 0) -> DataFrame:
+    """Per file, its splits and rows, and the bytes that no split covers or several do: each split
+    is compared with the furthest end of those before it, and the last end with the file's size.  A split
+    without rows is not seen, so a gap of at most `slack` bytes is none: a split that holds but the end
+    of a line, or the footer of a Parquet file."""
+    before = Window.partitionBy("file_uri").orderBy("block_start", "block_length").rowsBetween(Window.unboundedPreceding, -1)
+    end = F.col("block_start") + F.col("block_length")
+    placed = splits.withColumn("_seen", F.coalesce(F.max(end).over(before), F.lit(0)))
+    beyond = lambda c: F.when(c > slack, c).otherwise(0)
+    gap, overlap = F.col("block_start") - F.col("_seen"), F.least("_seen", end) - F.col("block_start")
+    per = placed.groupBy(*groups, "file_uri").agg(
+        F.count(F.lit(1)).alias("splits"), F.sum("rows").alias("rows"), F.sum(beyond(gap)).alias("_inner"),
+        F.sum(F.greatest(overlap, F.lit(0))).alias("overlap_bytes"), F.max("file_bytes").alias("file_bytes"), F.max(end).alias("_end"))
+    return per.select(*groups, "file_uri", "splits", "rows", (F.col("_inner") + beyond(F.col("file_bytes") - F.col("_end"))).alias("gap_bytes"), "overlap_bytes")
 
 
 def file_stats(df: DataFrame, key: str) -> DataFrame:

@@ -28,13 +28,17 @@ def report_file_count(rows: int) -> int:
 
 
 def partition_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`orders` copied into files of about a million rows (at least four), read back:
-    files on disk, rows on disk, rows read by the tasks."""
+    """`orders` dealt by key to files of about a million rows (at least four) and read back: for each
+    file on disk its number, its rows by the listing and by the tasks that read it."""
     path = f"{work_dir(spark, 'layout')}/orders"
     o = read_table(spark, sf_dir, "orders")
-    write_parquet(o, path, files=report_file_count(o.count()))
-    _, _, totals = LY.partition_report(spark, path)
-    return totals.select("files", "total_rows", "partition_rows")
+    n = report_file_count(o.count())
+    write_parquet(o.repartitionById(n, (F.col("o_orderkey") % n).cast("int")), path)
+    files, parts, _ = LY.partition_report(spark, path)
+    read = parts.select("partition_id", "rows", F.explode("files_read").alias("file_path"))
+    shared = read.groupBy("file_path").agg(F.count("*").alias("tasks"))
+    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("int").alias("file")
+    return files.join(shared, "file_path", "left").select(number, "rows", F.coalesce(F.col("tasks") >= 1, F.lit(False)).alias("was_read"))
 
 
 def dir_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,8 +93,8 @@ def cross_database_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LAYOUT_SQL = {
     "partition_totals": f"""
-SELECT CAST(greatest({MIN_REPORT_FILES}, ceil(count(*) / {ROWS_PER_FILE})) AS BIGINT) AS files,
-       count(*) AS total_rows, count(*) AS partition_rows FROM orders
+SELECT CAST(o_orderkey % (SELECT CAST(greatest({MIN_REPORT_FILES}, ceil(count(*) / {ROWS_PER_FILE})) AS BIGINT) FROM orders) AS INTEGER) AS file,
+       count(*) AS rows, true AS was_read FROM orders GROUP BY 1
 """,
     "dir_file_stats": """
 SELECT o_orderstatus, true AS files_match, count(*) AS rows, min(o_orderkey) AS min_key,

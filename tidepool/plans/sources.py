@@ -13,8 +13,10 @@ from tidepool.operators import sinks as K
 from tidepool.session import work_dir
 from tidepool.sources import tables as S
 
-SPLIT_PARTS = 8
-FILE_PARTS = 7
+LINE_BYTES = 128  # no line of the fixture is longer
+CAP_ROWS = 500
+PARTITIONS = 11
+ROWS_PER_FILE = 1_000_000
 
 
 def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,24 +56,30 @@ def status_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`orders` in one file, read in about eight byte ranges: over the splits, their rows and
-    key range, against the distinct keys; every row is read by one split."""
+    """`orders` as JSON lines, a folder per status, written by all tasks and read in splits of
+    an eighth of the largest file: per folder the rows and keys of its splits, whether some file had several, and the bytes of
+    its files that no split covered or two did."""
     path = f"{work_dir(spark, 'splits')}/orders"
-    S.read_table(spark, sf_dir, "orders").coalesce(1).write.option("parquet.block.size", 1 << 14).parquet(path)
-    size = LY.list_files(spark, path).agg(F.max("file_bytes")).first()[0]
-    per_split, check = LY.split_audit(S.read_split(spark, path, max(1, size // SPLIT_PARTS)), "o_orderkey")
-    totals = per_split.agg(F.sum("rows").alias("split_rows"), F.min("min_key").alias("min_key"), F.max("max_key").alias("max_key"))
-    return totals.join(check, F.lit(True)).select("split_rows", "rows", "distinct_keys", "min_key", "max_key")
+    o = S.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    o.write.partitionBy("o_orderstatus").option("maxRecordsPerFile", ROWS_PER_FILE).json(path)
+    largest = LY.list_files(spark, path, "*.json").agg(F.max("file_bytes")).first()[0] or 0
+    rows = S.read_split(spark, path, max(8 * LINE_BYTES, largest // 8), "json", "o_orderkey long, o_totalprice double, o_orderstatus string")
+    splits = LY.split_audit(rows, "o_orderkey", ["o_orderstatus"])
+    files = LY.split_coverage(splits, ["o_orderstatus"], LINE_BYTES).groupBy("o_orderstatus").agg(
+        (F.max("splits") > 1).alias("was_split"), F.sum("gap_bytes").alias("gap_bytes"), F.sum("overlap_bytes").alias("overlap_bytes"))
+    keys = splits.groupBy("o_orderstatus").agg(F.sum("rows").alias("rows"), F.min("min_key").alias("min_key"), F.max("max_key").alias("max_key"))
+    return keys.join(files, "o_orderstatus")
 
 
 def capped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`orders` from one task with at most a seventh of the rows per file: files and rows."""
+    """`orders` written by all tasks, a folder per status, with at most CAP_ROWS rows a file: per
+    folder its rows, and whether each file keeps to the cap and there are as many as it takes."""
     path = f"{work_dir(spark, 'capped')}/orders"
     o = S.read_table(spark, sf_dir, "orders")
-    cap = -(-o.count() // FILE_PARTS)
-    K.write_parquet(o.coalesce(1), path, max_records_per_file=max(1, cap))
-    files = LY.partition_report(spark, path)[0]
-    return files.agg(F.count("*").alias("files"), F.sum("rows").alias("rows"), F.max("rows").alias("largest"))
+    K.write_parquet(o, path, max_records_per_file=CAP_ROWS, partition_by=["o_orderstatus"])
+    files = LY.partition_report(spark, path)[0].withColumn("o_orderstatus", F.regexp_extract("file_path", "o_orderstatus=([^/]+)/", 1))
+    return files.groupBy("o_orderstatus").agg(F.sum("rows").alias("rows"), F.bool_and(F.col("rows").between(1, CAP_ROWS)).alias("kept_to_cap"),
+                                              (F.count("*") >= F.ceil(F.sum("rows") / CAP_ROWS)).alias("enough_files"))
 
 
 def sum_or_zero_value(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,9 +88,9 @@ def sum_or_zero_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and key range of each scan task of `lineitem`, rolled up (the tasks depend on the host)."""
-    per = A.rows_per_partition(S.read_table(spark, sf_dir, "lineitem"), "l_orderkey")
-    return per.agg(F.sum("rows").alias("rows"), F.min("min_value").alias("min_key"), F.max("max_value").alias("max_key"))
+    """Rows and key range of each partition of `lineitem`, dealt out by key."""
+    li = S.read_table(spark, sf_dir, "lineitem").repartitionById(PARTITIONS, (F.col("l_orderkey") % PARTITIONS).cast("int"))
+    return A.rows_per_partition(li, "l_orderkey")
 
 
 def nan_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,13 +118,15 @@ SELECT status, name, count(o_orderkey) AS n FROM (VALUES ('F', 'finished'), ('O'
 LEFT JOIN orders ON o_orderstatus = status GROUP BY 1, 2
 """,
     "split_audit": """
-SELECT count(*) AS split_rows, count(*) AS rows, count(DISTINCT o_orderkey) AS distinct_keys, min(o_orderkey) AS min_key, max(o_orderkey) AS max_key FROM orders
-""",
-    "capped_files": f"""
-SELECT CAST(ceil(count(*) / ceil(count(*) / {FILE_PARTS})) AS BIGINT) AS files, count(*) AS rows, CAST(ceil(count(*) / {FILE_PARTS}) AS BIGINT) AS largest FROM orders
+SELECT o_orderstatus, true AS was_split, count(*) AS rows, min(o_orderkey) AS min_key, max(o_orderkey) AS max_key, 0 AS gap_bytes, 0 AS overlap_bytes
+FROM orders GROUP BY 1
 """,
+    "capped_files": "SELECT o_orderstatus, count(*) AS rows, true AS kept_to_cap, true AS enough_files FROM orders GROUP BY 1",
     "sum_or_zero_value": "SELECT sum(l_orderkey)::BIGINT AS total FROM lineitem",
-    "partition_rows": "SELECT count(*) AS rows, min(l_orderkey) AS min_key, max(l_orderkey) AS max_key FROM lineitem",
+    "partition_rows": f"""
+SELECT CAST(l_orderkey % {PARTITIONS} AS INTEGER) AS partition_id, count(*) AS rows, min(l_orderkey) AS min_value, max(l_orderkey) AS max_value
+FROM lineitem GROUP BY 1
+""",
     "nan_values": """
 SELECT event_type, count(*) AS n, count(*) FILTER (event_id % 50 <> 0) AS with_value, round(avg(value) FILTER (event_id % 50 <> 0), 6) AS avg_value
 FROM events GROUP BY 1

@@ -20,15 +20,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def read_split(spark: SparkSession, path: str, max_partition_bytes: int) -> DataFrame:
-    """A Parquet folder read in splits of at most so many bytes.  The setting lives in a session
+def read_split(spark: SparkSession, path: str, max_partition_bytes: int, fmt: str = "parquet", schema: str | T.StructType | None = None) -> DataFrame:
+    """A folder of files read in splits of at most so many bytes.  The setting lives in a session
     of its own, so other readers keep theirs."""
     own = spark.newSession()
     for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
         own.conf.set(key, spark.conf.get(key))
     own.conf.set("spark.sql.files.maxPartitionBytes", str(max_partition_bytes))
     own.conf.set("spark.sql.files.openCostInBytes", "0")
-    return own.read.parquet(path)
+    reader = own.read.format(fmt)
+    return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,10 +79,12 @@ def read_json(spark: SparkSession, path: str, schema: str | T.StructType | None
 
 
 def json_drift(spark: SparkSession, path: str, known: T.StructType) -> list[str]:
-    """Field names present in the JSON files but absent from `known` (bounded: a schema)."""
-    seen = spark.read.json(path).columns
-    have = {f.name for f in known.fields}
-    return [c for c in seen if c not in have and c != "_corrupt_record"]
+    """Paths of fields, at any depth, that lines of the JSON files have and `known` lacks (bounded: a
+    schema).  The lines are read as text and parsed once, into VARIANT."""
+    from tidepool.streaming.variant import against, field_counts
+
+    found = against(field_counts(spark.read.text(path)), known).where("status = 'unknown_field'")
+    return sorted(r.path.removeprefix("$.") for r in found.select("path").distinct().collect())
 
 
 def from_rows(spark: SparkSession, rows, schema) -> DataFrame:
