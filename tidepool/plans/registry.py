@@ -10,6 +10,7 @@ from tidepool.plans import batch as B
 from tidepool.plans import drift as D
 from tidepool.plans import layout as LY
 from tidepool.plans import monitoring as M
+from tidepool.plans import nested as N
 from tidepool.plans import sources as SO
 from tidepool.plans import streams as S
 from tidepool.plans import versioned as V
@@ -54,6 +55,7 @@ def queries() -> dict[str, Query]:
         "join_salted": B.join_salted,
         "key_balance": B.key_balance,
         "conform_schema": B.conform_schema,
+        "resolved_nested": N.resolved_nested,
         "split_totals": B.split_totals,
         "file_stats": B.file_stats,
         "newest_events": B.newest_events,
@@ -127,4 +129,5 @@ def oracle_sql() -> dict[str, str]:
     sql.update(D.DRIFT_SQL)
     sql.update(M.MONITORING_SQL)
     sql.update(SO.SOURCES_SQL)
+    sql.update(N.NESTED_SQL)
     return sql
