@@ -85,6 +85,35 @@ def test_large_group_of_near_copies_is_one_component(make):
     assert {r.component_id for r in N.near_duplicates(make(rows)).collect()} == {0}
 
 
+@pytest.mark.parametrize("parts", [2000, 3])
+def test_several_texts_of_an_identifier(make, monkeypatch, parts):
+    """Sizes, parts and links go by set: an identifier with a short and a long text loses no link of either."""
+    monkeypatch.setattr(N, "PART_SETS", parts)
+    short, long = [f"s{i}" for i in range(120)], [f"l{i}" for i in range(1200)]
+    rows = [(5, " ".join(short)), (5, " ".join(long)), (7, ""), (7, " ".join(long[:-1])), (6, None)]
+    for i in range(10):
+        w = list(short)
+        w[7 * i] = f"x{i}"
+        rows.append((10 + i, " ".join(w)))
+    want, _ = brute(rows, 4, 85)
+    got = N.near_duplicates(make(rows)).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in got} == set(want.items())
+    assert {r.component_id for r in got if r.doc_id >= 10 or r.doc_id in (5, 7)} == {5}
+
+
+@pytest.mark.parametrize("parts", [2000, 3])
+def test_rows_without_an_identifier_are_documents_of_their_own(make, monkeypatch, parts):
+    monkeypatch.setattr(N, "PART_SETS", parts)
+    base = [[f"{f}w{i}" for i in range(60)] for f in "abc"]
+    rows = [(None, " ".join(base[0]))] * 4 + [(None, " ".join(base[1]))] + [(None, ""), (None, None)]
+    rows += [(i, " ".join([*base[0][:-1], f"x{i}"])) for i in range(5)] + [(20 + i, " ".join([*base[2][:-1], f"y{i}"])) for i in range(5)]
+    got = N.near_duplicates(make(rows)).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == {i: None for i in range(5)} | {20 + i: 20 for i in range(5)}
+    assert sorted(r.n_shingles for r in got if r.doc_id is None) == [0, 0, 57, 57, 57, 57, 57]
+
+
 def test_empty_table(no_docs):
     assert N.near_duplicates(no_docs).collect() == []
 

@@ -25,11 +25,15 @@ can link is a unit of its own.  So a task holds two bounded parts at a time, wha
 Equal sets are folded map-side, before anything is compared; pairs within a group are never
 listed, because connected leaves are skipped.
 
+Sets are numbered, and everything up to the components is keyed by that number: an identifier may
+have several texts, so it names no set.  A set's text is fetched from its first row by identifier and
+128-bit digest of the text.
+
 Defined cases: null text is the empty text; empty sets link with nothing, and their component is
 their own identifier; repeated rows of an identifier each get a row, and if their texts differ
-they are linked; rows with a null identifier take part as one document that sorts first and report
-a null component where they are its smallest; an empty table gives an empty result; other columns are not
-read.
+they are linked; rows with a null identifier are documents of their own, and null is smaller than
+any other identifier, so a component that holds such a row is null; a very long text is shingled
+whole, in slices; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -51,7 +55,6 @@ WORDS, PERCENT = 4, 85
 FREQUENT = 65_536
 PART_SETS, PART_SHINGLES = 2_000, 2_000_000
 FANOUT = 8
-NULL_ID = -(1 << 63)  # stands for a null identifier inside the operator
 
 
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -91,7 +94,8 @@ def frequent_shingles(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, n (set size), k1, k2 (128-bit key of the set), prefix (shingles) of every row."""
+    """doc_id, d1, d2 (digest of the text), n (set size), k1, k2 (128-bit key of the set), prefix
+    (shingles) of every row.  docs: doc_id, text, d1, d2."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,11 +122,11 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
                 values = np.concatenate(prefix).view(np.int64)
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(n, pa.int64()), pa.array(np.array(k1, np.uint64).view(np.int64)),
+                    part.column(0), part.column(2), part.column(3), pa.array(n, pa.int64()), pa.array(np.array(k1, np.uint64).view(np.int64)),
                     pa.array(np.array(k2, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-                    ["doc_id", "n", "k1", "k2", "prefix"])
+                    ["doc_id", "d1", "d2", "n", "k1", "k2", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, prefix array<long>")
+    return docs.mapInArrow(run, "doc_id long, d1 long, d2 long, n long, k1 long, k2 long, prefix array<long>")
 
 
 class Tree:
@@ -325,27 +329,49 @@ def verify(rows: DataFrame, k: int, percent: int) -> DataFrame:
     return keyed.mapInArrow(run, "a long, b long")
 
 
+def texts_of(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """rep, text: one text of each set of `sets` (rep, lead: doc_id, d1, d2 of its first row)."""
+    wanted = sets.select("rep", F.col("lead.doc_id").alias("lead_id"), "lead.d1", "lead.d2")
+    same = F.col("doc_id").eqNullSafe(F.col("lead_id"))
+    found = docs.join(maybe_broadcast(wanted, 1_000_000), ["d1", "d2"]).where(same)
+    return found.groupBy("rep").agg(F.any_value("text").alias("text"))  # repeated rows
+
+
+def same_identifier(held: DataFrame) -> DataFrame:
+    """Links a, b between the sets of an identifier that has several.  held: doc_id, rep."""
+    several = (held.where("doc_id IS NOT NULL AND rep IS NOT NULL").groupBy("doc_id")
+               .agg(F.min("rep").alias("b"), F.max("rep").alias("last")).where("b < last").select("doc_id", "b"))
+    return held.join(several, "doc_id").where("rep > b").select(F.col("rep").alias("a"), "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id."""
-    docs = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID).cast("long")))
+    docs = id_and_text(docs, id_col, text_col).withColumns({"d1": F.xxhash64("text"), "d2": F.xxhash64(F.lit(1), "text")})
     rows = materialise(signatures(docs, words, percent), "signatures")
-    sets = rows.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.any_value("prefix").alias("prefix"))
-    sets = materialise(sets, "sets")
-    copies = rows.where("n > 0").join(sets.select("n", "k1", "k2", "rep"), ["n", "k1", "k2"]).where("doc_id <> rep").select(
-        F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    key = ["n", "k1", "k2"]
+    sets = rows.where("n > 0").groupBy(*key).agg(F.min(F.struct("doc_id", "d1", "d2")).alias("lead"), F.any_value("prefix").alias("prefix"))
+    sets = materialise(sets.withColumn("rep", F.monotonically_increasing_id()), "sets")
+    held = materialise(rows.select("doc_id", *key).join(sets.select(*key, "rep"), key, "left").select("doc_id", "n", "rep"), "held")
 
     tokens = sets.select("rep", "n", F.explode("prefix").alias("token"))
     tokens = materialise(survivors(tokens, percent), "survivors")
     tokens = materialise(survivors(tokens, percent), "survivors")
     dealt = materialise(units(materialise(blocks(tokens, percent), "members"), percent), "units")
-    few = maybe_broadcast(dealt.select(F.col("rep").alias("doc_id")).distinct(), 1_000_000)
-    texts = docs.join(few, "doc_id", "left_semi").withColumnRenamed("doc_id", "rep")
+    texts = texts_of(docs, sets.join(dealt.select("rep").distinct(), "rep", "left_semi"))
     links = verify(texts.join(dealt, "rep"), words, percent)
-    found = components(links.unionByName(copies))
-    null_id = lambda c: F.nullif(F.col(c), F.lit(NULL_ID).cast("long")).alias(c)
-    return (rows.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
-            .select(null_id("doc_id"), "n_shingles", null_id("component_id")))
+    found = components(links.unionByName(same_identifier(held)))
+
+    grouped = sets.select("rep", "lead.doc_id").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("group", F.coalesce("component", "rep"))
+    lowest = grouped.groupBy("group").agg(F.min(F.struct("doc_id")).alias("low"))  # null is the smallest
+    of_set = grouped.join(lowest, "group").select("rep", F.col("low.doc_id").alias("component_id"))
+    full = held.join(of_set, "rep", "left")
+    empty = held.where("n = 0 AND doc_id IS NOT NULL").select("doc_id").distinct()
+    of_id = (full.where("n > 0").join(empty, "doc_id", "left_semi").groupBy("doc_id")
+             .agg(F.min(F.struct("component_id")).alias("by_id")))  # an empty text beside others of its identifier
+    done = full.where("n > 0").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    alone = full.where("n = 0").select("doc_id", F.col("n").alias("n_shingles")).join(of_id, "doc_id", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("by_id").isNotNull(), F.col("by_id.component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return done.unionByName(alone)
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
