@@ -91,3 +91,55 @@ def test_contaminated_rows_go_row_by_row(spark, make):
     item = spark.read.parquet(f"{SF001}/benchmark.parquet").orderBy("item_id").first().text
     rows = [(i, t) for i in (None, 4) for t in ("clean one", f"before {item} after", "clean two", None)]
     assert kept_by(spark, "decontamination", make(rows)) == Counter((i, t) for i, t in rows if t is None or "clean" in t)
+
+
+def test_columns_that_clash_pass_through(spark, make, edge_rows):
+    """A table that has the names the stages use themselves, scanned from files and not."""
+    from tidepool.llm.shared import ROW
+    from tidepool.session import work_dir
+
+    docs = make(edge_rows).withColumnsRenamed({"row": ROW, "digest": "_doc", "block": "_file", "n": "_number", "gram": "_metadata"})
+    docs.write.parquet(f"{work_dir(spark, 'clash')}/docs")
+    scanned = make(edge_rows).withColumnsRenamed({"row": ROW, "digest": "_doc", "block": "_file", "n": "_number"})
+    scanned.write.parquet(path := f"{work_dir(spark, 'clash')}/docs")
+    for docs in (docs, spark.read.parquet(path)):
+        for name, stage in C.STAGES[:-1]:
+            out = C.materialise(stage(spark, docs, SF001), name)
+            assert out.columns == docs.columns
+            assert Counter(out.collect()) <= Counter(docs.collect())
+            docs = out
+
+
+def test_numbers_are_stable_and_need_no_copy(spark, make, edge_rows):
+    from tidepool.llm import shared as S
+    from tidepool.session import work_dir
+
+    make(edge_rows, 7).write.parquet(path := f"{work_dir(spark, 'numbers')}/docs")
+    with S.recorded() as made:
+        rows = S.numbered(spark.read.parquet(path))
+    assert {p.rsplit("/", 1)[1] for p in made} == {"files"}
+    first = Counter((r[0], r[1], r[2]) for r in rows.select(S.ROW, "doc_id", "text").collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        again = Counter((r[0], r[1], r[2]) for r in rows.repartition(3).select(S.ROW, "doc_id", "text").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert first == again and len({k[0] for k in first}) == len(edge_rows)
+
+
+def test_a_stage_removes_what_the_one_before_wrote(spark, make, edge_rows):
+    import os
+
+    from tidepool.session import work_dir
+
+    make(edge_rows).write.parquet(path := f"{work_dir(spark, 'stages')}/docs")
+    docs = spark.read.parquet(path)
+    key = spark.sparkContext.applicationId, SF001
+    for i, (name, stage) in enumerate(C.STAGES[:-1]):
+        out = stage(spark, docs, SF001)
+        assert C._left[*key, i] and all(os.path.exists(p.removeprefix("file:")) for p in C._left[*key, i])
+        left = C._left[*key, i]
+        docs = C.materialise(out, name)
+    assert all(os.path.exists(p.removeprefix("file:")) for p in left)
+    assert C.STAGES[-1][1](spark, docs, SF001).count() > 0
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in left) and os.path.exists(path.removeprefix("file:"))

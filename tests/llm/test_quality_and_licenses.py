@@ -63,3 +63,13 @@ def test_licenses_edge_rows_and_empty_table(edge_docs, edge_rows, no_docs):
 def test_license_scan_has_no_python(edge_docs):
     plan = licenses.scan_licenses(edge_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    """One label of an identifier with very many rows: no more than the bound is gathered and fitted."""
+    docs = spark.range(3000).selectExpr("1L AS doc_id", "concat('a text of its own number ', id, ' and some words') AS text")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: fitted.append(len(x)) or quality.Additive())
+    quality.train(docs, labels, max_train_rows=10)
+    assert fitted == [10]

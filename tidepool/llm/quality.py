@@ -192,7 +192,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS) -> Additive:
-    """Fit on at most `max_train_rows` labelled rows that are not held out."""
+    """Fit on at most `max_train_rows` labelled rows that are not held out.  An identifier may have several
+    rows, so the bound is kept once more after the join: the rows with the smallest digests stay."""
     rows = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
             .where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
             .groupBy("doc_id").agg(F.round(F.avg("quality")).alias("quality"))
@@ -205,7 +206,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_RO
             for a, b, x in features(batch.column(1)):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(list(x), pa.list_(pa.float64()))], ["quality", "x"])
 
-    found = sample.mapInArrow(vectors, "quality double, x array<double>").toPandas()
+    found = sample.mapInArrow(vectors, "quality double, x array<double>")
+    found = found.orderBy(F.xxhash64("quality", "x")).limit(max_train_rows).toPandas()
     if found.empty:
         return Additive()
     x, y = np.array(found["x"].tolist()), found["quality"].to_numpy()

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.session import table_path, work_dir
+from tidepool.operators.joins import maybe_broadcast
+from tidepool.session import folder, table_path, work_dir
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = f"{work_dir(df.sparkSession, 'llm')}/{name}"
+    for made in _recorders:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -26,11 +33,31 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 ROW = "_stage_row"
+FILE_ROWS = 1 << 36  # rows that one file may have (and 2^27 files): a file's number times this is where its rows begin
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """`docs` with a number for each row (column ROW), written, so that the numbers stay what they are."""
-    return materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    """ROW (a number for each row), doc_id, text, and `_doc`, all columns of `docs` under one name, so that
+    none can clash.  A scanned table is numbered by file and row index, which no retry or other split of
+    the scan changes; anything else is written once with its numbers."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    places = None if "_metadata" in docs.columns else _places(docs, whole)
+    if places is None:
+        rows = materialise(docs.select(F.monotonically_increasing_id().alias(ROW), whole), "numbered")
+        return rows.select(ROW, "_doc.doc_id", "_doc.text", "_doc")
+    names = places.select("_file").distinct().repartition(1).sortWithinPartitions("_file")  # names of files only
+    files = materialise(names.select("_file", F.monotonically_increasing_id().alias("_number")), "files")
+    rows = places.join(maybe_broadcast(files, 1_000_000), "_file")
+    number = F.col("_number") * FILE_ROWS + F.col("_index")
+    return rows.select(number.alias(ROW), "_doc.doc_id", "_doc.text", "_doc")
+
+
+def _places(docs: DataFrame, whole: Column) -> DataFrame | None:
+    """`whole` with the file and the row index of each row, if `docs` is a plain scan of files."""
+    try:
+        return docs.select(whole, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    except AnalysisException:
+        return None
 
 
 def smallest_rows(rows: DataFrame, group: str) -> DataFrame:
@@ -40,5 +67,38 @@ def smallest_rows(rows: DataFrame, group: str) -> DataFrame:
 
 
 def keep_rows(rows: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of a numbered table whose number is in `kept`; all columns but the number."""
-    return rows.join(kept.select(ROW), ROW, "left_semi").select(*[F.col(c) for c in rows.columns if c != ROW])
+    """The rows of a numbered table whose number is in `kept`, with the columns that they had.  The numbers
+    are written, and sent to the rows if they are few enough (checked); else both are shuffled."""
+    kept = materialise(kept.select(ROW), "kept")
+    return rows.select(ROW, "_doc").join(maybe_broadcast(kept, 1_000_000), ROW, "left_semi").select("_doc.*")
+
+
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders that `materialise` makes meanwhile."""
+    made: list[str] = []
+    _recorders.append(made)
+    try:
+        yield made
+    finally:
+        _recorders.pop()
+
+
+def read_from(df: DataFrame) -> list[str]:
+    """The folders that a DataFrame's scans read (their roots)."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    roots = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName() == "LogicalRelation":
+            roots.append(leaf.relation().location().rootPaths().mkString("\n"))
+    return "\n".join(roots).split("\n")
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    for p in paths:
+        fs, at = folder(spark, p)
+        fs.delete(at, True)
