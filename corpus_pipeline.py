@@ -2,7 +2,8 @@
 
 Each stage is (spark, docs, sf_dir) -> DataFrame.  Between stages the rows are written to the
 shared folder and read back; all but the last return the columns of `documents`.  A stage numbers
-its rows and decides about each by that number, so null and repeated identifiers are separate rows.
+its rows (by file and row index, without a copy) and decides about each by that number, so null and
+repeated identifiers are separate rows.  What a stage writes on the way goes when the next one begins.
 """
 
 from __future__ import annotations
@@ -15,14 +16,14 @@ from tidepool.llm.decontaminate import find_contamination
 from tidepool.llm.exact_dedup import exact_dedup
 from tidepool.llm.near_dup import near_duplicates
 from tidepool.llm.packing import pack_documents
-from tidepool.llm.shared import ROW, documents, id_and_text, keep_rows, materialise, numbered, smallest_rows
+from tidepool.llm.shared import ROW, delete, documents, id_and_text, keep_rows, materialise, numbered, read_from, recorded, smallest_rows
 from tidepool.session import prepare, table_path
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: rejected documents go."""
     rows = numbered(docs)
-    model = quality.train(id_and_text(rows), spark.read.parquet(table_path(sf_dir, "labels")))
+    model = quality.train(id_and_text(docs), spark.read.parquet(table_path(sf_dir, "labels")))
     scored = quality.score(id_and_text(rows, ROW), model).where(F.col("score") >= quality.THRESHOLD)
     return keep_rows(rows, _by_row(scored))
 
@@ -61,28 +62,45 @@ def _by_row(found: DataFrame) -> DataFrame:
     return found.withColumnRenamed("doc_id", ROW)
 
 
-def _prepared(stage):
+_left: dict[tuple, list[str]] = {}  # folders of the stage before, by application and input
+
+
+def _prepared(at: int, stage):
+    """A stage that, before it begins, removes what its predecessor wrote on the way: the predecessor's
+    result is `docs`, which is a written table by now.  A folder that `docs` reads is never removed."""
+
     def apply(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        return stage(prepare(spark), docs, sf_dir)
+        prepare(spark)
+        run = spark.sparkContext.applicationId, sf_dir
+        before = _left.pop((*run, at - 1), [])
+        needed = read_from(docs) if before else []
+        delete(spark, [p for p in before if not any(p in n or n in p for n in needed)])
+        with recorded() as made:
+            out = stage(spark, docs, sf_dir)
+        _left[*run, at] = made
+        return out
 
     apply.__name__, apply.__doc__ = stage.__name__, stage.__doc__
     return apply
 
 
-STAGES = [
-    ("quality", _prepared(drop_low_quality)),
-    ("exact_dedup", _prepared(drop_copies)),
-    ("near_dedup", _prepared(drop_near_copies)),
-    ("decontamination", _prepared(drop_contaminated)),
-    ("packing", _prepared(pack)),
-]
+STAGES = [(name, _prepared(i, stage)) for i, (name, stage) in enumerate([
+    ("quality", drop_low_quality),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
+])]
 
 #: Tokenisation and the learnt classifier cannot be written in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(prepare(spark), sf_dir)
+    docs, written = documents(prepare(spark), sf_dir), []
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        with recorded() as made:
+            docs = materialise(stage(spark, docs, sf_dir), name)
+        delete(spark, written)  # the stage before has been read for the last time
+        written = made[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
