@@ -1,3 +1,6 @@
+import random
+import re
+
 import numpy as np
 import pytest
 
@@ -50,10 +53,56 @@ def test_licenses_of_blocks_and_phrases(make):
             (4, "cc by nc cc by nc"), (5, None), (6, ""), (7, "This work is licensed under the GNU general license version 3"), (7, "reserved all Rights"), (None, "CC-BY-NC")]
     got = [(r.doc_id, r.n_words, [(p.label, p.start) for p in r.places], sorted({f.label for f in r.found})) for r in licenses.scan_licenses(make(rows)).collect()]
     assert sorted(got, key=str) == sorted([
-        (1, 5, [("mit", 1)], ["mit"]), (2, 9, [("apache-2", 4)], ["apache-2"]), (3, 3, [], []), (4, 6, [("cc-by-nc", 0), ("cc-by-nc", 3)], []),
+        (1, 5, [("mit", 1)], ["mit"]), (2, 9, [("apache-2", 4)], ["apache-2"]), (3, 3, [], ["all-rights-reserved"]), (4, 6, [("cc-by-nc", 0), ("cc-by-nc", 3)], []),
         (5, 0, [], []), (6, 0, [], []), (7, 11, [], ["gpl-3"]), (7, 3, [], ["all-rights-reserved"]), (None, 3, [("cc-by-nc", 0)], [])], key=str)
 
 
+@pytest.mark.parametrize(("text", "labels"), [
+    ("licensed under CC BY 4.0", ["cc-by"]), ("licensed under CC BY-SA 4.0", ["cc-by-sa"]), ("licensed under CC BY-NC 4.0", ["cc-by-nc"]),
+    ("released under the Apache license", []), ("released under the GPL license", []), ("Released under\nthe MIT\nlicense", ["mit"]),
+    ("the story was released yesterday under a tree while the driver lost his license", []),
+    ("released under a tree of the mit by a man who was asked again and again for the license", []),
+    ("* Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:", ["bsd"]),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy", ["mpl-2"]),
+    ("this work is licensed under the gnu lesser general public license version 3", ["lgpl-3"]),
+    ("all of our rights and duties are reserved", []), ("all rights x reserved", ["all-rights-reserved"]), ("rights reserved all", ["all-rights-reserved"]),
+    ("x " * 3000 + "licensed under the apache\nlicense version 2.0" + " y" * 3000 + " licensed under cc by sa 4.0", ["apache-2", "cc-by-sa"]),
+    ("mit license " * 50, []), ("licensed under cc by nc sa 4 0", ["cc-by-nc", "cc-by-sa"])])
+def test_templates_are_told_apart(make, text, labels):
+    found = licenses.scan_licenses(make([(1, text)], 1)).first().found
+    assert sorted({f.label for f in found}) == labels
+
+
+def plain_matches(text, threshold=licenses.THRESHOLD):
+    """(label, start, words, containment) by trying every window of every template."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+    out = set()
+    for label, told, must in licenses.TEMPLATES:
+        t = set(told.split())
+        for i in range(len(w)):
+            block = w[i:i + licenses._window(len(told.split()))]
+            if w[i] in t and len(t & set(block)) >= threshold * len(t) - 1e-9 and set(must.split()) <= set(block):
+                out.add((label, i, max(k for k, x in enumerate(block) if x in t) + 1, len(t & set(block)) / len(t), len(t & set(block))))
+    return {m[:4] for m in out if not any(n[1] <= m[1] and n[1] + n[2] >= m[1] + m[2] and n[3:] > m[3:] for n in out)}
+
+
+def test_every_window_is_found(make):
+    rng = random.Random(8)
+    pool = sorted({x for _, t, _ in licenses.TEMPLATES for x in t.split()}) + ["other", "words", "between"]
+    rows = []
+    for i in range(60):
+        w = []
+        for _ in range(rng.randrange(1, 6)):
+            part = rng.choice(licenses.TEMPLATES)[1].split()
+            for _ in range(rng.randrange(0, 4)):
+                k = rng.randrange(len(part))
+                part = rng.choice([part[:k] + part[k + 1:] or part, part[:k] + [rng.choice(pool)] + part[k:], part[k:] + part[:k]])
+            w += part + [rng.choice(pool) for _ in range(rng.randrange(0, 8))]
+        rows.append((i, rng.choice([" ", "\n", ", "]).join(w)))
+    got = {r.doc_id: {(f.label, f.start, f.words, round(f.containment, 9)) for f in r.found} for r in licenses.scan_licenses(make(rows)).collect()}
+    assert got == {i: {(*m[:3], round(m[3], 9)) for m in plain_matches(t)} for i, t in rows}
+
+
 def test_licenses_edge_rows_and_empty_table(edge_docs, edge_rows, no_docs):
     rows = licenses.scan_licenses(edge_docs).collect()
     assert len(rows) == len(edge_rows)

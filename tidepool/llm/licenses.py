@@ -1,25 +1,29 @@
 """Operator 5, license scan by an exact set-similarity join (DataFrame functions only).
 
 Base labels come from phrases whose words stand consecutively.  The method adds the labels of
-license templates: a text block (line) belongs to a template when it holds at least `threshold`
-of the template's distinct words.  That is an exact containment join:
+license templates.  A text block is a window over the words of the whole text, a quarter longer than
+the template, so a notice may wrap over lines or hold a few more words.  A template is found where a
+window holds at least `threshold` of its distinct words, all the words that tell it from other
+licenses among them.  That is an exact containment join:
 
 * words are ordered by their global frequency (number of documents that hold them, counted over
   all documents; rare first, ties by the word itself);
-* prefix filter: a block that reaches the threshold shares a word of the template's prefix (all
-  but the last `need` - 1 words), and that word stands in the block's own prefix;
-* length filter: a block has at least `need` template words;
-* positional filter: from the first shared words of both, enough words must remain;
-* the survivors are compared in full.
+* prefix filter: a window that reaches the threshold holds a word of the template's prefix (all
+  but the last `need` - 1 words), so only windows around such a word are looked at;
+* length filter: so near the text holds at least `need` different template words;
+* positional filter: a window starts where a template word stands, and from there to the end of
+  the stretch enough words must remain;
+* the windows that are left are compared in full.  Of matches that overlap, one with a smaller
+  containment is dropped if all its words stand inside the better one.
 
 Only words of the templates and phrases can matter, so the scan keeps per document its number of
 words, which of those words it holds, and the text if these reach some template or phrase at
 all.  The list of templates is a parameter (a few hundred words), so its index is broadcast; the
-documents are never shuffled, only the few blocks that pass.
+documents are never shuffled, only the stretches around rare words.
 
 Defined cases: null text is the empty text, with no words and no label; null and repeated
-identifiers are separate documents, row by row; an empty table gives an empty result; equal
-blocks count once for a label; other columns are not read.
+identifiers are separate documents, row by row; a very long text is scanned whole; of equal
+matches of a label the first counts; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,20 +42,29 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 # The base phrases and their labels.
 PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
 
-# License notices by label (words as the scan sees them).
+# License notices by label (words as the scan sees them), with the words that tell each from others.
 TEMPLATES = [
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("apache-2", "licensed under the apache license version 2 0"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("gpl-3", "this work is licensed under the gnu general public license version 3"),
-    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("all-rights-reserved", "all rights reserved"),
+    ("mit", "released under the mit license", "mit license"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
+     "permission granted charge software"),
+    ("apache-2", "licensed under the apache license version 2 0", "apache 2"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+     "redistribution source binary permitted"),
+    ("cc-by", "licensed under cc by 4 0", "licensed cc by 4"),
+    ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
+    ("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
+    ("gpl-3", "this work is licensed under the gnu general public license version 3", "gnu general 3"),
+    ("lgpl-3", "this work is licensed under the gnu lesser general public license version 3", "gnu lesser general 3"),
+    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public 2"),
+    ("all-rights-reserved", "all rights reserved", "all rights reserved"),
 ]
 
 
+def _window(words: int) -> int:
+    """Words of a block for a template of so many: a quarter more."""
+    return ceil(1.25 * words)
+
+
 def _literal(words: list[str]) -> Column:
     return F.array(*[F.lit(w) for w in words])
 
@@ -77,12 +90,13 @@ def _labelled(label: str, starts: Column) -> Column:
     return F.transform(starts, lambda i: F.struct(F.lit(label).alias("label"), i.alias("start")))
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES,
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str, str]] = TEMPLATES,
                   phrases: list[tuple[str, str]] = PHRASES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, n_words, places (array of label, start of the base phrases),
-    found (array of label, block, containment of the template matches)."""
+    found (array of label, start, words, containment of the template matches: their windows from the
+    first to the last word of the template)."""
     spark = docs.sparkSession
-    sets = [(label, sorted(set(t.split()))) for label, t in templates]
+    sets = [(label, sorted(set(t.split()))) for label, t, _ in templates]
     needs = [ceil(threshold * len(ws) - 1e-9) for _, ws in sets]
     vocabulary = sorted({w for _, ws in sets for w in ws} | {w for p, _ in phrases for w in p.split()})
 
@@ -102,29 +116,36 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     counts = {r.w: r.n for r in scan.select(F.explode("held").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
     order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
     place = {w: i for i, w in enumerate(order)}
-    rows, whole = [], []
-    for t, ((label, ws), need) in enumerate(zip(sets, needs)):
+    index, whole = [], []
+    for t, ((label, ws), need, (_, told, must)) in enumerate(zip(sets, needs, templates, strict=True)):
         ranked = sorted(place[w] for w in ws)
-        whole.append((t, label, ranked, need))
-        rows += [(t, r, j) for j, r in enumerate(ranked[:len(ranked) - need + 1])]
-    index = F.broadcast(spark.createDataFrame(rows, "t int, r int, j int"))
-    whole = F.broadcast(spark.createDataFrame(whole, "t int, label string, ranked array<int>, need int"))
+        index += [(t, r) for r in ranked[:len(ranked) - need + 1]]
+        whole.append((t, label, ranked, [place[w] for w in must.split()], need, _window(len(told.split()))))
+    index = F.broadcast(spark.createDataFrame(index, "t int, r int"))
+    whole = F.broadcast(spark.createDataFrame(whole, "t int, label string, ranked array<int>, must array<int>, need int, wide int"))
 
     ranks = F.create_map(*[x for w, i in place.items() for x in (F.lit(w), F.lit(i))])
     kept = scan.where(F.col("text").isNotNull())
-    blocks = (kept.select("row", F.posexplode(F.split("text", "\n")).alias("block", "line"))
-              .select("row", "block", F.array_intersect(_words(F.col("line")), _literal(order)).alias("ws"))
-              .where(F.size("ws") >= min(needs, default=1))
-              .select("row", "block", F.array_sort(F.transform("ws", lambda w: F.element_at(ranks, w))).alias("b")))
-    probes = blocks.select("row", "block", "b", F.posexplode("b").alias("i", "r"))
-    pairs = (probes.join(index, "r").join(whole, "t")
-             .where((F.size("b") >= F.col("need")) & (F.col("i") <= F.size("b") - F.col("need"))))
-    first = pairs.groupBy("row", "block", "t").agg(F.min("i").alias("i"), F.min("j").alias("j"), F.first("b").alias("b"),
-                                                   F.first("ranked").alias("ranked"), F.first("need").alias("need"), F.first("label").alias("label"))
-    left = 1 + F.least(F.size("ranked") - F.col("j"), F.size("b") - F.col("i")) - 1
-    common = F.size(F.array_intersect("b", "ranked"))
-    hits = (first.where(left >= F.col("need")).where(common >= F.col("need"))
-            .groupBy("row").agg(F.sort_array(F.collect_set(F.struct("label", "block", (common / F.size("ranked")).alias("containment")))).alias("found")))
+    # a word of the vocabulary is its rank, any other -1; the stretch around a rare word is all that travels
+    texts = kept.select("row", F.transform(_words(F.col("text")), lambda w: F.coalesce(F.element_at(ranks, w), F.lit(-1))).alias("w"))
+    rare = texts.select("row", "w", F.posexplode("w").alias("p", "r")).where("r >= 0").join(index, "r").join(whole, "t")
+    start = F.greatest(F.lit(0), F.col("p") - F.col("wide") + 1)
+    near = rare.select("row", "p", "t", "label", "ranked", "must", "need", "wide", start.alias("at"), F.slice("w", start + 1, F.col("wide") + F.col("p") - start).alias("near"))
+    near = near.where(F.size(F.array_intersect("near", "ranked")) >= F.col("need")).where(F.size(F.array_except("must", "near")) == 0)
+    hits = near.select("row", "label", "ranked", "must", "need", "at", "near", "wide", F.explode(F.sequence(F.lit(0), F.col("p") - F.col("at"))).alias("s"))
+    hits = hits.where((F.size("near") - F.col("s") >= F.col("need")) & F.array_contains("ranked", F.get("near", F.col("s"))))
+    hits = hits.withColumn("block", F.slice("near", F.col("s") + 1, F.col("wide"))).withColumn("common", F.size(F.array_intersect("block", "ranked")))
+    hits = hits.where((F.col("common") >= F.col("need")) & (F.size(F.array_except("must", "block")) == 0))
+    within = F.filter(F.sequence(F.lit(0), F.size("block") - 1), lambda i: F.array_contains("ranked", F.get("block", i)))
+    match = F.struct((F.col("common") / F.size("ranked")).alias("containment"), (-F.col("at") - F.col("s")).alias("before"), "label", (F.array_max(within) + 1).alias("words"), "common")
+    found = hits.select("row", match.alias("m")).distinct().groupBy("row").agg(F.collect_set("m").alias("ms"))  # windows around rare words of one text
+
+    def inside(m: Column, n: Column) -> Column:
+        return (n.before >= m.before) & (m.words - m.before <= n.words - n.before) & (
+            (n.containment > m.containment) | ((n.containment == m.containment) & (n.common > m.common)))
+
+    better = F.filter("ms", lambda m: ~F.exists("ms", lambda n: inside(m, n)))
+    hits = found.select("row", F.transform(better, lambda m: F.struct(m.label.alias("label"), (-m.before).alias("start"), m.words.alias("words"), m.containment.alias("containment"))).alias("found"))
 
     base = kept.withColumn("w", _words(F.col("text")))
     places = [_labelled(label, _places(F.col("w"), p.split())) for p, label in phrases]
@@ -133,7 +154,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return (scan.select("row", "doc_id", "n_words")
             .join(base, F.col("row") == F.col("base_row"), "left").join(hits, "row", "left")
             .select("doc_id", "n_words", F.coalesce("places", none.cast("array<struct<label:string,start:int>>")).alias("places"),
-                    F.coalesce("found", none.cast("array<struct<label:string,block:int,containment:double>>")).alias("found")))
+                    F.coalesce("found", none.cast("array<struct<label:string,start:int,words:int,containment:double>>")).alias("found")))
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,12 +179,18 @@ _WORDS = r"""regexp_extract_all(translate(%s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abc
 SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS % "coalesce(text, '')"} AS w FROM documents),
 phrases(label, p) AS (VALUES {", ".join(f"('{label}', {_sql_list(p.split())})" for p, label in PHRASES)}),
-templates(label, t) AS (VALUES {", ".join(f"('{label}', {_sql_list(sorted(set(t.split())))})" for label, t in TEMPLATES)}),
+templates(label, t, must, wide) AS (VALUES {", ".join(f"('{label}', {_sql_list(sorted(set(t.split())))}, {_sql_list(m.split())}, {_window(len(t.split()))})" for label, t, m in TEMPLATES)}),
 hit AS (SELECT doc_id, label, unnest(list_filter(range(0, len(w)), lambda i: w[i + 1:i + len(p)] = p)) AS i FROM d, phrases),
 base AS (SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS b, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM hit GROUP BY doc_id),
-line AS (SELECT DISTINCT doc_id, list_distinct({_WORDS % "line"}) AS w FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)),
-cont AS (SELECT doc_id, label, len(list_intersect(w, t)) / len(t) AS c FROM line, templates),
-more AS (SELECT doc_id, label, c FROM cont WHERE c >= {THRESHOLD}),
+starts AS (SELECT doc_id, label, t, must, i, w[i:i + wide - 1] AS block
+           FROM (SELECT doc_id, w, label, t, must, wide, unnest(list_filter(range(1, len(w) + 1), lambda i: list_contains(t, w[i]))) AS i
+                 FROM d, templates WHERE len(list_intersect(w, t)) >= {THRESHOLD} * len(t) AND len(list_intersect(w, must)) = len(must))),
+cont AS (SELECT doc_id, label, i, len(list_intersect(list_distinct(block), t)) / len(t) AS c, len(list_intersect(list_distinct(block), t)) AS common,
+                i + list_max(list_filter(range(1, len(block) + 1), lambda k: list_contains(t, block[k]))) - 1 AS j
+         FROM starts WHERE len(list_intersect(list_distinct(block), must)) = len(must)),
+passed AS (SELECT * FROM cont WHERE c >= {THRESHOLD}),
+more AS (SELECT doc_id, label, c FROM passed m WHERE NOT EXISTS (
+           SELECT 1 FROM passed n WHERE n.doc_id = m.doc_id AND n.i <= m.i AND n.j >= m.j AND (n.c > m.c OR n.c = m.c AND n.common > m.common))),
 lab AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM hit UNION ALL SELECT doc_id, label FROM more) GROUP BY doc_id),
 top AS (SELECT doc_id, max(c) AS c FROM more GROUP BY doc_id)
 SELECT d.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, b AS last_word, coalesce(base.labels, '') AS base_labels,
