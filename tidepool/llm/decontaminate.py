@@ -157,7 +157,7 @@ def search(docs: DataFrame, items: list[tuple[str, str]], window: int = WINDOW)
                     pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(where.astype(np.int32))),
                     pa.array(found, pa.list_(pa.string()))], [*others, "n_words", "hit_words", "items"])
 
-    return docs.mapInArrow(scan, StructType([*docs.schema.fields[:-1], *StructType.fromDDL(HITS).fields]))
+    return docs.mapInArrow(T.task(scan), StructType([*docs.schema.fields[:-1], *StructType.fromDDL(HITS).fields]))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -88,7 +88,7 @@ def frequent_shingles(docs: DataFrame, k: int) -> np.ndarray:
                 often = n >= 4
                 yield pa.RecordBatch.from_arrays([pa.array(s[edge[:-1][often]].view(np.int64)), pa.array(n[often])], ["token", "n"])
 
-    found = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    found = docs.select("text").mapInArrow(T.task(count), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = found.orderBy(F.desc("n"), "token").limit(FREQUENT).select("token").toPandas()["token"].to_numpy(dtype=np.int64)
     return np.sort(top.view(np.uint64))
 
@@ -126,7 +126,7 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     pa.array(np.array(k2, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
                     ["doc_id", "d1", "d2", "n", "k1", "k2", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id long, d1 long, d2 long, n long, k1 long, k2 long, prefix array<long>")
+    return docs.mapInArrow(T.task(run), "doc_id long, d1 long, d2 long, n long, k1 long, k2 long, prefix array<long>")
 
 
 class Tree:
@@ -326,7 +326,7 @@ def verify(rows: DataFrame, k: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([name[i] for i, _ in found], pa.int64()), pa.array([name[j] for _, j in found], pa.int64())], ["a", "b"])
 
     keyed = rows.select("block", "u", "v", "side", "rep", "text").repartition("block", "u", "v").sortWithinPartitions("block", "u", "v")
-    return keyed.mapInArrow(run, "a long, b long")
+    return keyed.mapInArrow(T.task(run), "a long, b long")
 
 
 def texts_of(docs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.llm import textops as T
 from tidepool.llm.shared import documents, id_and_text, materialise
 
 CAPACITY = 2048
@@ -149,7 +150,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, TYPES)], names)
 
     TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-    return id_and_text(docs, id_col, text_col).mapInArrow(cut, PIECES)
+    return id_and_text(docs, id_col, text_col).mapInArrow(T.task(cut), PIECES)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -206,7 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_RO
             for a, b, x in features(batch.column(1)):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(list(x), pa.list_(pa.float64()))], ["quality", "x"])
 
-    found = sample.mapInArrow(vectors, "quality double, x array<double>")
+    found = sample.mapInArrow(T.task(vectors), "quality double, x array<double>")
     found = found.orderBy(F.xxhash64("quality", "x")).limit(max_train_rows).toPandas()
     if found.empty:
         return Additive()
@@ -224,7 +224,7 @@ def score(docs: DataFrame, model: Additive) -> DataFrame:
             for a, b, x in features(batch.column(1)):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(shared.value.score(x))], ["doc_id", "score"])
 
-    return docs.mapInArrow(apply, "doc_id long, score double")
+    return docs.mapInArrow(T.task(apply), "doc_id long, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -7,7 +7,8 @@ hashed to 64 bits by a prefix-sum polynomial, without a Python loop per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -118,3 +119,24 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
 def spread(first: np.ndarray) -> np.ndarray:
     """Row number of each word, from `first` of word_spans."""
     return np.repeat(np.arange(len(first) - 1), np.diff(first))
+
+
+def release() -> None:
+    """Give memory that is free back to the system.  Python workers serve task after task, and what the
+    allocators keep of a task's arrays would count against the executor for as long as they live."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to give back by hand
+        pass
+
+
+def task(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A mapInArrow function that releases its memory when its task ends."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole

@@ -276,7 +276,7 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_pat
                 _lists(a_cuts, block.group_of, pa.int32()), _lists(b_cuts, block.group_of, pa.int32())],
                 names=["doc_id", "a_ids", "b_ids", "a_cuts", "b_cuts"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, ALIGNED)
+    return id_and_text(docs, id_col, text_col).mapInArrow(T.task(run), ALIGNED)
 
 
 def _paths(a_path: str | None, b_path: str | None) -> tuple[str, str]:
@@ -299,7 +299,7 @@ def linked_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield _stated(number, ids, block)
             number += 1
 
-    return materialise(id_and_text(docs, id_col, text_col).mapInArrow(run, STATED), "linked")
+    return materialise(id_and_text(docs, id_col, text_col).mapInArrow(T.task(run), STATED), "linked")
 
 
 def _stated(number: int, ids: list, block: Block) -> pa.RecordBatch:
