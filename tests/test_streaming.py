@@ -389,6 +389,20 @@ def test_update_mode_survives_an_interrupted_batch(spark, scratch):
     assert {r.k: r.n for r in modes.read_buckets(spark, target).collect()} == {"a": 2, "b": 1, "c": 1, "d": 1}
 
 
+def test_state_changes_balance(spark, run):
+    """Windows opened minus windows closed are those still held, batch by batch too."""
+    changes = C.state_changes(spark, run.checkpoint("gold"))
+    lives = C.state_lifetimes(changes).persist()
+    held = {r[0] for r in C.state_rows(spark, run.checkpoint("gold")).select("key").collect()}
+    assert {r["key"] for r in lives.where("closed_in IS NULL").collect()} == held and held
+    closed = lives.where("closed_in IS NOT NULL")
+    assert closed.count() == spark.read.parquet(run.gold_dir).count() and closed.where("closed_in <= opened_in").count() == 0
+    last = changes.agg(F.max("batch_id")).first()[0]
+    first_half = C.state_changes(spark, run.checkpoint("gold"), 0, last // 2)
+    assert first_half.count() == changes.where(F.col("batch_id") <= last // 2).count() > 0
+    lives.unpersist()
+
+
 def test_accounting_scans_each_layer_once(spark, run):
     from tidepool.plans.inspect import plan_text
 

@@ -148,6 +148,15 @@ def state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("key.event_type").alias("event_type"))
 
 
+def state_lifetimes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every window the gold query ever held, from the changes of its state: opened once, and closed
+    unless it is still held."""
+    lives = C.state_lifetimes(C.state_changes(spark, medallion(spark, sf_dir).checkpoint("gold")))
+    return lives.select(to_ntz("key.window.start").alias("window_start"), to_ntz("key.window.end").alias("window_end"), F.col("key.event_type").alias("event_type"),
+                        (F.col("updates") >= 1).alias("opened"), F.col("closed_in").isNotNull().alias("closed"),
+                        F.coalesce(F.col("closed_in") > F.col("opened_in"), F.lit(True)).alias("in_order"))
+
+
 def upsert_not_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pipeline's landing folder (one delivery redelivered) upserted by event id and time in
     batches of a fixed number of bytes, then the whole landing replayed once more through a fresh
@@ -203,6 +212,9 @@ UNPIVOT (SELECT rows::BIGINT AS rows, bad_time::BIGINT AS bad_time, bad_props::B
 ON rows, bad_time, bad_props, no_value, incomplete, lag_seconds, overdue INTO NAME metric VALUE total
 """,
     "state_rows": f"{CLASSIFIED_SQL} SELECT DISTINCT window_start, window_end, event_type FROM c WHERE open",
+    "state_lifetimes": f"""{CLASSIFIED_SQL}
+SELECT window_start, window_end, event_type, true AS opened, NOT bool_or(open) AS closed, true AS in_order FROM c WHERE NOT late GROUP BY 1, 2, 3
+""",
     "stream_totals_full": f"""{_METRICS}
 SELECT query_name, count(*) AS batches, sum(n)::BIGINT AS input_rows, arg_max(trigger_ms, batch_id) AS last_batch_ms, sum(late)::BIGINT AS dropped_rows
 FROM p GROUP BY 1

@@ -56,6 +56,7 @@ def queries() -> dict[str, Query]:
         "key_balance": B.key_balance,
         "conform_schema": B.conform_schema,
         "resolved_nested": N.resolved_nested,
+        "table_changes": V.table_changes,
         "split_totals": B.split_totals,
         "file_stats": B.file_stats,
         "newest_events": B.newest_events,
@@ -92,6 +93,7 @@ def queries() -> dict[str, Query]:
         "bad_values": D.bad_values,
         "upsert_not_matched": M.upsert_not_matched,
         "state_rows": M.state_rows,
+        "state_lifetimes": M.state_lifetimes,
         "stream_totals": M.stream_totals,
         "stream_totals_full": M.stream_totals_full,
         "backlog_alert": M.backlog_alert,

@@ -15,7 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.operators import digest_tree as D
 from tidepool.plans.memo import built_once
+from tidepool.session import work_dir
 from tidepool.sources.tables import read_table
 from tidepool.versioned.table import VersionedTable, new_table_root
 
@@ -108,7 +110,30 @@ _V2 = f"(SELECT * FROM {_V1} WHERE NOT coalesce({DELETE_PREDICATE}, false))"
 _V3 = (f"(SELECT c_custkey, CASE WHEN coalesce({UPDATE_PREDICATE}, false) THEN 'vip_' || c_name ELSE c_name END "
        f"AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM {_V2})")
 
+RANGE_KEYS = 1_000_000  # of a range; fewer while that would be under 64 ranges
+
+
+def table_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`orders` against a copy in which some prices changed, some orders are gone and some stand
+    twice: found from the digest trees of both, only the key ranges that differ are read."""
+    root = work_dir(spark, "digests")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    key = F.col("o_orderkey")
+    width = min(RANGE_KEYS, max(256, o.count() // 64))
+    other = o.where(~key.between(300, 320)).withColumn("o_totalprice", F.when(key.between(100, 150), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    other = other.unionByName(o.where(key.between(900, 910)))
+    D.write_ranges(o, f"{root}/before", "o_orderkey", width)
+    D.write_ranges(other, f"{root}/after", "o_orderkey", width)
+    return D.table_diff(spark, f"{root}/before", f"{root}/after")
+
+
 VERSIONED_SQL = {
+    "table_changes": """
+WITH a AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders),
+c AS (SELECT * FROM a WHERE o_orderkey BETWEEN 100 AND 150)
+SELECT 'removed' AS change, *, 1 AS n FROM c UNION ALL SELECT 'added', o_orderkey, o_orderstatus, o_totalprice + 1, 1 FROM c
+UNION ALL SELECT 'removed', *, 1 FROM a WHERE o_orderkey BETWEEN 300 AND 320 UNION ALL SELECT 'added', *, 1 FROM a WHERE o_orderkey BETWEEN 900 AND 910
+""",
     "version_row_counts": f"""
 SELECT 0 AS version, 'CREATE' AS operation, (SELECT count(*) FROM customer) AS rows
 UNION ALL SELECT 1, 'WRITE', (SELECT count(*) FROM {_V1})

@@ -1,4 +1,4 @@
-"""A stream's checkpoint read back as rows.
+"""A stream's checkpoint, state and state changes read back as rows.
 
 The checkpoint logs (`offsets/`, `commits/`, `sources/0/`, `metadata`) are small text
 files: a version line, then JSON.  They are read with the text source, one row per line,
@@ -42,3 +42,22 @@ def checkpoint_rows(spark: SparkSession, checkpoint_dir: str) -> DataFrame:
 def state_rows(spark: SparkSession, checkpoint_dir: str, operator_id: int = 0) -> DataFrame:
     """Rows still held in a stateful operator's state store."""
     return spark.read.format("statestore").option("operatorId", operator_id).load(checkpoint_dir)
+
+
+def state_changes(spark: SparkSession, checkpoint_dir: str, start_batch: int = 0, end_batch: int | None = None,
+                  operator_id: int = 0) -> DataFrame:
+    """The change feed of a stateful operator: one row for each key that a batch put (`update`, with
+    the new value) or removed (`delete`), in batches `start_batch` to `end_batch` (the last committed one)."""
+    feed = spark.read.format("statestore").option("operatorId", operator_id).option("readChangeFeed", True).option("changeStartBatchId", start_batch)
+    if end_batch is not None:
+        feed = feed.option("changeEndBatchId", end_batch)
+    return feed.load(checkpoint_dir)
+
+
+def state_lifetimes(changes: DataFrame) -> DataFrame:
+    """Per key of a change feed: the batch that first put it, the batches that put it, and the one that
+    removed it last (NULL while it is held)."""
+    put, gone = F.col("change_type") == "update", F.col("change_type") == "delete"
+    per = changes.groupBy("key").agg(F.min(F.when(put, F.col("batch_id"))).alias("opened_in"), F.count_if(put).alias("updates"),
+                                     F.max(F.when(put, F.col("batch_id"))).alias("_last"), F.max(F.when(gone, F.col("batch_id"))).alias("_gone"))
+    return per.select("key", "opened_in", "updates", F.when(F.col("_gone") >= F.col("_last"), F.col("_gone")).alias("closed_in"))
