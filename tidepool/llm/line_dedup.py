@@ -57,11 +57,12 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     base = id_and_text(docs, id_col, text_col)
     identity = [F.xxhash64("text").alias("digest_1"), F.xxhash64(F.lit(1), "text").alias("digest_2")]
     hashes = base.select("doc_id", *identity, line_hashes(F.col("text"), min_chars).alias("hashes"))
-    counted = (hashes.select("doc_id", F.explode(F.array_distinct(F.array_compact("hashes"))).alias("hash"))
+    # the outer forms: Spark would compute the hashes of a text once more to leave out empty arrays before it
+    counted = (hashes.select("doc_id", F.explode_outer(F.array_distinct("hashes")).alias("hash")).where("hash IS NOT NULL")
                .select("doc_id", F.unhex("hash").alias("hash"))
                .groupBy("hash").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_id")))
     repeated = counted.where(F.col("n_docs") >= min_docs).select("hash", "last_id")
-    held = (hashes.select("doc_id", "digest_1", "digest_2", F.posexplode("hashes").alias("position", "hash"))
+    held = (hashes.select("doc_id", "digest_1", "digest_2", F.posexplode_outer("hashes").alias("position", "hash"))
             .where("hash IS NOT NULL").withColumn("hash", F.unhex("hash")))
     dropped = (held.join(repeated, "hash").where(~F.col("doc_id").eqNullSafe(F.col("last_id")))
                .groupBy(F.col("doc_id").alias("of_id"), F.col("digest_1").alias("of_1"), F.col("digest_2").alias("of_2"))
