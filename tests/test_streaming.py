@@ -422,3 +422,16 @@ def test_gold_stream_folds_hot_keys_before_the_state_shuffle(spark, scratch):
     assert "REQUIRED_BY_STATEFUL_OPERATOR" in text and "partial_count(1)" in text
     assert text.index("REQUIRED_BY_STATEFUL_OPERATOR") < text.index("partial_count(1)")
     assert "EventTimeWatermark" in text  # the late-row filter and state eviction use the watermark
+
+
+def test_deduplication_state_grows_with_the_rows(spark, scratch, monkeypatch):
+    monkeypatch.setattr(P, "KEYS_PER_STATE_PARTITION", 20, raising=False)
+    events = spark.range(400).select(
+        "id", (F.col("id") % 9).alias("user_id"), F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit('{"k": 1}').alias("props"),
+        F.timestamp_seconds(F.col("id") * 30).cast("timestamp_ntz").alias("ts")).withColumnRenamed("id", "event_id")
+    run = P.run_medallion(spark, events, f"{scratch}/m")
+    parts = {layer: len([d for d in os.listdir(f"{run.checkpoint(layer)}/state/0") if d.isdigit()]) for layer in ("silver", "gold")}
+    assert parts == {"silver": 6, "gold": 2}  # the largest delivery has 107 rows
+    assert P.read_layer(spark, run.silver_dir).count() == 400
+    twin = P.gold_twin(P.read_layer(spark, run.silver_dir))
+    assert sum(r["readings"] for r in P.read_layer(spark, run.gold_dir).collect()) == sum(r["readings"] for r in twin.collect())

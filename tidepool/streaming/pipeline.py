@@ -24,14 +24,15 @@ from tidepool.session import work_dir
 from tidepool.streaming import layers as L
 from tidepool.streaming.replay import LATE_MOD, N_DELIVERIES, land, plan_deliveries
 
-ROWS_PER_STATE_PARTITION = 1_000_000
+ROWS_PER_STATE_PARTITION = 1_000_000  # aggregations: rows are folded before they reach the state
+KEYS_PER_STATE_PARTITION = 100_000  # deduplication: every row is a lookup and a key of the state
 
 
-def state_partitions_for(rows_per_batch: int) -> int:
-    """State store partitions for a stateful stream: one per ROWS_PER_STATE_PARTITION input rows of
+def state_partitions_for(rows_per_batch: int, rows_per_partition: int = ROWS_PER_STATE_PARTITION) -> int:
+    """State store partitions for a stateful stream: one per `rows_per_partition` input rows of
     a micro-batch, at least 2.  Streaming has no adaptive coalescing and the number is fixed at
     the first start, so it is sized from the expected volume."""
-    return max(2, -(-rows_per_batch // ROWS_PER_STATE_PARTITION))
+    return max(2, -(-rows_per_batch // rows_per_partition))
 
 
 @dataclass
@@ -71,10 +72,11 @@ def run_medallion(spark: SparkSession, events: DataFrame, root: str | None = Non
     plan_dir = f"{root}/replay"
     plan_deliveries(events, n_deliveries, late_mod).write.partitionBy("delivery").parquet(plan_dir)
     planned = spark.read.parquet(plan_dir)
+    windows = state_partitions
     if state_partitions is None:
         biggest = planned.groupBy("delivery").count().agg(F.max("count")).first()[0] or 0
-        state_partitions = state_partitions_for(biggest)
-    streams = layer_streams(L.stream_session(spark, state_partitions), run)
+        state_partitions, windows = state_partitions_for(biggest, KEYS_PER_STATE_PARTITION), state_partitions_for(biggest)
+    streams = layer_streams(L.stream_session(spark, state_partitions), run, gold_session=L.stream_session(spark, windows))
 
     def drain_all(tag: str, layers=("bronze", "silver", "gold")) -> None:
         for name in layers:
@@ -93,12 +95,13 @@ def run_medallion(spark: SparkSession, events: DataFrame, root: str | None = Non
     return run
 
 
-def layer_streams(session: SparkSession, run: MedallionRun, max_bytes_per_trigger: int | None = None) -> dict[str, tuple[DataFrame, str]]:
-    """The three layers as unstarted streams of `session`, each with its folder."""
+def layer_streams(session: SparkSession, run: MedallionRun, max_bytes_per_trigger: int | None = None,
+                  gold_session: SparkSession | None = None) -> dict[str, tuple[DataFrame, str]]:
+    """The three layers as unstarted streams of `session` (gold of its own, if given), each with its folder."""
     spec = L.LayerSpec(window=run.window, delay=run.delay, group_by=(run.key,))
     b = L.bronze(session, run.landing, max_bytes_per_trigger=max_bytes_per_trigger)
     s = L.silver(L.layer_source(session, run.bronze_dir, b.schema, max_bytes_per_trigger), spec)
-    g = L.gold(L.layer_source(session, run.silver_dir, s.schema, max_bytes_per_trigger), spec)
+    g = L.gold(L.layer_source(gold_session or session, run.silver_dir, s.schema, max_bytes_per_trigger), spec)
     return {"bronze": (b, run.bronze_dir), "silver": (s, run.silver_dir), "gold": (g, run.gold_dir)}
 
 
