@@ -72,6 +72,33 @@ def test_sinks(spark, scratch):
     assert sorted(sinks.read_merged(spark, f"{scratch}/m").columns) == ["extra", "id"]
 
 
+def test_capped_files_tells_the_files_themselves(spark, scratch):
+    from tidepool.plans.sources import capped_files
+
+    def orders(lo, hi):
+        status = F.when(F.col("id") % 10 < 6, "F").when(F.col("id") % 10 < 9, "O")
+        return spark.range(lo, hi, 1, 3).select(F.col("id").alias("o_orderkey"), status.alias("o_orderstatus"), F.lit(1.0).alias("o_totalprice"))
+
+    orders(0, 450).write.parquet(f"{scratch}/orders.parquet")
+    orders(0, 250).write.mode("append").parquet(f"{scratch}/orders.parquet")  # keys come twice, one status is null
+    got = {r.o_orderstatus: tuple(r)[1:] for r in capped_files(spark, scratch).select("o_orderstatus", "files", "rows", "largest", "kept_to_cap", "enough_files").collect()}
+    assert got == {"F": (5, 420, 100, True, True), "O": (3, 210, 100, True, True), None: (1, 70, 70, True, True)}
+
+
+def test_rows_are_numbered_across_files_and_blocks(spark, scratch, monkeypatch):
+    from tidepool.operators import layout as LY
+
+    monkeypatch.setattr(LY, "BLOCK_ROWS", 7)
+    spark.range(0, 100, 1, 3).selectExpr("id", "nullif(id % 3, 2) AS g").write.parquet(f"{scratch}/rows")
+    got = LY.numbered(spark.read.parquet(f"{scratch}/rows"), ["g"])
+    assert got.columns == ["id", "g", LY.NUMBER]
+    by = {}
+    for r in got.collect():
+        by.setdefault(r.g, []).append((r[LY.NUMBER], r.id))
+    assert {g: [n for n, _ in sorted(v)] for g, v in by.items()} == {0: [*range(34)], 1: [*range(33)], None: [*range(33)]}
+    assert sorted(i for v in by.values() for _, i in v) == [*range(100)]
+
+
 def test_describe_and_summary(spark):
     li = S.read_table(spark, SF001, "lineitem")
     d = {r["summary"]: r for r in A.describe(li, ["l_quantity"]).collect()}

@@ -55,6 +55,24 @@ def _rows_by_task(df: DataFrame) -> DataFrame:
     return tasks.join(rows, "partition_id", "left").select("partition_id", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
+NUMBER = "_number"
+BLOCK_ROWS = 1 << 20
+
+
+def numbered(df: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """The rows of a Parquet scan with `_number`, 0, 1, 2, ... within each group, in the order of the files.
+    Rows are numbered within blocks of their file, and a block starts where those before it end: no task
+    gets more than a block, and what is summed up has one row per block and group."""
+    m, at = F.col("_metadata"), ["_file", "_block"]
+    rows = df.select("*", m.file_path.alias("_file"), F.floor(m.row_index / BLOCK_ROWS).alias("_block"), m.row_index.alias("_row"))
+    sizes = rows.groupBy(*groups, *at).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy(*groups).orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*[F.col(c).alias(f"_{c}") for c in (*groups, *at)], F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*groups, *at)]
+    within = F.row_number().over(Window.partitionBy(*groups, *at).orderBy("_row"))
+    return rows.withColumn(NUMBER, within - 1).join(starts, same).select(*df.columns, (F.col("_start") + F.col(NUMBER)).alias(NUMBER))
+
+
 SPLIT = ("file_uri", "block_start", "block_length", "file_bytes")
 
 

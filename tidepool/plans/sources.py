@@ -14,7 +14,8 @@ from tidepool.session import work_dir
 from tidepool.sources import tables as S
 
 LINE_BYTES = 128  # no line of the fixture is longer
-CAP_ROWS = 500
+FILE_PARTS = 7
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # folder of the rows without a value
 PARTITIONS = 11
 ROWS_PER_FILE = 1_000_000
 
@@ -72,14 +73,20 @@ def split_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def capped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`orders` written by all tasks, a folder per status, with at most CAP_ROWS rows a file: per
-    folder its rows, and whether each file keeps to the cap and there are as many as it takes."""
+    """`orders` written by many tasks, a folder per status, with at most a seventh of the rows a file: per
+    folder its files, rows and largest file, and whether each file keeps to the cap and there are as many as
+    it takes.  Rows are numbered within their status and dealt to the tasks by whole files, so all files of
+    a folder but one are full, whatever the number of tasks."""
     path = f"{work_dir(spark, 'capped')}/orders"
     o = S.read_table(spark, sf_dir, "orders")
-    K.write_parquet(o, path, max_records_per_file=CAP_ROWS, partition_by=["o_orderstatus"])
-    files = LY.partition_report(spark, path)[0].withColumn("o_orderstatus", F.regexp_extract("file_path", "o_orderstatus=([^/]+)/", 1))
-    return files.groupBy("o_orderstatus").agg(F.sum("rows").alias("rows"), F.bool_and(F.col("rows").between(1, CAP_ROWS)).alias("kept_to_cap"),
-                                              (F.count("*") >= F.ceil(F.sum("rows") / CAP_ROWS)).alias("enough_files"))
+    cap = max(1, -(-o.count() // FILE_PARTS))
+    dealt = LY.numbered(o, ["o_orderstatus"]).withColumn(LY.NUMBER, F.floor(F.col(LY.NUMBER) / cap)).repartition("o_orderstatus", LY.NUMBER).drop(LY.NUMBER)
+    K.write_parquet(dealt, path, max_records_per_file=cap, partition_by=["o_orderstatus"])
+    status = F.regexp_extract("file_path", "o_orderstatus=([^/]+)/", 1)
+    files = LY.partition_report(spark, path)[0].withColumn("o_orderstatus", F.when(status != NO_VALUE, status))
+    return files.groupBy("o_orderstatus").agg(
+        F.count("*").alias("files"), F.sum("rows").alias("rows"), F.max("rows").alias("largest"), F.bool_and(F.col("rows").between(1, cap)).alias("kept_to_cap"),
+        (F.count("*") >= F.ceil(F.sum("rows") / cap)).alias("enough_files"))
 
 
 def sum_or_zero_value(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +128,12 @@ LEFT JOIN orders ON o_orderstatus = status GROUP BY 1, 2
 SELECT o_orderstatus, true AS was_split, count(*) AS rows, min(o_orderkey) AS min_key, max(o_orderkey) AS max_key, 0 AS gap_bytes, 0 AS overlap_bytes
 FROM orders GROUP BY 1
 """,
-    "capped_files": "SELECT o_orderstatus, count(*) AS rows, true AS kept_to_cap, true AS enough_files FROM orders GROUP BY 1",
+    "capped_files": f"""
+WITH c AS (SELECT CAST(ceil(count(*) / {FILE_PARTS}) AS BIGINT) AS cap FROM orders)
+SELECT o_orderstatus, CAST(ceil(count(*) / any_value(cap)) AS BIGINT) AS files, count(*) AS rows, least(count(*), any_value(cap)) AS largest,
+       true AS kept_to_cap, true AS enough_files
+FROM orders, c GROUP BY 1
+""",
     "sum_or_zero_value": "SELECT sum(l_orderkey)::BIGINT AS total FROM lineitem",
     "partition_rows": f"""
 SELECT CAST(l_orderkey % {PARTITIONS} AS INTEGER) AS partition_id, count(*) AS rows, min(l_orderkey) AS min_value, max(l_orderkey) AS max_value
