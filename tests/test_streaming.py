@@ -435,3 +435,16 @@ def test_deduplication_state_grows_with_the_rows(spark, scratch, monkeypatch):
     assert P.read_layer(spark, run.silver_dir).count() == 400
     twin = P.gold_twin(P.read_layer(spark, run.silver_dir))
     assert sum(r["readings"] for r in P.read_layer(spark, run.gold_dir).collect()) == sum(r["readings"] for r in twin.collect())
+
+
+def test_upsert_reads_only_the_key_ranges_of_the_batch(spark):
+    from tidepool.streaming.upsert import key_ranges
+
+    rows = "device int, name string, at double"
+    held = spark.createDataFrame([(i, None if i % 5 == 0 else f"n{i}", float(i)) for i in range(10)] + [(None, "n3", 1.0)], rows)
+    read = lambda batch: sorted((r.device is None, r.device) for r in held.where(key_ranges(spark.createDataFrame(batch, rows), ["device", "name", "at"])).collect())
+    assert read([(3, "n3", 0.0), (4, "n4", 9.0)]) == [(False, 3), (False, 4)]
+    assert read([(5, None, 0.0)]) == [(False, 5)]  # a NULL is equal to a NULL
+    assert read([(None, "n3", 0.0)]) == [(True, None)]
+    assert read([(None, "n3", 0.0), (2, "n1", 0.0)]) == [(False, 2), (True, None)]
+    assert read([]) == []

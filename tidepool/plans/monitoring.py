@@ -24,6 +24,7 @@ from tidepool.streaming import layers as L
 from tidepool.streaming.upsert import read_target, run_upsert
 
 BATCH_SECONDS = 600
+UPSERT_PARTITIONS = TRIGGER_BYTES >> 22  # 4 MB of a full trigger each; streaming has no adaptive coalescing
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
@@ -164,7 +165,7 @@ def upsert_not_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build() -> str:
         run = medallion(spark, sf_dir)
-        session = L.stream_session(spark)
+        session = L.stream_session(spark, UPSERT_PARTITIONS)
         root = work_dir(spark, "upsert")
         for attempt in ("first", "replay"):
             src = L.bronze(session, run.landing, max_bytes_per_trigger=TRIGGER_BYTES).drop(L.SOURCE, L.INGESTED)

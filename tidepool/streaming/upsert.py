@@ -3,8 +3,8 @@
 A row is identified by its key columns, of which the time column is one (a device and the time of
 its reading, say); keys are compared null-safely.  The target is partitioned by the date of the
 time column.  Per batch: duplicates inside the batch are dropped, rows whose key the target holds
-are dropped by an anti-join that reads only the dates and times the batch spans (any match has the
-same time, so nothing outside can match), and the rest is appended.  Rows without a time have no
+are dropped by an anti-join that reads only the dates, times and key ranges the batch spans (any match
+has the same time and keys, so nothing outside can match), and the rest is appended.  Rows without a time have no
 identity; they go to `<target>_quarantine`, in a folder per batch that a replay overwrites.
 A replayed batch, a redelivered file or a restarted query inserts nothing twice.
 """
@@ -13,8 +13,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.session import ensure_folder
 
@@ -26,6 +27,19 @@ def quarantine_dir(target_dir: str) -> str:
     return f"{target_dir.rstrip('/')}_quarantine"
 
 
+def key_ranges(batch: DataFrame, keys: Sequence[str]) -> Column:
+    """The condition that every row equal to one of the batch in `keys` fulfils: each whole-number, text
+    or date key lies between the batch's least and greatest value, or is NULL where the batch has a NULL."""
+    ranged = [k for k in keys if isinstance(batch.schema[k].dataType, (T.IntegralType, T.StringType, T.DateType))]
+    found = batch.agg(F.count(F.lit(1)), *[f(k) for k in ranged for f in (F.min, F.max, F.count)]).first()
+    inside = F.lit(True)
+    for i, k in enumerate(ranged):
+        lo, hi, n = found[1 + 3 * i:4 + 3 * i]
+        here = F.col(k).between(lo, hi) if n else F.lit(False)
+        inside = inside & (here if n == found[0] else here | F.col(k).isNull())
+    return inside
+
+
 def insert_new(target_dir: str, keys: Sequence[str], ts_col: str, rows_per_file: int = ROWS_PER_FILE):
     """A foreachBatch function appending only rows whose key the target lacks.  The tasks that write a
     date follow its rows: one for every `rows_per_file` rows of the batch's largest date."""
@@ -50,6 +64,7 @@ def insert_new(target_dir: str, keys: Sequence[str], ts_col: str, rows_per_file:
             ensure_folder(spark, target_dir)
             held = (spark.read.schema(b.schema).parquet(target_dir)
                     .where(F.col(DATE_COL).between(d_lo, d_hi) & F.col(ts_col).between(lo, hi))
+                    .where(key_ranges(b.where(F.col(ts_col).isNotNull()), [k for k in keys if k != ts_col]))
                     .select(*[F.col(k).alias(f"_held_{k}") for k in keys]))
             same = [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys]
             fresh = b.where(F.col(ts_col).isNotNull()).join(held, same, "left_anti")
