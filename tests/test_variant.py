@@ -112,3 +112,11 @@ def test_rescue_below_the_top_level(spark, line, reason, row):
 def test_one_parse_of_a_line(spark):
     plan = rescue_columns(spark.createDataFrame([("{}",)], "value string"), SCHEMA)._jdf.queryExecution().analyzed().toString()
     assert plan.count("parse_json") == 1
+
+
+def test_rescue_looks_each_field_up_once(spark):
+    schema = T.StructType([T.StructField("one", T.LongType()), T.StructField("two", T.StringType())])
+    rows = rescue_columns(spark.createDataFrame([('{"one":1,"two":"x"}',), ('{"one":"q"}',), ("{bad",)], "value string"), schema)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert [plan.count(f"$['{f.name}']") for f in schema.fields] == [1, 1]
+    assert [tuple(r) for r in rows.collect()] == [(1, "x", None, None), (None, None, '{"one":"q"}', "bad_type"), (None, None, "{bad", "not_json")]

@@ -73,13 +73,15 @@ def rescue_columns(raw: DataFrame, schema: T.StructType = DRIFT_SCHEMA, line: st
     The line is parsed once, into a VARIANT; the fields, what does not fit their types and the names
     that the schema lacks, at any depth, are read from that.  Anything but a JSON object without
     repeated keys is not_json."""
-    parsed = raw.withColumn("_v", F.try_parse_json(line))
-    found = {f.name: V.typed(V.member(F.col("_v"), f.name), f.dataType) for f in schema.fields}
+    v, fields = F.col("_v"), [f"_field{i}" for i in range(len(schema.fields))]
+    parsed = raw.select(F.col(line).alias("_line"), F.try_parse_json(line).alias("_v"))
+    # each field is looked up once, into a column that the steps after it read
+    parsed = parsed.select("_line", (F.coalesce(V.kind(v) == "OBJECT", F.lit(False))).alias("_object"), (F.size(V.unknown_fields(v, schema)) > 0).alias("_unknown"),
+                           *[V.member(v, f.name).alias(c) for f, c in zip(schema.fields, fields, strict=True)])
+    found = {f.name: V.typed(F.col(c), f.dataType) for f, c in zip(schema.fields, fields, strict=True)}
     misfit = reduce(lambda a, b: a | b, [bad for _, bad in found.values()], F.lit(False))
-    is_object = F.coalesce(V.kind(F.col("_v")) == "OBJECT", F.lit(False))
-    reason = (F.when(~is_object, "not_json").when(F.size(V.unknown_fields(F.col("_v"), schema)) > 0, "unknown_field")
-              .when(misfit, "bad_type"))
-    return (parsed.select(*[value.alias(k) for k, (value, _) in found.items()], F.col(line).alias("_line"), reason.alias("rescue_reason"))
+    reason = F.when(~F.col("_object"), "not_json").when(F.col("_unknown"), "unknown_field").when(misfit, "bad_type")
+    return (parsed.select(*[value.alias(k) for k, (value, _) in found.items()], "_line", reason.alias("rescue_reason"))
             .select(*found, F.when(F.col("rescue_reason").isNotNull(), F.col("_line")).alias(RESCUED), "rescue_reason"))
 
 

@@ -37,7 +37,7 @@ FITS: dict[type, tuple[str, ...]] = {
 
 def kind(v: Column) -> Column:
     """The type name of a variant value."""
-    return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    return F.substring_index(F.substring_index(F.schema_of_variant(v), "<", 1), "(", 1)  # ahead of fields and precision
 
 
 def member(v: Column, name: str) -> Column:
