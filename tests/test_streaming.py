@@ -333,6 +333,20 @@ def test_complete_and_update_modes_span_batches(spark):
         assert q(spark, SF001).agg(F.sum("n")).first()[0] == 1000
 
 
+def test_complete_counts_drains_no_other_stream(spark, scratch, monkeypatch):
+    from types import SimpleNamespace
+
+    from tidepool.plans import streams as PS
+    from tidepool.streaming import modes
+
+    rows = spark.createDataFrame([(i, "ab"[i % 2] if i % 5 else None) for i in range(30)], "event_id long, event_type string")
+    rows.write.parquet(f"{scratch}/silver")
+    rows.write.parquet(f"{scratch}/events.parquet")
+    monkeypatch.setattr(PS, "medallion", lambda *_: SimpleNamespace(silver_dir=f"{scratch}/silver"))
+    monkeypatch.setattr(modes, "drain_update", lambda *_: pytest.fail("update mode is not asked for"))
+    assert {r.event_type: r.n for r in PS.complete_counts(spark, scratch).collect()} == {"a": 12, "b": 12, None: 6}
+
+
 def _files(folder):
     return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(folder) for f in fs if f.startswith("part-")}
 

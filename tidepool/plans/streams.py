@@ -6,6 +6,7 @@ per application and state of the input; each query reads one of its layers back
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -109,39 +110,63 @@ class ModeRun:
     users_dir: str
 
 
-def _mode_run(spark: SparkSession, sf_dir: str) -> ModeRun:
-    """Running counts over the silver layer in complete and in update mode, drained twice: after the events
-    of even id have landed, and after the others have.  A trigger takes a fixed number of bytes at most."""
-
-    def build() -> ModeRun:
-        rows = P.read_layer(spark, medallion(spark, sf_dir).silver_dir)
-        root = work_dir(spark, "modes")
-        run = ModeRun(f"{root}/complete", f"{root}/update", f"{root}/users")
-        session = stream_session(spark, P.state_partitions_for(rows.count()))
-        for half in (0, 1):
-            rows.where(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{root}/landing")
-            src = layer_source(session, f"{root}/landing", rows.schema, TRIGGER_BYTES)
-            modes.drain_complete(modes.running_counts(src, "event_type"), run.complete_dir, f"{root}/_checkpoints/complete", "counts_complete")
-            for key, to in (("event_type", run.update_dir), ("user_id", run.users_dir)):
+def _drain_halves(spark: SparkSession, sf_dir: str, root: str, drain: Callable[[DataFrame], None]) -> None:
+    """Land the silver layer under `root` and drain it twice: after the events of even id have landed, and
+    after the others have.  A trigger takes a fixed number of bytes at most."""
+    rows = P.read_layer(spark, medallion(spark, sf_dir).silver_dir)
+    session = stream_session(spark, P.state_partitions_for(rows.count()))
+    for half in (0, 1):
+        rows.where(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{root}/landing")
+        drain(layer_source(session, f"{root}/landing", rows.schema, TRIGGER_BYTES))
+
+
+def _complete_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Running counts over the silver layer in complete mode."""
+
+    def build() -> str:
+        root = work_dir(spark, "complete")
+        _drain_halves(spark, sf_dir, root, lambda src: modes.drain_complete(
+            modes.running_counts(src, "event_type"), f"{root}/complete", f"{root}/_checkpoints/complete", "counts_complete"))
+        return f"{root}/complete"
+
+    return built_once(spark, sf_dir, "complete", ("events",), build)
+
+
+def _update_dirs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The same in update mode, by event type and by user; none of it is done for complete mode."""
+
+    def build() -> dict[str, str]:
+        root = work_dir(spark, "update")
+        dirs = {key: f"{root}/{key}" for key in ("event_type", "user_id")}
+
+        def drain(src: DataFrame) -> None:
+            for key, to in dirs.items():
                 modes.drain_update(modes.running_counts(src, key), to, f"{root}/_checkpoints/{key}", [key], f"counts_{key}")
-        return run
 
-    return built_once(spark, sf_dir, "modes", ("events",), build)
+        _drain_halves(spark, sf_dir, root, drain)
+        return dirs
+
+    return built_once(spark, sf_dir, "update", ("events",), build)
+
+
+def _mode_run(spark: SparkSession, sf_dir: str) -> ModeRun:
+    dirs = _update_dirs(spark, sf_dir)
+    return ModeRun(_complete_dir(spark, sf_dir), dirs["event_type"], dirs["user_id"])
 
 
 def complete_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complete mode, the newest snapshot of the running counts."""
-    return modes.latest_snapshot(spark, _mode_run(spark, sf_dir).complete_dir)
+    return modes.latest_snapshot(spark, _complete_dir(spark, sf_dir))
 
 
 def update_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update mode, the buckets that every batch was upserted into."""
-    return modes.read_buckets(spark, _mode_run(spark, sf_dir).update_dir)
+    return modes.read_buckets(spark, _update_dirs(spark, sf_dir)["event_type"])
 
 
 def update_user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same per user."""
-    return modes.read_buckets(spark, _mode_run(spark, sf_dir).users_dir)
+    return modes.read_buckets(spark, _update_dirs(spark, sf_dir)["user_id"])
 
 
 def event_vs_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
