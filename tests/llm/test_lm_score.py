@@ -1,4 +1,5 @@
 import math
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepool.llm import lm_score as L
-from tidepool.llm.shared import id_and_text
+from tidepool.llm.shared import id_and_text, recorded
 
 
 def tokens(t):
@@ -93,3 +94,32 @@ def test_all_repeated_ngrams_count_whatever_the_corpus(make):
     assert ("rare", "left", "pair") in model.kept
     for i, t in enumerate(texts):
         assert got[i].score == pytest.approx(model.score(t), abs=1e-6)
+
+
+def test_many_units_share_one_model(make):
+    docs = id_and_text(make(list(enumerate(TEXTS)))).repartition(7)
+    model = Plain([t for i, t in enumerate(TEXTS) if i % 3], 0.0, 0.0)
+    with recorded() as made:
+        got = {r.doc_id: r for r in L.score_texts(docs, docs.where("doc_id % 3 <> 0")).collect()}
+    assert docs.sparkSession.read.parquet(made[0]).count() > 7
+    for i, t in enumerate(TEXTS):
+        assert got[i].score == pytest.approx(model.score(t), abs=1e-9) and got[i].train_tokens == model.n
+
+
+def test_null_identifiers_and_flags(make):
+    docs = id_and_text(make([(None, "a b a b"), (7, "a b"), (7, "c")]))
+    got = sorted((r.doc_id is None, r.n_tokens, r.n_known) for r in L.score_texts(docs, docs.where("text <> 'c'")).collect())
+    assert got == [(False, 2, 1), (False, 3, 3), (True, 5, 5)]
+
+
+def test_no_table_of_ngrams_is_written(make):
+    # every table of words or n-grams, one row each, took several times the disk of the texts
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"word{w}" for w in rng.zipf(1.3, 2000) % 5000) for _ in range(300)]
+    docs = id_and_text(make(list(enumerate(texts))))
+    with recorded() as made:
+        assert len(L.score_texts(docs, docs).collect()) == 300
+    spark = docs.sparkSession
+    assert sum(spark.read.parquet(p).count() for p in made) < 5000
+    folders = [p.removeprefix("file://").removeprefix("file:") for p in made]
+    assert sum(os.path.getsize(f"{d}/{f}") for top in folders for d, _, fs in os.walk(top) for f in fs) < sum(map(len, texts))

@@ -9,19 +9,24 @@ of all training documents.  The model:
   each distribution sum to one.
 
 Contexts are states, n-grams are arcs, and each state has a failure arc to its longest proper
-suffix with its backoff weight.  The automaton is a Spark table that grows with the corpus: an arc
-holds its log-probability less the weight of the failure path that it replaces, and the failure
-weight of the state it leads to.  So the weight of a text's path is the sum of the table's values
-over all its words, bigrams and trigrams, and a text is scored without walking arc by arc.
+suffix with its backoff weight.  A text takes at each word the arc of the longest kept n-gram, and
+pays the weight of each failure arc before it.
 
-The arcs that hold at least 2e-6 of all tokens (at most 500,000 of each length) are broadcast; all
-others are joined by their hash, and only sums go back.  A bitmap of fixed size over the hashes
-of the table keeps most n-grams that it does not hold out of the shuffles; what it lets through
-besides finds nothing in the join, so its size never changes the result.  Words and n-grams are
-compared by 64-bit hash.
+The texts are written once as units of about two million tokens, numbered within the unit.  What
+a unit needs of the model are sums over the whole corpus for its own words, bigrams, trigrams and
+contexts.  In three rounds every unit sends its distinct keys with its share of the sums, dealt by
+key range; the task of a range adds equal keys up and replies to each sender in the order of its
+keys:
 
-Counts are combined per slice and map-side; hot arcs never reach the join with the texts, and n-gram
-counts are partial sums.
+1. counts of words and bigrams,
+2. counts of the trigrams whose bigrams are kept, and sums over the bigrams that follow a word,
+3. sums over the trigrams that follow a bigram.
+
+So a key is sent once by each unit that holds it, no matter how frequent it is: a range has at most
+one entry of a key for each unit.  A reply also names one sender of each key as its owner, so that
+the sums of the next round hold each n-gram once.  Keys and sums travel as packed arrays; all that
+a task holds follows the size of a unit or of a range, and the number of ranges grows with the
+tokens.  Words and n-grams are compared by 64-bit hash.
 
 Defined cases: null text is the empty text (the end token alone); null and repeated identifiers
 are separate documents, row by row (a null one is not held out); without training documents every
@@ -30,6 +35,8 @@ probability is 1; an empty table gives an empty result; other columns are not re
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,37 +49,27 @@ from tidepool.llm.shared import documents, id_and_text, materialise
 
 CONTEXT_SHARE = 0.0  # of words in n-grams; 0: all words
 NGRAM_SHARE = 0.0  # of kept n-grams; 0: all from MIN_NGRAM occurrences on
-LOCAL_SHARE = 2e-6  # of words and n-grams whose values are broadcast
+LOCAL_SHARE = 2e-6  # not read any more: no value is broadcast
 MIN_NGRAM = 2
 DISCOUNT = 0.5
-BITMAP_BITS = 27
-SEGMENT = 1 << 13  # words of the bitmap that a row brings to the driver
+UNIT_TOKENS = 1 << 21
+RANGE_TOKENS = 1 << 21  # tokens of the corpus for each key range
+LEAST_RANGES = 32
+PAUSE_S = 0.5  # for the driver to act on a collection
 BEGIN, END = np.uint64(0x8C5F1E0B3A7D4296), np.uint64(0x51D7A3C94E80B62F)
+WORDS, PAIRS, TRIPLES, AFTER_WORDS, AFTER_PAIRS = range(5)  # what keys are sent
+TRAIN, SCORED, NO_ID = 1, 2, 4  # flags of a document
+
+UNIT = "words binary, counts binary, tokens binary, ids binary, flags binary, size long, train_tokens long, train_texts long"
+SENT = "unit long, part long, keys binary, values binary"
+REPLY = "unit long, part long, sums binary, owned binary, present long"
+SCORES = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
-def _words(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    for a, b, data, off in T.slices(texts):
-        starts, ends, first = T.word_spans(data, off, T.SPACED)
-        yield a, b, T.span_hashes(data, starts, ends), first
-
-
-def word_counts(train: DataFrame) -> DataFrame:
-    """word (hash), n of every word of the training texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = [h for _, _, h, _ in _words(batch.column(0))]
-            if h:
-                word, n = np.unique(np.concatenate(h), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
-
-    return train.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
 def sequences(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     """The word hashes of all rows of a slice, each row between BEGIN and END."""
     rows = np.arange(len(first) - 1)
@@ -88,184 +85,286 @@ def pair_key(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     return T.mix(prefix * np.uint64(0x9E3779B97F4A7C15) + suffix * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
 
 
-def _slot(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word of the bitmap and bit in it."""
-    at = key >> np.uint64(64 - BITMAP_BITS)
-    return (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
-
-
-def bitmap(keys: DataFrame) -> np.ndarray:
-    """2 ** BITMAP_BITS bits, set where a key falls; the bits are merged by Spark."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                key = np.sort(batch.column(0).to_numpy().view(np.uint64))  # slots are the leading bits
-                word, bit = _slot(key)
-                head = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-                yield pa.RecordBatch.from_arrays([pa.array(word[head]), pa.array(np.bitwise_or.reduceat(bit, head).view(np.int64))], ["word", "bits"])
-
-    def dense(key: tuple, table: pa.Table) -> pa.Table:
-        out = np.zeros(SEGMENT, dtype=np.uint64)
-        out[table.column("word").to_numpy() % SEGMENT] = table.column("bits").to_numpy().view(np.uint64)
-        return pa.table({"segment": [key[0].as_py()], "bits": pa.array([out.tobytes()], pa.binary())})
-
-    merged = keys.select("key").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    segments = merged.groupBy(F.floor(F.col("word") / SEGMENT).alias("segment")).applyInArrow(dense, "segment long, bits binary")
-    out = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.uint64)
-    for r in segments.toLocalIterator():
-        out[r.segment * SEGMENT:(r.segment + 1) * SEGMENT] = np.frombuffer(bytes(r.bits), np.uint64)
-    return out
+def pack(a: np.ndarray) -> bytes:
+    """An array of integers as compressed planes of bytes, behind its length."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T)
+    return len(a).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
-def _maybe(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
-    word, bit = _slot(key)
-    return (bits[word] & bit) != 0
+def unpack(packed: bytes, kind: type) -> np.ndarray:
+    n, each = int.from_bytes(packed[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(packed[8:], decompressed_size=n * each, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(each, n).T).view(kind).reshape(n)
 
 
-def ngram_counts(train: DataFrame, least: float, bigrams: np.ndarray | None = None) -> DataFrame:
-    """key, prefix, suffix, c of the bigrams or, given a bitmap of the kept bigrams, of the trigrams
-    (both of whose bigrams are kept) with at least `least` occurrences."""
-    shared = train.sparkSession.sparkContext.broadcast(bigrams)
+def pack_sorted(keys: np.ndarray) -> bytes:
+    return pack(np.diff(keys, prepend=np.uint64(0)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        for batch in batches:
-            for _, _, h, first in _words(batch.column(0)):
-                s = sequences(h, first)
-                ok = s[:-1] != END
-                prefix, suffix = s[:-1], s[1:]
-                if bits is not None:
-                    two = pair_key(prefix, suffix)
-                    ok &= _maybe(bits, two)
-                    prefix, suffix, ok = two[:-1], two[1:], ok[:-1] & ok[1:]
-                prefix, suffix = prefix[ok], suffix[ok]
-                _, at, n = np.unique(pair_key(prefix, suffix), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(prefix[at].view(np.int64)), pa.array(suffix[at].view(np.int64)), pa.array(n)], ["prefix", "suffix", "c"])
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prefix, suffix = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(pair_key(prefix, suffix).view(np.int64)), *batch.columns], ["key", "prefix", "suffix", "c"])
 
-    found = train.select("text").mapInArrow(run, "prefix long, suffix long, c long").groupBy("prefix", "suffix").agg(F.sum("c").alias("c"))
-    return found.where(F.col("c") >= least).mapInArrow(keyed, "key long, prefix long, suffix long, c long")
+def unpack_sorted(packed: bytes) -> np.ndarray:
+    return np.cumsum(unpack(packed, np.uint64), dtype=np.uint64)
 
 
-def _number(known: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Position of each hash in the sorted `known`, -1 where it is missing."""
-    if not len(known):
-        return np.full(len(h), -1, dtype=np.int64)
-    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-    return np.where(known[at] == h, at, -1)
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys ascending, a place of each, and the number of each place's key."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    head = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    number = np.empty(len(keys), dtype=np.int64)
+    number[order] = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(keys))))
+    return ranked[head], order[head], number
 
 
-def _signed(h: np.uint64) -> Column:
-    return F.lit(int(h.view(np.int64))).cast("long")
+def units(rows: DataFrame) -> DataFrame:
+    """The rows (doc_id, text, flags), many to a unit: its words, and the texts as ranks of words by count."""
 
+    def made(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        s, ids, flags = (np.concatenate(x) for x in zip(*parts))
+        words, _, number = distinct(s)
+        counts = np.bincount(number, minlength=len(words))
+        rank = np.empty(len(words), dtype=np.uint32)
+        rank[np.argsort(-counts, kind="stable")] = np.arange(len(words), dtype=np.uint32)
+        train = (flags & TRAIN) > 0
+        sizes = np.flatnonzero(s == END) - np.flatnonzero(s == BEGIN)
+        row = [pack_sorted(words), pack(counts.astype(np.uint32)), pack(rank[number]), pack(ids), pack(flags), len(s), int(sizes[train].sum()), int(train.sum())]
+        return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], [c.split()[0] for c in UNIT.split(", ")])
 
-def automaton(train: DataFrame, counts: DataFrame, n: int, texts: int, z: float) -> tuple[DataFrame, float]:
-    """The arcs key, n, base, extra, known of all words and kept n-grams (base: what a word adds to the
-    unigram score of an unseen one; extra: what the arc adds to the unigram score), and the failure
-    weight of the begin state."""
-    spark = train.sparkSession
-    ends = spark.createDataFrame([(int(h.view(np.int64)), texts) for h in (BEGIN, END)], "word long, n long")
-    words = counts.unionByName(ends)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for batch in batches:
+            ids, flags = batch.column(0), batch.column(2).to_numpy().astype(np.uint8) | np.where(batch.column(0).is_null(), NO_ID, 0).astype(np.uint8)
+            ids = ids.fill_null(0).to_numpy()
+            for a, b, data, off in T.slices(batch.column(1)):
+                starts, ends, first = T.word_spans(data, off, T.SPACED)
+                parts.append((sequences(T.span_hashes(data, starts, ends), first), ids[a:b], flags[a:b]))
+                held += len(parts[-1][0])
+                if held >= UNIT_TOKENS:
+                    yield made(parts)
+                    parts, held = [], 0
+        if parts:
+            yield made(parts)
+
+    packed = rows.select("doc_id", "text", "flags").mapInArrow(T.task(run), UNIT)
+    return materialise(packed.withColumn("unit", F.monotonically_increasing_id()), "units")
+
+
+class Unit:
+    """The texts of a unit one after the other: `word[i]` is the number of the i-th token, and `pair[i]` that of
+    the bigram that begins there (-1 at an end)."""
+
+    def __init__(self, row: dict):
+        self.number, self.words = row["unit"], unpack_sorted(row["words"])
+        order = np.argsort(-unpack(row["counts"], np.uint32).astype(np.int64), kind="stable")
+        self.word = order[unpack(row["tokens"], np.uint32)]
+        self.ids, self.flags = unpack(row["ids"], np.int64), unpack(row["flags"], np.uint8)
+        self.begin, self.end = (int(np.searchsorted(self.words, x)) for x in (BEGIN, END))
+        self.doc = np.cumsum(self.word == self.begin) - 1
+        self.train = (self.flags[self.doc] & TRAIN) > 0
+        s = self.words[self.word]
+        inside = self.word[:-1] != self.end
+        self.key = pair_key(s[:-1], s[1:])
+        self.pairs, at, number = distinct(self.key[inside])
+        self.pair = np.full(len(inside), -1, dtype=np.int64)
+        self.pair[inside] = number
+        self.at = np.flatnonzero(inside)[at]  # a place of each bigram
+        self.first, self.last = self.word[self.at], self.word[self.at + 1]
+
+    def word_counts(self) -> np.ndarray:
+        return np.bincount(self.word[self.train], minlength=len(self.words))
+
+    def pair_counts(self) -> np.ndarray:
+        return np.bincount(self.pair[(self.pair >= 0) & self.train[:-1]], minlength=len(self.pairs))
+
+    def keep_pairs(self, words: np.ndarray, pairs: np.ndarray, often: float, least: float) -> None:
+        """With the counts of the corpus: which bigrams are kept, and the trigrams whose bigrams are."""
+        allowed = words >= often
+        allowed[[self.begin, self.end]] = True
+        self.kept = (pairs >= least) & allowed[self.first] & allowed[self.last]
+        here = (self.pair >= 0) & self.kept[self.pair]
+        self.here = np.flatnonzero(here[:-1] & here[1:])  # where the trigrams begin
+        self.triples, at, self.triple = distinct(pair_key(self.key[self.here], self.key[self.here + 1]))
+        self.triple_at = self.here[at]
+
+    def triple_counts(self) -> np.ndarray:
+        return np.bincount(self.triple[self.train[self.here]], minlength=len(self.triples))
+
+    def contexts(self) -> np.ndarray:
+        """The bigrams that a trigram can begin with."""
+        return self.kept & (self.last != self.end)
+
+
+def sums_after(state: np.ndarray, states: int, counts: np.ndarray, alone: np.ndarray) -> list[np.ndarray]:
+    """Of the arcs from each state: how many, the sum of their counts, and that of the shorter n-gram's."""
+    return [np.bincount(state, w, states).astype(np.int64) for w in (None, counts, alone)]
+
+
+def sent(unit: int, kind: int, keys: np.ndarray, values: list[np.ndarray], ranges: int) -> list[tuple]:
+    """Rows of SENT: sorted keys with their values, one row for each range of keys."""
+    edges = np.searchsorted(keys, np.arange(ranges, dtype=np.uint64) << np.uint64(64 - ranges.bit_length() + 1))
+    edges = np.append(edges, len(keys))
+    return [(unit, kind << 32 | r, pack_sorted(keys[a:b]), pack(np.concatenate([v[a:b] for v in values]).astype(np.int64)))
+            for r, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if a < b]
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
+    fields = [c.split() for c in schema.split(", ")]
+    return pa.table({name: pa.array([r[i] for r in rows], kinds[kind]) for i, (name, kind) in enumerate(fields)})
+
+
+def _added(group: tuple, table: pa.Table) -> pa.Table:
+    """Equal keys of all units added up, and the sums told to each sender."""
+    rows = table.to_pylist()
+    keys = [unpack_sorted(r["keys"]) for r in rows]
+    values = [unpack(r["values"], np.int64).reshape(-1, len(k)) for r, k in zip(rows, keys)]
+    found, at, number = distinct(np.concatenate(keys))
+    sums = np.zeros((len(values[0]), len(found)), dtype=np.int64)
+    ends = np.cumsum([len(k) for k in keys])
+    for v, e in zip(values, ends):
+        sums[:, number[e - v.shape[1]:e]] += v
+    owner = np.zeros(len(number), dtype=bool)
+    owner[at] = True
+    out = []
+    for r, k, e in zip(rows, keys, ends):
+        part = slice(e - len(k), e)
+        mine = sums[:, number[part]]
+        out.append((r["unit"], r["part"], pack(mine.reshape(-1)), pack(owner[part].astype(np.uint8)), int((owner[part] & (mine[0] > 0)).sum())))
+    T.release()
+    return _table(out, REPLY)
+
+
+def exchange(rows: DataFrame) -> DataFrame:
+    """The replies to what the units sent.  Spark deletes the shuffle files of an ended job when the driver
+    collects its garbage, which may be rounds later.  It is asked to here: the first collection lets go of the
+    job's plan, the second of its shuffles."""
+    replies = materialise(rows.groupBy("part").applyInArrow(_added, REPLY), "replies")
+    del rows
+    for _ in range(2):
+        gc.collect()
+        replies.sparkSession.sparkContext._jvm.System.gc()
+        time.sleep(PAUSE_S)
+    return replies
+
+
+def without_owners(replies: DataFrame) -> DataFrame:
+    """The sums alone: who the owner of a key is matters to the next round only."""
+    return replies.withColumn("owned", F.lit(None).cast("binary"))
+
+
+class Replies:
+    """What a unit was told, by kind of key."""
+
+    def __init__(self, table: pa.Table):
+        self.rows = sorted(table.select(["part", "sums", "owned"]).to_pylist(), key=lambda r: r["part"])
+
+    def of(self, kind: int, size: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """(the sums by key, whether the unit is the owner) in the order of the keys that it sent."""
+        rows = [r for r in self.rows if r["part"] >> 32 == kind]
+        sums = [unpack(r["sums"], np.int64).reshape(size, -1) for r in rows]
+        owned = [unpack(r["owned"], np.uint8) for r in rows if r["owned"] is not None]
+        return np.concatenate([np.zeros((size, 0), np.int64), *sums], axis=1), np.concatenate([np.zeros(0, np.uint8), *owned]) > 0
+
+
+def _log_weight(k: np.ndarray, freed: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Failure weight of states: 0 without arcs."""
+    return np.log10(np.divide(freed, rest, out=np.ones(len(k)), where=k > 0))
+
+
+def score_rows(rows: DataFrame) -> DataFrame:
+    """SCORES of the rows (doc_id, text, flags) that are to be scored, with a model of those to train on."""
+    made = units(rows)
+    total = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("size", "train_tokens", "train_texts")]
+    size, n, texts = made.agg(*total).first()
+    ranges = LEAST_RANGES
+    while ranges * RANGE_TOKENS < size:
+        ranges *= 2
     least, often = max(MIN_NGRAM, NGRAM_SHARE * n), max(2.0, CONTEXT_SHARE * n)
-    two = (ngram_counts(train, least).join(words.select(F.col("word").alias("prefix"), F.col("n").alias("before")), "prefix")
-           .join(words.select(F.col("word").alias("suffix"), F.col("n").alias("alone")), "suffix")
-           .where((F.col("prefix") == _signed(BEGIN)) | (F.col("before") >= often))
-           .where((F.col("suffix") == _signed(END)) | (F.col("alone") >= often)))
-    two = materialise(two.select("key", "prefix", "suffix", "c", "before", "alone"), "bigrams")
-    three = (ngram_counts(train, least, bitmap(two))
-             .join(two.select(F.col("key").alias("prefix"), F.col("c").alias("before")), "prefix")
-             .join(two.select(F.col("key").alias("suffix"), F.col("c").alias("alone"), F.col("before").alias("middle")), "suffix"))
-    three = materialise(three.select("key", "prefix", "c", "before", "alone", "middle"), "trigrams")
-
-    # backoff weights from sums of integers, so they do not depend on the order of arrival
-    freed = 1 - (F.col("c") - DISCOUNT * F.col("k")) / F.col("before")
-    total = [F.count("*").alias("k"), F.sum("c").alias("c"), F.sum("alone").alias("alone"), F.min("before").alias("before")]
-    one_weight = materialise(two.groupBy("prefix").agg(*total).select(
-        "prefix", F.log10(freed / (1 - (F.col("alone") + 0.5 * F.col("k")) / F.lit(float(z)))).alias("weight")), "weights")
-    two_weight = materialise(three.groupBy("prefix").agg(*total, F.min("middle").alias("middle")).select(
-        "prefix", F.log10(freed / (1 - (F.col("alone") - DISCOUNT * F.col("k")) / F.col("middle"))).alias("weight")), "weights")
-    begin = one_weight.where(F.col("prefix") == _signed(BEGIN)).first()
-
-    unigram = lambda c: F.log10((F.col(c) + 0.5) / F.lit(float(z)))
-    own = F.log10((F.col("c") - DISCOUNT) / F.col("before"))
-    fails = lambda w: w.select(F.col("prefix").alias("key"), F.col("weight").alias("fail"))
-    fail = F.coalesce("fail", F.lit(0.0))
-    word_arcs = counts.withColumnRenamed("word", "key").join(fails(one_weight), "key", "left").select(
-        "key", "n", (unigram("n") - float(np.log10(0.5 / z))).alias("base"), fail.alias("extra"), F.lit(1).alias("known"))
-    none = F.lit(0.0).alias("base"), F.lit(0).alias("known")
-    two_arcs = two.join(one_weight, "prefix").join(fails(two_weight), "key", "left").select(
-        "key", F.col("c").alias("n"), (own - F.col("weight") - unigram("alone") + fail).alias("extra"), *none)
-    three_arcs = three.join(two_weight, "prefix").select(
-        "key", F.col("c").alias("n"), (own - F.col("weight") - F.log10((F.col("alone") - DISCOUNT) / F.col("middle"))).alias("extra"), *none)
-    return materialise(word_arcs.unionByName(two_arcs).unionByName(three_arcs), "arcs"), begin.weight if begin else 0.0
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                u = Unit({c: batch.column(c)[i].as_py() for c in batch.schema.names})
+                out = sent(u.number, WORDS, u.words, [u.word_counts()], ranges) + sent(u.number, PAIRS, u.pairs, [u.pair_counts()], ranges)
+                yield from _table(out, SENT).to_batches()
+
+    def told(left: pa.Table, right: pa.Table) -> tuple[Unit, Replies, np.ndarray, np.ndarray, np.ndarray]:
+        """A unit with all that it was told, the counts of its words and bigrams, and the bigrams that it owns."""
+        u, replies = Unit(left.to_pylist()[0]), Replies(right)
+        (words,), _ = replies.of(WORDS)
+        (pairs,), owned = replies.of(PAIRS)
+        u.keep_pairs(words, pairs, often, least)
+        return u, replies, words, pairs, owned
+
+    def second(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        u, _, words, pairs, owned = told(left, right)
+        own = owned & u.kept
+        after = sums_after(u.first[own], len(u.words), pairs[own], words[u.last[own]])
+        out = sent(u.number, TRIPLES, u.triples, [u.triple_counts()], ranges) + sent(u.number, AFTER_WORDS, u.words, after, ranges)
+        T.release()
+        return _table(out, SENT)
+
+    def third(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        u, replies, _, pairs, _ = told(left, right)
+        (triples,), owned = replies.of(TRIPLES)
+        own = owned & (triples >= least)
+        at, ask = u.triple_at[own], u.contexts()
+        after = sums_after(u.pair[at], len(u.pairs), triples[own], pairs[u.pair[at + 1]])
+        out = sent(u.number, AFTER_PAIRS, u.pairs[ask], [x[ask] for x in after], ranges)
+        T.release()
+        return _table(out, SENT)
+
+    asked = made.groupBy("unit")
+    step = lambda f, told, schema: asked.cogroup(told.groupBy("unit")).applyInArrow(f, schema)
+    told_1 = exchange(made.mapInArrow(T.task(first), SENT))
+    present = told_1.where(F.shiftright("part", 32) == WORDS).agg(F.coalesce(F.sum("present"), F.lit(0))).first()[0]
+    told_2 = exchange(step(second, told_1, SENT))
+    told_1 = without_owners(told_1)
+    told_3 = exchange(step(third, told_1.unionByName(told_2), SENT))
+    every = told_1.unionByName(without_owners(told_2)).unionByName(without_owners(told_3))
+    z = float(n + 0.5 * (present - (texts > 0) + 1))  # the begin of a text is no token
+
+    def last(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        u, replies, words, pairs, _ = told(left, right)
+        (triples,), _ = replies.of(TRIPLES)
+        (k, c, alone), _ = replies.of(AFTER_WORDS, 3)
+        word_weight = _log_weight(k, 1 - (c - DISCOUNT * k) / np.maximum(words, 1), 1 - (alone + 0.5 * k) / z)
+        ask, pair_weight = u.contexts(), np.zeros(len(u.pairs))
+        (k, c, alone), _ = replies.of(AFTER_PAIRS, 3)
+        pair_weight[ask] = _log_weight(k, 1 - (c - DISCOUNT * k) / np.maximum(pairs[ask], 1), 1 - (alone - DISCOUNT * k) / np.maximum(words[u.last[ask]], 1))
+
+        plain = np.log10((words + 0.5) / z)
+        pair_value = word_weight[u.first] + plain[u.last]
+        pair_value[u.kept] = np.log10((pairs[u.kept] - DISCOUNT) / words[u.first[u.kept]])
+        token = np.flatnonzero(u.pair >= 0)  # the word after each is scored
+        value = np.zeros(len(u.word))
+        value[token + 1] = pair_value[u.pair[token]]
+        context = np.flatnonzero((u.pair[:-1] >= 0) & (u.pair[1:] >= 0))
+        value[context + 2] += pair_weight[u.pair[context]]
+        there = triples[u.triple] >= least
+        at = u.here[there]
+        value[at + 2] = np.log10((triples[u.triple[there]] - DISCOUNT) / pairs[u.pair[at]])
+
+        docs, is_token = len(u.ids), u.word != u.begin
+        doc, word = u.doc[is_token], u.word[is_token]
+        out = pa.table({
+            "doc_id": pa.array(u.ids, mask=(u.flags & NO_ID) > 0), "n_tokens": np.bincount(doc, minlength=docs),
+            "n_known": np.bincount(doc, words[word] > 0, docs).astype(np.int64), "train_tokens": np.full(docs, n),
+            "base_score": np.bincount(doc, plain[word], docs), "score": np.bincount(doc, value[is_token], docs)})
+        T.release()
+        return out.filter(pa.array((u.flags & SCORED) > 0))
+
+    return step(last, every, SCORES)
 
 
 def score_texts(docs: DataFrame, train: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row of `docs`
     (doc_id, text), with a model of `train` (text)."""
-    spark = docs.sparkSession
-    counts = materialise(word_counts(train), "counts")
-    texts = train.count()
-    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    n, v = sums.n + texts, sums.v + (texts > 0)
-    z = n + 0.5 * (v + 1)
-    arcs, begin = automaton(train, counts, n, texts, z)
-    hot = F.col("n") >= max(1.0, LOCAL_SHARE * n)
-    local = arcs.where(hot).select("key", "base", "extra", "known").toPandas()  # at most 1 / LOCAL_SHARE of each length
-    key = local["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(key)
-    values = [np.append(local[c].to_numpy(np.float64)[order], 0.0) for c in ("base", "extra", "known")]  # last: not local
-    rest = arcs.where(~hot)
-    ends, unseen = float(np.log10((texts + 0.5) / z)), float(np.log10(0.5 / z))
-    shared = spark.sparkContext.broadcast((key[order], values, bitmap(rest)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, (base, extra, known), bits = shared.value
-        for batch in batches:
-            for a, b, h, first in _words(batch.column(1)):
-                rows = b - a
-                s = sequences(h, first)
-                place = np.repeat(np.arange(rows), np.diff(first) + 2)
-                inside = s[:-1] != END
-                two = pair_key(s[:-1], s[1:])
-                both = inside[:-1] & inside[1:]
-                asked = np.concatenate([h, two[inside], pair_key(two[:-1], two[1:])[both]])
-                row = np.concatenate([T.spread(first), place[:-1][inside], place[:-2][both]])
-                at = _number(key, asked)
-                plain = np.bincount(row, base[at], rows) + np.diff(first) * unseen + ends
-                more = np.bincount(row, extra[at], rows) + begin
-                seen = np.bincount(row, known[at], rows).astype(np.int64)
-                rare = (at < 0) & _maybe(bits, asked)
-                rh, rr = asked[rare], row[rare]
-                by = np.lexsort((rh, rr))
-                rh, rr = rh[by], rr[by]
-                new = np.concatenate([[True], (rh[1:] != rh[:-1]) | (rr[1:] != rr[:-1])]) if len(rh) else np.zeros(0, bool)
-                head = np.flatnonzero(new)
-                times = np.diff(np.append(head, len(rh)))
-                offsets = pa.array(np.searchsorted(rr[head], np.arange(rows + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, rows), pa.array(np.diff(first) + 1), pa.array(seen), pa.array(plain), pa.array(more),
-                    pa.ListArray.from_arrays(offsets, pa.array(rh[head].view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32)))],
-                    ["doc_id", "n_tokens", "known", "base", "extra", "rare", "times"])
-
-    schema = "doc_id long, n_tokens long, known long, base double, extra double, rare array<long>, times array<int>"
-    rows = materialise(docs.select("doc_id", "text").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "rows")
-    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("key"), F.col("r.times").alias("times"))
-    sums = [F.sum(F.col("times") * F.col(c)).alias(f"more_{c}") for c in ("known", "base", "extra")]
-    found = rare.join(rest.select("key", "base", "extra", "known"), "key").groupBy("row").agg(*sums)
-    more = lambda c: F.coalesce(F.round(f"more_{c}", 9), F.lit(0))  # noqa: E731  sums of doubles arrive in any order
-    base = F.col("base") + more("base")
-    return rows.join(found, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("known") + more("known") + (1 if texts else 0)).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        base.alias("base_score"), (base + F.col("extra") + more("extra")).alias("score"))
+    rows = docs.select("doc_id", "text", F.lit(SCORED).alias("flags"))
+    return score_rows(rows.unionByName(train.select(F.lit(0).cast("long").alias("doc_id"), "text", F.lit(TRAIN).alias("flags"))))
 
 
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = id_and_text(documents(spark, sf_dir))
     out = held_out(F.col("doc_id"))
-    return score_texts(docs, docs.where(~out)).select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    scores = score_rows(docs.select("doc_id", "text", F.when(out, SCORED).otherwise(SCORED | TRAIN).alias("flags")))
+    return scores.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
